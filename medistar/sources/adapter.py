@@ -213,3 +213,93 @@ def driver_raw(spark: SparkSession, t: dict[str, DataFrame]) -> dict[str, DataFr
 
 def load_driver_raw(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return driver_raw(spark, read_driver_tables(spark, sf_dir))
+
+
+# ------------------------------------------------------------------ uploads
+# Daily upload files derived from the driver tables and the star's names.  Every
+# lineitem becomes one sales-upload row; fixed modulo rules add the dirt that
+# exercises each upload rule.  Columns are strings, as read from a CSV.
+
+def _s(c):
+    return c.cast("string")
+
+
+def sales_upload(t: dict[str, DataFrame], star_tables: dict[str, DataFrame], shift_years: int) -> DataFrame:
+    li = t["lineitem"].select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice",
+                              "l_discount", "l_tax")
+    o = t["orders"].select("o_orderkey", "o_custkey", "o_orderdate")
+    p = t["part"].select("p_partkey", "p_retailprice")
+    drug = star_tables["dim_drug"].select(F.col("drug_key").alias("_dk"), F.col("drug_name").alias("_dn"))
+    cust = star_tables["dim_customer"].select(F.col("customer_key").alias("_ck"), F.col("customer_name").alias("_cn"),
+                                              F.col("customer_type").alias("_ct"),
+                                              F.col("geography_key").alias("_gk"))
+    geo = star_tables["dim_geography"].select(F.col("geography_key").alias("_gk"), F.col("country_region").alias("_co"),
+                                              F.col("city").alias("_ci"))
+    terr = t["nation"].join(F.broadcast(t["region"]), F.col("n_regionkey") == F.col("r_regionkey")) \
+        .select(F.col("n_nationkey"), F.col("r_name").alias("_tn"))
+    c = t["customer"].select("c_custkey", "c_nationkey")
+    j = (li.join(o, li.l_orderkey == o.o_orderkey, "inner")
+         .join(p, li.l_partkey == p.p_partkey, "left")
+         .join(drug, F.col("l_partkey") + 1 == F.col("_dk"), "left")
+         .join(cust, F.col("o_custkey") * 17 + 1 == F.col("_ck"), "left")
+         .join(geo, "_gk", "left")
+         .join(c, F.col("o_custkey") == F.col("c_custkey"), "left")
+         .join(F.broadcast(terr), F.col("c_nationkey") == F.col("n_nationkey"), "left"))
+    ok = F.col("l_orderkey")
+    token = F.split(F.col("_dn"), " ").getItem(0)
+    drug_name = (F.when(ok % 13 == 0, F.concat(F.lit("Qx-"), _s(F.col("l_partkey")), F.lit(" Tablet")))
+                 .when(F.col("_dn").isNull(), F.concat(F.lit("Qx-"), _s(F.col("l_partkey"))))
+                 .when(ok % 11 == 0, F.concat(token, F.lit(" xyz")))
+                 .when(ok % 7 == 0, F.upper(F.col("_dn")))
+                 .otherwise(F.col("_dn")))
+    new_buyer = (ok % 5 == 0) | F.col("_cn").isNull()
+    cust_name = F.when(new_buyer, F.concat(F.lit("New Buyer "), _s(F.col("o_custkey") % 50))).otherwise(F.col("_cn"))
+    cust_type = F.when(new_buyer, F.lit("Government office")).otherwise(F.lower(F.col("_ct")))
+    odate = F.add_months(F.to_date("o_orderdate"), 12 * shift_years)
+    qty = F.col("l_quantity")
+    unit = F.col("l_extendedprice") / qty
+    net = F.col("l_extendedprice") * (1 - F.col("l_discount"))
+    cost = F.when(F.col("l_linenumber") % 2 == 0, F.col("p_retailprice") * 0.6) \
+        .otherwise(F.col("p_retailprice") * 0.6 * qty)
+    return j.select(
+        drug_name.alias("drug_name"),
+        cust_name.alias("customer_name"),
+        cust_type.alias("customer_type"),
+        F.when(ok % 23 == 0, F.lit("n/a")).otherwise(F.date_format(odate, "yyyy-MM-dd")).alias("order_date"),
+        F.when(ok % 29 == 0, F.lit("0")).otherwise(_s(qty.cast("int"))).alias("units_sold"),
+        F.when(ok % 31 == 0, F.lit("0")).otherwise(F.format_string("%.2f", unit)).alias("unit_price"),
+        F.format_string("%.2f", F.col("l_discount") * 100).alias("unit_price_discount_pct"),
+        F.format_string("%.2f", cost).alias("total_product_cost"),
+        F.format_string("%.2f", net).alias("sales_amount"),
+        F.format_string("%.2f", net * F.col("l_tax")).alias("tax_amt"),
+        F.format_string("%.2f", net * 0.025).alias("freight"),
+        F.coalesce(F.col("_tn"), F.lit("")).alias("sales_territory_name"),
+        F.coalesce(F.col("_co"), F.lit("Brazil")).alias("country_region"),
+        F.coalesce(F.col("_ci"), F.lit("")).alias("city"),
+        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("_row"),
+    )
+
+
+def inventory_upload(t: dict[str, DataFrame], star_tables: dict[str, DataFrame], snapshot_date: str) -> DataFrame:
+    """One snapshot date; every drug with its latest on-hand units; ordered = size*10,
+    dispatched = size mod 7 (0 gives a null days of supply); parts with key mod 37 = 0
+    appear twice (the later row, +5 units, must win)."""
+    fi = star_tables["fact_inventory"]
+    latest = X.dedupe(fi.select("drug_key", "snapshot_date_key", "units_on_hand"), ["drug_key"],
+                      [F.col("snapshot_date_key")], "last")
+    d = star_tables["dim_drug"].select("drug_key", "drug_name", "unit_cost")
+    p = t["part"].select("p_partkey", "p_size")
+    j = d.join(latest, "drug_key", "left").join(p, F.col("drug_key") == F.col("p_partkey") + 1, "inner")
+    base = j.select(
+        F.col("drug_name"),
+        F.lit(snapshot_date).alias("snapshot_date"),
+        _s(F.coalesce(F.col("units_on_hand"), F.lit(0))).alias("units_on_hand"),
+        _s(F.col("p_size") * 10).alias("units_ordered"),
+        _s(F.col("p_size") % 7).alias("units_dispatched"),
+        _s(F.col("unit_cost")).alias("unit_cost"),
+        (F.col("drug_key") * 2).alias("_row"),
+        F.col("p_partkey"))
+    dup = (base.where(F.col("p_partkey") % 37 == 0)
+           .withColumn("units_on_hand", _s(F.col("units_on_hand").cast("int") + 5))
+           .withColumn("_row", F.col("_row") + 1))
+    return base.unionByName(dup).drop("p_partkey")
