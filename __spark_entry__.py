@@ -13,25 +13,87 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pyspark.sql import functions as F
+
+from medistar.operators import facts as FACTS
+from medistar.operators import uploads as U
+from medistar.operators.upsert import insert_ignore, merge_upsert
 from medistar.params import Params
+from medistar.plans import monitor as M
+from medistar.plans import quality as DQ
 from medistar.plans import queries as Q
-from medistar.plans.star import Star, star_from_driver
+from medistar.plans.star import Star, build_star
+from medistar.plans.warehouse import UPLOAD_INVENTORY_UPDATE
 from medistar.session import configure
+from medistar.sources import adapter
+from medistar.sources.extract import extract_all, extract_summary
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 PARAMS = Params()
 
 _STARS: dict[tuple[int, str], Star] = {}
+_DRIVER: dict[tuple[int, str], dict] = {}
+UPLOAD_SNAPSHOT_DATE = "2025-06-01"
+ADHOC_TEXT = ("-- status mix of the drug dimension\n"
+              "SELECT drug_status, dosage_form, COUNT(*) AS n FROM dim_drug GROUP BY drug_status, dosage_form;")
+
+
+def _tables(spark: SparkSession, sf_dir: str) -> dict:
+    key = (id(spark), sf_dir)
+    if key not in _DRIVER:
+        configure(spark)
+        _DRIVER[key] = adapter.read_driver_tables(spark, sf_dir)
+    return _DRIVER[key]
+
+
+def _extracted(spark: SparkSession, sf_dir: str) -> dict:
+    return extract_all(spark, adapter.driver_raw(spark, _tables(spark, sf_dir)), PARAMS)
 
 
 def _star(spark: SparkSession, sf_dir: str) -> Star:
     key = (id(spark), sf_dir)
     if key not in _STARS:
         configure(spark)
-        _STARS[key] = star_from_driver(spark, sf_dir, PARAMS)
+        _STARS[key] = build_star(spark, adapter.driver_raw(spark, _tables(spark, sf_dir)), PARAMS)
     return _STARS[key]
 
 
+def _sales_upload(spark, sf_dir):
+    st = _star(spark, sf_dir)
+    up = adapter.sales_upload(_tables(spark, sf_dir), st.tables, PARAMS.shift_years)
+    return st, up, U.transform_sales_upload(up)
+
+
+def _upload_sales_resolved(spark, sf_dir):
+    st, up, tr = _sales_upload(spark, sf_dir)
+    return st, tr, U.resolve_sales_upload(tr.clean, st.tables, PARAMS)
+
+
+def upload_sales_rejects(spark, sf_dir):
+    st, tr, (facts, skipped, newc) = _upload_sales_resolved(spark, sf_dir)
+    a = tr.rejects.select(F.col("reject_reason").alias("reason"))
+    b = skipped.select(F.col("skip_reason").alias("reason"))
+    return a.unionByName(b).groupBy("reason").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def upload_sales_insert(spark, sf_dir):
+    st, tr, (facts, skipped, newc) = _upload_sales_resolved(spark, sf_dir)
+    keys = ["source_order_number", "source_order_line_num", "source_system"]
+    return insert_ignore(st["fact_drug_sales"], facts, keys, [F.col("_row")]).select(*FACTS.FACT_SALES_COLS)
+
+
+def _inventory_upload(spark, sf_dir):
+    st = _star(spark, sf_dir)
+    inv = adapter.inventory_upload(_tables(spark, sf_dir), st.tables, UPLOAD_SNAPSHOT_DATE)
+    return st, U.transform_inventory_upload(inv)
+
+
+def upload_inventory_merge(spark, sf_dir):
+    st, tr = _inventory_upload(spark, sf_dir)
+    facts, skipped = U.resolve_inventory_upload(tr.clean, st.tables, PARAMS)
+    return merge_upsert(st["fact_inventory"], facts, ["snapshot_date_key", "drug_key"], list(UPLOAD_INVENTORY_UPDATE))
+
+
 def _q(fn: Callable[[Star], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, sf_dir: fn(_star(spark, sf_dir))
 
@@ -86,6 +148,33 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "drug_performance": _q(lambda s: Q.drug_performance(s)),
         "sales_mart": _q(Q.sales_mart),
         "inventory_mart": _q(Q.inventory_mart),
+        # conformed star tables (calendar, dimension and fact operators)
+        **{t: _q(lambda s, t=t: s[t]) for t in ["dim_date", "dim_geography", "dim_sales_territory",
+                                               "dim_therapeutic_class", "dim_drug", "dim_customer",
+                                               "fact_drug_sales", "fact_inventory"]},
+        "removal_report": _q(lambda s: s.report),
+        "extract_summary": lambda spark, sf: extract_summary(_extracted(spark, sf)),
+        # data quality
+        "dq_checks": _q(DQ.dq_checks),
+        "dq_score": _q(lambda s: DQ.dq_score(DQ.dq_checks(s))),
+        "monitor_checks": _q(DQ.monitor_checks),
+        "post_load_checks": _q(DQ.post_load_checks),
+        "null_profile": _q(DQ.null_profile),
+        # monitoring
+        "source_system_breakdown": _q(M.source_system_breakdown),
+        "financial_metrics": _q(M.financial_metrics),
+        "sales_date_range": _q(M.sales_date_range),
+        "critical_drugs": _q(lambda s: M.critical_drugs(s, 10)),
+        "row_counts": _q(lambda s: M.row_counts(s)),
+        "schema_summary": _q(M.schema_summary),
+        "adhoc_sql": lambda spark, sf: M.adhoc_sql(spark, _star(spark, sf), ADHOC_TEXT),
+        # daily uploads
+        "upload_sales_clean": lambda spark, sf: _sales_upload(spark, sf)[2].clean.drop("_row"),
+        "upload_sales_rejects": upload_sales_rejects,
+        "upload_new_customers": lambda spark, sf: _upload_sales_resolved(spark, sf)[2][2],
+        "upload_sales_insert": upload_sales_insert,
+        "upload_inventory_clean": lambda spark, sf: _inventory_upload(spark, sf)[1].clean.drop("_ord"),
+        "upload_inventory_merge": upload_inventory_merge,
     }
 
 

@@ -146,6 +146,22 @@ def round_half_up(c, scale: int) -> Column:
     return F.round(col(c), scale)
 
 
+def exact_pct(num, den, scale: int) -> Column:
+    """round(num / den * 100, scale), half away from zero, computed exactly.
+
+    ``num`` and ``den`` hold at most four decimals.  They are scaled to integers
+    and divided with an exact integral quotient, because a DECIMAL division can
+    lose digits to precision limits and then round twice.  Null when den is 0.
+    """
+    nu = (col(num) * 10000).cast("decimal(38,0)")
+    du = (col(den) * 10000).cast("decimal(38,0)")
+    top = F.abs(nu) * F.lit(2 * 100 * 10 ** scale).cast("decimal(38,0)") + F.abs(du)
+    bottom = F.abs(du) * 2
+    q = ((top - F.pmod(top, bottom)) / bottom).cast("decimal(38,0)")
+    sign = F.when((nu < 0) != (du < 0), F.lit(-1)).otherwise(F.lit(1))
+    return F.when(du == 0, F.lit(None)).otherwise(sign * q / F.lit(10 ** scale))
+
+
 def pct_of(num, den) -> Column:
     """num * 100 / den in double arithmetic, 0 when den is 0 (weighted margin)."""
     n, d = col(num).cast("double"), col(den).cast("double")

@@ -33,8 +33,8 @@ FACT_INVENTORY_COLS = [
 
 def margin_pct(profit, net):
     """round(profit / net * 100, 4) with exact decimal arithmetic (half-up); 0 when net <= 0."""
-    p, n = X.col(profit), X.col(net)
-    return F.when(n > 0, F.round(p * 100 / n, 4)).otherwise(F.lit(0)).cast(X.PCT)
+    n = X.col(net)
+    return F.when(n > 0, X.exact_pct(profit, net, 4)).otherwise(F.lit(0)).cast(X.PCT)
 
 
 def _date_keys(dim_date: DataFrame) -> DataFrame:

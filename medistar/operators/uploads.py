@@ -71,7 +71,7 @@ def transform_sales_upload(df: DataFrame) -> UploadResult:
     ]))
     pct = num("unit_price_discount_pct")
     gross = F.round(price * units, 4)
-    disc = F.round(gross * pct / 100, 4)
+    disc = F.round(gross * pct * F.lit(Decimal("0.01")), 4)
     net = F.round(gross - disc, 4)
     cogs_raw = F.greatest(num("total_product_cost"), F.lit(0).cast(X.MONEY))
     cogs = F.round(F.when(cogs_raw < gross * F.lit(Decimal("0.5")), cogs_raw * units).otherwise(cogs_raw), 4)
@@ -85,7 +85,7 @@ def transform_sales_upload(df: DataFrame) -> UploadResult:
         gross.cast(X.MONEY).alias("gross_revenue"), disc.cast(X.MONEY).alias("discount_amount"),
         net.cast(X.MONEY).alias("net_revenue"), cogs.cast(X.MONEY).alias("cost_of_goods"),
         profit.cast(X.MONEY).alias("gross_profit"),
-        F.when(net > 0, F.round(profit * 100 / net, 2)).otherwise(F.lit(0)).cast(X.PCT).alias("gross_margin_pct"),
+        F.when(net > 0, X.exact_pct(profit, net, 2)).otherwise(F.lit(0)).cast(X.PCT).alias("gross_margin_pct"),
         F.round(num("tax_amt"), 4).cast(X.MONEY).alias("tax_amount"),
         F.round(num("freight"), 4).cast(X.MONEY).alias("freight_cost"),
         F.trim("sales_territory_name").alias("sales_territory_name"),
@@ -117,8 +117,10 @@ def transform_inventory_upload(df: DataFrame, order_col: str = "_row") -> Upload
     m = ok.select(F.col("drug_name").alias("_raw_name"), F.trim("drug_name").alias("drug_name"),
                   F.col("_d").alias("snapshot_date"), on_hand.alias("units_on_hand"), ordered.alias("units_ordered"),
                   dispatched.alias("units_dispatched"), cost.alias("unit_cost"), F.col(order_col).alias("_ord"))
-    # group mean (combined map-side) joined back, instead of a window over a possibly hot drug
-    means = m.groupBy("_raw_name").agg(F.avg("units_dispatched").alias("_avg_d"))
+    # group mean (combined map-side) joined back, instead of a window over a possibly hot drug;
+    # on_hand / mean = on_hand * count / sum, kept exact in DECIMAL until the final rounding
+    means = m.groupBy("_raw_name").agg(F.sum("units_dispatched").alias("_sum_d"),
+                                       F.count("units_dispatched").alias("_cnt_d"))
     m = m.join(means, "_raw_name", "left")
     units_i = F.col("units_on_hand").cast("long")
     m = m.select(
@@ -127,7 +129,7 @@ def transform_inventory_upload(df: DataFrame, order_col: str = "_row") -> Upload
         F.col("units_ordered").cast("int").alias("units_ordered"),
         F.col("units_dispatched").cast("int").alias("units_dispatched"),
         F.round(F.col("units_on_hand") * F.col("unit_cost"), 4).cast(X.MONEY).alias("stock_value"),
-        F.when(F.col("_avg_d") > 0, F.round(F.col("units_on_hand") / F.col("_avg_d"), 2))
+        F.when(F.col("_sum_d") > 0, F.round(F.col("units_on_hand") * F.col("_cnt_d") / F.col("_sum_d"), 2))
          .cast(X.DAYS).alias("days_of_supply"),
         X.stock_status(units_i).alias("stock_status"),
         X.date_key("snapshot_date").alias("date_key"),

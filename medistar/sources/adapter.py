@@ -256,23 +256,29 @@ def sales_upload(t: dict[str, DataFrame], star_tables: dict[str, DataFrame], shi
     cust_name = F.when(new_buyer, F.concat(F.lit("New Buyer "), _s(F.col("o_custkey") % 50))).otherwise(F.col("_cn"))
     cust_type = F.when(new_buyer, F.lit("Government office")).otherwise(F.lower(F.col("_ct")))
     odate = F.add_months(F.to_date("o_orderdate"), 12 * shift_years)
-    qty = F.col("l_quantity")
-    unit = F.col("l_extendedprice") / qty
-    net = F.col("l_extendedprice") * (1 - F.col("l_discount"))
-    cost = F.when(F.col("l_linenumber") % 2 == 0, F.col("p_retailprice") * 0.6) \
-        .otherwise(F.col("p_retailprice") * 0.6 * qty)
+    qty = F.col("l_quantity").cast("long")
+    # amounts as exact DECIMAL(18,2) text (rounding half-up), as an exporting system would print them
+    d2 = lambda c: F.round(c, 2).cast("decimal(18,2)").cast("string")
+    ext = F.col("l_extendedprice").cast("decimal(18,2)")
+    disc = F.col("l_discount").cast("decimal(18,2)")
+    net = ext * (F.lit(1) - disc)
+    unit_cents = F.expr("(2 * cast(round(l_extendedprice * 100) as bigint) + cast(l_quantity as bigint))"
+                        " div (2 * cast(l_quantity as bigint))")
+    unit = (unit_cents.cast("decimal(18,0)") * F.lit(Decimal("0.01"))).cast("decimal(18,2)").cast("string")
+    unit_cost = F.col("p_retailprice").cast("decimal(18,2)") * F.lit(Decimal("0.6"))
+    cost = F.when(F.col("l_linenumber") % 2 == 0, unit_cost).otherwise(unit_cost * qty)
     return j.select(
         drug_name.alias("drug_name"),
         cust_name.alias("customer_name"),
         cust_type.alias("customer_type"),
         F.when(ok % 23 == 0, F.lit("n/a")).otherwise(F.date_format(odate, "yyyy-MM-dd")).alias("order_date"),
-        F.when(ok % 29 == 0, F.lit("0")).otherwise(_s(qty.cast("int"))).alias("units_sold"),
-        F.when(ok % 31 == 0, F.lit("0")).otherwise(F.format_string("%.2f", unit)).alias("unit_price"),
-        F.format_string("%.2f", F.col("l_discount") * 100).alias("unit_price_discount_pct"),
-        F.format_string("%.2f", cost).alias("total_product_cost"),
-        F.format_string("%.2f", net).alias("sales_amount"),
-        F.format_string("%.2f", net * F.col("l_tax")).alias("tax_amt"),
-        F.format_string("%.2f", net * 0.025).alias("freight"),
+        F.when(ok % 29 == 0, F.lit("0")).otherwise(_s(qty)).alias("units_sold"),
+        F.when(ok % 31 == 0, F.lit("0")).otherwise(unit).alias("unit_price"),
+        d2(disc * 100).alias("unit_price_discount_pct"),
+        d2(cost).alias("total_product_cost"),
+        d2(net).alias("sales_amount"),
+        d2(net * F.col("l_tax").cast("decimal(18,2)")).alias("tax_amt"),
+        d2(net * F.lit(Decimal("0.025"))).alias("freight"),
         F.coalesce(F.col("_tn"), F.lit("")).alias("sales_territory_name"),
         F.coalesce(F.col("_co"), F.lit("Brazil")).alias("country_region"),
         F.coalesce(F.col("_ci"), F.lit("")).alias("city"),
