@@ -522,3 +522,47 @@ def inventory_mart(star: Star) -> DataFrame:
 def export_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """SNK-9: write a result as CSV with a header (one folder of part files)."""
     df.write.mode(mode).option("header", True).csv(path)
+
+
+# ------------------------------------------------- evaluation (timed) queries
+
+def top5_drugs_by_revenue(star: Star) -> DataFrame:
+    """Timed query 1."""
+    dr = star["dim_drug"].select("drug_key", "drug_name")
+    return (star["fact_drug_sales"].join(dr, "drug_key", "inner").groupBy("drug_name")
+            .agg(dbl_sum("net_revenue").alias("rev")).orderBy(F.desc("rev"), "drug_name").limit(5))
+
+
+def revenue_by_year(star: Star) -> DataFrame:
+    """Timed query 2."""
+    d = star["dim_date"].select("date_key", "calendar_year")
+    f = star["fact_drug_sales"]
+    return (f.join(d, f.order_date_key == d.date_key, "inner").groupBy("calendar_year")
+            .agg(dbl_sum("net_revenue").alias("rev")).orderBy("calendar_year"))
+
+
+def stock_status_count(star: Star) -> DataFrame:
+    """Timed query 3."""
+    return star["fact_inventory"].groupBy("stock_status").agg(F.count(F.lit(1)).alias("n"))
+
+
+def revenue_by_type(star: Star) -> DataFrame:
+    """Timed query 4."""
+    c = star["dim_customer"].select("customer_key", "customer_type")
+    return (star["fact_drug_sales"].join(c, "customer_key", "inner").groupBy("customer_type")
+            .agg(dbl_sum("net_revenue").alias("rev")).orderBy(F.desc("rev"), "customer_type"))
+
+
+def full_fact_scan(star: Star) -> DataFrame:
+    """Timed query 5: count, total revenue, mean margin over the whole fact."""
+    return star["fact_drug_sales"].agg(F.count(F.lit(1)).alias("rows"), dbl_sum("net_revenue").alias("rev"),
+                                       mean("gross_margin_pct").alias("avg_margin"))
+
+
+TIMED = {
+    "q1_top5_drugs": top5_drugs_by_revenue,
+    "q2_revenue_by_year": revenue_by_year,
+    "q3_stock_status_count": stock_status_count,
+    "q4_revenue_by_customer_type": revenue_by_type,
+    "q5_full_fact_scan": full_fact_scan,
+}
