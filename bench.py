@@ -19,7 +19,8 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from medistar.params import Params  # noqa: E402
 from medistar.plans import queries as Q  # noqa: E402
-from medistar.plans.star import materialize_star, star_from_driver  # noqa: E402
+from medistar.plans.star import build_star_to  # noqa: E402
+from medistar.sources import adapter  # noqa: E402
 from medistar.session import ensure_checkpoint_dir, get_spark  # noqa: E402
 
 WARM_RUNS = 3
@@ -40,8 +41,7 @@ def main() -> None:
     wh = tempfile.mkdtemp(prefix="bench-star-", dir=base if base.startswith("/") else None)
 
     t0 = time.time()
-    star = star_from_driver(spark, sf_dir, Params())
-    star = materialize_star(star, wh)
+    star = build_star_to(spark, adapter.load_driver_raw(spark, sf_dir), wh, Params())
     build = time.time() - t0
 
     headline = dict(Q.TIMED)

@@ -38,7 +38,8 @@ class Star:
             v.createOrReplaceTempView(prefix + k)
 
 
-def transform_all(spark: SparkSession, raw: dict[str, DataFrame], params: Params) -> Star:
+def conform_dimensions(spark: SparkSession, raw: dict[str, DataFrame], params: Params) -> Star:
+    """DIM-1..DIM-6 plus dimension key resolution (SNK-3, SNK-4)."""
     d_date = dims.transform_dim_date(raw["dim_date"])
     d_geo = dims.transform_dim_geography(raw["dim_geography"])
     d_terr = dims.transform_dim_territory(raw["dim_sales_territory"])
@@ -46,8 +47,6 @@ def transform_all(spark: SparkSession, raw: dict[str, DataFrame], params: Params
     d_drug = dims.transform_dim_drug(raw["dim_product"], raw["dim_product_subcategory"],
                                      raw["dim_product_category"], params)
     d_cust = dims.transform_dim_customer(raw["dim_customer"])
-
-    # key resolution of the dimensions (SNK-3, SNK-4)
     cls_keys = d_cls.clean.select(F.col("source_subcategory_key").alias("source_subcat_key"),
                                   F.col("therapeutic_class_key"))
     drug = (d_drug.clean.join(cls_keys, "source_subcat_key", "left")
@@ -56,24 +55,29 @@ def transform_all(spark: SparkSession, raw: dict[str, DataFrame], params: Params
     geo_keys = d_geo.clean.select(F.col("source_geo_key"), F.col("geography_key"))
     cust = (d_cust.clean.join(geo_keys, "source_geo_key", "left")
             .select(*[c for c in dims.DIM_CUSTOMER_COLS if c != "source_geo_key"], "geography_key"))
-
-    f_sales = facts.transform_fact_sales(raw["fact_internet_sales"], drug, cust, d_date.clean, d_terr.clean,
-                                         params)
-    f_inv = facts.transform_fact_inventory(raw["fact_product_inventory"], drug, d_date.clean, params)
-    tables = {
-        "dim_date": d_date.clean,
-        "dim_geography": d_geo.clean,
-        "dim_sales_territory": d_terr.clean,
-        "dim_therapeutic_class": d_cls.clean,
-        "dim_drug": drug,
-        "dim_customer": cust,
-        "fact_drug_sales": f_sales.clean,
-        "fact_inventory": f_inv.clean,
-    }
-    report = union_all([x.report for x in (d_date, d_geo, d_terr, d_cls, d_drug, d_cust, f_sales, f_inv)])
+    tables = {"dim_date": d_date.clean, "dim_geography": d_geo.clean, "dim_sales_territory": d_terr.clean,
+              "dim_therapeutic_class": d_cls.clean, "dim_drug": drug, "dim_customer": cust}
+    report = union_all([x.report for x in (d_date, d_geo, d_terr, d_cls, d_drug, d_cust)])
     return Star(tables, report)
 
 
+def conform_facts(raw: dict[str, DataFrame], dim_tables: dict[str, DataFrame], params: Params) -> Star:
+    """FACT-1..FACT-5 against (conformed or already written) dimensions."""
+    f_sales = facts.transform_fact_sales(raw["fact_internet_sales"], dim_tables["dim_drug"],
+                                         dim_tables["dim_customer"], dim_tables["dim_date"],
+                                         dim_tables["dim_sales_territory"], params)
+    f_inv = facts.transform_fact_inventory(raw["fact_product_inventory"], dim_tables["dim_drug"],
+                                           dim_tables["dim_date"], params)
+    return Star({"fact_drug_sales": f_sales.clean, "fact_inventory": f_inv.clean},
+                union_all([f_sales.report, f_inv.report]))
+
+
+def transform_all(spark: SparkSession, raw: dict[str, DataFrame], params: Params) -> Star:
+    d = conform_dimensions(spark, raw, params)
+    f = conform_facts(raw, d.tables, params)
+    return Star({**d.tables, **f.tables}, d.report.unionByName(f.report))
+
+
 def build_star(spark: SparkSession, raw: dict[str, DataFrame], params: Params | None = None) -> Star:
     params = params or Params()
     return transform_all(spark, extract_all(spark, raw, params), params)
@@ -103,5 +107,29 @@ def materialize_star(star: Star, path: str, mode: str = "overwrite") -> Star:
     return Star(out, star.report, star.audit, dict(star.extra))
 
 
+def _write(df: DataFrame, name: str, path: str, mode: str) -> DataFrame:
+    w = df
+    if name == "fact_drug_sales":
+        w = df.sortWithinPartitions("order_date_key")
+    elif name == "fact_inventory":
+        w = df.sortWithinPartitions("snapshot_date_key")
+    w.write.mode(mode).parquet(f"{path}/{name}")
+    return df.sparkSession.read.parquet(f"{path}/{name}")
+
+
+def build_star_to(spark: SparkSession, raw: dict[str, DataFrame], path: str, params: Params | None = None,
+                  mode: str = "overwrite") -> Star:
+    """Extract, conform and write the star in load order: the dimensions are
+    written first and the facts are conformed against the written dimensions,
+    so no dimension plan is recomputed inside the fact jobs."""
+    params = params or Params()
+    ex = extract_all(spark, raw, params)
+    d = conform_dimensions(spark, ex, params)
+    written = {name: _write(df, name, path, mode) for name, df in d.tables.items()}
+    f = conform_facts(ex, written, params)
+    written.update({name: _write(df, name, path, mode) for name, df in f.tables.items()})
+    return Star(written, d.report.unionByName(f.report))
+
+
 def read_star(spark: SparkSession, path: str) -> Star:
     return Star({n: spark.read.parquet(f"{path}/{n}") for n in STAR_TABLES})
