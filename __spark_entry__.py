@@ -9,6 +9,7 @@ views and computes the same result.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,9 +23,9 @@ from medistar.params import Params
 from medistar.plans import monitor as M
 from medistar.plans import quality as DQ
 from medistar.plans import queries as Q
-from medistar.plans.star import Star, build_star
+from medistar.plans.star import Star, build_star_to
 from medistar.plans.warehouse import UPLOAD_INVENTORY_UPDATE
-from medistar.session import configure
+from medistar.session import configure, shared_path
 from medistar.sources import adapter
 from medistar.sources.extract import extract_all, extract_summary
 
@@ -51,10 +52,13 @@ def _extracted(spark: SparkSession, sf_dir: str) -> dict:
 
 
 def _star(spark: SparkSession, sf_dir: str) -> Star:
+    """The star built from the driver tables, written once per session (in load
+    order) under the shared checkpoint folder; queries read the written tables."""
     key = (id(spark), sf_dir)
     if key not in _STARS:
         configure(spark)
-        _STARS[key] = build_star(spark, adapter.driver_raw(spark, _tables(spark, sf_dir)), PARAMS)
+        path = shared_path(spark, "registry_star", uuid.uuid4().hex)
+        _STARS[key] = build_star_to(spark, adapter.driver_raw(spark, _tables(spark, sf_dir)), path, PARAMS)
     return _STARS[key]
 
 
