@@ -95,7 +95,8 @@ def _inventory_upload(spark, sf_dir):
 def upload_inventory_merge(spark, sf_dir):
     st, tr = _inventory_upload(spark, sf_dir)
     facts, skipped = U.resolve_inventory_upload(tr.clean, st.tables, PARAMS)
-    return merge_upsert(st["fact_inventory"], facts, ["snapshot_date_key", "drug_key"], list(UPLOAD_INVENTORY_UPDATE))
+    merged = merge_upsert(st["fact_inventory"], facts, ["snapshot_date_key", "drug_key"], list(UPLOAD_INVENTORY_UPDATE))
+    return merged.drop("_batch_rows")
 
 
 def _q(fn: Callable[[Star], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:

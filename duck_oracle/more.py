@@ -212,7 +212,7 @@ ROW_COUNTS = (", o_rc AS (" + "\nUNION ALL ".join(
 SELECT "table", CAST(rows AS BIGINT) AS rows FROM o_rc UNION ALL SELECT 'TOTAL', CAST(SUM(rows) AS BIGINT) FROM o_rc""")
 
 _NCOLS = {"dim_date": 17, "dim_geography": 8, "dim_sales_territory": 5, "dim_therapeutic_class": 8, "dim_drug": 13,
-          "dim_customer": 11, "fact_drug_sales": 22, "fact_inventory": 11}
+          "dim_customer": 11, "fact_drug_sales": 23, "fact_inventory": 12}
 SCHEMA_SUMMARY = "\nUNION ALL ".join(
     f"SELECT '{t}' AS \"table\", {n} AS columns, COUNT(*) AS rows FROM {t}" for t, n in _NCOLS.items())
 
@@ -351,7 +351,8 @@ upload_sales_facts AS (
     1 AS source_order_line_num, {_q(P.upload_source_system)} AS source_system,
     CAST(o.units_sold AS INTEGER) AS units_sold, o.unit_price, CAST(o.unit_price_discount_pct AS DECIMAL(8,4))
       AS unit_price_discount_pct, o.gross_revenue, o.discount_amount, o.net_revenue, o.cost_of_goods,
-    o.gross_profit, o.gross_margin_pct, o.tax_amount, o.freight_cost, {_q(P.batch_id)} AS etl_batch_id, o._row
+    o.gross_profit, o.gross_margin_pct, o.tax_amount, o.freight_cost, {_q(P.batch_id)} AS etl_batch_id,
+    CAST(o.date_key // 10000 AS INTEGER) AS order_year, o._row
   FROM o_ok3 o LEFT JOIN o_geo_l g ON g.l = lower(o.country_region) LEFT JOIN o_ter_l t ON t.l = lower(o.sales_territory_name)
 ),
 upload_sales_insert AS (
@@ -410,7 +411,7 @@ upload_inventory_clean AS (
 o_inv_new AS (
   SELECT c.date_key AS snapshot_date_key, e.k AS drug_key, c.units_on_hand, c.units_ordered, c.units_dispatched,
     0 AS safety_stock_level, 0 AS reorder_point, c.stock_value, c.days_of_supply, c.stock_status,
-    '""" + P.batch_id + """' AS etl_batch_id, c._ord
+    '""" + P.batch_id + """' AS etl_batch_id, CAST(c.date_key // 10000 AS INTEGER) AS snapshot_year, c._ord
   FROM upload_inventory_clean c JOIN o_exact e ON e.ln = lower(c.drug_name) JOIN dim_date dd ON dd.date_key = c.date_key
 ),
 o_inv_new1 AS (
@@ -430,6 +431,7 @@ SELECT COALESCE(t.snapshot_date_key, n.snapshot_date_key) AS snapshot_date_key,
   CASE WHEN n.drug_key IS NOT NULL THEN n.days_of_supply ELSE t.days_of_supply END AS days_of_supply,
   CASE WHEN n.drug_key IS NOT NULL THEN n.stock_status ELSE t.stock_status END AS stock_status,
   CASE WHEN n.drug_key IS NOT NULL THEN n.etl_batch_id ELSE t.etl_batch_id END AS etl_batch_id,
+  COALESCE(t.snapshot_year, n.snapshot_year) AS snapshot_year,
   CASE WHEN t.drug_key IS NOT NULL AND n.drug_key IS NOT NULL THEN 'update' WHEN n.drug_key IS NOT NULL THEN 'insert'
        ELSE 'keep' END AS _action
 FROM fact_inventory t FULL OUTER JOIN o_inv_new1 n

@@ -229,7 +229,7 @@ fact_drug_sales AS (
               ELSE 0 END AS DECIMAL(8,4)) AS gross_margin_pct,
          CAST(s.net * CAST(s.l_tax AS DECIMAL(18,4)) AS DECIMAL(18,4)) AS tax_amount,
          CAST(s.net * 0.025 AS DECIMAL(18,4)) AS freight_cost,
-         {_q(p.batch_id)} AS etl_batch_id
+         {_q(p.batch_id)} AS etl_batch_id, CAST(s.dk // 10000 AS INTEGER) AS order_year
   FROM o_sales_rn s
        LEFT JOIN dim_date ds ON ds.date_key = s.sdk
        LEFT JOIN dim_date du ON du.date_key = s.ddk
@@ -267,7 +267,7 @@ fact_inventory AS (
          CASE WHEN greatest(units, 0) <= 0 THEN 'Out of Stock' WHEN greatest(units, 0) < 50 THEN 'Critical'
               WHEN greatest(units, 0) < 150 THEN 'Low Stock' WHEN greatest(units, 0) > 5000 THEN 'Overstock'
               ELSE 'In Stock' END AS stock_status,
-         {_q(p.batch_id)} AS etl_batch_id
+         {_q(p.batch_id)} AS etl_batch_id, CAST(dk // 10000 AS INTEGER) AS snapshot_year
   FROM o_inv_rn WHERE rn = 1
 )
 """

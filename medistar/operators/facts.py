@@ -23,13 +23,24 @@ FACT_SALES_COLS = [
     "territory_key", "source_order_number", "source_order_line_num", "source_system", "units_sold",
     "unit_price", "unit_price_discount_pct", "gross_revenue", "discount_amount", "net_revenue",
     "cost_of_goods", "gross_profit", "gross_margin_pct", "tax_amount", "freight_cost", "etl_batch_id",
+    "order_year",
 ]
 
 FACT_INVENTORY_COLS = [
     "snapshot_date_key", "drug_key", "units_on_hand", "units_ordered", "units_dispatched",
     "safety_stock_level", "reorder_point", "stock_value", "days_of_supply", "stock_status", "etl_batch_id",
+    "snapshot_year",
 ]
 
+# facts are stored partitioned by year; the column is part of the schema
+PARTITION_COLS = {"fact_drug_sales": ("order_year", "order_date_key"),
+                  "fact_inventory": ("snapshot_year", "snapshot_date_key")}
+
+
+def year_of(date_key) -> F.Column:
+    """yyyy of a yyyymmdd key (the storage partition of a fact row)."""
+    return F.floor(X.col(date_key) / 10000).cast("int")
+
 
 def margin_pct(profit, net):
     """round(profit / net * 100, 4) with exact decimal arithmetic (half-up); 0 when net <= 0."""
@@ -112,6 +123,7 @@ def transform_fact_sales(raw: DataFrame, dim_drug: DataFrame, dim_customer: Data
         F.round(F.col("tax"), 4).cast(X.MONEY).alias("tax_amount"),
         F.round(F.col("frt"), 4).cast(X.MONEY).alias("freight_cost"),
         F.lit(params.batch_id).alias("etl_batch_id"),
+        year_of("dk").alias("order_year"),
         *[F.col(f"_ord{i}") for i in range(len(order_cols))],
     )
     keys = ["source_order_number", "source_order_line_num", "source_system"]
@@ -160,6 +172,7 @@ def transform_fact_inventory(raw: DataFrame, dim_drug: DataFrame, dim_date: Data
         F.lit(None).cast(X.DAYS).alias("days_of_supply"),
         X.stock_status(units).alias("stock_status"),
         F.lit(params.batch_id).alias("etl_batch_id"),
+        year_of("dk").alias("snapshot_year"),
         *[F.col(f"_ord{i}") for i in range(len(order_cols))],
     )
     order = [F.col(f"_ord{i}") for i in range(len(order_cols))]

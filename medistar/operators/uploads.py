@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from medistar.functions import exprs as X
 from medistar.functions import fixed
+from medistar.operators import facts as FACTS
 from medistar.operators.keys import assign_sequential_keys
 from medistar.operators.matching import first_match_key
 from medistar.params import Params
@@ -252,6 +253,7 @@ def resolve_sales_upload(clean: DataFrame, star_tables: dict, params: Params) ->
         "gross_revenue", "discount_amount", "net_revenue", "cost_of_goods", "gross_profit", "gross_margin_pct",
         "tax_amount", "freight_cost",
         F.lit(params.batch_id).alias("etl_batch_id"),
+        FACTS.year_of("date_key").alias("order_year"),
         *([F.col("_row")] if "_row" in ok.columns else []),
     )
     return facts, skipped, new_customers
@@ -271,7 +273,8 @@ def resolve_inventory_upload(clean: DataFrame, star_tables: dict, params: Params
     facts = ok.select(
         F.col("date_key").alias("snapshot_date_key"), "drug_key", "units_on_hand", "units_ordered",
         "units_dispatched", F.lit(0).alias("safety_stock_level"), F.lit(0).alias("reorder_point"),
-        "stock_value", "days_of_supply", "stock_status", F.lit(params.batch_id).alias("etl_batch_id"), "_ord")
+        "stock_value", "days_of_supply", "stock_status", F.lit(params.batch_id).alias("etl_batch_id"),
+        FACTS.year_of("date_key").alias("snapshot_year"), "_ord")
     # two upload names resolving to one drug: the later file row wins
     facts = X.dedupe(facts, ["snapshot_date_key", "drug_key"], [F.col("_ord")], "last").drop("_ord")
     return facts, skipped

@@ -80,11 +80,22 @@ def _dates(star: Star, start, end, cols=("date_key", "full_date", "calendar_year
     return d
 
 
+YEAR_COLS = {"order_date_key": "order_year", "snapshot_date_key": "snapshot_year"}
+
+
 def _key_range(df: DataFrame, key: str, start, end) -> DataFrame:
+    """Date-key range on a fact; also on its year partition column, so a written
+    (year-partitioned) fact prunes directories before any file is opened."""
+    year = YEAR_COLS.get(key)
+    has_year = year in df.columns
     if start is not None:
         df = df.where(F.col(key) >= _key(start))
+        if has_year:
+            df = df.where(F.col(year) >= _key(start) // 10000)
     if end is not None:
         df = df.where(F.col(key) <= _key(end))
+        if has_year:
+            df = df.where(F.col(year) <= _key(end) // 10000)
     return df
 
 
@@ -371,6 +382,8 @@ def sales_search(star: Star, years: list[int] | None = None, source_system: str
     f = sales(star, None, None, ("calendar_year",))
     if years:
         f = f.where(F.col("calendar_year").isin(list(years)))
+        if "order_year" in f.columns:  # partition pruning on the written fact
+            f = f.where(F.col("order_year").isin(list(years)))
     if source_system:
         f = f.where(F.col("source_system") == source_system)
     f = f.where(F.col("net_revenue").between(min_rev, max_rev))

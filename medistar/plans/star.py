@@ -88,33 +88,27 @@ def star_from_driver(spark: SparkSession, sf_dir: str, params: Params | None = N
     return build_star(spark, adapter.load_driver_raw(spark, sf_dir), params)
 
 
-def materialize_star(star: Star, path: str, mode: str = "overwrite") -> Star:
-    """Write every star table as Parquet under ``path`` and return the star read back.
+def write_table(df: DataFrame, name: str, path: str, mode: str = "overwrite") -> DataFrame:
+    """Write one star table as Parquet and return it read back.
 
-    Facts are written partitioned-free but sorted by date key within files so
-    Parquet min/max statistics prune date-range scans.
+    Facts are range-partitioned on their date key (so each task covers a narrow
+    date range and writes few files), sorted by it (row-group statistics) and
+    stored partitioned by year, so date-range queries prune directories at
+    planning time.
     """
-    spark = next(iter(star.tables.values())).sparkSession
-    out = {}
-    for name, df in star.tables.items():
-        w = df
-        if name == "fact_drug_sales":
-            w = df.sortWithinPartitions("order_date_key")
-        elif name == "fact_inventory":
-            w = df.sortWithinPartitions("snapshot_date_key")
-        w.write.mode(mode).parquet(f"{path}/{name}")
-        out[name] = spark.read.parquet(f"{path}/{name}")
-    return Star(out, star.report, star.audit, dict(star.extra))
+    w = df.write.mode(mode)
+    if name in facts.PARTITION_COLS:
+        part, key = facts.PARTITION_COLS[name]
+        # no fixed count: AQE sizes the range partitions from the data
+        w = df.repartitionByRange(key).sortWithinPartitions(key).write.mode(mode).partitionBy(part)
+    w.parquet(f"{path}/{name}")
+    return df.sparkSession.read.parquet(f"{path}/{name}").select(*df.columns)
 
 
-def _write(df: DataFrame, name: str, path: str, mode: str) -> DataFrame:
-    w = df
-    if name == "fact_drug_sales":
-        w = df.sortWithinPartitions("order_date_key")
-    elif name == "fact_inventory":
-        w = df.sortWithinPartitions("snapshot_date_key")
-    w.write.mode(mode).parquet(f"{path}/{name}")
-    return df.sparkSession.read.parquet(f"{path}/{name}")
+def materialize_star(star: Star, path: str, mode: str = "overwrite") -> Star:
+    """Write every star table under ``path`` and return the star read back."""
+    out = {name: write_table(df, name, path, mode) for name, df in star.tables.items()}
+    return Star(out, star.report, star.audit, dict(star.extra))
 
 
 def build_star_to(spark: SparkSession, raw: dict[str, DataFrame], path: str, params: Params | None = None,
@@ -125,9 +119,9 @@ def build_star_to(spark: SparkSession, raw: dict[str, DataFrame], path: str, par
     params = params or Params()
     ex = extract_all(spark, raw, params)
     d = conform_dimensions(spark, ex, params)
-    written = {name: _write(df, name, path, mode) for name, df in d.tables.items()}
+    written = {name: write_table(df, name, path, mode) for name, df in d.tables.items()}
     f = conform_facts(ex, written, params)
-    written.update({name: _write(df, name, path, mode) for name, df in f.tables.items()})
+    written.update({name: write_table(df, name, path, mode) for name, df in f.tables.items()})
     return Star(written, d.report.unionByName(f.report))
 
 
