@@ -23,7 +23,7 @@ from medistar.plans.star import build_star_to  # noqa: E402
 from medistar.sources import adapter  # noqa: E402
 from medistar.session import ensure_checkpoint_dir, get_spark  # noqa: E402
 
-WARM_RUNS = 3
+WARM_RUNS = 5
 
 
 def run(df, sink: str) -> None:

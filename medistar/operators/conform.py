@@ -3,12 +3,16 @@ removed / fixed rows by reason, both lazily derived from one flagged plan."""
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import contextlib
+import uuid
+from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from medistar.functions import exprs as X
+
 REPORT_SCHEMA = "table string, kind string, reason string, rows long"
 
 
@@ -52,3 +56,70 @@ def duplicate_report(deduped: DataFrame, table: str, count_col: str = "_dups",
 
 def union_all(dfs: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), dfs)
+
+
+# ------------------------------------------------------- one-pass reporting
+
+def flag(df: DataFrame, rules: list[tuple[Column, str]], col: str = "_reason") -> tuple[DataFrame, list[str]]:
+    """Add the waterfall's reject-reason column; also return the reason names."""
+    return df.withColumn(col, X.reject_reason(rules)), [r for _, r in rules]
+
+
+@dataclass
+class _Tracked:
+    table: str
+    obs: Observation
+    reasons: list[str]
+    fixes: list[str]
+
+
+@dataclass
+class Tracker:
+    """Collects ``observe`` metrics of every waterfall built while it is active, so
+    the removed / fixed counts arrive with the write of each table, without a
+    second pass over the data."""
+    items: list[_Tracked] = field(default_factory=list)
+
+    def report(self, spark: SparkSession, written: dict[str, int]) -> DataFrame:
+        rows = []
+        for t in self.items:
+            m = t.obs.get
+            for r in t.reasons:
+                if m[f"removed__{r}"]:
+                    rows.append((t.table, "removed", r, int(m[f"removed__{r}"])))
+            for f in t.fixes:
+                if m[f"fixed__{f}"]:
+                    rows.append((t.table, "fixed", f, int(m[f"fixed__{f}"])))
+            dups = int(m["_kept"]) - written.get(t.table, int(m["_kept"]))
+            if dups > 0:
+                rows.append((t.table, "removed", DUP_REASON.get(t.table, "duplicates"), dups))
+        return spark.createDataFrame(rows, REPORT_SCHEMA)
+
+
+DUP_REASON = {"fact_drug_sales": "duplicate_order_lines", "fact_inventory": "duplicate_snapshots"}
+_ACTIVE: list[Tracker] = []
+
+
+@contextlib.contextmanager
+def tracking():
+    t = Tracker()
+    _ACTIVE.append(t)
+    try:
+        yield t
+    finally:
+        _ACTIVE.remove(t)
+
+
+def track(flagged: DataFrame, table: str, reasons: list[str], fixes: dict[str, Column] | None = None,
+          reason_col: str = "_reason") -> DataFrame:
+    """Attach the waterfall's metrics to ``flagged`` when a tracker is active."""
+    if not _ACTIVE:
+        return flagged
+    fixes = fixes or {}
+    r = F.col(reason_col)
+    aggs = [F.count_if(r == x).alias(f"removed__{x}") for x in reasons]
+    aggs += [F.count_if(r.isNull() & c).alias(f"fixed__{n}") for n, c in fixes.items()]
+    aggs.append(F.count_if(r.isNull()).alias("_kept"))
+    obs = Observation(f"conform_{table}_{uuid.uuid4().hex}")
+    _ACTIVE[-1].items.append(_Tracked(table, obs, list(reasons), list(fixes)))
+    return flagged.observe(obs, *aggs)

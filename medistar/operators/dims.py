@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from medistar.functions import exprs as X
 from medistar.functions import fixed
-from medistar.operators.conform import Conformed, duplicate_report, union_all, waterfall_report
+from medistar.operators.conform import Conformed, duplicate_report, flag, track, union_all, waterfall_report
 from medistar.params import Params
 
 INT = "int"
@@ -65,13 +65,13 @@ def transform_dim_date(raw: DataFrame) -> Conformed:
         n("FiscalYear").alias("fiscal_year"),
         n("FiscalQuarter").alias("fiscal_quarter"),
     )
-    reason = X.reject_reason([
+    flagged, reasons = flag(out, [
         (F.col("date_key").isNull() | F.col("full_date").isNull(), "null_date_key_or_full_date"),
         (~F.coalesce(F.col("calendar_year").between(2000, 2035), F.lit(False)), "year_out_of_range"),
         (~F.coalesce(F.col("calendar_month").between(1, 12), F.lit(False)), "invalid_month"),
         (~F.coalesce(F.col("calendar_quarter").between(1, 4), F.lit(False)), "invalid_quarter"),
     ])
-    flagged = out.withColumn("_reason", reason)
+    flagged = track(flagged, "dim_date", reasons)
     ints = ["calendar_year", "calendar_quarter", "calendar_month", "month_num", "day_of_month",
             "day_of_week", "week_of_year", "quarter_num", "fiscal_year", "fiscal_quarter"]
     kept = flagged.where(F.col("_reason").isNull()).drop("_reason")
@@ -96,11 +96,11 @@ def transform_dim_geography(raw: DataFrame) -> Conformed:
         F.lit("Urban").alias("region_type"),
         X.zone(country).alias("distribution_zone"),
     )
-    reason = X.reject_reason([
+    flagged, reasons = flag(out, [
         (F.col("source_geo_key").isNull(), "null_geo_key"),
         (F.col("country_region") == "Unknown", "unknown_country"),
     ])
-    flagged = out.withColumn("_reason", reason)
+    flagged = track(flagged, "dim_geography", reasons)
     kept = flagged.where(F.col("_reason").isNull()).drop("_reason")
     # Unicode-aware \w like the original (Java's \w is ASCII unless (?U))
     for c in ["city", "state_province"]:
@@ -126,10 +126,11 @@ def transform_dim_territory(raw: DataFrame) -> Conformed:
     )
     unknown = ((F.col("territory_name") == "Unknown") & (F.col("territory_country") == "Unknown")
                & (F.col("territory_group") == "Unknown"))
-    flagged = out.withColumn("_reason", X.reject_reason([
+    flagged, reasons = flag(out, [
         (F.col("source_territory_key").isNull(), "null_territory_key"),
         (unknown, "all_fields_unknown"),
-    ]))
+    ])
+    flagged = track(flagged, "dim_sales_territory", reasons)
     kept = flagged.where(F.col("_reason").isNull()).drop("_reason")
     deduped = X.dedupe(kept, ["source_territory_key"], _all_cols_order(kept), "first", count_col="_dups")
     clean = deduped.drop("_dups").select(F.col("source_territory_key").alias("territory_key"), *kept.columns)
@@ -151,11 +152,12 @@ def transform_dim_therapeutic_class(cat: DataFrame, subcat: DataFrame) -> Confor
                       _try_int("ProductCategoryKey").alias("ck"),
                       X.safe_str("SubcategoryName", "").alias("name"))
     j = s.join(_categories(cat), "ck", "left")
-    flagged = j.withColumn("_reason", X.reject_reason([
+    flagged, reasons = flag(j, [
         (F.col("sk").isNull() | F.col("ck").isNull(), "null_keys"),
         (F.col("name") == "", "blank_subcategory_name"),
         (F.coalesce(F.col("cat_name"), F.lit("")) == "", "unknown_category"),
-    ]))
+    ])
+    flagged = track(flagged, "dim_therapeutic_class", reasons)
     kept = flagged.where(F.col("_reason").isNull())
     cls = X.map_lookup("cat_name", {k: v[0] for k, v in fixed.CATEGORY_TO_CLASS.items()}, fixed.DEFAULT_CLASS[0])
     code = X.map_lookup("cat_name", {k: v[1] for k, v in fixed.CATEGORY_TO_CLASS.items()}, fixed.DEFAULT_CLASS[1])
@@ -238,15 +240,16 @@ def transform_dim_drug(prod: DataFrame, subcat: DataFrame, cat: DataFrame, param
         F.col("Size").cast("string").alias("size"),
         F.trim(F.col("Status").cast("string")).alias("status"),
     )
-    flagged = p.withColumn("_reason", X.reject_reason([
+    flagged, reasons = flag(p, [
         (F.col("pk").isNull(), "null_product_key"),
         (F.col("pname") == "", "null_product_name"),
         (F.col("price").isNull() | (F.col("price") <= 0), "zero_or_null_price"),
-    ]))
+    ])
     price = F.col("price")
     cost0 = F.greatest(F.col("cost_raw"), F.lit(0).cast(X.MONEY))
     anomalous = cost0 > price * 3
     flagged = flagged.withColumn("_cost_fixed", anomalous)
+    flagged = track(flagged, "dim_drug", reasons, {"anomalous_cost_fixed": F.col("_cost_fixed")})
     kept = flagged.where(F.col("_reason").isNull())
     kept = (kept.join(sub, "sub_key", "left").join(cats, "cat_key", "left")
             .withColumn("sub_name", F.coalesce(F.col("sub_name"), F.lit(fixed.FALLBACK_NAME_LIST)))
@@ -306,12 +309,13 @@ def transform_dim_customer(cust: DataFrame) -> Conformed:
         X.safe_str("Phone", "").alias("phone_raw"),
         _try_int("GeographyKey").alias("source_geo_key"),
     )
-    flagged = c.withColumn("_reason", X.reject_reason([
+    flagged, reasons = flag(c, [
         (F.col("ck").isNull(), "null_customer_key"),
         ((F.col("full") == "") | (F.col("full") == "Unknown Unknown"), "null_name"),
-    ]))
+    ])
     bad_email = (F.col("email_raw") != "") & ~F.col("email_raw").contains("@")
     flagged = flagged.withColumn("_email_fixed", bad_email)
+    flagged = track(flagged, "dim_customer", reasons, {"invalid_email_fixed": F.col("_email_fixed")})
     kept = flagged.where(F.col("_reason").isNull())
     ts = customer_type_segment(F.col("ck"))
     kept = kept.withColumn("_ts", ts)

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from medistar.functions import exprs as X
-from medistar.operators.conform import Conformed, duplicate_report, union_all, waterfall_report
+from medistar.operators.conform import Conformed, duplicate_report, flag, track, union_all, waterfall_report
 from medistar.params import Params
 
 FACT_SALES_COLS = [
@@ -81,7 +81,7 @@ def transform_fact_sales(raw: DataFrame, dim_drug: DataFrame, dim_customer: Data
     j = (s.join(drugs, "pk", "left")
          .join(custs, "ck", "left")
          .join(dates.withColumnRenamed("date_key", "_dk"), F.col("dk") == F.col("_dk"), "left"))
-    flagged = j.withColumn("_reason", X.reject_reason([
+    flagged, reasons = flag(j, [
         (F.col("order_num") == "", "null_order_number"),
         (F.col("drug_key").isNull(), "drug_not_found"),
         (F.col("customer_key").isNull(), "customer_not_found"),
@@ -90,10 +90,11 @@ def transform_fact_sales(raw: DataFrame, dim_drug: DataFrame, dim_customer: Data
         (F.col("qty") <= 0, "zero_quantity"),
         (F.col("price") <= 0, "zero_or_null_price"),
         (F.col("net") < 0, "negative_revenue"),
-    ]))
+    ])
     net = F.col("net")
     cost_pos = F.greatest(F.col("cost0"), F.lit(0).cast(X.MONEY))
     flagged = flagged.withColumn("_cost_fixed", (net > 0) & (cost_pos > net * 2))
+    flagged = track(flagged, "fact_drug_sales", reasons, {"anomalous_cost_fixed": F.col("_cost_fixed")})
     kept = flagged.where(F.col("_reason").isNull())
     # ship / due keys must exist in the calendar; else null
     kept = (kept.join(dates.withColumnRenamed("date_key", "ship_date_key"),
@@ -148,15 +149,17 @@ def transform_fact_inventory(raw: DataFrame, dim_drug: DataFrame, dim_date: Data
     drugs = dim_drug.select(F.col("source_product_key").alias("pk"), F.col("drug_key"))
     dates = _date_keys(dim_date).withColumnRenamed("date_key", "_dk")
     j = s.join(drugs, "pk", "left").join(dates, F.col("dk") == F.col("_dk"), "left")
-    flagged = j.withColumn("_reason", X.reject_reason([
+    flagged, reasons = flag(j, [
         (F.col("pk").isNull(), "null_product_key"),
         (F.col("dk").isNull(), "null_date_key"),
         (F.col("drug_key").isNull(), "drug_not_found"),
         (F.col("_dk").isNull(), "date_not_found"),
         (F.col("dk") > params.as_of_key, "future_date"),
-    ]))
+    ])
     flagged = (flagged.withColumn("_neg_units", F.col("units0") < 0)
                .withColumn("_neg_cost", F.col("cost0") < 0))
+    flagged = track(flagged, "fact_inventory", reasons, {"negative_units_fixed": F.col("_neg_units"),
+                                                         "negative_cost_fixed": F.col("_neg_cost")})
     kept = flagged.where(F.col("_reason").isNull())
     units = F.greatest(F.col("units0"), F.lit(0)).cast("int")
     cost = F.greatest(F.col("cost0"), F.lit(0).cast(X.MONEY))

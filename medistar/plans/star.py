@@ -10,10 +10,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from medistar.operators import dims, facts
+from medistar.operators import conform, dims, facts
 from medistar.operators.conform import union_all
 from medistar.params import Params
 from medistar.sources import adapter
@@ -88,20 +90,32 @@ def star_from_driver(spark: SparkSession, sf_dir: str, params: Params | None = N
     return build_star(spark, adapter.load_driver_raw(spark, sf_dir), params)
 
 
-def write_table(df: DataFrame, name: str, path: str, mode: str = "overwrite") -> DataFrame:
+def write_table(df: DataFrame, name: str, path: str, mode: str = "overwrite",
+                counts: dict | None = None) -> DataFrame:
     """Write one star table as Parquet and return it read back.
 
     Facts are range-partitioned on their date key (so each task covers a narrow
     date range and writes few files), sorted by it (row-group statistics) and
     stored partitioned by year, so date-range queries prune directories at
-    planning time.
+    planning time.  With ``counts`` the written row count is recorded (observed
+    above the range exchange, whose sampling pass would count rows twice).
     """
-    w = df.write.mode(mode)
+    out = df
+    part = None
     if name in facts.PARTITION_COLS:
         part, key = facts.PARTITION_COLS[name]
         # no fixed count: AQE sizes the range partitions from the data
-        w = df.repartitionByRange(key).sortWithinPartitions(key).write.mode(mode).partitionBy(part)
+        out = df.repartitionByRange(key).sortWithinPartitions(key)
+    obs = None
+    if counts is not None:
+        obs = Observation(f"written_{name}_{uuid.uuid4().hex}")
+        out = out.observe(obs, F.count(F.lit(1)).alias("n"))
+    w = out.write.mode(mode)
+    if part:
+        w = w.partitionBy(part)
     w.parquet(f"{path}/{name}")
+    if obs is not None:
+        counts[name] = int(obs.get["n"])
     return df.sparkSession.read.parquet(f"{path}/{name}").select(*df.columns)
 
 
@@ -118,11 +132,16 @@ def build_star_to(spark: SparkSession, raw: dict[str, DataFrame], path: str, par
     so no dimension plan is recomputed inside the fact jobs."""
     params = params or Params()
     ex = extract_all(spark, raw, params)
-    d = conform_dimensions(spark, ex, params)
-    written = {name: write_table(df, name, path, mode) for name, df in d.tables.items()}
-    f = conform_facts(ex, written, params)
-    written.update({name: write_table(df, name, path, mode) for name, df in f.tables.items()})
-    return Star(written, d.report.unionByName(f.report))
+    counts: dict[str, int] = {}
+    with conform.tracking() as tracker:
+        d = conform_dimensions(spark, ex, params)
+    written = {name: write_table(df, name, path, mode, counts) for name, df in d.tables.items()}
+    with conform.tracking() as fact_tracker:
+        f = conform_facts(ex, written, params)
+    written.update({name: write_table(df, name, path, mode, counts) for name, df in f.tables.items()})
+    # removed / fixed counts were observed while writing: no second pass
+    tracker.items.extend(fact_tracker.items)
+    return Star(written, tracker.report(spark, counts))
 
 
 def read_star(spark: SparkSession, path: str) -> Star:
