@@ -94,18 +94,18 @@ def write_table(df: DataFrame, name: str, path: str, mode: str = "overwrite",
                 counts: dict | None = None) -> DataFrame:
     """Write one star table as Parquet and return it read back.
 
-    Facts are range-partitioned on their date key (so each task covers a narrow
-    date range and writes few files), sorted by it (row-group statistics) and
-    stored partitioned by year, so date-range queries prune directories at
-    planning time.  With ``counts`` the written row count is recorded (observed
-    above the range exchange, whose sampling pass would count rows twice).
+    Facts are stored partitioned by year, so date-range queries prune
+    directories at planning time, and sorted by (year, date key) inside each
+    task, so every file's row groups carry tight min/max statistics.  No extra
+    shuffle: the rows keep the partitioning of the job that produced them (the
+    dedupe), each task writing one file per year it holds.  With ``counts`` the
+    written row count is recorded while writing.
     """
     out = df
     part = None
     if name in facts.PARTITION_COLS:
         part, key = facts.PARTITION_COLS[name]
-        # no fixed count: AQE sizes the range partitions from the data
-        out = df.repartitionByRange(key).sortWithinPartitions(key)
+        out = df.sortWithinPartitions(part, key)
     obs = None
     if counts is not None:
         obs = Observation(f"written_{name}_{uuid.uuid4().hex}")
