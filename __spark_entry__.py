@@ -165,6 +165,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "monitor_checks": _q(DQ.monitor_checks),
         "post_load_checks": _q(DQ.post_load_checks),
         "null_profile": _q(DQ.null_profile),
+        "reconciliation": lambda spark, sf: DQ.reconciliation(
+            _star(spark, sf), DQ.source_counts(extract_summary(_extracted(spark, sf)))),
         # monitoring
         "source_system_breakdown": _q(M.source_system_breakdown),
         "financial_metrics": _q(M.financial_metrics),

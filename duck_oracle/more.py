@@ -86,6 +86,21 @@ EXTRACT_SUMMARY = """
 SELECT "table", CAST(rows AS BIGINT) AS rows FROM o_ext
 UNION ALL SELECT 'TOTAL', CAST(SUM(rows) AS BIGINT) FROM o_ext"""
 
+RECONCILIATION = """
+, o_src AS (
+  SELECT 'dim_geography' AS "table", (SELECT COUNT(*) FROM nation) AS expected, (SELECT COUNT(*) FROM dim_geography) AS actual
+  UNION ALL SELECT 'dim_sales_territory', (SELECT COUNT(*) FROM region), (SELECT COUNT(*) FROM dim_sales_territory)
+  UNION ALL SELECT 'dim_therapeutic_class', (SELECT COUNT(*) FROM o_subcat), (SELECT COUNT(*) FROM dim_therapeutic_class)
+  UNION ALL SELECT 'dim_drug', (SELECT COUNT(*) FROM part), (SELECT COUNT(*) FROM dim_drug)
+  UNION ALL SELECT 'dim_customer', (SELECT COUNT(*) FROM customer), (SELECT COUNT(*) FROM dim_customer)
+  UNION ALL SELECT 'fact_drug_sales', (SELECT COUNT(*) FROM o_sales), (SELECT COUNT(*) FROM fact_drug_sales)
+  UNION ALL SELECT 'fact_inventory', (SELECT COUNT(*) FROM o_inv), (SELECT COUNT(*) FROM fact_inventory)
+  UNION ALL SELECT 'dim_date', (SELECT COUNT(*) FROM o_cal), (SELECT COUNT(*) FROM dim_date)
+)
+SELECT "table", CAST(expected AS BIGINT) AS expected, CAST(actual AS BIGINT) AS actual,
+  CASE WHEN expected = actual THEN 'PASS' ELSE 'NOTE' END AS status,
+  CAST(actual AS DOUBLE) * 100.0 / CAST(expected AS DOUBLE) AS accuracy_pct FROM o_src"""
+
 _NULL = [
     ("null", "fact_drug_sales - null drug_key", "fact_drug_sales", "drug_key IS NULL"),
     ("null", "fact_drug_sales - null customer_key", "fact_drug_sales", "customer_key IS NULL"),
@@ -446,6 +461,7 @@ SQL = {
     "monitor_checks": MONITOR_CHECKS,
     "post_load_checks": POST_LOAD,
     "null_profile": NULL_PROFILE,
+    "reconciliation": RECONCILIATION,
     "source_system_breakdown": SOURCE_SYSTEM,
     "financial_metrics": FINANCIAL,
     "sales_date_range": DATE_RANGE,

@@ -226,3 +226,19 @@ def reconciliation(star: Star, source_counts: DataFrame) -> DataFrame:
     return j.select("table", F.col("expected").cast("long").alias("expected"), F.col("actual").cast("long").alias("actual"),
                     F.when(F.col("expected") == F.col("actual"), "PASS").otherwise("NOTE").alias("status"),
                     (F.col("actual").cast("double") * F.lit(100.0) / F.col("expected").cast("double")).alias("accuracy_pct"))
+
+
+# raw (extracted) table feeding each star table
+SOURCE_OF = {
+    "dim_date": "dim_date", "dim_geography": "dim_geography", "dim_sales_territory": "dim_sales_territory",
+    "dim_therapeutic_class": "dim_product_subcategory", "dim_drug": "dim_product", "dim_customer": "dim_customer",
+    "fact_drug_sales": "fact_internet_sales", "fact_inventory": "fact_product_inventory",
+}
+
+
+def source_counts(extract_summary: DataFrame) -> DataFrame:
+    """Expected rows per star table from the extract summary (SRC-14)."""
+    raw_to_star = {v: k for k, v in SOURCE_OF.items()}
+    m = F.create_map(*[F.lit(x) for kv in raw_to_star.items() for x in kv])
+    return (extract_summary.where(F.col("table").isin(list(raw_to_star)))
+            .select(m[F.col("table")].alias("table"), F.col("rows").alias("expected")))
