@@ -106,10 +106,13 @@ def sales(star: Star, start=None, end=None, date_cols=("date_key",)) -> DataFram
     return f.join(d, f.order_date_key == d.date_key, "inner")
 
 
-def _drug_class(star: Star, drug_cols=("drug_name",), class_cols=("therapeutic_class",)) -> DataFrame:
+def _join_drug_class(f: DataFrame, star: Star, drug_cols=("drug_name",),
+                     class_cols=("therapeutic_class",)) -> DataFrame:
+    """fact -> drug -> class, joined one dimension at a time (each join's build
+    side is one dimension, so its size estimate is that table's, not a product)."""
     dr = star["dim_drug"].select("drug_key", "therapeutic_class_key", *drug_cols)
     t = star["dim_therapeutic_class"].select("therapeutic_class_key", *class_cols)
-    return dr.join(t, "therapeutic_class_key", "inner")
+    return f.join(dr, "drug_key", "inner").join(t, "therapeutic_class_key", "inner")
 
 
 # ------------------------------------------------------- dashboard (Q-1..Q-19)
@@ -184,7 +187,7 @@ def revenue_by_customer_type(star: Star, start=None, end=None) -> DataFrame:
 
 def revenue_by_class(star: Star, start=None, end=None, n: int | None = None) -> DataFrame:
     """Q-7 (optionally top n)."""
-    out = (sales(star, start, end).join(_drug_class(star, ()), "drug_key", "inner")
+    out = (_join_drug_class(sales(star, start, end), star, ())
            .groupBy(F.col("therapeutic_class").alias("cls"))
            .agg(dbl_sum("net_revenue").alias("rev"))
            .orderBy(F.desc("rev"), "cls"))
@@ -194,7 +197,7 @@ def revenue_by_class(star: Star, start=None, end=None, n: int | None = None) ->
 def class_share(star: Star, start=None, end=None) -> DataFrame:
     """Q-8: revenue and % of total per class.  The total is a window over the
     aggregated rows (one per class), never over the facts."""
-    g = (sales(star, start, end).join(_drug_class(star, ()), "drug_key", "inner")
+    g = (_join_drug_class(sales(star, start, end), star, ())
          .groupBy("therapeutic_class").agg(F.sum("net_revenue").alias("_rev")))
     tot = F.sum("_rev").over(Window.partitionBy())
     return (g.select("therapeutic_class", F.col("_rev").cast("double").alias("rev"),
@@ -212,7 +215,7 @@ def stock_status_summary(star: Star) -> DataFrame:
 
 def drug_matrix(star: Star, n: int = 25, start=None, end=None) -> DataFrame:
     """Q-10: drug x class x form."""
-    return (sales(star, start, end).join(_drug_class(star, ("drug_name", "dosage_form")), "drug_key", "inner")
+    return (_join_drug_class(sales(star, start, end), star, ("drug_name", "dosage_form"))
             .groupBy(F.col("drug_name").alias("drug"), F.col("therapeutic_class").alias("cls"),
                      F.col("dosage_form").alias("form"))
             .agg(dbl_sum("net_revenue").alias("rev"), dbl_sum("gross_profit").alias("prof"),
@@ -275,7 +278,7 @@ ALERT_STATUSES = [fixed.STOCK_OUT, fixed.STOCK_CRITICAL, fixed.STOCK_LOW]
 def stock_alerts(star: Star) -> DataFrame:
     """Q-16 / REP-3: drug x class x alert status; severity, then drug name."""
     fi = star["fact_inventory"].where(F.col("stock_status").isin(ALERT_STATUSES))
-    return (fi.join(_drug_class(star), "drug_key", "inner")
+    return (_join_drug_class(fi, star)
             .groupBy(F.col("drug_name"), F.col("therapeutic_class").alias("class"), F.col("stock_status"))
             .agg(long_sum("units_on_hand").alias("units"), dbl_sum("stock_value").alias("value"))
             .orderBy(X.stock_severity("stock_status"), "drug_name", "class"))
@@ -425,7 +428,7 @@ def _full_sales(star: Star, start, end, date_cols, drug_cols=("drug_name",), cla
                 cust_cols=("customer_type",)) -> DataFrame:
     f = sales(star, start, end, date_cols)
     c = star["dim_customer"].select("customer_key", *cust_cols)
-    return f.join(_drug_class(star, drug_cols, class_cols), "drug_key", "inner").join(c, "customer_key", "inner")
+    return _join_drug_class(f, star, drug_cols, class_cols).join(c, "customer_key", "inner")
 
 
 def sales_summary(star: Star, start=None, end=None) -> DataFrame:
@@ -446,7 +449,7 @@ def sales_summary(star: Star, start=None, end=None) -> DataFrame:
 def inventory_status(star: Star) -> DataFrame:
     """REP-2: mean days of supply ignores nulls."""
     fi = star["fact_inventory"]
-    return (fi.join(_drug_class(star, ("drug_code", "drug_name", "dosage_form")), "drug_key", "inner")
+    return (_join_drug_class(fi, star, ("drug_code", "drug_name", "dosage_form"))
             .groupBy("drug_code", "drug_name", "dosage_form", F.col("therapeutic_class").alias("class"),
                      "stock_status")
             .agg(long_sum("units_on_hand").alias("on_hand"), long_sum("units_ordered").alias("ordered"),
@@ -481,8 +484,7 @@ def monthly_revenue(star: Star, start=None, end=None) -> DataFrame:
 
 def drug_performance(star: Star, start=None, end=None) -> DataFrame:
     """REP-6."""
-    f = sales(star, start, end).join(_drug_class(star, ("drug_name", "dosage_form", "dosage_strength")),
-                                     "drug_key", "inner")
+    f = _join_drug_class(sales(star, start, end), star, ("drug_name", "dosage_form", "dosage_strength"))
     return (f.groupBy("drug_name", "dosage_form", "dosage_strength", F.col("therapeutic_class").alias("class"))
             .agg(long_sum("units_sold").alias("units"), dbl_sum("net_revenue").alias("revenue"),
                  dbl_sum("gross_profit").alias("profit"), weighted_margin().alias("avg_margin"),
@@ -505,13 +507,12 @@ def sales_mart(star: Star) -> DataFrame:
     """MART-1: denormalised sales; date/drug/customer/class inner, geography/territory left."""
     f = star["fact_drug_sales"]
     d = star["dim_date"].select("date_key", "full_date", "calendar_year", "month_name", "quarter_label")
-    dc = _drug_class(star, ("drug_name", "dosage_form", "dosage_strength"),
-                     ("therapeutic_class", "therapeutic_subclass"))
     c = star["dim_customer"].select("customer_key", "customer_name", "customer_type", "customer_segment")
     g = star["dim_geography"].select("geography_key", "city", "country_region", "distribution_zone")
     t = star["dim_sales_territory"].select("territory_key", "territory_name", "territory_group")
-    j = (f.join(d, f.order_date_key == d.date_key, "inner")
-         .join(dc, "drug_key", "inner").join(c, "customer_key", "inner")
+    j = _join_drug_class(f.join(d, f.order_date_key == d.date_key, "inner"), star,
+                         ("drug_name", "dosage_form", "dosage_strength"), ("therapeutic_class", "therapeutic_subclass"))
+    j = (j.join(c, "customer_key", "inner")
          .join(g, "geography_key", "left").join(t, "territory_key", "left"))
     return j.select(*SALES_MART_COLS)
 
@@ -527,8 +528,8 @@ def inventory_mart(star: Star) -> DataFrame:
     """MART-2: denormalised inventory, inner joins."""
     fi = star["fact_inventory"]
     d = star["dim_date"].select("date_key", "full_date", "calendar_year", "month_name", "quarter_label")
-    dc = _drug_class(star, ("drug_name", "dosage_form", "dosage_strength"))
-    return (fi.join(d, fi.snapshot_date_key == d.date_key, "inner").join(dc, "drug_key", "inner")
+    return (_join_drug_class(fi.join(d, fi.snapshot_date_key == d.date_key, "inner"), star,
+                             ("drug_name", "dosage_form", "dosage_strength"))
             .select(*INVENTORY_MART_COLS))
 
 
