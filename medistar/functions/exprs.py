@@ -73,6 +73,7 @@ def map_lookup(c, mapping: Mapping, default=None) -> Column:
 
 
 def stock_status(units) -> Column:
+    """DIM-7: stock band of units on hand (null counts as 0)."""
     u = F.coalesce(col(units), F.lit(0))
     return (F.when(u <= 0, fixed.STOCK_OUT)
             .when(u < fixed.CRITICAL_BELOW, fixed.STOCK_CRITICAL)
@@ -120,7 +121,7 @@ def date_key(d) -> Column:
 
 
 def shift_key(k, years: int) -> Column:
-    """Shift a yyyymmdd key by whole years; keys <= 0 are kept as they are."""
+    """SRC-12: shift a yyyymmdd key by whole years; keys <= 0 are kept as they are."""
     k = col(k)
     return F.when(k > 0, (F.floor(k / 10000) + years) * 10000 + F.pmod(k, F.lit(10000))).otherwise(k).cast("int")
 

@@ -1,4 +1,4 @@
-"""Shared shape of every conforming step: a clean DataFrame plus a report of
+"""DIM-9: shared shape of every conforming step: a clean DataFrame plus a report of
 removed / fixed rows by reason, both lazily derived from one flagged plan."""
 
 from __future__ import annotations

@@ -86,6 +86,7 @@ def transform_dim_date(raw: DataFrame) -> Conformed:
 # ------------------------------------------------------------- dim_geography
 
 def transform_dim_geography(raw: DataFrame) -> Conformed:
+    """DIM-2."""
     country = _nan_text("CountryRegion", "Unknown")
     out = raw.select(
         _try_int("GeographyKey").alias("source_geo_key"),
@@ -114,6 +115,7 @@ def transform_dim_geography(raw: DataFrame) -> Conformed:
 # ------------------------------------------------------- dim_sales_territory
 
 def transform_dim_territory(raw: DataFrame) -> Conformed:
+    """DIM-3."""
     def txt(c):
         s = F.trim(F.col(c).cast("string"))
         return F.when(s.isNull() | (s == "nan") | (s == ""), F.lit("Unknown")).otherwise(s)
@@ -148,6 +150,7 @@ def _categories(cat: DataFrame) -> DataFrame:
 
 
 def transform_dim_therapeutic_class(cat: DataFrame, subcat: DataFrame) -> Conformed:
+    """DIM-4."""
     s = subcat.select(_try_int("ProductSubcategoryKey").alias("sk"),
                       _try_int("ProductCategoryKey").alias("ck"),
                       X.safe_str("SubcategoryName", "").alias("name"))
@@ -219,6 +222,7 @@ DIM_DRUG_COLS = ["drug_key", "source_product_key", "drug_code", "drug_name", "do
 
 
 def transform_dim_drug(prod: DataFrame, subcat: DataFrame, cat: DataFrame, params: Params) -> Conformed:
+    """DIM-5 (names DIM-5a/5b, code DIM-5c)."""
     sub = subcat.select(_try_int("ProductSubcategoryKey").alias("sub_key"),
                         _try_int("ProductCategoryKey").alias("cat_key"),
                         X.safe_str("SubcategoryName", "General").alias("sub_name")
@@ -261,6 +265,7 @@ def transform_dim_drug(prod: DataFrame, subcat: DataFrame, cat: DataFrame, param
     dealer = F.coalesce(F.col("dealer_raw"), price)
     shaped = kept.select(
         F.col("pk").alias("source_product_key"),
+        # DIM-5c: first letter of the ATC group + "-" + key padded to 4 (format, not lpad: no truncation)
         F.concat(F.substring(atc, 1, 1), F.lit("-"), F.format_string("%04d", F.col("pk"))).alias("drug_code"),
         F.trim(F.concat_ws(" ", generic_name("sub_name", "pk"), strength, form)).alias("base_name"),
         form.alias("dosage_form"),

@@ -74,6 +74,7 @@ def transform_fact_sales(raw: DataFrame, dim_drug: DataFrame, dim_customer: Data
         X.safe_money("Freight", 0).alias("frt"),
         *[F.col(c).alias(f"_ord{i}") for i, c in enumerate(order_cols)],
     )
+    # SNK-5: drug / customer keys (rows without them are rejected and counted), territory nullable
     drugs = dim_drug.select(F.col("source_product_key").alias("pk"), F.col("drug_key"))
     custs = dim_customer.select(F.col("source_customer_key").alias("ck"), F.col("customer_key"),
                                 F.col("geography_key"))
@@ -103,6 +104,7 @@ def transform_fact_sales(raw: DataFrame, dim_drug: DataFrame, dim_customer: Data
                   F.col("ddk0") == F.col("due_date_key"), "left"))
     terr = dim_territory.select(F.col("source_territory_key").alias("tk0"), F.col("territory_key"))
     kept = kept.join(terr, "tk0", "left")
+    # FACT-2: derived measures
     gross = F.coalesce(F.col("ext"), F.col("price") * F.col("qty")).cast(X.MONEY)
     cost = F.when(F.col("_cost_fixed"), F.round(net * F.lit(Decimal("0.60")), 4)).otherwise(cost_pos).cast(X.MONEY)
     disc100 = F.col("disc") * 100
@@ -127,6 +129,7 @@ def transform_fact_sales(raw: DataFrame, dim_drug: DataFrame, dim_customer: Data
         year_of("dk").alias("order_year"),
         *[F.col(f"_ord{i}") for i in range(len(order_cols))],
     )
+    # FACT-3: one row per order line, first in source order
     keys = ["source_order_number", "source_order_line_num", "source_system"]
     order = [F.col(f"_ord{i}") for i in range(len(order_cols))]
     deduped = X.dedupe(m, keys, order, "first", count_col="_dups")
@@ -139,6 +142,7 @@ def transform_fact_sales(raw: DataFrame, dim_drug: DataFrame, dim_customer: Data
 
 def transform_fact_inventory(raw: DataFrame, dim_drug: DataFrame, dim_date: DataFrame,
                              params: Params, order_cols=("MovementDate", "UnitsBalance", "UnitCost")) -> Conformed:
+    """FACT-4 waterfall and measures, SNK-6 drug key resolution, FACT-5 keep the last snapshot."""
     s = raw.select(
         F.expr("try_cast(try_cast(ProductKey AS DOUBLE) AS INT)").alias("pk"),
         F.expr("try_cast(try_cast(DateKey AS DOUBLE) AS INT)").alias("dk"),

@@ -33,6 +33,7 @@ def _blank(c: str) -> str:
     return f"({c} IS NULL OR {c} = '')"
 
 
+# DQ-1 null checks
 NULL_RULES = [
     RowRule("null", "fact_drug_sales - null drug_key", "fact_drug_sales", "drug_key IS NULL"),
     RowRule("null", "fact_drug_sales - null customer_key", "fact_drug_sales", "customer_key IS NULL"),
@@ -46,6 +47,7 @@ NULL_RULES = [
     RowRule("null", "dim_customer - null customer_name", "dim_customer", _blank("customer_name")),
 ]
 
+# DQ-2 business rules
 BUSINESS_RULES = [
     RowRule("business", "net_revenue >= 0", "fact_drug_sales", "net_revenue < 0"),
     RowRule("business", "units_sold > 0", "fact_drug_sales", "units_sold <= 0"),
@@ -60,7 +62,7 @@ BUSINESS_RULES = [
     RowRule("business", "customer has a type", "dim_customer", _blank("customer_type")),
 ]
 
-# (name, child table, child key, parent table, parent key)
+# DQ-3 referential integrity: (name, child table, child key, parent table, parent key)
 FK_RULES = [
     ("fact_drug_sales -> dim_drug", "fact_drug_sales", "drug_key", "dim_drug", "drug_key"),
     ("fact_drug_sales -> dim_customer", "fact_drug_sales", "customer_key", "dim_customer", "customer_key"),
@@ -71,6 +73,7 @@ FK_RULES = [
      "therapeutic_class_key"),
 ]
 
+# DQ-4 duplicates
 DUP_RULES = [
     ("duplicate order lines", "fact_drug_sales", ["source_order_number", "source_order_line_num", "source_system"]),
     ("duplicate drug keys", "dim_drug", ["drug_key"]),

@@ -11,6 +11,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -125,6 +126,14 @@ def materialize_star(star: Star, path: str, mode: str = "overwrite") -> Star:
     return Star(out, star.report, star.audit, dict(star.extra))
 
 
+def _write_all(tables: dict[str, DataFrame], path: str, mode: str, counts: dict) -> dict[str, DataFrame]:
+    """Write independent tables as concurrent Spark jobs (their stages share the
+    cluster instead of running back to back)."""
+    with ThreadPoolExecutor(max_workers=max(1, len(tables))) as pool:
+        futures = {name: pool.submit(write_table, df, name, path, mode, counts) for name, df in tables.items()}
+        return {name: fut.result() for name, fut in futures.items()}
+
+
 def build_star_to(spark: SparkSession, raw: dict[str, DataFrame], path: str, params: Params | None = None,
                   mode: str = "overwrite") -> Star:
     """Extract, conform and write the star in load order: the dimensions are
@@ -135,10 +144,10 @@ def build_star_to(spark: SparkSession, raw: dict[str, DataFrame], path: str, par
     counts: dict[str, int] = {}
     with conform.tracking() as tracker:
         d = conform_dimensions(spark, ex, params)
-    written = {name: write_table(df, name, path, mode, counts) for name, df in d.tables.items()}
+    written = _write_all(d.tables, path, mode, counts)
     with conform.tracking() as fact_tracker:
         f = conform_facts(ex, written, params)
-    written.update({name: write_table(df, name, path, mode, counts) for name, df in f.tables.items()})
+    written.update(_write_all(f.tables, path, mode, counts))
     # removed / fixed counts were observed while writing: no second pass
     tracker.items.extend(fact_tracker.items)
     return Star(written, tracker.report(spark, counts))

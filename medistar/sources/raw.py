@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# SRC-4 geography, SRC-5 territory, SRC-6 category + subcategory, SRC-7 product (ListPrice filter),
+# SRC-8 customer (FullName = first + last), SRC-9 internet sales, SRC-10 product inventory
 SOURCE_SCANS = {
     "dim_geography": ("DimGeography", ["GeographyKey", "City", "StateProvinceName",
                                        ("EnglishCountryRegionName", "CountryRegion"), "PostalCode",

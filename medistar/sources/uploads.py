@@ -17,7 +17,7 @@ from medistar.functions import fixed
 
 
 def normalise_name(c: str) -> str:
-    """strip -> lower -> spaces to '_' -> drop characters outside [a-z0-9_]."""
+    """SRC-2: strip -> lower -> spaces to '_' -> drop characters outside [a-z0-9_]."""
     s = c.strip().lower().replace(" ", "_")
     return re.sub(r"[^a-z0-9_]", "", s)
 
@@ -50,7 +50,7 @@ def check_columns(columns: list[str]) -> str:
 
 
 def read_upload(spark: SparkSession, path: str) -> Upload:
-    """Read a CSV upload (header row), normalise names, detect and validate its type.
+    """SRC-1 / SRC-3: read a CSV upload (header row), normalise names, detect and validate its type.
 
     A ``_row`` column keeps the file order (it increases with the byte offset),
     which the keep-last dedupe of inventory uploads relies on.
