@@ -39,8 +39,13 @@ ADHOC_TEXT = ("-- status mix of the drug dimension\n"
               "SELECT drug_status, dosage_form, COUNT(*) AS n FROM dim_drug GROUP BY drug_status, dosage_form;")
 
 
+def _key(spark: SparkSession, sf_dir: str) -> tuple:
+    # a stopped and recreated session may reuse id(); the application id differs
+    return (id(spark), spark.sparkContext.applicationId, sf_dir)
+
+
 def _tables(spark: SparkSession, sf_dir: str) -> dict:
-    key = (id(spark), sf_dir)
+    key = _key(spark, sf_dir)
     if key not in _DRIVER:
         configure(spark)
         _DRIVER[key] = adapter.read_driver_tables(spark, sf_dir)
@@ -54,7 +59,7 @@ def _extracted(spark: SparkSession, sf_dir: str) -> dict:
 def _star(spark: SparkSession, sf_dir: str) -> Star:
     """The star built from the driver tables, written once per session (in load
     order) under the shared checkpoint folder; queries read the written tables."""
-    key = (id(spark), sf_dir)
+    key = _key(spark, sf_dir)
     if key not in _STARS:
         configure(spark)
         path = shared_path(spark, "registry_star", uuid.uuid4().hex)

@@ -70,3 +70,27 @@ def test_upload_stream(spark, scratch):
     row = wh.read("fact_inventory").where(f"drug_key = {key} AND snapshot_date_key = 20250601").collect()
     assert len(row) == 1 and row[0].units_on_hand == 400 and row[0].stock_status == "In Stock"
     shutil.rmtree(os.path.join(scratch, "ckpt"), ignore_errors=True)
+
+
+def test_sales_upload_stream(spark, scratch):
+    raw = adapter.load_driver_raw(spark, SF_SMALL)
+    wh = run_pipeline(spark, raw, os.path.join(scratch, "wh"), P)["warehouse"]
+    folder = os.path.join(scratch, "incoming_sales")
+    os.makedirs(folder)
+    d = wh.read("dim_drug").orderBy("drug_key").first().drug_name
+    c = wh.read("dim_customer").orderBy("customer_key").first().customer_name
+    header = ("drug_name,customer_name,customer_type,order_date,units_sold,unit_price,unit_price_discount_pct,"
+              "total_product_cost,sales_amount,tax_amt,freight,sales_territory_name,country_region,city\n")
+    for i in range(2):
+        with open(os.path.join(folder, f"sales_{i}.csv"), "w") as f:
+            f.write(header + f"{d},{c},clinic,2024-03-0{i + 1},3,10.00,0,2.00,30.00,1.00,0.50,,France,Paris\n"
+                    + f"{d},New Buyer X,hospital,2024-03-0{i + 1},1,5.00,0,1.00,5.00,0,0,,,\n")
+    reports = []
+    n0 = wh.read("fact_drug_sales").count()
+    q = start_upload_stream(spark, folder, "sales", wh, P, checkpoint=os.path.join(scratch, "ckpt_s"),
+                            reports=reports)
+    q.awaitTermination(300)
+    assert len(reports) == 2 and all(r["load"]["inserted"] == 2 for r in reports)
+    assert wh.read("fact_drug_sales").count() == n0 + 4
+    # the new buyer was created once and reused by the second micro-batch
+    assert wh.read("dim_customer").where("customer_name = 'New Buyer X'").count() == 1
