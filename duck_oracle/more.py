@@ -9,7 +9,6 @@ from medistar.functions import fixed
 from medistar.params import Params
 
 P = Params()
-SHIFT = P.shift_years * 10000
 
 
 def _q(s):

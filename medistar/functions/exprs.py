@@ -126,10 +126,6 @@ def shift_key(k, years: int) -> Column:
     return F.when(k > 0, (F.floor(k / 10000) + years) * 10000 + F.pmod(k, F.lit(10000))).otherwise(k).cast("int")
 
 
-def key_to_date(k) -> Column:
-    return F.expr(f"try_to_date(cast({_sql(k) if isinstance(k, str) else k} as string), 'yyyyMMdd')")
-
-
 def week_of_year_monday(d) -> Column:
     """Monday-based week number; days before the year's first Monday are week 0."""
     d = col(d)
@@ -143,10 +139,6 @@ def reject_reason(rules: Iterable[tuple[Column, str]]) -> Column:
     return F.coalesce(*[F.when(cond, F.lit(reason)) for cond, reason in rules], F.lit(None).cast("string"))
 
 
-def round_half_up(c, scale: int) -> Column:
-    return F.round(col(c), scale)
-
-
 def exact_pct(num, den, scale: int) -> Column:
     """round(num / den * 100, scale), half away from zero, computed exactly.
 
@@ -163,12 +155,6 @@ def exact_pct(num, den, scale: int) -> Column:
     return F.when(du == 0, F.lit(None)).otherwise(sign * q / F.lit(10 ** scale))
 
 
-def pct_of(num, den) -> Column:
-    """num * 100 / den in double arithmetic, 0 when den is 0 (weighted margin)."""
-    n, d = col(num).cast("double"), col(den).cast("double")
-    return F.when(d == 0, F.lit(0.0)).otherwise(n * F.lit(100.0) / d)
-
-
 def dedupe(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], keep: str = "first",
            count_col: str | None = None) -> DataFrame:
     """One row per ``keys``: the first (or last) row in ``order``.

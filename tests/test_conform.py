@@ -2,7 +2,6 @@
 import datetime as dt
 from decimal import Decimal as D
 
-from pyspark.sql import functions as F
 
 from medistar.operators import dims, facts
 from medistar.params import Params

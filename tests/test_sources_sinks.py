@@ -4,7 +4,6 @@ import io
 import contextlib
 import os
 
-from pyspark.sql import functions as F
 
 from medistar.plans import queries as Q
 from medistar.plans.warehouse import AUDIT_SCHEMA, Warehouse
