@@ -141,11 +141,18 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "revenue_by_segment": _q(lambda s: Q.revenue_by_segment(s)),
         "top_customers": _q(lambda s: Q.top_customers(s, 20)),
         "revenue_by_zone": _q(lambda s: Q.revenue_by_zone(s)),
+        "top_drugs_dashboard": _q(lambda s: Q.top_drugs(s, 8)),
+        "revenue_by_class_top5": _q(lambda s: Q.revenue_by_class(s, n=5)),
+        "drug_matrix_dashboard": _q(lambda s: Q.drug_matrix(s, 40, with_form=False)),
+        "monthly_trend_last_6_months": _q(lambda s: Q.monthly_trend(
+            s, *Q.preset_range("Last 6 Months", PARAMS.as_of_date))),
         # search
         "drug_lookup": _q(lambda s: Q.drug_lookup(s, text="cillin")),
         "drug_history": _q(lambda s: Q.drug_history(s)),
         "drug_stock": _q(lambda s: Q.drug_stock(s)),
         "customer_lookup": _q(lambda s: Q.customer_lookup(s, customer_type="Clinic")),
+        "customer_lookup_text": _q(lambda s: Q.customer_lookup(s, text="household", country="France")),
+        "drug_lookup_filtered": _q(lambda s: Q.drug_lookup(s, therapeutic_class="Antibiotics", form="Tablet")),
         "sales_search": _q(lambda s: Q.sales_search(s, years=[2022, 2023], source_system="AW_INTERNET",
                                                     min_rev=1000, max_rev=50000)),
         "picklists": _q(Q.picklists),

@@ -54,6 +54,31 @@ SQL = {
       {_mean('f.gross_margin_pct')} AS mgn
       FROM {FD} JOIN dim_drug dr ON f.drug_key = dr.drug_key
       GROUP BY dr.drug_name ORDER BY rev DESC, dr.drug_name LIMIT 5""",
+    "top_drugs_dashboard": f"""SELECT dr.drug_name, {_dsum('f.net_revenue')} AS rev, {_lsum('f.units_sold')} AS units,
+      {_mean('f.gross_margin_pct')} AS mgn
+      FROM {FD} JOIN dim_drug dr ON f.drug_key = dr.drug_key
+      GROUP BY dr.drug_name ORDER BY rev DESC, dr.drug_name LIMIT 8""",
+    "revenue_by_class_top5": f"""SELECT t.therapeutic_class AS cls, {_dsum('f.net_revenue')} AS rev
+      FROM {FD} JOIN {DC} ON f.drug_key = dr.drug_key GROUP BY t.therapeutic_class
+      ORDER BY rev DESC, cls LIMIT 5""",
+    "drug_matrix_dashboard": f"""SELECT dr.drug_name AS drug, t.therapeutic_class AS cls,
+      {_dsum('f.net_revenue')} AS rev, {_dsum('f.gross_profit')} AS prof, {WM} AS mgn, {_lsum('f.units_sold')} AS units
+      FROM {FD} JOIN {DC} ON f.drug_key = dr.drug_key
+      GROUP BY dr.drug_name, t.therapeutic_class ORDER BY rev DESC, drug, cls LIMIT 40""",
+    "monthly_trend_last_6_months": f"""SELECT d.calendar_year || '-' || lpad(CAST(d.month_num AS VARCHAR), 2, '0') AS period,
+      d.calendar_year, d.month_num, {_dsum('f.net_revenue')} AS revenue, {_dsum('f.gross_profit')} AS profit,
+      {_lsum('f.units_sold')} AS units FROM {FD}
+      WHERE d.full_date BETWEEN DATE '2025-01-01' AND DATE '2025-06-30' GROUP BY d.calendar_year, d.month_num""",
+    "customer_lookup_text": """SELECT c.customer_code, c.customer_name, c.customer_type, c.customer_segment, c.email,
+      c.payment_terms, c.customer_status, g.country_region, g.city
+      FROM dim_customer c LEFT JOIN dim_geography g ON c.geography_key = g.geography_key
+      WHERE lower(c.customer_name) LIKE '%household%' AND g.country_region = 'France'
+      ORDER BY c.customer_name, c.customer_key LIMIT 200""",
+    "drug_lookup_filtered": f"""SELECT dr.drug_code, dr.drug_name, dr.dosage_form, dr.dosage_strength,
+      t.therapeutic_class AS class, t.regulatory_category AS regulatory, CAST(dr.unit_price AS DOUBLE) AS price,
+      CAST(dr.unit_cost AS DOUBLE) AS cost, dr.drug_status AS status, dr.manufacturer
+      FROM {DC} WHERE t.therapeutic_class = 'Antibiotics' AND dr.dosage_form = 'Tablet'
+      ORDER BY dr.drug_name, dr.drug_key LIMIT 100""",
     "revenue_by_customer_type": f"""SELECT c.customer_type AS type, {_dsum('f.net_revenue')} AS rev,
       COUNT(DISTINCT f.customer_key) AS custs, COUNT(*) AS orders, {_mean('f.net_revenue')} AS aov
       FROM {FD} JOIN dim_customer c ON f.customer_key = c.customer_key GROUP BY c.customer_type""",

@@ -213,14 +213,17 @@ def stock_status_summary(star: Star) -> DataFrame:
             .orderBy(X.stock_severity("stock_status"), F.desc("records"), "stock_status"))
 
 
-def drug_matrix(star: Star, n: int = 25, start=None, end=None) -> DataFrame:
-    """Q-10: drug x class x form."""
+def drug_matrix(star: Star, n: int = 25, start=None, end=None, with_form: bool = True) -> DataFrame:
+    """Q-10: drug x class (x form); the dashboard variant (n=40) has no form."""
+    keys = [F.col("drug_name").alias("drug"), F.col("therapeutic_class").alias("cls")]
+    if with_form:
+        keys.append(F.col("dosage_form").alias("form"))
+    names = ["drug", "cls"] + (["form"] if with_form else [])
     return (_join_drug_class(sales(star, start, end), star, ("drug_name", "dosage_form"))
-            .groupBy(F.col("drug_name").alias("drug"), F.col("therapeutic_class").alias("cls"),
-                     F.col("dosage_form").alias("form"))
+            .groupBy(*keys)
             .agg(dbl_sum("net_revenue").alias("rev"), dbl_sum("gross_profit").alias("prof"),
                  weighted_margin().alias("mgn"), long_sum("units_sold").alias("units"))
-            .orderBy(F.desc("rev"), "drug", "cls", "form").limit(n))
+            .orderBy(F.desc("rev"), *names).limit(n))
 
 
 def revenue_by_country(star: Star, start=None, end=None) -> DataFrame:
