@@ -9,6 +9,8 @@ views and computes the same result.
 
 from __future__ import annotations
 
+import hashlib
+import os
 import uuid
 from collections.abc import Callable
 
@@ -23,9 +25,9 @@ from medistar.params import Params
 from medistar.plans import monitor as M
 from medistar.plans import quality as DQ
 from medistar.plans import queries as Q
-from medistar.plans.star import Star, build_star_to
+from medistar.plans.star import Star, build_star_to, read_star
 from medistar.plans.warehouse import UPLOAD_INVENTORY_UPDATE
-from medistar.session import configure, shared_path
+from medistar.session import configure, fs_exists, fs_read_text, fs_write_text, shared_path
 from medistar.sources import adapter
 from medistar.sources.extract import extract_all, extract_summary
 
@@ -56,14 +58,36 @@ def _extracted(spark: SparkSession, sf_dir: str) -> dict:
     return extract_all(spark, adapter.driver_raw(spark, _tables(spark, sf_dir)), PARAMS)
 
 
+def _code_digest() -> str:
+    """Hash of the library source: a star written by other code is never reused."""
+    root = os.path.dirname(os.path.abspath(__file__))
+    h = hashlib.sha1()
+    for d, _, files in sorted(os.walk(os.path.join(root, "medistar"))):
+        for f in sorted(files):
+            if f.endswith(".py"):
+                with open(os.path.join(d, f), "rb") as fh:
+                    h.update(f.encode() + fh.read())
+    return h.hexdigest()[:16]
+
+
 def _star(spark: SparkSession, sf_dir: str) -> Star:
-    """The star built from the driver tables, written once per session (in load
-    order) under the shared checkpoint folder; queries read the written tables."""
+    """The star built from the driver tables, written once (in load order) under
+    the shared checkpoint folder; queries read the written tables.  A star
+    published by an earlier process for the same data, parameters and code is
+    reused (the marker is written last, after every table is complete)."""
     key = _key(spark, sf_dir)
     if key not in _STARS:
         configure(spark)
-        path = shared_path(spark, "registry_star", uuid.uuid4().hex)
-        _STARS[key] = build_star_to(spark, adapter.driver_raw(spark, _tables(spark, sf_dir)), path, PARAMS)
+        ident = hashlib.sha1(f"{os.path.abspath(sf_dir)}|{PARAMS!r}|{_code_digest()}".encode()).hexdigest()[:20]
+        base = shared_path(spark, "registry_star", ident)
+        marker = f"{base}/_PUBLISHED"
+        if fs_exists(spark, marker):
+            _STARS[key] = read_star(spark, f"{base}/{fs_read_text(spark, marker).strip()}")
+        else:
+            run = uuid.uuid4().hex
+            star = build_star_to(spark, adapter.driver_raw(spark, _tables(spark, sf_dir)), f"{base}/{run}", PARAMS)
+            fs_write_text(spark, marker, run)
+            _STARS[key] = star
     return _STARS[key]
 
 

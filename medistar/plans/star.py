@@ -150,8 +150,15 @@ def build_star_to(spark: SparkSession, raw: dict[str, DataFrame], path: str, par
     written.update(_write_all(f.tables, path, mode, counts))
     # removed / fixed counts were observed while writing: no second pass
     tracker.items.extend(fact_tracker.items)
-    return Star(written, tracker.report(spark, counts))
+    report = tracker.report(spark, counts)
+    report.write.mode(mode).parquet(f"{path}/_report")
+    return Star(written, spark.read.parquet(f"{path}/_report"))
 
 
 def read_star(spark: SparkSession, path: str) -> Star:
-    return Star({n: spark.read.parquet(f"{path}/{n}") for n in STAR_TABLES})
+    """A star written by ``build_star_to`` (tables, plus its removal report)."""
+    tables = {n: spark.read.parquet(f"{path}/{n}") for n in STAR_TABLES}
+    for name in facts.PARTITION_COLS:
+        cols = facts.FACT_SALES_COLS if name == "fact_drug_sales" else facts.FACT_INVENTORY_COLS
+        tables[name] = tables[name].select(*cols)
+    return Star(tables, spark.read.parquet(f"{path}/_report"))

@@ -64,3 +64,41 @@ def shared_path(spark: SparkSession, *parts: str) -> str:
     """A path under the shared checkpoint folder (for written intermediate tables)."""
     base = ensure_checkpoint_dir(spark)
     return "/".join([base.rstrip("/"), *parts])
+
+
+# ------------------------------------------------ small file-system helpers
+# (Hadoop FileSystem API, so they work on HDFS / object stores as well as local disk)
+
+def _fs(spark: SparkSession, path: str):
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def fs_exists(spark: SparkSession, path: str) -> bool:
+    p, fs = _fs(spark, path)
+    return bool(fs.exists(p))
+
+
+def fs_write_text(spark: SparkSession, path: str, text: str) -> None:
+    p, fs = _fs(spark, path)
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+
+
+def fs_read_text(spark: SparkSession, path: str) -> str:
+    p, fs = _fs(spark, path)
+    stream = fs.open(p)
+    try:
+        reader = spark._jvm.java.io.BufferedReader(spark._jvm.java.io.InputStreamReader(stream, "UTF-8"))
+        lines = []
+        line = reader.readLine()
+        while line is not None:
+            lines.append(line)
+            line = reader.readLine()
+        return "\n".join(lines)
+    finally:
+        stream.close()
