@@ -153,14 +153,16 @@ class Warehouse:
         self._save(table, df, "append", path)
 
     def load(self, table: str, new: DataFrame, spec: TableSpec | None = None, order=None,
-             prune_by: str | None = None) -> LoadResult:
+             prune_by: str | list[str] | None = None) -> LoadResult:
         """SNK-1 / SNK-2 into ``table`` with counts taken while writing.
 
         Counts are ``observe`` metrics on the written plan (placed at the top, so
-        a sampling pass of any exchange below could not count rows twice).  ``prune_by`` names a
-        column the conflict key determines (upload order numbers hash in the
+        a sampling pass of any exchange below could not count rows twice).  ``prune_by`` names
+        columns the conflict key determines (upload order numbers hash in the
         order date): the target is semi-joined to the batch's distinct values
-        first, so an insert-or-ignore reads only the matching slice of a large fact.
+        first, so an insert-or-ignore reads only the matching slice of a large
+        fact; with the year partition column among them, dynamic partition
+        pruning skips whole year directories.
         """
         spec = spec or TABLE_SPECS[table]
         keys = list(spec.keys)
@@ -175,7 +177,8 @@ class Warehouse:
             obs_in = Observation(f"read_{table}_{time.time_ns()}")
             probe = target
             if prune_by:
-                probe = target.join(new.select(prune_by).distinct(), prune_by, "left_semi")
+                cols = [prune_by] if isinstance(prune_by, str) else list(prune_by)
+                probe = target.join(new.select(*cols).distinct(), cols, "left_semi")
             counted = new.observe(obs_in, F.count(F.lit(1)).alias("n"))
             rows = insert_ignore(probe, counted, keys, order).select(*target.columns)
             obs = Observation(f"ins_{table}_{time.time_ns()}")
