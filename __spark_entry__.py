@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import threading
 import uuid
 from collections.abc import Callable
 
@@ -27,14 +28,15 @@ from medistar.plans import quality as DQ
 from medistar.plans import queries as Q
 from medistar.plans.star import Star, build_star_to, read_star
 from medistar.plans.warehouse import UPLOAD_INVENTORY_UPDATE
-from medistar.session import configure, fs_exists, fs_read_text, fs_write_text, shared_path
+from medistar.session import configure, fs_exists, fs_fingerprint, fs_read_text, fs_write_text, shared_path
 from medistar.sources import adapter
 from medistar.sources.extract import extract_all, extract_summary
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 PARAMS = Params()
 
-_STARS: dict[tuple[int, str], Star] = {}
+_STARS: dict[tuple, Star] = {}
+_LOCK = threading.RLock()
 _DRIVER: dict[tuple[int, str], dict] = {}
 UPLOAD_SNAPSHOT_DATE = "2025-06-01"
 ADHOC_TEXT = ("-- status mix of the drug dimension\n"
@@ -73,12 +75,19 @@ def _code_digest() -> str:
 def _star(spark: SparkSession, sf_dir: str) -> Star:
     """The star built from the driver tables, written once (in load order) under
     the shared checkpoint folder; queries read the written tables.  A star
-    published by an earlier process for the same data, parameters and code is
-    reused (the marker is written last, after every table is complete)."""
+    published by an earlier process for the same input files (paths, sizes,
+    modification times), parameters and code is reused (the marker is written
+    last, after every table is complete)."""
     key = _key(spark, sf_dir)
+    with _LOCK:
+        return _star_locked(spark, sf_dir, key)
+
+
+def _star_locked(spark: SparkSession, sf_dir: str, key: tuple) -> Star:
     if key not in _STARS:
         configure(spark)
-        ident = hashlib.sha1(f"{os.path.abspath(sf_dir)}|{PARAMS!r}|{_code_digest()}".encode()).hexdigest()[:20]
+        inputs = fs_fingerprint(spark, [f"{sf_dir.rstrip('/')}/{t}.parquet" for t in adapter.DRIVER_TABLES])
+        ident = hashlib.sha1(f"{sf_dir}|{inputs}|{PARAMS!r}|{_code_digest()}".encode()).hexdigest()[:20]
         base = shared_path(spark, "registry_star", ident)
         marker = f"{base}/_PUBLISHED"
         if fs_exists(spark, marker):

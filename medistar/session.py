@@ -102,3 +102,18 @@ def fs_read_text(spark: SparkSession, path: str) -> str:
         return "\n".join(lines)
     finally:
         stream.close()
+
+
+def fs_fingerprint(spark: SparkSession, paths: list[str]) -> str:
+    """Sizes and modification times of files / folders (recursive), as a string."""
+    parts = []
+    for path in paths:
+        p, fs = _fs(spark, path)
+        if not fs.exists(p):
+            parts.append(f"{path}:missing")
+            continue
+        it = fs.listFiles(p, True)
+        while it.hasNext():
+            st = it.next()
+            parts.append(f"{st.getPath().toString()}:{st.getLen()}:{st.getModificationTime()}")
+    return "|".join(sorted(parts))
