@@ -27,7 +27,7 @@ from medistar.plans import monitor as M
 from medistar.plans import quality as DQ
 from medistar.plans import queries as Q
 from medistar.plans.star import Star, build_star_to, read_star
-from medistar.plans.warehouse import UPLOAD_INVENTORY_UPDATE
+from medistar.plans.warehouse import UPLOAD_INVENTORY_UPDATE, first_load_audit
 from medistar.session import configure, fs_exists, fs_fingerprint, fs_read_text, fs_write_text, shared_path
 from medistar.sources import adapter
 from medistar.sources.extract import extract_all, extract_summary
@@ -220,6 +220,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "row_counts": _q(lambda s: M.row_counts(s)),
         "schema_summary": _q(M.schema_summary),
         "adhoc_sql": lambda spark, sf: M.adhoc_sql(spark, _star(spark, sf), ADHOC_TEXT),
+        "etl_audit_first_load": _q(lambda s: first_load_audit(s, PARAMS)),
+        "recent_etl_runs": _q(lambda s: M.recent_etl_runs(first_load_audit(s, PARAMS), 30)),
+        "etl_timeline": _q(lambda s: M.etl_timeline(first_load_audit(s, PARAMS))),
         # daily uploads
         "upload_sales_clean": lambda spark, sf: _sales_upload(spark, sf)[2].clean.drop("_row"),
         "upload_sales_rejects": upload_sales_rejects,

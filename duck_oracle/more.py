@@ -100,6 +100,28 @@ SELECT "table", CAST(expected AS BIGINT) AS expected, CAST(actual AS BIGINT) AS
   CASE WHEN expected = actual THEN 'PASS' ELSE 'NOTE' END AS status,
   CAST(actual AS DOUBLE) * 100.0 / CAST(expected AS DOUBLE) AS accuracy_pct FROM o_src"""
 
+_LOAD_ORDER = ["dim_date", "dim_geography", "dim_sales_territory", "dim_therapeutic_class", "dim_drug",
+               "dim_customer", "fact_drug_sales", "fact_inventory"]
+AUDIT_CTE = (", o_audit0 AS (" + "\nUNION ALL ".join(
+    f"SELECT {i} AS audit_id, '{t}' AS table_name, (SELECT COUNT(*) FROM {t}) AS n"
+    for i, t in enumerate(_LOAD_ORDER, start=1)) + f"""),
+o_audit AS (
+  SELECT CAST(audit_id AS BIGINT) AS audit_id, '{P.batch_id}' AS batch_id, 'load' AS pipeline_step, table_name,
+    CAST(n AS BIGINT) AS rows_read, CAST(n AS BIGINT) AS rows_inserted, CAST(0 AS BIGINT) AS rows_updated,
+    CAST(0 AS BIGINT) AS rows_rejected, 'success' AS status, CAST(NULL AS VARCHAR) AS error_message,
+    TIMESTAMP '{P.batch_ts}' AS started_at, TIMESTAMP '{P.batch_ts}' AS completed_at,
+    CAST(0 AS DECIMAL(10,3)) AS duration_seconds
+  FROM o_audit0
+)
+""")
+AUDIT_FIRST = AUDIT_CTE + "SELECT * FROM o_audit"
+RECENT_RUNS = AUDIT_CTE + """SELECT batch_id, pipeline_step AS step, table_name AS "table", rows_read, rows_inserted,
+  rows_updated, rows_rejected, status, started_at, duration_seconds AS secs
+  FROM o_audit ORDER BY started_at DESC, audit_id DESC LIMIT 30"""
+TIMELINE = AUDIT_CTE + """SELECT CAST(started_at AS DATE) AS day, COUNT(*) AS runs, CAST(SUM(rows_inserted) AS BIGINT) AS inserted,
+  CAST(SUM(rows_rejected) AS BIGINT) AS rejected FROM o_audit WHERE started_at IS NOT NULL
+  GROUP BY 1 ORDER BY day DESC LIMIT 30"""
+
 _NULL = [
     ("null", "fact_drug_sales - null drug_key", "fact_drug_sales", "drug_key IS NULL"),
     ("null", "fact_drug_sales - null customer_key", "fact_drug_sales", "customer_key IS NULL"),
@@ -468,6 +490,9 @@ SQL = {
     "row_counts": ROW_COUNTS,
     "schema_summary": SCHEMA_SUMMARY,
     "adhoc_sql": ADHOC,
+    "etl_audit_first_load": AUDIT_FIRST,
+    "recent_etl_runs": RECENT_RUNS,
+    "etl_timeline": TIMELINE,
     "upload_sales_clean": UPLOAD_CTES + "SELECT * EXCLUDE (_row) FROM upload_sales_clean",
     "upload_sales_rejects": UPLOAD_REJECTS,
     "upload_new_customers": UPLOAD_CTES + "SELECT * EXCLUDE (lname) FROM upload_new_customers",
