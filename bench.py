@@ -36,7 +36,7 @@ def run(df, sink: str) -> None:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    spark = get_spark(master=f"local[{cpus}]", shuffle_partitions=max(8, cpus * 2), app="medistar-bench")
+    spark = get_spark(master=f"local[{cpus}]", shuffle_partitions=max(8, cpus), app="medistar-bench")
     base = ensure_checkpoint_dir(spark)
     wh = tempfile.mkdtemp(prefix="bench-star-", dir=base if base.startswith("/") else None)
 
