@@ -12,7 +12,7 @@ import json
 import os
 import re
 import sys
-import tempfile
+import uuid
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -21,7 +21,7 @@ from medistar.params import Params  # noqa: E402
 from medistar.plans import queries as Q  # noqa: E402
 from medistar.plans.star import build_star_to  # noqa: E402
 from medistar.sources import adapter  # noqa: E402
-from medistar.session import ensure_checkpoint_dir, get_spark  # noqa: E402
+from medistar.session import get_spark, shared_path  # noqa: E402
 
 WARM_RUNS = 5
 
@@ -37,8 +37,8 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     spark = get_spark(master=f"local[{cpus}]", shuffle_partitions=max(8, cpus), app="medistar-bench")
-    base = ensure_checkpoint_dir(spark)
-    wh = tempfile.mkdtemp(prefix="bench-star-", dir=base if base.startswith("/") else None)
+    # the star is written under the shared checkpoint folder (never a machine-local temp dir)
+    wh = shared_path(spark, "bench_star", uuid.uuid4().hex)
 
     t0 = time.time()
     star = build_star_to(spark, adapter.load_driver_raw(spark, sf_dir), wh, Params())

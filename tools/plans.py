@@ -13,7 +13,7 @@ import io
 import os
 import re
 import sys
-import tempfile
+import uuid
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -22,7 +22,7 @@ from medistar.plans import monitor as M  # noqa: E402
 from medistar.plans import quality as DQ  # noqa: E402
 from medistar.plans import queries as Q  # noqa: E402
 from medistar.plans.star import build_star_to  # noqa: E402
-from medistar.session import ensure_checkpoint_dir, get_spark  # noqa: E402
+from medistar.session import get_spark, shared_path  # noqa: E402
 from medistar.sources import adapter  # noqa: E402
 
 
@@ -49,7 +49,7 @@ def facts(df) -> dict:
 def main():
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     spark = get_spark(shuffle_partitions=16)
-    wh = tempfile.mkdtemp(prefix="plans-star-", dir=ensure_checkpoint_dir(spark))
+    wh = shared_path(spark, "plans_star", uuid.uuid4().hex)
     star = build_star_to(spark, adapter.load_driver_raw(spark, sf), wh, Params())
     last = Q.preset_range("Last Year", Params().as_of_date)
     cases = {**{k: f(star) for k, f in Q.TIMED.items()},
