@@ -1,9 +1,10 @@
 """The warehouse sink: Parquet tables under one root folder (SNK-1..SNK-10).
 
-Layout: ``{root}/{table}/v{NNNNN}/`` - each upsert writes a complete new
+Layout: ``{root}/{table}/v{NNNNN}/`` - a dimension upsert writes a complete new
 snapshot directory and never overwrites a folder being read; readers take the
 highest committed version (``_SUCCESS`` present).  Insert-or-ignore loads
-append part files to the current version.  Counts come from ``observe`` on the
+append part files to the current version.  Fact upserts (year-partitioned)
+rewrite only the year directories the batch touches.  Counts come from ``observe`` on the
 written DataFrame, so no second scan is needed.  Where a v2 table format with
 ``MERGE INTO`` is available, ``merge_upsert`` maps onto it one to one.
 """
@@ -12,6 +13,7 @@ from __future__ import annotations
 
 import datetime as dt
 import time
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -22,6 +24,7 @@ from medistar.operators.facts import FACT_INVENTORY_COLS, FACT_SALES_COLS, PARTI
 from medistar.operators.upsert import insert_ignore, merge_upsert
 from medistar.params import Params
 from medistar.plans.star import STAR_TABLES, Star
+from medistar.session import shared_path
 
 AUDIT_SCHEMA = T.StructType([
     T.StructField("audit_id", T.LongType()),
@@ -187,6 +190,8 @@ class Warehouse:
             ins = obs.get["n"]
             read = obs_in.get["n"]
             return LoadResult(table, read, ins, 0, read - ins)
+        if table in PARTITION_COLS:
+            return self._upsert_partitions(table, target, new, keys, list(spec.update_cols), order)
         merged = self._cluster(table, merge_upsert(target, new, keys, list(spec.update_cols), order))
         obs = Observation(f"ups_{table}_{time.time_ns()}")
         merged = merged.observe(obs, F.count_if(F.col("_action") == "insert").alias("ins"),
@@ -196,6 +201,32 @@ class Warehouse:
         m = obs.get
         return LoadResult(table, int(m["read"] or 0), m["ins"], m["upd"], 0)
 
+    def _upsert_partitions(self, table: str, target: DataFrame, new: DataFrame, keys: list[str],
+                           update_cols: list[str], order) -> LoadResult:
+        """Upsert into a year-partitioned fact, rewriting only the years the batch touches.
+
+        The target is semi-joined to the batch's years (dynamic partition pruning
+        reads only those directories), merged, staged under the shared checkpoint
+        folder, and then the staged years replace their directories in the
+        current version (dynamic partition overwrite); every other year is left
+        untouched.  The conflict key includes the date key, so a batch row can
+        only match target rows of its own year.
+        """
+        part, _ = PARTITION_COLS[table]
+        touched = target.join(new.select(part).distinct(), part, "left_semi")
+        merged = self._cluster(table, merge_upsert(touched, new, keys, update_cols, order))
+        obs = Observation(f"ups_{table}_{time.time_ns()}")
+        merged = merged.observe(obs, F.count_if(F.col("_action") == "insert").alias("ins"),
+                                F.count_if(F.col("_action") == "update").alias("upd"),
+                                F.sum("_batch_rows").alias("read"))
+        staging = shared_path(self.spark, "warehouse_staging", table, uuid.uuid4().hex)
+        merged.drop("_action", "_batch_rows").write.partitionBy(part).parquet(staging)
+        m = obs.get
+        staged = self.spark.read.parquet(staging).select(*TABLE_COLUMNS[table])
+        (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(part).parquet(self.current_path(table)))
+        return LoadResult(table, int(m["read"] or 0), m["ins"], m["upd"], 0)
+
     # ----------------------------------------------------------- SNK-8
     def audit(self, rows: list[dict]) -> None:
         """Append audit rows (driver-built, one per table load)."""

@@ -2,6 +2,8 @@
 import os
 import shutil
 
+from pyspark.sql import functions as F
+
 from medistar.params import Params
 from medistar.plans import monitor as M
 from medistar.plans.pipeline import run_full_etl, run_pipeline
@@ -94,3 +96,28 @@ def test_sales_upload_stream(spark, scratch):
     assert wh.read("fact_drug_sales").count() == n0 + 4
     # the new buyer was created once and reused by the second micro-batch
     assert wh.read("dim_customer").where("customer_name = 'New Buyer X'").count() == 1
+
+
+def test_fact_upsert_rewrites_only_touched_years(spark, scratch):
+    raw = adapter.load_driver_raw(spark, SF_SMALL)
+    wh = run_pipeline(spark, raw, os.path.join(scratch, "wh"), P)["warehouse"]
+    cur = wh.current_path("fact_inventory")
+
+    def files(year):
+        d = os.path.join(cur, f"snapshot_year={year}")
+        return sorted(os.listdir(d)) if os.path.isdir(d) else []
+
+    before = {y: files(y) for y in range(2019, 2026)}
+    inv = wh.read("fact_inventory")
+    n0 = inv.count()
+    batch = (inv.where("snapshot_year = 2025").limit(3)
+             .withColumn("units_on_hand", F.lit(7)).withColumn("stock_status", F.lit("Critical")))
+    new_row = inv.where("snapshot_year = 2025").limit(1).withColumn("snapshot_date_key", F.lit(20250630))
+    res = wh.load("fact_inventory", batch.unionByName(new_row))
+    assert (res.inserted, res.updated) == (1, 3)
+    after = wh.read("fact_inventory")
+    assert after.count() == n0 + 1
+    assert after.where("units_on_hand = 7 AND stock_status = 'Critical'").count() == 3
+    for y in range(2019, 2025):
+        assert files(y) == before[y], y   # untouched years keep exactly their files
+    assert files(2025) != before[2025]
