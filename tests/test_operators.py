@@ -55,3 +55,15 @@ def test_sql_guard():
         with pytest.raises(M.UnsafeQuery):
             M.guard_sql(bad)
     assert M.guard_sql("SELECT 'drop' AS word") == "SELECT 'drop' AS word"
+
+
+def test_contains_join_long_patterns_only(spark):
+    """Only patterns of 3+ characters: texts emit 3-grams only; still exact."""
+    rnd = random.Random(11)
+    alphabet = "abcd"
+    texts = ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 15))) for _ in range(150)]
+    pats = sorted({"".join(rnd.choice(alphabet) for _ in range(rnd.randint(3, 6))) for _ in range(50)})
+    tdf = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "k int, t string")
+    pdf = spark.createDataFrame([(p,) for p in pats], "p string")
+    got = {(r.p, r.k) for r in contains_join(pdf, "p", tdf, "t").collect()}
+    assert got == {(p, i) for p in pats for i, t in enumerate(texts) if p in t}
