@@ -16,7 +16,6 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
 from pyspark.sql import functions as F
 
 from medistar.operators import facts as FACTS
@@ -37,7 +36,7 @@ PARAMS = Params()
 
 _STARS: dict[tuple, Star] = {}
 _LOCK = threading.RLock()
-_DRIVER: dict[tuple[int, str], dict] = {}
+_DRIVER: dict[tuple, dict] = {}
 UPLOAD_SNAPSHOT_DATE = "2025-06-01"
 ADHOC_TEXT = ("-- status mix of the drug dimension\n"
               "SELECT drug_status, dosage_form, COUNT(*) AS n FROM dim_drug GROUP BY drug_status, dosage_form;")
