@@ -121,3 +121,11 @@ def test_fact_upsert_rewrites_only_touched_years(spark, scratch):
     for y in range(2019, 2025):
         assert files(y) == before[y], y   # untouched years keep exactly their files
     assert files(2025) != before[2025]
+
+
+def test_pipeline_report_matches_lazy_report(spark, scratch, small_star):
+    raw = adapter.load_driver_raw(spark, SF_SMALL)
+    out = run_pipeline(spark, raw, os.path.join(scratch, "wh"), P)
+    observed = {(r.table, r.kind, r.reason): r.rows for r in out["report"].collect()}
+    lazy = {(r.table, r.kind, r.reason): r.rows for r in small_star.report.collect()}
+    assert observed == lazy and observed[("fact_drug_sales", "removed", "drug_not_found")] > 0
