@@ -136,6 +136,11 @@ def upload_inventory_merge(spark, sf_dir):
     return merged.drop("_batch_rows")
 
 
+def _first_drug(star: Star) -> str:
+    """The drug a single-drug search runs for: the first name in name order (one scalar)."""
+    return star["dim_drug"].agg(F.min("drug_name")).first()[0]
+
+
 def _q(fn: Callable[[Star], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, sf_dir: fn(_star(spark, sf_dir))
 
@@ -182,6 +187,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "drug_lookup": _q(lambda s: Q.drug_lookup(s, text="cillin")),
         "drug_history": _q(lambda s: Q.drug_history(s)),
         "drug_stock": _q(lambda s: Q.drug_stock(s)),
+        "drug_history_one": _q(lambda s: Q.drug_history(s, _first_drug(s))),
+        "drug_stock_one": _q(lambda s: Q.drug_stock(s, _first_drug(s))),
         "customer_lookup": _q(lambda s: Q.customer_lookup(s, customer_type="Clinic")),
         "customer_lookup_text": _q(lambda s: Q.customer_lookup(s, text="household", country="France")),
         "drug_lookup_filtered": _q(lambda s: Q.drug_lookup(s, therapeutic_class="Antibiotics", form="Tablet")),

@@ -135,6 +135,14 @@ SQL = {
       {_lsum('f.units_sold')} AS units, {_dsum('f.net_revenue')} AS rev, {WM} AS margin
       FROM {FD} JOIN dim_drug dr ON f.drug_key = dr.drug_key
       GROUP BY dr.drug_name, d.calendar_year, d.month_name, d.month_num""",
+    "drug_history_one": f"""SELECT d.calendar_year AS yr, d.month_name AS mo, d.month_num,
+      {_lsum('f.units_sold')} AS units, {_dsum('f.net_revenue')} AS rev, {WM} AS margin
+      FROM {FD} JOIN dim_drug dr ON f.drug_key = dr.drug_key
+      WHERE dr.drug_name = (SELECT MIN(drug_name) FROM dim_drug)
+      GROUP BY d.calendar_year, d.month_name, d.month_num""",
+    "drug_stock_one": f"""SELECT fi.stock_status, {_lsum('fi.units_on_hand')} AS on_hand,
+      {_dsum('fi.stock_value')} AS value FROM fact_inventory fi JOIN dim_drug dr ON fi.drug_key = dr.drug_key
+      WHERE dr.drug_name = (SELECT MIN(drug_name) FROM dim_drug) GROUP BY fi.stock_status""",
     "drug_stock": f"""SELECT dr.drug_name, fi.stock_status, {_lsum('fi.units_on_hand')} AS on_hand,
       {_dsum('fi.stock_value')} AS value FROM fact_inventory fi JOIN dim_drug dr ON fi.drug_key = dr.drug_key
       GROUP BY dr.drug_name, fi.stock_status""",
