@@ -79,3 +79,11 @@ def test_upload_customer_type_first_match(spark):
 def test_zone_is_case_sensitive(spark):
     df = spark.createDataFrame([("India",), ("india",), ("Brazil",)], "c string")
     assert [r[0] for r in df.select(X.zone("c")).collect()] == ["Asia Zone", "International Zone", "International Zone"]
+
+
+def test_calendar_bound_is_checked(spark):
+    import pytest
+    with pytest.raises(ValueError, match="exceeds"):
+        generate_calendar(spark, "1000-01-01", "2999-12-31")
+    with pytest.raises(ValueError, match="empty"):
+        generate_calendar(spark, "2030-01-02", "2030-01-01")
