@@ -2,8 +2,9 @@
 sales mart on the materialized star.
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8).
-Prints one JSON line.  ``value`` is the sum of the warm times of the six
-headline queries; cold times and the star build are reported separately.
+Prints one JSON line.  ``value`` is the sum of the median warm times of the
+six headline queries; cold times, the best warm run and the star build are
+reported separately.
 """
 
 from __future__ import annotations
@@ -46,7 +47,7 @@ def main() -> None:
 
     headline = dict(Q.TIMED)
     headline["sales_mart"] = Q.sales_mart
-    cold, warm = {}, {}
+    cold, warm, best = {}, {}, {}
     for name, fn in headline.items():
         sink = "noop" if name == "sales_mart" else "collect"
         t = time.time()
@@ -58,6 +59,7 @@ def main() -> None:
             run(fn(star), sink)
             times.append(time.time() - t)
         warm[name] = round(sorted(times)[len(times) // 2], 3)
+        best[name] = round(min(times), 3)
 
     sf = re.search(r"sf([0-9.]+)", sf_dir)
     out = {
@@ -66,6 +68,7 @@ def main() -> None:
         "unit": "sec",
         "queries": warm,
         "cold": cold,
+        "warm_best": best,
         "star_build_sec": round(build, 3),
         "sf": float(sf.group(1)) if sf else sf_dir,
         "cpus": cpus,
