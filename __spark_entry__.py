@@ -31,6 +31,14 @@ from medistar.session import configure, fs_exists, fs_fingerprint, fs_read_text,
 from medistar.sources import adapter
 from medistar.sources.extract import extract_all, extract_summary
 
+try:  # the training-data operators and their pipeline are an optional part
+    import corpus_pipeline
+    from medistar.llm import queries as LLM
+except ModuleNotFoundError as e:
+    if e.name not in ("corpus_pipeline", "medistar.llm"):
+        raise
+    corpus_pipeline = LLM = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 PARAMS = Params()
 
@@ -236,6 +244,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "upload_sales_insert": upload_sales_insert,
         "upload_inventory_clean": lambda spark, sf: _inventory_upload(spark, sf)[1].clean.drop("_ord"),
         "upload_inventory_merge": upload_inventory_merge,
+        **(LLM.queries() if LLM else {}),
+        **({"pipeline": corpus_pipeline.run} if corpus_pipeline else {}),
     }
 
 
@@ -243,4 +253,9 @@ def oracle_sql() -> dict[str, str]:
     from duck_oracle import SQL, star_ctes
 
     prefix = star_ctes(PARAMS)
-    return {k: prefix + v for k, v in SQL.items() if k in queries()}
+    sql = {k: prefix + v for k, v in SQL.items() if k in queries()}
+    if LLM:
+        sql.update(LLM.oracle_sql())
+    if corpus_pipeline and corpus_pipeline.ORACLE_SQL:
+        sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return sql
