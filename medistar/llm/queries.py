@@ -7,8 +7,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import mixing, packing
+from . import mixing, packing, secrets, toxicity
 from .common import read_table
 
 
@@ -25,10 +26,25 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("doc_id", "size", "source_size", "target", "taken", "source", "copies", "part_words")
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity score of every document."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.learn(docs, read_table(spark, sf_dir, "labels"))
+    return toxicity.apply(docs, model).select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"),
+                                              "score", "predicted")
+
+
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The secrets of every document."""
+    return secrets.digest(secrets.scan(read_table(spark, sf_dir, "documents")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_packing": op1_packing,
         "op4_mixing": op4_mixing,
+        "op9_toxicity": op9_toxicity,
+        "op10_secrets": op10_secrets,
     }
 
 
