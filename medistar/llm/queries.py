@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, packing, secrets, toxicity
+from . import mixing, ngram_join, packing, secrets, toxicity
 from .common import read_table
 
 
@@ -26,6 +26,11 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("doc_id", "size", "source_size", "target", "taken", "source", "copies", "part_words")
 
 
+def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate classes: distinct 4-word shingles, Jaccard 0.85 or more."""
+    return ngram_join.join_components(read_table(spark, sf_dir, "documents"), k=4, num=85, den=100)
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The toxicity score of every document."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -43,6 +48,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_packing": op1_packing,
         "op4_mixing": op4_mixing,
+        "op8_ngram_join": op8_ngram_join,
         "op9_toxicity": op9_toxicity,
         "op10_secrets": op10_secrets,
     }
