@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import components, materialize
-from .textkit import Words, mix, signed
+from .textkit import Words, mix, signed, slices
 
 _RATIO = 1.5  # of the largest to the smallest size in a class of large sets
 _U = np.uint64
@@ -170,7 +170,7 @@ def signature(h: np.ndarray) -> tuple[int, int]:
 
 def _signatures(k):
     def run(batches):
-        for b in batches:
+        for b in (x for batch in batches for x in slices(batch, 1)):
             sets = shingle_sets(b.column(1), k)
             sig = [signature(s) for s in sets]
             yield pa.RecordBatch.from_arrays(
@@ -184,7 +184,7 @@ def _postings(k, small, num, den, remember=200_000):
     (its node has the same postings), so copies cost nothing; forgetting is harmless."""
     def run(batches):
         seen: set[int] = set()
-        for b in batches:
+        for b in (x for batch in batches for x in slices(batch, 0)):
             keys, nodes = [], []
             for h in shingle_sets(b.column(0), k):
                 if not len(h):

@@ -103,6 +103,10 @@ class Words:
             h[order] = mix(acc ^ left.astype(np.uint64), salt)
             return h
 
+    def spans(self, salt: int = 0) -> "SpanHash":
+        """Hashes of arbitrary runs of words, from prefix sums."""
+        return SpanHash(self.h, salt)
+
     def grams(self, k: int, salt: int = 0) -> tuple[np.ndarray, np.ndarray]:
         """Hash of each run of k words inside one text: (index of the first word, hash)."""
         n = len(self.h) - k + 1
@@ -120,3 +124,48 @@ class Words:
 
 def signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
+
+
+_B_INVERSE = pow(int(_B), -1, 1 << 64)
+
+
+class SpanHash:
+    """hash of words[a:b] for arrays of a and b, each from two prefix values."""
+
+    def __init__(self, h: np.ndarray, salt: int = 0):
+        n = len(h)
+        with np.errstate(over="ignore"):
+            self.prefix = np.zeros(n + 1, dtype=np.uint64)
+            np.cumsum(mix(h, 60 + salt) * _powers(int(_B), n)[:n], out=self.prefix[1:], dtype=np.uint64)
+        self.back = _powers(_B_INVERSE, n)
+        self.salt = salt
+
+    def __call__(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            return mix((self.prefix[b] - self.prefix[a]) * self.back[a] + (b - a).astype(np.uint64), 70 + self.salt)
+
+
+def sliding_min(x: np.ndarray, w: int) -> np.ndarray:
+    """Minimum of each run of w entries, by doubling."""
+    span = 1
+    while 2 * span <= w and len(x) > span:
+        x = np.minimum(x[:-span], x[span:])
+        span *= 2
+    rest = w - span
+    if rest and len(x) > rest:
+        x = np.minimum(x[:-rest], x[rest:])
+    elif rest:
+        x = x[:0]
+    return x
+
+
+def slices(batch: pa.RecordBatch, column: int, most: int = 4 << 20):
+    """The rows of a batch in runs of at most ``most`` bytes of one text column
+    (a longer text comes alone), so working memory follows a bound, not the batch."""
+    col = batch.column(column).cast(pa.large_binary()).fill_null(b"")
+    off = np.frombuffer(col.buffers()[1], dtype=np.int64)[col.offset: col.offset + len(col) + 1]
+    at = 0
+    while at < len(col):
+        to = max(at + 1, int(np.searchsorted(off, off[at] + most, side="right")) - 1)
+        yield batch.slice(at, to - at)
+        at = to
