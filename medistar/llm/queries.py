@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, ngram_join, packing, secrets, substring_dedup, toxicity
+from . import line_dedup, mixing, ngram_join, packing, secrets, substring_dedup, toxicity
 from .common import read_table
 
 
@@ -32,6 +32,12 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept"), 256).alias("kept_sha256"))
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines of templates that recur in earlier documents."""
+    d = line_dedup.dedup(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return d.select("doc_id", F.col("_ld_lines").alias("n_lines"), F.col("_ld_dropped").alias("n_dropped"), "text")
+
+
 def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate classes: distinct 4-word shingles, Jaccard 0.85 or more."""
     return ngram_join.join_components(read_table(spark, sf_dir, "documents"), k=4, num=85, den=100)
@@ -55,6 +61,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_packing": op1_packing,
         "op4_mixing": op4_mixing,
         "op6_substring_dedup": op6_substring_dedup,
+        "op7_line_dedup": op7_line_dedup,
         "op8_ngram_join": op8_ngram_join,
         "op9_toxicity": op9_toxicity,
         "op10_secrets": op10_secrets,

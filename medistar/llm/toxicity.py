@@ -207,9 +207,9 @@ def learn(docs: DataFrame, labels: DataFrame, max_per_class: int = 4000, max_ter
         return Model(Lexicon())
     # evidence of a word is the number of different words before it, per label:
     # copies of one text repeat their contexts and so count once
-    rows_w = rows.select("y", F.split(F.lower(F.coalesce("text", F.lit(""))), r"[^\p{L}]+").alias("ws"))
-    pairs = F.transform("ws", lambda w, i: F.struct(w.alias("w"), F.get("ws", i - 1).alias("before")))
-    per = rows_w.select("y", F.explode(F.array_distinct(pairs)).alias("c")).where("length(c.w) > 2") \
+    ws = rows.select("y", F.split(F.lower(F.coalesce("text", F.lit(""))), r"[^\p{L}]+").alias("w"))
+    pairs = ws.select("y", F.arrays_zip("w", F.concat(F.array(F.lit("")), F.col("w")).alias("before")).alias("c"))
+    per = pairs.select("y", F.explode("c").alias("c")).where("length(c.w) > 2") \
         .groupBy("c").agg(F.max("y").alias("p"), F.max(1 - F.col("y")).alias("q")) \
         .groupBy("c.w").agg(F.sum("p").alias("p"), F.sum("q").alias("q"))
     per = materialize(spark, per, "toxicity-words")
