@@ -13,11 +13,15 @@ representative first, so copies meet in a grouped minimum and nowhere else.
 * The boundary between small and large is the size with the least total cost,
   from the corpus' size histogram.
 
-Sets that meet under a key form loose groups (a superset of all links, found
-from a star per key, never from pairs).  Inside a loose group the shingles'
-inverted lists are scanned and overlaps counted exactly; a group with more
-shingles than ``block`` is dealt over pairs of blocks, so no task holds an
-unbounded group.  Each task returns a spanning forest of its links, and the
+Sets that meet under a key are tested by their parity sketches: the xor of two
+has at most as many bits as the sets' difference, so a pair with more than a
+linking pair can have is ruled out for certain.  Sets of a key are compared with
+its first set, and only what that one rules out with the others; each key leaves
+a spanning forest.  The forests' components are loose groups (a superset of all
+links).  Inside a loose group the shingles' inverted lists are scanned and
+overlaps counted exactly.  A key with more sets than ``bucket``, and a group with
+more shingles than ``block``, are dealt over pairs of blocks, so no task holds
+an unbounded group.  Each task returns a spanning forest of its links, and the
 components of all forests are the result: no link is lost, copies and near
 copies are never expanded into all pairs.
 
@@ -166,6 +170,12 @@ def signature(h: np.ndarray) -> tuple[int, int]:
     return tuple(int(x) for x in signed(both))
 
 
+def sketch(h: np.ndarray) -> bytes:
+    """Parity sketch: one bit per hash range, flipped by each shingle in it."""
+    bits = max(64, 1 << (len(h) - 1).bit_length()) if len(h) else 64
+    return np.packbits(np.bincount((mix(h, 31) & _U(bits - 1)).astype(np.int64), minlength=bits).astype(np.uint8) & 1).tobytes()
+
+
 # ------------------------------------------------------------ tasks
 
 def _signatures(k):
@@ -175,7 +185,8 @@ def _signatures(k):
             sig = [signature(s) for s in sets]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([x for x, _ in sig], pa.int64()),
-                 pa.array([y for _, y in sig], pa.int64())], ["doc_id", "n_shingles", "s1", "s2"])
+                 pa.array([y for _, y in sig], pa.int64()), pa.array([sketch(s) for s in sets], pa.binary())],
+                ["doc_id", "n_shingles", "s1", "s2", "sketch"])
     return run
 
 
@@ -204,23 +215,128 @@ def _postings(k, small, num, den, remember=200_000):
     return run
 
 
-def _stars(batches):
-    """Of rows sorted by (key, node): the edge from each node to its key's least node."""
-    last_key, last_min = None, None
+def _shared(batches):
+    """Of rows sorted by (key, node): those of keys that two nodes or more have,
+    each node once, streamed: one row is held back at a time."""
+    held = None  # the last row, whose key may go on
+    emitted = False  # whether the held row has gone out
     for b in batches:
         key, node = b.column(0).to_numpy(), b.column(1).to_numpy()
         if not len(key):
             continue
-        new = np.concatenate([[key[0] != last_key], key[1:] != key[:-1]])
-        run = np.cumsum(new) - 1
-        first = node[new]
-        if not new[0]:
-            first, run = np.concatenate([[last_min], first]), run + 1
-        low = first[run]
-        e = np.unique(np.stack([node, low])[:, node != low], axis=1)
-        last_key, last_min = key[-1], low[-1]
-        if e.shape[1]:
-            yield pa.RecordBatch.from_arrays([pa.array(e[0]), pa.array(e[1])], ["src", "dst"])
+        if held is not None:
+            key, node = np.concatenate([[held[0]], key]), np.concatenate([[held[1]], node])
+        new = np.concatenate([[True], (key[1:] != key[:-1]) | (node[1:] != node[:-1])])
+        at = np.flatnonzero(new)
+        k, v = key[at], node[at]
+        same = k[1:] == k[:-1]
+        out = np.zeros(len(k), dtype=bool)
+        out[1:] |= same
+        out[:-1] |= same
+        if held is not None and emitted:
+            out[0] = False
+        emitted = bool(out[-1]) or (len(k) == 1 and emitted and held is not None)
+        held = (k[-1], v[-1])
+        if out.any():
+            yield pa.RecordBatch.from_arrays([pa.array(k[out]), pa.array(v[out])], ["key", "node"])
+
+
+def _fold(x: int, bits: int, to: int) -> int:
+    while bits > to:
+        bits //= 2
+        x = (x ^ (x >> bits)) & ((1 << bits) - 1)
+    return x
+
+
+def may_link(a: tuple, b: tuple, num: int, den: int) -> bool:
+    """Whether sizes and parity sketches leave a link open; a set here is
+    (size, sketch bits, sketch as an integer)."""
+    least = need(a[0], b[0], num, den)
+    if least > min(a[0], b[0]):
+        return False
+    width = min(a[1], b[1])
+    return (_fold(a[2], a[1], width) ^ _fold(b[2], b[1], width)).bit_count() <= a[0] + b[0] - 2 * least
+
+
+class _Bucket:
+    """May-link tests of one set against all sets of a large bucket at once."""
+
+    def __init__(self, sets, num, den):
+        self.sets, self.num, self.den = sets, num, den
+        self.sizes = np.array([s[0] for s in sets])
+        self.by_width = {}
+        for w in {s[1] for s in sets}:
+            at = np.array([i for i, s in enumerate(sets) if s[1] == w])
+            raw = b"".join(sets[i][2].to_bytes(w // 8, "little") for i in at)
+            self.by_width[w] = (at, np.frombuffer(raw, dtype=np.uint64).reshape(len(at), w // 64))
+
+    def open_with(self, i):
+        size, width, x = self.sets[i]
+        least = -(-self.num * (self.sizes + size) // (self.num + self.den))
+        differ = self.sizes + size - 2 * least
+        ok = least <= np.minimum(self.sizes, size)
+        for w, (at, m) in self.by_width.items():
+            to = min(w, width)
+            a = np.frombuffer(_fold(x, width, to).to_bytes(to // 8, "little"), dtype=np.uint64)
+            while m.shape[1] * 64 > to:
+                m = m[:, : m.shape[1] // 2] ^ m[:, m.shape[1] // 2:]
+            ok[at] &= np.bitwise_count(m ^ a).sum(axis=1, dtype=np.int64) <= differ[at]
+        return np.flatnonzero(ok)
+
+
+def bucket_forest(nodes: list, sets: list[tuple], num: int, den: int) -> list[tuple[int, int]]:
+    """Edges that connect every pair of a bucket that may link: each set is held
+    against all others unless it is one with the first set, whose row is full."""
+    n = len(nodes)
+    if n == 2:
+        return [(nodes[0], nodes[1])] if may_link(sets[0], sets[1], num, den) else []
+    big = _Bucket(sets, num, den) if n > 24 else None
+    label, edges = list(range(n)), []
+    first = set()
+    for i in range(n):
+        if i in first:
+            continue
+        found = big.open_with(i) if big else [j for j in range(n) if j != i and may_link(sets[i], sets[j], num, den)]
+        for j in found:
+            j = int(j)
+            if label[j] != label[i]:
+                edges.append((nodes[i], nodes[j]))
+                lo, hi = min(label[i], label[j]), max(label[i], label[j])
+                label = [lo if x == hi else x for x in label] if n <= 24 else _relabel(label, hi, lo)
+        if i == 0:
+            first = {j for j in range(n) if label[j] == 0}
+    return edges
+
+
+def _relabel(label: list, old: int, new: int) -> list:
+    a = np.array(label)
+    a[a == old] = new
+    return a.tolist()
+
+
+def _compatible(num, den):
+    """Edges of each bucket of rows (key, node, n, sketch) that are sorted by key."""
+    def flush(rows):
+        one = {r[0]: r for r in rows}
+        if len(one) > 1:
+            sets = [(n, 8 * len(x), int.from_bytes(x, "little")) for _, n, x in one.values()]
+            yield from bucket_forest(list(one), sets, num, den)
+
+    def run(batches):
+        key, rows, edges = None, [], set()
+        for b in batches:
+            for k, *row in zip(*(c.to_pylist() for c in b.columns)):
+                if k != key:
+                    edges.update(flush(rows))
+                    key, rows = k, []
+                rows.append(row)
+            if len(edges) > 10_000:
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*edges)], ["src", "dst"])
+                edges = set()
+        edges.update(flush(rows))
+        if edges:
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*edges)], ["src", "dst"])
+    return run
 
 
 def link_sets(sets: list[np.ndarray], chunk: np.ndarray, num: int, den: int) -> list[tuple[int, int]]:
@@ -292,20 +408,32 @@ def _forest(k, num, den):
 # ------------------------------------------------------------ the operator
 
 def join_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id",
-                    text_col: str = "text", block: int = 1 << 18) -> DataFrame:
+                    text_col: str = "text", block: int = 1 << 18, bucket: int = 2048) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every document row."""
     spark = docs.sparkSession
     src = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    sig = materialize(spark, src.mapInArrow(_signatures(k), "doc_id long, n_shingles long, s1 long, s2 long"), "join-sig")
+    sig = materialize(spark, src.mapInArrow(_signatures(k), "doc_id long, n_shingles long, s1 long, s2 long, sketch binary"), "join-sig")
     full = sig.where("n_shingles > 0 and doc_id is not null")
     histogram = {r[0]: r[1] for r in full.where("n_shingles <= 64").groupBy("n_shingles").count().collect()}
     small = boundary(histogram, num, den)
 
     keys = src.where("doc_id is not null").select("text").mapInArrow(_postings(k, small, num, den), "key long, node long")
-    stars = keys.repartition(F.col("key")).sortWithinPartitions("key", "node").mapInArrow(_stars, "src long, dst long")
-    loose = components(spark, stars, "join-loose").select(F.col("id").alias("s1"), F.col("component").alias("loose"))
-
-    reps = materialize(spark, full.groupBy("s1", "s2", "n_shingles").agg(F.min("doc_id").alias("rep")), "join-reps")
+    shared = materialize(spark, keys.repartition(F.col("key")).sortWithinPartitions("key", "node")
+                         .mapInArrow(_shared, "key long, node long"), "join-shared")
+    hot = shared.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / F.lit(float(bucket))).cast("int").alias("chunks")).where("chunks > 1")
+    chunk = F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")
+    pairs = F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), lambda c: F.xxhash64(
+        F.col("key"), F.least(c, F.col("chunk")), F.greatest(c, F.col("chunk"))))
+    dealt = shared.join(hot, "key", "left").withColumn("chunk", chunk) \
+        .select("node", F.explode(F.when(F.col("chunks").isNull(), F.array("key")).otherwise(pairs)).alias("key"))
+    reps = materialize(spark, full.groupBy("s1", "s2", "n_shingles").agg(
+        F.min("doc_id").alias("rep"), F.min("sketch").alias("sketch")), "join-reps")
+    tested = dealt.join(reps.select(F.col("s1").alias("node"), F.col("n_shingles").alias("n"), "sketch"), "node") \
+        .select("key", "node", "n", "sketch").repartition(F.col("key")).sortWithinPartitions("key") \
+        .mapInArrow(_compatible(num, den), "src long, dst long")
+    loose = components(spark, tested, "join-loose").select(F.col("id").alias("s1"), F.col("component").alias("loose"))
+
+    reps = reps.drop("sketch")
     member = materialize(spark, reps.join(loose, "s1"), "join-members")
     total = member.groupBy("loose").agg(F.ceil(F.sum("n_shingles") / F.lit(float(block))).cast("int").alias("chunks"))
     member = member.join(total, "loose").withColumn("chunk", F.pmod(F.xxhash64("rep", "s1"), "chunks").cast("int"))
@@ -318,7 +446,7 @@ def join_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100,
     # rows that share an id are one document: their sets meet in its node
     comp = components(spark, links, "join-links").select(F.col("id").alias("rep"), F.col("component"))
     classes = reps.join(comp, "rep", "left").select("s1", "s2", "n_shingles", F.coalesce("component", "rep").alias("c"))
-    found = full.join(classes, ["s1", "s2", "n_shingles"]).select("doc_id", "n_shingles", F.col("c").alias("component_id"))
+    found = full.drop("sketch").join(classes, ["s1", "s2", "n_shingles"]).select("doc_id", "n_shingles", F.col("c").alias("component_id"))
     alone = sig.where("n_shingles = 0 or doc_id is null").select(
         "doc_id", "n_shingles", F.when(F.col("n_shingles") == 0, F.col("doc_id")).alias("component_id"))
     return found.unionByName(alone)
