@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, mixing, ngram_join, packing, secrets, substring_dedup, toxicity
+from . import ann, line_dedup, mixing, ngram_join, packing, secrets, substring_dedup, topk, toxicity
 from .common import read_table
 
 
@@ -20,6 +20,16 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "sequence_length")
 
 
+def op2_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each query's 20 nearest vectors found."""
+    return ann.search(read_table(spark, sf_dir, "embeddings"))
+
+
+def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each query's 20 highest integer scores, exactly."""
+    return topk.search(read_table(spark, sf_dir, "embeddings"))
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The mix of all documents: words taken of each."""
     d = mixing.plan(read_table(spark, sf_dir, "documents"))
@@ -59,6 +69,8 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_packing": op1_packing,
+        "op2_ann": op2_ann,
+        "op3_topk": op3_topk,
         "op4_mixing": op4_mixing,
         "op6_substring_dedup": op6_substring_dedup,
         "op7_line_dedup": op7_line_dedup,
