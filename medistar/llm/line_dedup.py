@@ -35,8 +35,10 @@ def _lines(docs: DataFrame, id_col: str, text_col: str, leading: int, segments:
     one = docs.where(F.col(f"`{text_col}`").isNotNull()).select(
         F.col(f"`{id_col}`").alias("id"), row_hash(docs).alias("h"),
         F.posexplode(F.split(F.col(f"`{text_col}`").cast("string"), "\n")).alias("pos", "line"))
-    toks = F.transform(F.filter(F.split("line", r"[\x20\x09-\x0D]+"), lambda t: t != ""),
-                       lambda t: F.when(t.rlike("[0-9]"), F.lit(WILDCARD)).otherwise(t))
+    words = F.split(F.btrim("line", F.lit(" \t\n\x0b\x0c\r")), r"[\x20\x09-\x0D]+")
+    # few lines hold a digit: only those are looked at token by token
+    toks = F.when(F.col("line").rlike("[0-9]"), F.transform(
+        words, lambda t: F.when(t.rlike("[0-9]"), F.lit(WILDCARD)).otherwise(t))).otherwise(words)
     one = one.select("id", "h", "pos", toks.alias("t"))
     long_enough = F.size("t") >= F.lit(max(min_tokens, leading + 1))
     rest = F.size("t") - F.lit(leading)
@@ -49,26 +51,32 @@ def _lines(docs: DataFrame, id_col: str, text_col: str, leading: int, segments:
                       F.xxhash64("t").alias("line"), F.when(long_enough, seg).alias("seg"))
 
 
-def templates(lines: DataFrame, similar: float, min_docs: int) -> DataFrame:
+def templates(lines: DataFrame, segments: int, similar: float, min_docs: int) -> DataFrame:
     """(leaf, line, keeper) of the lines whose template recurs; keeper is the id of
     the document that keeps it."""
     spark = lines.sparkSession
     # a document counts once per distinct line
-    per_doc = lines.where("leaf is not null").groupBy("leaf", "line", "id").agg(F.first("seg").alias("seg"))
-    per_doc = materialize(spark, per_doc, "lines-per-doc")
-    kinds = per_doc.groupBy("leaf", "line").agg(F.count(F.lit(1)).alias("docs"), F.first("seg").alias("seg"))
-    votes = kinds.select("leaf", "docs", F.posexplode("seg").alias("j", "s")) \
+    per_doc = lines.where("leaf is not null").groupBy("leaf", "line", "id").agg(F.lit(1).alias("one"))
+    kinds = materialize(spark, per_doc.groupBy("leaf", "line").agg(F.count(F.lit(1)).alias("docs"), F.min("id").alias("keeper")),
+                        "lines-kinds")
+    # only leaves with several lines, in enough documents, have anything to generalise
+    leaves = kinds.groupBy("leaf").agg(F.count(F.lit(1)).alias("kinds"), F.sum("docs").alias("all")) \
+        .where((F.col("kinds") > 1) & (F.col("all") >= min_docs)).select("leaf")
+    runs = [f"s{j}" for j in range(segments)]
+    mixed = lines.join(leaves, "leaf").groupBy("leaf", "line").agg(
+        *[F.min(F.get("seg", F.lit(j))).alias(c) for j, c in enumerate(runs)])
+    mixed = materialize(spark, mixed.join(kinds, ["leaf", "line"]), "lines-mixed")
+    votes = mixed.select("leaf", "docs", F.posexplode(F.array(*runs)).alias("j", "s")).where("s is not null") \
         .groupBy("leaf", "j", "s").agg(F.sum("docs").alias("docs")) \
         .groupBy("leaf", "j").agg(F.max_by("s", F.struct(F.col("docs"), -F.col("s").cast("decimal(20,0)"))).alias("s")) \
-        .groupBy("leaf").agg(F.transform(F.sort_array(F.collect_list(F.struct("j", "s"))), lambda x: x["s"]).alias("major"))
-    agree = F.size(F.filter(F.zip_with("seg", "major", lambda a, b: a == b), lambda x: x))
-    kinds = kinds.join(votes, "leaf").select(
-        "leaf", "line", F.when(agree >= F.lit(similar) * F.size("seg"), F.lit(0).cast("long")).otherwise(F.col("line")).alias("template"))
-    kinds = materialize(spark, kinds, "lines-kinds")
-    seen = per_doc.join(kinds, ["leaf", "line"]).groupBy("leaf", "template", "id").agg(F.lit(1).alias("one")) \
-        .groupBy("leaf", "template").agg(F.count(F.lit(1)).alias("docs"), F.min("id").alias("keeper")) \
-        .where(F.col("docs") >= min_docs)
-    return kinds.join(seen, ["leaf", "template"]).select("leaf", "line", "keeper")
+        .groupBy("leaf").agg(F.map_from_entries(F.collect_list(F.struct("j", "s"))).alias("major"))
+    agree = sum((F.coalesce((F.col(c) == F.col("major")[j]).cast("int"), F.lit(0)) for j, c in enumerate(runs)), F.lit(0))
+    n = sum((F.col(c).isNotNull().cast("int") for c in runs), F.lit(0))
+    general = mixed.join(votes, "leaf").where(agree >= F.lit(similar) * n).select("leaf", "line")
+    seen = lines.select("leaf", "line", "id").join(general, ["leaf", "line"]).groupBy("leaf", "id").agg(F.lit(1).alias("one")) \
+        .groupBy("leaf").agg(F.count(F.lit(1)).alias("docs"), F.min("id").alias("keeper")).where(F.col("docs") >= min_docs)
+    alone = kinds.where(F.col("docs") >= min_docs).join(general, ["leaf", "line"], "left_anti").select("leaf", "line", "keeper")
+    return alone.unionByName(general.join(seen, "leaf").select("leaf", "line", "keeper"))
 
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", leading: int = 3, segments: int = 8,
@@ -77,8 +85,9 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", leadi
     _ld_dropped, the numbers of its lines and of those dropped."""
     spark = docs.sparkSession
     lines = materialize(spark, _lines(docs, id_col, text_col, leading, segments, min_tokens), "lines")
-    known = templates(lines, similar, min_docs)
+    known = templates(lines, segments, similar, min_docs)
     drop = F.col("keeper").isNotNull() & ~F.col("id").eqNullSafe(F.col("keeper"))
+    known = materialize(spark, known, "lines-known")
     flags = lines.select("id", "h", "pos", "leaf", "line").join(known, ["leaf", "line"], "left") \
         .groupBy(F.col("id").alias("_ld_id"), F.col("h").alias("_ld_h")) \
         .agg(F.transform(F.sort_array(F.collect_set(F.struct("pos", drop.alias("drop")))), lambda x: x["drop"]).alias("_ld_drop"))
