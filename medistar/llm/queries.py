@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, line_dedup, mixing, ngram_join, packing, secrets, substring_dedup, topk, toxicity
+from . import ann, html_extract, line_dedup, mixing, ngram_join, packing, secrets, substring_dedup, topk, toxicity
 from .common import read_table
 
 
@@ -36,6 +36,12 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("doc_id", "size", "source_size", "target", "taken", "source", "copies", "part_words")
 
 
+def op5_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    d = html_extract.extract_pages(read_table(spark, sf_dir, "pages"))
+    return d.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the 50-word windows of earlier documents."""
     d = substring_dedup.dedup(read_table(spark, sf_dir, "documents"), window=50)
@@ -72,6 +78,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_ann": op2_ann,
         "op3_topk": op3_topk,
         "op4_mixing": op4_mixing,
+        "op5_html": op5_html,
         "op6_substring_dedup": op6_substring_dedup,
         "op7_line_dedup": op7_line_dedup,
         "op8_ngram_join": op8_ngram_join,
