@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import importable, materialize
 from .vectors import PACK, blocks, clean, is_query, matrix
 
 
@@ -114,6 +114,7 @@ def search(table: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding",
            size: int = PACK) -> DataFrame:
     """(query_id, rank, vec_id, score) of each query's k nearest found."""
     spark = table.sparkSession
+    importable(spark)
     rows = materialize(spark, clean(table, id_col, vec_col, nonzero=True), "ann-rows")
     norm = F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)
     n, longest = rows.agg(F.count(F.lit(1)), F.max(norm)).first()

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +15,15 @@ from medistar.session import shared_path
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it, also if
+    it is not installed and the driver was started in another folder."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(x for x in (env.get("PYTHONPATH"), root) if x)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -25,6 +36,19 @@ def materialize(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def filtered_scans(spark: SparkSession):
+    """Inside, Spark may test a large scan against a Bloom filter (of bounded size)
+    of the keys it is joined with, before the shuffle, whatever the scan's size."""
+    key = "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "0")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def n_words(text: Column) -> Column:
     """Number of words of a text (null: 0), JVM only."""
     return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(WORD)).cast("long")

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import materialize
+from .common import importable, materialize
 
 # HTML element classes
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -245,6 +245,7 @@ def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
     from pyspark.sql.pandas.types import to_arrow_schema
 
     spark = pages.sparkSession
+    importable(spark)
     src = pages.select(F.col(f"`{id_col}`").alias("page_id"), F.col(f"`{url_col}`").cast("string").alias("url"),
                        F.col(f"`{html_col}`").cast("string").alias("html"))
     host = F.regexp_replace(F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), _HOST.pattern, 1)), r"^www\.", "")

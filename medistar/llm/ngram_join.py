@@ -41,10 +41,10 @@ from math import comb
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import components, materialize
+from .common import components, filtered_scans, importable, materialize, row_hash
 from .textkit import Words, mix, signed, slices
 
 _RATIO = 1.5  # of the largest to the smallest size in a class of large sets
@@ -171,8 +171,9 @@ def signature(h: np.ndarray) -> tuple[int, int]:
 
 
 def sketch(h: np.ndarray) -> bytes:
-    """Parity sketch: one bit per hash range, flipped by each shingle in it."""
-    bits = max(64, 1 << (len(h) - 1).bit_length()) if len(h) else 64
+    """Parity sketch: one bit per hash range, flipped by each shingle in it; half as
+    many bits as shingles still tell unrelated sets apart, a power of two folds."""
+    bits = max(64, 1 << (len(h) // 2 - 1).bit_length()) if len(h) > 2 else 64
     return np.packbits(np.bincount((mix(h, 31) & _U(bits - 1)).astype(np.int64), minlength=bits).astype(np.uint8) & 1).tobytes()
 
 
@@ -411,6 +412,7 @@ def join_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100,
                     text_col: str = "text", block: int = 1 << 18, bucket: int = 2048) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every document row."""
     spark = docs.sparkSession
+    importable(spark)
     src = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     sig = materialize(spark, src.mapInArrow(_signatures(k), "doc_id long, n_shingles long, s1 long, s2 long, sketch binary"), "join-sig")
     full = sig.where("n_shingles > 0 and doc_id is not null")
@@ -440,7 +442,10 @@ def join_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100,
     dealt = F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), lambda c: F.struct(
         F.least(c, F.col("chunk")).alias("a"), F.greatest(c, F.col("chunk")).alias("b")))
     dealt = member.select("rep", "s1", "s2", "loose", "chunk", F.explode(dealt).alias("at"))
-    texts = src.withColumnRenamed("doc_id", "rep")
+    # only the texts of loose groups are needed: their scan is filtered before it is shuffled
+    wanted = materialize(spark, member.select("rep", F.lit(1).alias("wanted")).distinct(), "join-wanted").where("wanted > 0")
+    with filtered_scans(spark):
+        texts = materialize(spark, src.join(wanted, src["doc_id"] == wanted["rep"]).select("rep", "text"), "join-texts")
     links = texts.join(dealt, "rep").select("loose", "at", "rep", "s1", "s2", "chunk", "text") \
         .groupBy("loose", "at").applyInPandas(_forest(k, num, den), "src long, dst long")
     # rows that share an id are one document: their sets meet in its node
@@ -455,10 +460,6 @@ def join_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100,
 def keep_one(docs: DataFrame, **kw) -> DataFrame:
     """docs with one document (the smallest id) of each component; rows without an
     id stay; of rows that share an id the one with the smallest row hash stays."""
-    from pyspark.sql import Window
-
-    from .common import row_hash
-
     found = join_components(docs, **kw).where("doc_id = component_id").select(
         F.col("doc_id").alias("_keep")).distinct()
     kept = docs.join(found, F.col("doc_id").cast("long") == F.col("_keep"), "left_semi")

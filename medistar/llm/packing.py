@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import materialize
+from .common import importable, materialize
 
 END_ID = 0
 _ENCODERS: dict = {}
@@ -192,6 +192,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capaci
     from pyspark.sql.pandas.types import to_arrow_schema
 
     spark = docs.sparkSession
+    importable(spark)
     path = vocabulary or vocabulary_path()
     src = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     schema = _schema(src.schema["doc_id"].dataType)

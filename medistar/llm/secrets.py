@@ -26,6 +26,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import importable
+
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
@@ -132,6 +134,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", reach:
     """(doc_id, spans array<struct(kind, start, end)>) of every document."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
+    importable(docs.sparkSession)
     src = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     schema = T.StructType([T.StructField("doc_id", src.schema["doc_id"].dataType),
                            T.StructField("spans", T.ArrayType(_SPAN))])

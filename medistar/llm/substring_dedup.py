@@ -29,10 +29,10 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import filtered_scans, importable, materialize
 from .textkit import SpanHash, Words, signed, sliding_min, slices
 
 _SPLIT = 64  # most windows in a stretch
@@ -137,6 +137,7 @@ def dedup(docs: DataFrame, window: int = 50, gram: int = 20, id_col: str = "doc_
     """(doc_id, n_words, n_removed, kept) of every row: the words outside all
     repeats, joined by one space."""
     spark = docs.sparkSession
+    importable(spark)
     src = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     known = src.where("doc_id is not null")
     seeds = known.mapInArrow(_seeds(window, gram), "a long, sig long, doc long, crc int, pos int, n int")
@@ -149,10 +150,17 @@ def dedup(docs: DataFrame, window: int = 50, gram: int = 20, id_col: str = "doc_
     whole = met.where("doc > first").select("doc", "crc", "pos", "n")
     ends = met.where("doc = first and differs").groupBy("doc").agg(
         F.collect_list(F.struct("crc", "pos", "n", "a")).alias("parts"))
-    windows = known.join(ends, known["doc_id"] == ends["doc"]).select("doc_id", "text", "parts") \
+    ends = materialize(spark, ends, "substring-ends")
+    # only the texts of first carriers are needed: their scan is filtered before it is shuffled
+    wanted = materialize(spark, ends.select("doc", F.lit(1).alias("wanted")), "substring-wanted").where("wanted > 0")
+    with filtered_scans(spark):
+        texts = materialize(spark, known.join(wanted, known["doc_id"] == wanted["doc"]).select("doc_id", "text"), "substring-texts")
+    windows = texts.join(ends, texts["doc_id"] == ends["doc"]).select("doc_id", "text", "parts") \
         .mapInArrow(_windows(window), "a long, h long, doc long, crc int, pos int")
-    single = windows.withColumn("first", F.min("doc").over(Window.partitionBy("a", "h"))) \
-        .where("doc > first").select("doc", "crc", "pos", F.lit(1).alias("n"))
+    # a window that a third of all documents carry is one minimum per task, and a join that Spark can split
+    windows = materialize(spark, windows, "substring-windows")
+    firsts = windows.groupBy("a", "h").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).where("first < last")
+    single = windows.join(firsts, ["a", "h"]).where("doc > first").select("doc", "crc", "pos", F.lit(1).alias("n"))
     spans = whole.unionByName(single).groupBy(F.col("doc").alias("doc")).agg(
         F.collect_list(F.struct("crc", "pos", "n")).alias("spans"))
     out_schema = "doc_id long, n_words long, n_removed long, kept string"

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import importable, materialize
 from .vectors import PACK, blocks, clean, is_query, matrix
 
 _FAN = 64
@@ -94,6 +94,7 @@ def search(table: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding",
            every: int = 20, lists: int = 4, pack: int = 512, size: int = PACK) -> DataFrame:
     """(query_id, rank, vec_id, score) of each query's k best."""
     spark = table.sparkSession
+    importable(spark)
     rows = clean(table, id_col, vec_col, nonzero=False)
     rows = rows.select("vec_id", F.transform("v", lambda x: F.floor(x * F.lit(scale)).cast("double")).alias("v"))
     rows = materialize(spark, rows, "topk-rows")

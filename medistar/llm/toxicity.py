@@ -32,6 +32,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import importable, materialize
+
 # Fixed seeds of the closed classes (four languages)
 TARGETS = frozenset("you your youre he she they them him her his these those people du ihr sie dich dein "
                     "tu toi vous ton tes il elle tú usted ustedes él ella ellos".split())
@@ -191,13 +193,12 @@ def learn(docs: DataFrame, labels: DataFrame, max_per_class: int = 4000, max_ter
           min_contexts: int = 5, min_precision: float = 0.9) -> Model:
     """A model of the labelled rows that are not held out."""
     spark = docs.sparkSession
+    importable(spark)
     lab = (labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
            .groupBy(F.col("doc_id").alias("_id")).agg((F.max("toxic") > 0).cast("int").alias("y")))
     key = F.xxhash64(F.lit("toxicity"), "_id")
     sample = lab.where("y = 1").orderBy(key, "_id").limit(max_per_class).unionByName(
         lab.where("y = 0").orderBy(key, "_id").limit(max_per_class))
-    from .common import materialize
-
     rows = docs.select(F.col("doc_id"), F.col("text").cast("string").alias("text")) \
         .join(sample, F.col("doc_id") == F.col("_id")).select("text", "y")
     rows = materialize(spark, rows, "toxicity-sample")
@@ -258,6 +259,7 @@ def apply(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     """docs' columns with score (double) and predicted (int)."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
+    importable(docs.sparkSession)
     schema = T.StructType([*docs.schema.fields, T.StructField("score", T.DoubleType()),
                            T.StructField("predicted", T.IntegerType())])
     arrow, at = to_arrow_schema(schema), docs.columns.index(text_col)
