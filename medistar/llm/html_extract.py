@@ -187,15 +187,15 @@ def best_containers(blocks, most: int = 3) -> list[tuple[str, float]]:
     seen: dict[int, _Node] = {}
     for n, text, linked in blocks:
         weight, share, holder = len(text) - 2.0 * linked, 1.0, n
-        while holder is not None and holder.parent is not None:
-            if holder.tag in _HOLDERS:
+        while holder is not None:  # the page itself holds what no element does
+            if holder.tag in _HOLDERS or holder.parent is None:
                 holder.score += weight * share
                 seen[id(holder)] = holder
                 share *= 0.85
             holder = holder.parent
     by_path: dict[str, float] = {}
     for n in seen.values():
-        s = n.score * (1.6 if n.tag in ("article", "main") else 1.25 if n.good else 0.6 if n.tag == "body" else 1.0)
+        s = n.score * (1.6 if n.tag in ("article", "main") else 1.25 if n.good else 0.6 if n.tag in ("body", "") else 1.0)
         if s > 0:
             p = n.path()
             by_path[p] = by_path.get(p, 0.0) + s
@@ -207,9 +207,11 @@ def best_containers(blocks, most: int = 3) -> list[tuple[str, float]]:
 def under(blocks, path: str) -> list[str]:
     """The block texts under the elements with a path."""
     known: dict[int, bool] = {}
+    if not path:
+        return [t for _, t, _ in blocks]
 
     def inside(n):
-        if n is None or n.parent is None:
+        if n.parent is None:
             return False
         got = known.get(id(n))
         if got is None:
