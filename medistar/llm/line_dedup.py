@@ -63,9 +63,10 @@ def templates(lines: DataFrame, segments: int, similar: float, min_docs: int) ->
     leaves = kinds.groupBy("leaf").agg(F.count(F.lit(1)).alias("kinds"), F.sum("docs").alias("all")) \
         .where((F.col("kinds") > 1) & (F.col("all") >= min_docs)).select("leaf")
     runs = [f"s{j}" for j in range(segments)]
-    mixed = lines.join(leaves, "leaf").groupBy("leaf", "line").agg(
+    # one row per distinct line before any join, so a line or leaf that many documents share is not one task's
+    each = lines.where("leaf is not null").groupBy("leaf", "line").agg(
         *[F.min(F.get("seg", F.lit(j))).alias(c) for j, c in enumerate(runs)])
-    mixed = materialize(spark, mixed.join(kinds, ["leaf", "line"]), "lines-mixed")
+    mixed = materialize(spark, each.join(kinds.join(leaves, "leaf"), ["leaf", "line"]), "lines-mixed")
     votes = mixed.select("leaf", "docs", F.posexplode(F.array(*runs)).alias("j", "s")).where("s is not null") \
         .groupBy("leaf", "j", "s").agg(F.sum("docs").alias("docs")) \
         .groupBy("leaf", "j").agg(F.max_by("s", F.struct(F.col("docs"), -F.col("s").cast("decimal(20,0)"))).alias("s")) \
