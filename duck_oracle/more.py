@@ -363,12 +363,12 @@ o_newc AS (
     MIN(substr(customer_type, 1, 50)) AS customer_type FROM o_ok2 WHERE ck IS NULL GROUP BY 1
 ),
 upload_new_customers AS (
-  SELECT CAST(s.base + row_number() OVER (ORDER BY lname) AS INTEGER) AS customer_key,
-    CAST(s.base + row_number() OVER (ORDER BY lname) AS INTEGER) AS source_customer_key,
+  SELECT CAST(s.base + row_number() OVER (ORDER BY lname) AS BIGINT) AS customer_key,
+    CAST(s.base + row_number() OVER (ORDER BY lname) AS BIGINT) AS source_customer_key,
     printf('ZCU-%06d', s.base + row_number() OVER (ORDER BY lname)) AS customer_code,
     customer_name, customer_type, CAST(NULL AS VARCHAR) AS email, CAST(NULL AS VARCHAR) AS phone,
     'Net30' AS payment_terms, 'Standard' AS customer_segment, 'Active' AS customer_status,
-    CAST(NULL AS INTEGER) AS geography_key, lname
+    CAST(NULL AS BIGINT) AS geography_key, lname
   FROM o_newc, (SELECT greatest(COALESCE(MAX(source_customer_key), {P.new_customer_key_floor}),
                 {P.new_customer_key_floor}) AS base FROM dim_customer) s
 ),
@@ -385,7 +385,7 @@ upload_sales_facts AS (
       || CAST(o.customer_key AS VARCHAR) || '|' || CAST(CAST(o.units_sold AS BIGINT) AS VARCHAR) || '|'
       || CAST(o.unit_price AS VARCHAR) || '|' || CAST(o.net_revenue AS VARCHAR)), 1, 20)) AS source_order_number,
     1 AS source_order_line_num, {_q(P.upload_source_system)} AS source_system,
-    CAST(o.units_sold AS INTEGER) AS units_sold, o.unit_price, CAST(o.unit_price_discount_pct AS DECIMAL(8,4))
+    CAST(o.units_sold AS BIGINT) AS units_sold, o.unit_price, CAST(o.unit_price_discount_pct AS DECIMAL(8,4))
       AS unit_price_discount_pct, o.gross_revenue, o.discount_amount, o.net_revenue, o.cost_of_goods,
     o.gross_profit, o.gross_margin_pct, o.tax_amount, o.freight_cost, {_q(P.batch_id)} AS etl_batch_id,
     CAST(o.date_key // 10000 AS INTEGER) AS order_year, o._row
@@ -434,8 +434,8 @@ o_iu2 AS (
   FROM o_iu1 i WHERE sd IS NOT NULL AND COALESCE(trim(drug_name), '') <> ''
 ),
 upload_inventory_clean AS (
-  SELECT drug_name, sd AS snapshot_date, CAST(oh AS INTEGER) AS units_on_hand, CAST(ord AS INTEGER) AS units_ordered,
-    CAST(dsp AS INTEGER) AS units_dispatched, CAST(round(oh * uc, 4) AS DECIMAL(18,4)) AS stock_value,
+  SELECT drug_name, sd AS snapshot_date, CAST(oh AS BIGINT) AS units_on_hand, CAST(ord AS BIGINT) AS units_ordered,
+    CAST(dsp AS BIGINT) AS units_dispatched, CAST(round(oh * uc, 4) AS DECIMAL(18,4)) AS stock_value,
     CAST(CASE WHEN sd_sum > 0 THEN CAST((2 * CAST(oh AS HUGEINT) * sd_cnt * 100 + CAST(sd_sum AS HUGEINT))
       // (2 * CAST(sd_sum AS HUGEINT)) AS DECIMAL(18,0)) * 0.01 END AS DECIMAL(10,2)) AS days_of_supply,
     CASE WHEN oh <= 0 THEN 'Out of Stock' WHEN oh < 50 THEN 'Critical' WHEN oh < 150 THEN 'Low Stock'

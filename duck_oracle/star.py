@@ -128,7 +128,7 @@ o_drug3 AS (
   SELECT *, row_number() OVER (PARTITION BY base_name, code, rn_base = 1 ORDER BY pk) AS rn_code FROM o_drug2
 ),
 dim_drug AS (
-  SELECT CAST(d.pk AS INTEGER) AS drug_key, CAST(d.pk AS INTEGER) AS source_product_key,
+  SELECT CAST(d.pk AS BIGINT) AS drug_key, CAST(d.pk AS BIGINT) AS source_product_key,
          substr({_case('d.cname', atc_map, fixed.DEFAULT_CLASS[2])}, 1, 1) || '-' || printf('%04d', d.pk) AS drug_code,
          CASE WHEN rn_base = 1 THEN base_name
               WHEN rn_code = 1 THEN base_name || ' (' || code || ')'
@@ -161,7 +161,7 @@ o_cust1 AS (
   FROM o_cust0
 ),
 dim_customer AS (
-  SELECT CAST(ck AS INTEGER) AS customer_key, CAST(ck AS INTEGER) AS source_customer_key, printf('ZCU-%06d', ck) AS customer_code,
+  SELECT CAST(ck AS BIGINT) AS customer_key, CAST(ck AS BIGINT) AS source_customer_key, printf('ZCU-%06d', ck) AS customer_code,
          substr(split_part(full_name, ' ', 1) || ' ' || {suffix} || ' #' || ck, 1, 200) AS customer_name,
          ctype AS customer_type,
          CASE WHEN email IS NULL OR email = '' OR position('@' IN email) = 0 THEN NULL ELSE email END AS email,
@@ -178,7 +178,7 @@ o_sales AS (
          CAST(strftime(o_orderdate, '%Y%m%d') AS INTEGER) + {shift} AS dk,
          CAST(strftime(l_shipdate, '%Y%m%d') AS INTEGER) + {shift} AS sdk,
          CAST(strftime(o_orderdate + INTERVAL 12 DAY, '%Y%m%d') AS INTEGER) + {shift} AS ddk,
-         CASE WHEN (l_orderkey + l_linenumber) % 307 = 0 THEN 0 ELSE CAST(l_quantity AS INTEGER) END AS qty,
+         CASE WHEN (l_orderkey + l_linenumber) % 307 = 0 THEN 0 ELSE CAST(l_quantity AS BIGINT) END AS qty,
          CASE WHEN (l_orderkey + l_linenumber) % 311 = 0 THEN CAST(0 AS DECIMAL(18,4))
               ELSE CAST(CAST((CAST(round(l_extendedprice * 100) AS BIGINT) * 100) // CAST(l_quantity AS BIGINT)
                              AS DECIMAL(18,0)) * 0.0001 AS DECIMAL(18,4)) END AS price,
@@ -260,7 +260,7 @@ o_inv_rn AS (
   WHERE i.dk <= {p.as_of_key}
 ),
 fact_inventory AS (
-  SELECT dk AS snapshot_date_key, drug_key, CAST(greatest(units, 0) AS INTEGER) AS units_on_hand,
+  SELECT dk AS snapshot_date_key, drug_key, CAST(greatest(units, 0) AS BIGINT) AS units_on_hand,
          0 AS units_ordered, 0 AS units_dispatched, 0 AS safety_stock_level, 0 AS reorder_point,
          CAST(greatest(units, 0) * greatest(cost, 0) AS DECIMAL(18,4)) AS stock_value,
          CAST(NULL AS DECIMAL(10,2)) AS days_of_supply,

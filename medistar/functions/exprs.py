@@ -38,10 +38,22 @@ def safe_double(c, default: float | None = 0.0) -> Column:
     return F.when(bad, F.lit(default).cast("double")).otherwise(d)
 
 
-def safe_int(c, default: int | None = 0) -> Column:
-    """Integer truncated toward zero via double; failures become ``default``."""
-    d = safe_double(c, None)
-    return F.when(d.isNull(), F.lit(default).cast("long")).otherwise(d.cast("long"))
+def long_key(c: str) -> Column:
+    """64-bit integer of a column: exact where it reads as one, else truncated via
+    double ('12.0'); anything else, or out of range, is null and never wraps."""
+    q = _sql(c)
+    return F.expr(f"coalesce(try_cast({q} AS BIGINT), try_cast(try_cast({q} AS DOUBLE) AS BIGINT))")
+
+
+def safe_int(c: str, default: int | None = 0) -> Column:
+    """``long_key`` with a default for failures."""
+    return F.coalesce(long_key(c), F.lit(default).cast("long"))
+
+
+def safe_date_key(c: str, default: int | None = None) -> Column:
+    """yyyymmdd key as int; what has more than eight digits is no date key."""
+    k = long_key(c)
+    return F.when(k.between(-99999999, 99999999), k.cast("int")).otherwise(F.lit(default).cast("int"))
 
 
 def safe_money(c, default=0) -> Column:

@@ -21,8 +21,7 @@ from medistar.params import Params
 INT = "int"
 
 
-def _try_int(c: str):
-    return F.expr(f"try_cast(try_cast(`{c}` AS DOUBLE) AS INT)")
+_try_int = X.long_key  # business keys are 64-bit end to end
 
 
 def _nan_text(c: str, default: str):

@@ -57,13 +57,13 @@ def transform_fact_sales(raw: DataFrame, dim_drug: DataFrame, dim_customer: Data
                          order_cols=("src_order",)) -> Conformed:
     s = raw.select(
         X.safe_str("SalesOrderNumber", "").alias("order_num"),
-        X.safe_int("SalesOrderLineNumber", 1).cast("int").alias("line"),
-        X.safe_int("ProductKey", -1).cast("int").alias("pk"),
-        X.safe_int("CustomerKey", -1).cast("int").alias("ck"),
-        X.safe_int("OrderDateKey", -1).cast("int").alias("dk"),
-        X.safe_int("ShipDateKey", 0).cast("int").alias("sdk0"),
-        X.safe_int("DueDateKey", 0).cast("int").alias("ddk0"),
-        X.safe_int("SalesTerritoryKey", 0).cast("int").alias("tk0"),
+        X.safe_int("SalesOrderLineNumber", 1).alias("line"),
+        X.safe_int("ProductKey", -1).alias("pk"),
+        X.safe_int("CustomerKey", -1).alias("ck"),
+        X.safe_date_key("OrderDateKey", -1).alias("dk"),
+        X.safe_date_key("ShipDateKey", 0).alias("sdk0"),
+        X.safe_date_key("DueDateKey", 0).alias("ddk0"),
+        X.safe_int("SalesTerritoryKey", 0).alias("tk0"),
         X.safe_int("OrderQuantity", 0).alias("qty"),
         X.safe_money("UnitPrice", 0).alias("price"),
         X.safe_money("UnitPriceDiscountPct", 0).alias("disc"),
@@ -114,7 +114,7 @@ def transform_fact_sales(raw: DataFrame, dim_drug: DataFrame, dim_customer: Data
         F.col("order_num").alias("source_order_number"),
         F.col("line").alias("source_order_line_num"),
         F.lit(params.source_system).alias("source_system"),
-        F.col("qty").cast("int").alias("units_sold"),
+        F.col("qty").alias("units_sold"),
         F.round(F.col("price"), 4).cast(X.MONEY).alias("unit_price"),
         F.least(F.greatest(disc100, F.lit(0)), F.lit(100)).cast(X.PCT).alias("unit_price_discount_pct"),
         F.round(gross, 4).cast(X.MONEY).alias("gross_revenue"),
@@ -144,8 +144,8 @@ def transform_fact_inventory(raw: DataFrame, dim_drug: DataFrame, dim_date: Data
                              params: Params, order_cols=("MovementDate", "UnitsBalance", "UnitCost")) -> Conformed:
     """FACT-4 waterfall and measures, SNK-6 drug key resolution, FACT-5 keep the last snapshot."""
     s = raw.select(
-        F.expr("try_cast(try_cast(ProductKey AS DOUBLE) AS INT)").alias("pk"),
-        F.expr("try_cast(try_cast(DateKey AS DOUBLE) AS INT)").alias("dk"),
+        X.long_key("ProductKey").alias("pk"),
+        X.safe_date_key("DateKey").alias("dk"),
         X.safe_int("UnitsBalance", 0).alias("units0"),
         X.safe_money("UnitCost", 0).alias("cost0"),
         *[F.col(c).alias(f"_ord{i}") for i, c in enumerate(order_cols)],
@@ -165,14 +165,14 @@ def transform_fact_inventory(raw: DataFrame, dim_drug: DataFrame, dim_date: Data
     flagged = track(flagged, "fact_inventory", reasons, {"negative_units_fixed": F.col("_neg_units"),
                                                          "negative_cost_fixed": F.col("_neg_cost")})
     kept = flagged.where(F.col("_reason").isNull())
-    units = F.greatest(F.col("units0"), F.lit(0)).cast("int")
+    units = F.greatest(F.col("units0"), F.lit(0))
     cost = F.greatest(F.col("cost0"), F.lit(0).cast(X.MONEY))
     m = kept.select(
         F.col("dk").alias("snapshot_date_key"),
         F.col("drug_key"),
         units.alias("units_on_hand"),
-        F.lit(0).alias("units_ordered"),
-        F.lit(0).alias("units_dispatched"),
+        F.lit(0).cast("long").alias("units_ordered"),
+        F.lit(0).cast("long").alias("units_dispatched"),
         F.lit(0).alias("safety_stock_level"),
         F.lit(0).alias("reorder_point"),
         F.round(units * cost, 4).cast(X.MONEY).alias("stock_value"),

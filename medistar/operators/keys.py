@@ -43,5 +43,5 @@ def assign_sequential_keys(df: DataFrame, order_cols: list[str], start: int | Da
         out = out.withColumn("_one", F.lit(1)).join(F.broadcast(one), "_one", "inner").drop("_one")
     else:
         out = out.withColumn("_start", F.lit(start))
-    return out.withColumn(key_col, (F.col("_start") + F.col("_off") + F.col("_local") + 1).cast("int")) \
+    return out.withColumn(key_col, (F.col("_start") + F.col("_off") + F.col("_local") + 1).cast("long")) \
               .drop("_mid", "_pid", "_local", "_off", "_start")

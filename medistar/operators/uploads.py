@@ -126,9 +126,9 @@ def transform_inventory_upload(df: DataFrame, order_col: str = "_row") -> Upload
     units_i = F.col("units_on_hand").cast("long")
     m = m.select(
         "drug_name", "snapshot_date",
-        F.col("units_on_hand").cast("int").alias("units_on_hand"),
-        F.col("units_ordered").cast("int").alias("units_ordered"),
-        F.col("units_dispatched").cast("int").alias("units_dispatched"),
+        F.col("units_on_hand").cast("long").alias("units_on_hand"),
+        F.col("units_ordered").cast("long").alias("units_ordered"),
+        F.col("units_dispatched").cast("long").alias("units_dispatched"),
         F.round(F.col("units_on_hand") * F.col("unit_cost"), 4).cast(X.MONEY).alias("stock_value"),
         F.when(F.col("_sum_d") > 0, F.round(F.col("units_on_hand") * F.col("_cnt_d") / F.col("_sum_d"), 2))
          .cast(X.DAYS).alias("days_of_supply"),
@@ -194,7 +194,7 @@ def resolve_customers(rows: DataFrame, dim_customer: DataFrame, params: Params)
         F.lit(fixed.PAYMENT_TERMS).alias("payment_terms"),
         F.lit(fixed.UPLOAD_CUSTOMER_SEGMENT).alias("customer_segment"),
         F.lit(fixed.CUSTOMER_STATUS).alias("customer_status"),
-        F.lit(None).cast("int").alias("geography_key"), "_lname")
+        F.lit(None).cast("long").alias("geography_key"), "_lname")
     # pin the numbering: the dimension rows and the fact rows must see the same keys
     new_dim = new_dim.checkpoint(eager=True)
     r = (r.withColumn("_lname", F.lower(F.substring("customer_name", 1, 200)))
@@ -245,9 +245,9 @@ def resolve_sales_upload(clean: DataFrame, star_tables: dict, params: Params) ->
         "drug_key", "customer_key", "geography_key", "territory_key",
         upload_order_number("date_key", "drug_key", "customer_key", "units_sold", "unit_price",
                             "net_revenue").alias("source_order_number"),
-        F.lit(1).alias("source_order_line_num"),
+        F.lit(1).cast("long").alias("source_order_line_num"),
         F.lit(params.upload_source_system).alias("source_system"),
-        F.col("units_sold").cast("int").alias("units_sold"),
+        F.col("units_sold").cast("long").alias("units_sold"),
         F.col("unit_price").cast(X.MONEY).alias("unit_price"),
         F.col("unit_price_discount_pct").cast(X.PCT).alias("unit_price_discount_pct"),
         "gross_revenue", "discount_amount", "net_revenue", "cost_of_goods", "gross_profit", "gross_margin_pct",

@@ -54,17 +54,17 @@ def geography(t) -> DataFrame:
     n = t["nation"]
     r = t["region"]
     return (n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey, "left")
-            .select((F.col("n_nationkey") + 1).cast("int").alias("GeographyKey"),
+            .select((F.col("n_nationkey") + 1).cast("long").alias("GeographyKey"),
                     F.col("n_name").alias("City"),
                     F.col("r_name").alias("StateProvinceName"),
                     _pick(COUNTRIES, F.col("n_nationkey")).alias("CountryRegion"),
                     F.lpad(F.col("n_nationkey").cast("string"), 5, "0").alias("PostalCode"),
-                    (F.col("n_regionkey") + 1).cast("int").alias("SalesTerritoryKey")))
+                    (F.col("n_regionkey") + 1).cast("long").alias("SalesTerritoryKey")))
 
 
 def territory(t) -> DataFrame:
     return t["region"].select(
-        (F.col("r_regionkey") + 1).cast("int").alias("SalesTerritoryKey"),
+        (F.col("r_regionkey") + 1).cast("long").alias("SalesTerritoryKey"),
         F.col("r_name").alias("TerritoryName"),
         F.col("r_name").alias("TerritoryCountry"),
         F.concat(F.lit("Group "), (F.col("r_regionkey") % 2).cast("string")).alias("TerritoryGroup"))
@@ -87,7 +87,7 @@ def product(t) -> DataFrame:
     size_code = (F.when(size <= 10, "S").when(size <= 20, "M").when(size <= 30, "L")
                  .when(size <= 37, "XL").otherwise(size.cast("string")))
     return p.select(
-        (k + 1).cast("int").alias("ProductKey"),
+        (k.cast("long") + 1).alias("ProductKey"),
         F.concat(F.lit("PRD-"), k.cast("string")).alias("ProductAlternateKey"),
         F.when(k % 211 == 0, F.lit(None).cast("string")).otherwise(F.col("p_name")).alias("ProductName"),
         _pick(COLORS, k).alias("Color"),
@@ -108,7 +108,7 @@ def _initcap_word(c):
 def customer(t) -> DataFrame:
     c = t["customer"]
     k = F.col("c_custkey")
-    ck = (k * 17 + 1).cast("int")
+    ck = k.cast("long") * 17 + 1
     gone = k % 101 == 0
     first = F.when(gone, F.lit(None).cast("string")).otherwise(_initcap_word("c_mktsegment"))
     last = F.when(gone, F.lit(None).cast("string")).otherwise(F.col("c_name"))
@@ -119,7 +119,7 @@ def customer(t) -> DataFrame:
     return c.select(ck.alias("CustomerKey"), first.alias("FirstName"), last.alias("LastName"),
                     F.concat_ws(" ", first, last).alias("FullName"),
                     email.alias("EmailAddress"), phone.alias("Phone"),
-                    (F.col("c_nationkey") + 1).cast("int").alias("GeographyKey"))
+                    (F.col("c_nationkey") + 1).cast("long").alias("GeographyKey"))
 
 
 # columns that give the sales source a total row order (first-row-wins dedupe)
@@ -142,7 +142,7 @@ def internet_sales(t) -> DataFrame:
     ok, ln = F.col("l_orderkey"), F.col("l_linenumber")
     okl = ok + ln
     qty_raw = F.col("l_quantity")
-    qty = F.when(okl % 307 == 0, F.lit(0)).otherwise(qty_raw).cast("int")
+    qty = F.when(okl % 307 == 0, F.lit(0)).otherwise(qty_raw).cast("long")
     unit_units = F.when(qty_raw.cast("long") == 0, F.lit(None)).otherwise(
         F.expr("cast(round(l_extendedprice * 100) as bigint) * 100 div cast(l_quantity as bigint)"))
     unit_price = F.when(okl % 311 == 0, F.lit(0).cast(X.MONEY)).otherwise(
@@ -156,9 +156,9 @@ def internet_sales(t) -> DataFrame:
         F.when(ok % 499 == 0, F.lit(None).cast("string"))
          .otherwise(F.concat(F.lit("SO"), ok.cast("string"))).alias("SalesOrderNumber"),
         ln.cast("int").alias("SalesOrderLineNumber"),
-        F.when(okl % 313 == 0, F.lit(-1)).otherwise(F.col("l_partkey") + 1).cast("int").alias("ProductKey"),
-        (F.col("o_custkey") * 17 + 1).cast("int").alias("CustomerKey"),
-        (F.col("n_regionkey") + 1).cast("int").alias("SalesTerritoryKey"),
+        F.when(okl % 313 == 0, F.lit(-1)).otherwise(F.col("l_partkey").cast("long") + 1).alias("ProductKey"),
+        (F.col("o_custkey").cast("long") * 17 + 1).alias("CustomerKey"),
+        (F.col("n_regionkey") + 1).cast("long").alias("SalesTerritoryKey"),
         X.date_key(odate).alias("OrderDateKey"),
         X.date_key(F.to_date("l_shipdate")).alias("ShipDateKey"),
         X.date_key(F.date_add(odate, 12)).alias("DueDateKey"),
@@ -185,7 +185,7 @@ def product_inventory(t) -> DataFrame:
     units = (F.col("q") * F.col("p_size") * 3 - 30).cast("long")
     cost = _dec(_dec("p_retailprice") * F.lit(Decimal("0.6")))
     base = j.select(
-        (k + 1).cast("int").alias("ProductKey"),
+        (k.cast("long") + 1).alias("ProductKey"),
         X.date_key("m").alias("DateKey"),
         units.alias("UnitsBalance"),
         F.when(k % 79 == 0, -cost).otherwise(cost).cast(X.MONEY).alias("UnitCost"),
@@ -306,6 +306,6 @@ def inventory_upload(t: dict[str, DataFrame], star_tables: dict[str, DataFrame],
         (F.col("drug_key") * 2).alias("_row"),
         F.col("p_partkey"))
     dup = (base.where(F.col("p_partkey") % 37 == 0)
-           .withColumn("units_on_hand", _s(F.col("units_on_hand").cast("int") + 5))
+           .withColumn("units_on_hand", _s(F.col("units_on_hand").cast("long") + 5))
            .withColumn("_row", F.col("_row") + 1))
     return base.unionByName(dup).drop("p_partkey")
