@@ -48,6 +48,7 @@ _DRIVER: dict[tuple, dict] = {}
 UPLOAD_SNAPSHOT_DATE = "2025-06-01"
 ADHOC_TEXT = ("-- status mix of the drug dimension\n"
               "SELECT drug_status, dosage_form, COUNT(*) AS n FROM dim_drug GROUP BY drug_status, dosage_form;")
+ADHOC_PAGE_TEXT = "SELECT drug_key, drug_name FROM dim_drug ORDER BY drug_key LIMIT 500 OFFSET 5"
 
 
 def _key(spark: SparkSession, sf_dir: str) -> tuple:
@@ -119,7 +120,8 @@ def _upload_sales_resolved(spark, sf_dir):
 
 
 def upload_sales_rejects(spark, sf_dir):
-    st, tr, (facts, skipped, newc) = _upload_sales_resolved(spark, sf_dir)
+    st, _, tr = _sales_upload(spark, sf_dir)
+    skipped, _ = U.split_skipped(tr.clean, st.tables)
     a = tr.rejects.select(F.col("reject_reason").alias("reason"))
     b = skipped.select(F.col("skip_reason").alias("reason"))
     return a.unionByName(b).groupBy("reason").agg(F.count(F.lit(1)).alias("rows"))
@@ -234,6 +236,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "row_counts": _q(lambda s: M.row_counts(s)),
         "schema_summary": _q(M.schema_summary),
         "adhoc_sql": lambda spark, sf: M.adhoc_sql(spark, _star(spark, sf), ADHOC_TEXT),
+        "adhoc_sql_limit": lambda spark, sf: M.adhoc_sql(spark, _star(spark, sf), ADHOC_PAGE_TEXT),
         "etl_audit_first_load": _q(lambda s: first_load_audit(s, PARAMS)),
         "recent_etl_runs": _q(lambda s: M.recent_etl_runs(first_load_audit(s, PARAMS), 30)),
         "etl_timeline": _q(lambda s: M.etl_timeline(first_load_audit(s, PARAMS))),

@@ -255,6 +255,7 @@ SCHEMA_SUMMARY = "\nUNION ALL ".join(
 ADHOC_TEXT = ("-- status mix of the drug dimension\n"
               "SELECT drug_status, dosage_form, COUNT(*) AS n FROM dim_drug GROUP BY drug_status, dosage_form;")
 ADHOC = "SELECT drug_status, dosage_form, COUNT(*) AS n FROM dim_drug GROUP BY drug_status, dosage_form LIMIT 200"
+ADHOC_PAGE = "SELECT drug_key, drug_name FROM dim_drug ORDER BY drug_key LIMIT 500 OFFSET 5"
 
 # ------------------------------------------------------------------- uploads
 _types = " ".join(f"WHEN contains(lower(trim(customer_type)), {_q(k)}) THEN {_q(v)}"
@@ -274,6 +275,8 @@ UPLOAD_CTES = f"""
     CASE WHEN l_orderkey % 5 = 0 OR cu.customer_name IS NULL THEN 'Government office'
          ELSE lower(cu.customer_type) END AS customer_type,
     CASE WHEN l_orderkey % 23 = 0 THEN 'n/a'
+         WHEN l_orderkey % 19 = 0 THEN strftime(CAST(o_orderdate AS DATE) + INTERVAL {P.shift_years} YEAR, '%-m/%-d/%Y')
+         WHEN l_orderkey % 17 = 0 THEN strftime(CAST(o_orderdate AS DATE) + INTERVAL {P.shift_years} YEAR, '%Y-%m-%dT10:30:00')
          ELSE strftime(CAST(o_orderdate AS DATE) + INTERVAL {P.shift_years} YEAR, '%Y-%m-%d') END AS order_date,
     CASE WHEN l_orderkey % 29 = 0 THEN '0' ELSE CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) END AS units_sold,
     CASE WHEN l_orderkey % 31 = 0 THEN '0' ELSE CAST(CAST(CAST(
@@ -301,7 +304,7 @@ UPLOAD_CTES = f"""
     LEFT JOIN region ON n_regionkey = r_regionkey
 ),
 o_up1 AS (
-  SELECT *, CAST(try_strptime(trim(order_date), '%Y-%m-%d') AS DATE) AS od,
+  SELECT *, CAST(try_strptime(trim(order_date), ['%Y-%m-%d', '%m/%d/%Y', '%Y-%m-%dT%H:%M:%S']) AS DATE) AS od,
     COALESCE(TRY_CAST(trim(units_sold) AS DECIMAL(18,4)), 0) AS u,
     COALESCE(TRY_CAST(trim(unit_price) AS DECIMAL(18,4)), 0) AS pr,
     COALESCE(TRY_CAST(trim(unit_price_discount_pct) AS DECIMAL(18,4)), 0) AS pct,
@@ -352,15 +355,17 @@ o_res2 AS (
   SELECT r.*, COALESCE(r.exact_key, f.k) AS drug_key, dd.date_key AS dk_ok
   FROM o_res1 r LEFT JOIN o_fuzzy f ON f.token = r.token LEFT JOIN dim_date dd ON dd.date_key = r.date_key
 ),
-o_ok AS (SELECT *, substr(customer_name, 1, 40) AS pat FROM o_res2 WHERE drug_key IS NOT NULL AND dk_ok IS NOT NULL),
+o_ok AS (SELECT *, customer_name AS pat FROM o_res2 WHERE drug_key IS NOT NULL AND dk_ok IS NOT NULL),
+o_cexact AS (SELECT lower(customer_name) AS ln, MIN(customer_key) AS k FROM dim_customer GROUP BY 1),
 o_cmatch AS (
   SELECT p.pat, MIN(c.customer_key) AS k FROM (SELECT DISTINCT pat FROM o_ok) p
   JOIN dim_customer c ON length(p.pat) > 0 AND contains(lower(c.customer_name), lower(p.pat)) GROUP BY p.pat
 ),
-o_ok2 AS (SELECT o.*, m.k AS ck FROM o_ok o LEFT JOIN o_cmatch m ON m.pat = o.pat),
+o_ok2 AS (SELECT o.*, COALESCE(e.k, m.k) AS ck FROM o_ok o LEFT JOIN o_cexact e ON e.ln = lower(o.customer_name)
+  LEFT JOIN o_cmatch m ON m.pat = o.pat),
 o_newc AS (
-  SELECT lower(substr(customer_name, 1, 200)) AS lname, MIN(substr(customer_name, 1, 200)) AS customer_name,
-    MIN(substr(customer_type, 1, 50)) AS customer_type FROM o_ok2 WHERE ck IS NULL GROUP BY 1
+  SELECT lower(customer_name) AS lname, MIN(customer_name) AS customer_name,
+    MIN(customer_type) AS customer_type FROM o_ok2 WHERE ck IS NULL GROUP BY 1
 ),
 upload_new_customers AS (
   SELECT CAST(s.base + row_number() OVER (ORDER BY lname) AS BIGINT) AS customer_key,
@@ -374,7 +379,7 @@ upload_new_customers AS (
 ),
 o_ok3 AS (
   SELECT o.*, COALESCE(o.ck, n.customer_key) AS customer_key FROM o_ok2 o
-  LEFT JOIN upload_new_customers n ON n.lname = lower(substr(o.customer_name, 1, 200))
+  LEFT JOIN upload_new_customers n ON n.lname = lower(o.customer_name)
 ),
 o_geo_l AS (SELECT lower(country_region) AS l, MIN(geography_key) AS k FROM dim_geography GROUP BY 1),
 o_ter_l AS (SELECT lower(territory_name) AS l, MIN(territory_key) AS k FROM dim_sales_territory GROUP BY 1),
@@ -490,6 +495,7 @@ SQL = {
     "row_counts": ROW_COUNTS,
     "schema_summary": SCHEMA_SUMMARY,
     "adhoc_sql": ADHOC,
+    "adhoc_sql_limit": ADHOC_PAGE,
     "etl_audit_first_load": AUDIT_FIRST,
     "recent_etl_runs": RECENT_RUNS,
     "etl_timeline": TIMELINE,

@@ -21,11 +21,15 @@ from medistar.operators.keys import assign_sequential_keys
 from medistar.operators.matching import first_match_key
 from medistar.params import Params
 
-DATE_FORMATS = ["yyyy-MM-dd", "yyyy/MM/dd", "yyyy-MM-dd HH:mm:ss", "dd-MM-yyyy", "MM/dd/yyyy", "yyyyMMdd"]
+# tried in order; one- and two-digit parts, month before day unless that is no month
+DATE_FORMATS = ["yyyy-M-d", "yyyy/M/d", "yyyy-M-d H:m[:s]", "yyyy-M-d'T'H:m[:s][.SSS][X]", "yyyy/M/d H:m[:s]",
+                "M-d-yyyy", "M/d/yyyy", "M/d/yyyy H:m[:s]", "d-M-yyyy", "d/M/yyyy", "d/M/yyyy H:m[:s]",
+                "d MMM yyyy", "d MMMM yyyy", "d-MMM-yyyy", "MMM d, yyyy", "MMMM d, yyyy", "yyyyMMdd"]
 
 
 def parse_date(c) -> F.Column:
-    """Lenient date parse (the first format that fits); unparsable -> null."""
+    """Lenient date parse (the first format that fits); unparsable -> null.
+    A time of day is dropped; an ISO offset counts towards the day in UTC."""
     s = F.trim(X.col(c).cast("string"))
     return F.coalesce(*[F.to_date(F.try_to_timestamp(s, F.lit(f))) for f in DATE_FORMATS])
 
@@ -169,20 +173,30 @@ def resolve_by_lower_name(rows: DataFrame, dim: DataFrame, row_col: str, dim_col
 
 
 def resolve_customers(rows: DataFrame, dim_customer: DataFrame, params: Params) -> tuple[DataFrame, DataFrame]:
-    """UPL-6: contains-match on the first 40 characters; unmatched names become new
+    """UPL-6: exact case-insensitive full name first, then any customer whose name
+    contains the uploaded one, the smallest key each; unmatched names become new
     customers with source key max(existing, floor) + rank.  Returns (rows with
-    customer_key, new dimension rows).
+    customer_key, new dimension rows).  Exact names first make a replay resolve
+    every name to the customer that the first load created.
+
+    ``params.customer_match_chars`` / ``customer_name_chars`` / ``customer_type_chars``
+    cut what is matched and stored (default: nothing is cut).
 
     Deviation: names new in this batch match each other by exact lower-cased
     name only (the original's row-by-row inserts could also match prefixes).
     """
-    r = rows.withColumn("_pat", F.substring(F.col("customer_name"), 1, 40))
-    found = first_match_key(r, "_pat", dim_customer, "customer_name", "customer_key", "_ck")
-    r = r.join(found, "_pat", "left")
+    cut = lambda c, n: F.substring(F.col(c), 1, n) if n else F.col(c)
+    name = cut("customer_name", params.customer_name_chars)
+    exact = dim_customer.groupBy(F.lower("customer_name").alias("_lname")).agg(F.min("customer_key").alias("_exact_ck"))
+    r = rows.withColumn("_lname", F.lower(name)).join(exact, "_lname", "left")
+    r = r.withColumn("_pat", cut("customer_name", params.customer_match_chars))
+    found = first_match_key(r.where(F.col("_exact_ck").isNull()), "_pat", dim_customer, "customer_name",
+                            "customer_key", "_found_ck")
+    r = r.join(found, "_pat", "left").withColumn("_ck", F.coalesce("_exact_ck", "_found_ck")).drop("_exact_ck", "_found_ck")
     miss = r.where(F.col("_ck").isNull())
-    new_names = (miss.groupBy(F.lower(F.substring("customer_name", 1, 200)).alias("_lname"))
-                 .agg(F.min(F.substring("customer_name", 1, 200)).alias("customer_name"),
-                      F.min(F.substring("customer_type", 1, 50)).alias("customer_type")))
+    new_names = miss.groupBy("_lname").agg(
+        F.min(name).alias("customer_name"),
+        F.min(cut("customer_type", params.customer_type_chars)).alias("customer_type"))
     start = dim_customer.agg(F.greatest(F.coalesce(F.max("source_customer_key"), F.lit(params.new_customer_key_floor)),
                                         F.lit(params.new_customer_key_floor)).alias("s"))
     keyed = assign_sequential_keys(new_names, ["_lname"], start, "source_customer_key")
@@ -197,8 +211,7 @@ def resolve_customers(rows: DataFrame, dim_customer: DataFrame, params: Params)
         F.lit(None).cast("long").alias("geography_key"), "_lname")
     # pin the numbering: the dimension rows and the fact rows must see the same keys
     new_dim = new_dim.checkpoint(eager=True)
-    r = (r.withColumn("_lname", F.lower(F.substring("customer_name", 1, 200)))
-         .join(new_dim.select("_lname", F.col("customer_key").alias("_new_ck")), "_lname", "left")
+    r = (r.join(new_dim.select("_lname", F.col("customer_key").alias("_new_ck")), "_lname", "left")
          .withColumn("customer_key", F.coalesce("_ck", "_new_ck"))
          .drop("_pat", "_ck", "_lname", "_new_ck"))
     return r, new_dim.drop("_lname")
@@ -219,21 +232,27 @@ def upload_order_number(date_key, drug_key, customer_key, units, price, net) ->
     return F.concat(F.lit("UP-"), F.upper(F.substring(F.sha1(src), 1, 20)))
 
 
-def resolve_sales_upload(clean: DataFrame, star_tables: dict, params: Params) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Key resolution of cleansed sales-upload rows.
-
-    Returns (fact rows ready to insert-or-ignore, skipped rows with reason,
-    new customer dimension rows).
-    """
+def split_skipped(clean: DataFrame, star_tables: dict) -> tuple[DataFrame, DataFrame]:
+    """Drug and date resolution of cleansed rows -> (skipped rows with reason, the others
+    with their drug_key)."""
     r = resolve_drug(clean, star_tables["dim_drug"])
-    dates = F.broadcast(star_tables["dim_date"].select(F.col("date_key").alias("_dk")).distinct())
+    # no broadcast hint: the stored calendar's size is measured at run time
+    dates = star_tables["dim_date"].select(F.col("date_key").alias("_dk")).distinct()
     r = r.join(dates, F.col("date_key") == F.col("_dk"), "left")
     r = r.withColumn("skip_reason", X.reject_reason([
         (F.col("drug_key").isNull(), "Drug not found"),
         (F.col("_dk").isNull(), "Date not in dim_date"),
     ])).drop("_dk")
-    skipped = r.where(F.col("skip_reason").isNotNull())
-    ok = r.where(F.col("skip_reason").isNull()).drop("skip_reason")
+    return r.where(F.col("skip_reason").isNotNull()), r.where(F.col("skip_reason").isNull()).drop("skip_reason")
+
+
+def resolve_sales_upload(clean: DataFrame, star_tables: dict, params: Params) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Key resolution of cleansed sales-upload rows.
+
+    Returns (fact rows ready to insert-or-ignore, skipped rows with reason,
+    new customer dimension rows).
+    """
+    skipped, ok = split_skipped(clean, star_tables)
     ok, new_customers = resolve_customers(ok, star_tables["dim_customer"], params)
     ok = resolve_by_lower_name(ok, star_tables["dim_geography"], "country_region", "country_region",
                                "geography_key", "geography_key")
@@ -261,15 +280,7 @@ def resolve_sales_upload(clean: DataFrame, star_tables: dict, params: Params) ->
 
 def resolve_inventory_upload(clean: DataFrame, star_tables: dict, params: Params) -> tuple[DataFrame, DataFrame]:
     """Drug and date resolution of cleansed inventory-upload rows -> (fact rows, skipped rows)."""
-    r = resolve_drug(clean, star_tables["dim_drug"])
-    dates = F.broadcast(star_tables["dim_date"].select(F.col("date_key").alias("_dk")).distinct())
-    r = r.join(dates, F.col("date_key") == F.col("_dk"), "left")
-    r = r.withColumn("skip_reason", X.reject_reason([
-        (F.col("drug_key").isNull(), "Drug not found"),
-        (F.col("_dk").isNull(), "Date not in dim_date"),
-    ])).drop("_dk")
-    skipped = r.where(F.col("skip_reason").isNotNull())
-    ok = r.where(F.col("skip_reason").isNull())
+    skipped, ok = split_skipped(clean, star_tables)
     facts = ok.select(
         F.col("date_key").alias("snapshot_date_key"), "drug_key", "units_on_hand", "units_ordered",
         "units_dispatched", F.lit(0).alias("safety_stock_level"), F.lit(0).alias("reorder_point"),

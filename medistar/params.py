@@ -30,6 +30,11 @@ class Params:
     upload_source_system: str = "DAILY_UPLOAD"
     # first source key given to customers created by uploads is max(existing, floor) + 1
     new_customer_key_floor: int = 99999
+    # characters of an upload's customer name that are matched, that a new customer's name
+    # keeps, and that its type keeps; None = all (a cut lets names with one prefix collapse)
+    customer_match_chars: int | None = None
+    customer_name_chars: int | None = None
+    customer_type_chars: int | None = None
     extra: dict = field(default_factory=dict)
 
     @property

@@ -89,24 +89,25 @@ class Warehouse:
         self._fs = self._hpath(self.root).getFileSystem(conf)
 
     # ------------------------------------------------------------ layout
-    def _versions(self, table: str) -> list[int]:
+    def _folders(self, table: str) -> list[int]:
+        """Numbers of all version folders, also of those that a failed job left."""
         p = self._hpath(f"{self.root}/{table}")
         if not self._fs.exists(p):
             return []
-        out = []
-        for st in self._fs.listStatus(p):
-            name = st.getPath().getName()
-            if st.isDirectory() and name.startswith("v") and name[1:].isdigit():
-                if self._fs.exists(self._hpath(f"{self.root}/{table}/{name}/_SUCCESS")):
-                    out.append(int(name[1:]))
-        return sorted(out)
+        names = [st.getPath().getName() for st in self._fs.listStatus(p) if st.isDirectory()]
+        return sorted(int(n[1:]) for n in names if n.startswith("v") and n[1:].isdigit())
+
+    def _versions(self, table: str) -> list[int]:
+        """Numbers of the committed versions."""
+        return [v for v in self._folders(table)
+                if self._fs.exists(self._hpath(f"{self.root}/{table}/v{v:05d}/_SUCCESS"))]
 
     def current_path(self, table: str) -> str | None:
         v = self._versions(table)
         return f"{self.root}/{table}/v{v[-1]:05d}" if v else None
 
     def _next_path(self, table: str) -> str:
-        v = self._versions(table)
+        v = self._folders(table)  # past leftovers too: a failed job must not block later ones
         return f"{self.root}/{table}/v{(v[-1] + 1 if v else 1):05d}"
 
     def exists(self, table: str) -> bool:

@@ -1,8 +1,8 @@
 """Spark session helpers.
 
 Cluster jobs get their session (and ``spark.checkpoint.dir``) from the
-platform; ``get_spark`` only fills in defaults that are unset, which is what
-local tests and the bench need.
+platform and keep its settings; ``get_spark`` makes a session with local
+defaults only where there is none, which is what tests and the bench need.
 """
 
 from __future__ import annotations
@@ -23,14 +23,27 @@ _LOCAL_DEFAULTS = {
 }
 
 
-def get_spark(master: str | None = None, shuffle_partitions: int = 8, app: str = "medistar") -> SparkSession:
-    master = master or os.environ.get("MEDISTAR_MASTER", "local[8]")
-    b = SparkSession.builder.master(master).appName(app)
-    b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    b = b.config("spark.driver.memory", os.environ.get("MEDISTAR_DRIVER_MEM", "16g"))
-    for k, v in _LOCAL_DEFAULTS.items():
+def get_spark(master: str | None = None, shuffle_partitions: int | None = None, app: str = "medistar") -> SparkSession:
+    """The running session as the platform configured it (only the SQL settings the
+    library relies on are applied), under spark-submit a session with the submitted
+    settings, otherwise a new local one with local defaults.  ``master`` and
+    ``shuffle_partitions`` apply where given to a new session."""
+    active = SparkSession.getActiveSession()
+    if active is not None:
+        ensure_checkpoint_dir(active)
+        return configure(active)
+    b = SparkSession.builder.appName(app)
+    conf = {}
+    if "PYSPARK_GATEWAY_PORT" not in os.environ:  # not started by spark-submit
+        conf = {"spark.master": os.environ.get("MEDISTAR_MASTER", "local[8]"), "spark.sql.shuffle.partitions": "8",
+                "spark.driver.memory": os.environ.get("MEDISTAR_DRIVER_MEM", "16g"), **_LOCAL_DEFAULTS}
+    if master:
+        conf["spark.master"] = master
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    for k, v in conf.items():
         b = b.config(k, v)
-    spark = b.getOrCreate()
+    spark = configure(b.getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     return spark
@@ -47,11 +60,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder.
 
     On a cluster it is ``spark.checkpoint.dir`` from the session config and is
-    never replaced.  Only when it is unset (local tests) a scratch folder is made.
+    never replaced.  Only when it is unset on a local master (tests) a scratch
+    folder is made; on any other master that is an error.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
+    if not d and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir is not set: it must name a folder that all executors share")
     if not d:
         d = tempfile.mkdtemp(prefix="medistar-ckpt-", dir=os.environ.get("MEDISTAR_SCRATCH", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", d)

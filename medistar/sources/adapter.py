@@ -271,7 +271,9 @@ def sales_upload(t: dict[str, DataFrame], star_tables: dict[str, DataFrame], shi
         drug_name.alias("drug_name"),
         cust_name.alias("customer_name"),
         cust_type.alias("customer_type"),
-        F.when(ok % 23 == 0, F.lit("n/a")).otherwise(F.date_format(odate, "yyyy-MM-dd")).alias("order_date"),
+        F.when(ok % 23 == 0, F.lit("n/a")).when(ok % 19 == 0, F.date_format(odate, "M/d/yyyy"))
+         .when(ok % 17 == 0, F.date_format(odate, "yyyy-MM-dd'T'10:30:00")).otherwise(F.date_format(odate, "yyyy-MM-dd"))
+         .alias("order_date"),
         F.when(ok % 29 == 0, F.lit("0")).otherwise(_s(qty)).alias("units_sold"),
         F.when(ok % 31 == 0, F.lit("0")).otherwise(unit).alias("unit_price"),
         d2(disc * 100).alias("unit_price_discount_pct"),

@@ -12,6 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from medistar.functions import fixed
 
@@ -49,19 +50,22 @@ def check_columns(columns: list[str]) -> str:
     return kind
 
 
-def read_upload(spark: SparkSession, path: str) -> Upload:
+def read_upload(spark: SparkSession, path: str, multi_line: bool = False) -> Upload:
     """SRC-1 / SRC-3: read a CSV upload (header row), normalise names, detect and validate its type.
 
     A ``_row`` column keeps the file order (it increases with the byte offset),
-    which the keep-last dedupe of inventory uploads relies on.
+    which the keep-last dedupe of inventory uploads relies on.  Quotes inside a
+    quoted field are doubled; a field does not hold line breaks unless
+    ``multi_line`` (such a file is read by one task).
     """
     low = path.lower().rstrip("/")
     if not (low.endswith(".csv") or low.endswith(".csv.gz")):
         suffix = "." + low.rsplit(".", 1)[-1] if "." in low.rsplit("/", 1)[-1] else ""
         raise ValueError(f"Unsupported file type: {suffix}")
-    header = spark.read.option("header", True).csv(path).columns
-    schema = ", ".join(f"`{c}` string" for c in header)
-    df = spark.read.option("header", True).option("enforceSchema", True).schema(schema).csv(path)
+    opts = {"header": True, "quote": '"', "escape": '"', "multiLine": multi_line}
+    header = spark.read.options(**opts).csv(path).columns
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
+    df = spark.read.options(**opts).option("enforceSchema", True).schema(schema).csv(path)
     df = normalise(df)
     kind = check_columns(df.columns)
     df = df.withColumn("_row", F.monotonically_increasing_id())
