@@ -5,8 +5,9 @@ Every line is parsed down a tree of fixed depth: its token count, then its first
 a leaf, the template is the majority (by documents) of each of at most
 ``segments`` runs of the remaining tokens; a line belongs to it if at least
 ``similar`` of its runs agree, which generalises the fields that vary.  Other
-lines are templates of their own (their generalised tokens).  A template that
-recurs in ``min_docs`` or more documents is dropped everywhere but in the
+lines are templates of their own (their generalised tokens).  Lines of at most
+``leading`` tokens have no runs and are such templates too; if all their tokens
+hold digits, their tokens stay as they are.  A template that recurs in ``min_docs`` or more documents is dropped everywhere but in the
 document with the smallest id.
 
 Only hashes and counts of lines are shuffled, combined map-side, so a line that
@@ -39,15 +40,18 @@ def _lines(docs: DataFrame, id_col: str, text_col: str, leading: int, segments:
     # few lines hold a digit: only those are looked at token by token
     toks = F.when(F.col("line").rlike("[0-9]"), F.transform(
         words, lambda t: F.when(t.rlike("[0-9]"), F.lit(WILDCARD)).otherwise(t))).otherwise(words)
-    one = one.select("id", "h", "pos", toks.alias("t"))
-    long_enough = F.size("t") >= F.lit(max(min_tokens, leading + 1))
+    # a short line of nothing but wildcards would have nothing that recurs: it stands for itself
+    bare = (F.size(words) <= F.lit(leading)) & F.forall(toks, lambda t: t == F.lit(WILDCARD))
+    one = one.select("id", "h", "pos", F.when(bare, words).otherwise(toks).alias("t"))
+    kept = (F.size("t") >= F.lit(min_tokens)) & (F.element_at("t", 1) != F.lit(""))
+    long_enough = kept & (F.size("t") > F.lit(leading))
     rest = F.size("t") - F.lit(leading)
     n = F.least(rest, F.lit(segments))
     cut = lambda j: F.floor(j * rest / n).cast("int")
     seg = F.transform(F.sequence(F.lit(0), n - 1), lambda j: F.xxhash64(
         F.slice("t", cut(j) + F.lit(leading + 1), cut(j + 1) - cut(j))))
     return one.select("id", "h", "pos",
-                      F.when(long_enough, F.xxhash64(F.size("t"), F.slice("t", 1, leading))).alias("leaf"),
+                      F.when(kept, F.xxhash64(F.size("t"), F.slice("t", 1, leading))).alias("leaf"),
                       F.xxhash64("t").alias("line"), F.when(long_enough, seg).alias("seg"))
 
 

@@ -50,7 +50,7 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the lines of templates that recur in earlier documents."""
-    d = line_dedup.dedup(read_table(spark, sf_dir, "documents").select("doc_id", "text"), min_docs=2)
+    d = line_dedup.dedup(read_table(spark, sf_dir, "documents").select("doc_id", "text"), min_docs=2, min_tokens=1)
     return d.select("doc_id", F.col("_ld_lines").alias("n_lines"), F.col("_ld_dropped").alias("n_dropped"), "text")
 
 

@@ -49,3 +49,16 @@ def test_two_documents_recur(spark, scratch):
 def test_template_of_two_documents(spark, scratch):
     rows = [doc(1, ["user 17 logged in from host 9 at noon", "once alone in one place"]), doc(2, ["user 18 logged in from host 3 at noon", "b"])]
     assert op7(spark, rows, scratch) == {1: rows[0][1], 2: "b"}
+
+
+def test_short_lines_recur(spark, scratch):
+    rows = [doc(1, ["Les.", "And ornd.", "", "Of, edti oner.", "12", "Page 3 of", "7 8", "a b c d"]),
+            doc(2, ["Les.", "   ", "And ornd.", "", "13", " Page  4 of", "7 9", "a b c"]),
+            doc(3, ["Of, edti oner.", "", "Les.", "Les", "12", "a b", "only me"])]
+    assert op7(spark, rows, scratch) == {1: rows[0][1], 2: "   \n\n13\n7 9\na b c", 3: "\nLes\na b\nonly me"}
+
+
+def test_short_lines_against_exact_lines(spark, scratch):
+    rnd = random.Random(12)
+    rows = [doc(k, [" ".join(rnd.choice("abcdef") for _ in range(rnd.randint(0, 3))) for _ in range(rnd.randint(1, 12))]) for k in range(30)]
+    assert op7(spark, rows, scratch) == first_only(rows)
