@@ -12,7 +12,9 @@ window of a group is not full, which goes up the tree.
 Results by case: null text is an empty text, i.e. the one id 0; empty tables
 give no rows; repeated rows are packed once each; null ids are kept; columns
 besides the id and the text are ignored, whatever their names.  Ties between
-windows go to the one opened first.  Texts may be of any length: memory of a
+windows go to the one opened first.  A text that the compiled encoder cannot
+take (a million spaces on end) is encoded by the tokenizer of the same
+vocabulary; with a ``vocabulary`` of the caller's it is an error.  Texts may be of any length: memory of a
 task is one document's ids and the open windows.
 """
 
@@ -54,9 +56,26 @@ def encoder(path: str, special: tuple = (("<|endoftext|>", 50256),)):
     return _ENCODERS[path]
 
 
-def encode(enc, text: str | None) -> np.ndarray:
-    """All ids of a text (special tokens' strings as special ids), then the end id."""
-    ids = np.asarray(enc.encode_to_numpy(text, allowed_special="all"), dtype=np.int32) if text else np.zeros(0, np.int32)
+def tokenizer(path: str):
+    """The same vocabulary's tokenizer, once per worker process."""
+    if path not in _ENCODERS:
+        from tokenizers import Tokenizer
+
+        _ENCODERS[path] = Tokenizer.from_file(path)
+    return _ENCODERS[path]
+
+
+def encode(enc, text: str | None, whole: str | None = None) -> np.ndarray:
+    """All ids of a text (special tokens' strings as special ids), then the end id.
+
+    The encoder's pattern gives up on a very long run of white space; such a
+    text is encoded whole by the tokenizer at ``whole``."""
+    try:
+        ids = np.asarray(enc.encode_to_numpy(text, allowed_special="all"), dtype=np.int32) if text else np.zeros(0, np.int32)
+    except ValueError:
+        if whole is None:
+            raise
+        ids = np.asarray(tokenizer(whole).encode(text, add_special_tokens=False).ids, dtype=np.int32)
     return np.append(ids, np.int32(END_ID))
 
 
@@ -194,6 +213,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capaci
     spark = docs.sparkSession
     importable(spark)
     path = vocabulary or vocabulary_path()
+    whole = None if vocabulary else vocabulary_path("byte_bpe_50k.json")
     src = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     schema = _schema(src.schema["doc_id"].dataType)
     arrow = to_arrow_schema(schema)
@@ -203,7 +223,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capaci
         online, rows, made = _Online(capacity, open_windows, cut_gap), _Rows(arrow, emit_ids), 0
         for b in batches:
             for key, text in zip(b.column(0).to_pylist(), b.column(1)):
-                for w in online.document(key, encode(enc, text.as_py())):
+                for w in online.document(key, encode(enc, text.as_py(), whole)):
                     rows.window(w, (part << 33) + made, part, False)
                     made += 1
                 yield from rows.batch()
