@@ -62,3 +62,15 @@ def test_short_lines_against_exact_lines(spark, scratch):
     rnd = random.Random(12)
     rows = [doc(k, [" ".join(rnd.choice("abcdef") for _ in range(rnd.randint(0, 3))) for _ in range(rnd.randint(1, 12))]) for k in range(30)]
     assert op7(spark, rows, scratch) == first_only(rows)
+
+
+def test_several_templates_of_a_leaf(spark, scratch):
+    names = ["ann", "bob", "cat", "dan", "eve", "fay", "gus", "hal"]
+    forms = ["the order of {} was sent by train to the north today",
+             "the order of {} came back with broken glass and some letters",
+             "the order of {} waits until all open bills are paid now"]
+    rows = [doc(i * 10 + k, [f.format(n), f"{n} {'xyz'[k]} stays"]) for i, n in enumerate(names) for k, f in enumerate(forms)]
+    rows.append(doc(900, ["the order of zoe has nothing in common but its first words"]))  # another length
+    rows.append(doc(901, ["the order of zoe fell off its cart near seven old mills"]))  # the same leaf, no template
+    want = {r[0]: r[1] if r[0] < 3 or r[0] >= 900 else r[1].split("\n")[1] for r in rows}
+    assert op7(spark, rows, scratch) == want
