@@ -7,6 +7,8 @@ they hold (links count against it, distance discounts it).  A page votes for the
 generalised tag-class paths of its best containers; Spark sums the votes per
 host; every page is then extracted again from the best-voted path of its host
 that it has.  A page without any of its host's paths uses its own best container.
+Where much running text lies elsewhere, it is extracted too, unless the host's
+pages show it to be beside the main text.
 
 Votes are combined map-side, so a host with a third of all pages is one row per
 task and path; pages meet their host's few best paths in a join.
@@ -204,36 +206,78 @@ def best_containers(blocks, most: int = 3) -> list[tuple[str, float]]:
     return [(p, s / total) for p, s in top]
 
 
-def under(blocks, path: str) -> list[str]:
-    """The block texts under the elements with a path."""
+def within(blocks, paths) -> list[bool]:
+    """Of every block, whether it is under an element with one of the paths ("": any block is)."""
     known: dict[int, bool] = {}
-    if not path:
-        return [t for _, t, _ in blocks]
+    paths = set(paths)
+    names = {p.rsplit(">", 1)[-1] for p in paths}
+    if "" in paths:
+        return [True] * len(blocks)
 
     def inside(n):
-        if n.parent is None:
-            return False
-        got = known.get(id(n))
-        if got is None:
-            got = known[id(n)] = (n.name == path.rsplit(">", 1)[-1] and n.path() == path) or inside(n.parent)
+        above = []
+        while n.parent is not None and id(n) not in known:
+            above.append(n)
+            n = n.parent
+        got = known.get(id(n), False)
+        for n in reversed(above):
+            got = known[id(n)] = got or (n.name in names and n.path() in paths)
         return got
 
-    return [t for n, t, _ in blocks if inside(n)]
+    return [inside(n) for n, _, _ in blocks]
+
+
+def under(blocks, path: str) -> list[str]:
+    """The block texts under the elements with a path."""
+    return [t for (_, t, _), x in zip(blocks, within(blocks, [path])) if x]
+
+
+def running(text: str, linked: int) -> int:
+    """Characters outside links, of a block that is not mostly links."""
+    return len(text) - linked if 2 * linked <= len(text) else 0
 
 
-def extract(page: str | None, host_paths, least_share: float = 0.3) -> str:
+def shares(blocks) -> dict[str, float]:
+    """The share of the page's running text under each path of a container."""
+    held: dict[int, list] = {}
+    for n, text, linked in blocks:
+        r = running(text, linked)
+        while n is not None:
+            if n.tag in _HOLDERS and n.parent is not None:
+                held.setdefault(id(n), [n, 0])[1] += r
+            n = n.parent
+    total = sum(running(t, k) for _, t, k in blocks)
+    # of nested elements with one path, the outer one counts; sums over one page don't exceed it
+    out: dict[str, float] = {}
+    for n, r in held.values():
+        out[n.path()] = out.get(n.path(), 0.0) + r
+    return {p: min(1.0, r / total) for p, r in out.items()} if total else {}
+
+
+def extract(page: str | None, host_paths, least_share: float = 0.3, whole=(), minor=(), most_left: float = 0.1) -> str:
     """Main text: blocks under the best-voted path of the host that holds a fair
-    share of the page's text, or under the page's own best container."""
+    share of the page's text, or under the page's own best container.  If more
+    than ``most_left`` of the running text is elsewhere, those blocks are main
+    text too, but for what the host's pages show to be beside it: blocks under
+    one of its ``minor`` paths, where the path taken is a ``whole`` one."""
     if not page:
         return ""
     blocks = parse(page)
-    total = sum(len(t) for _, t, _ in blocks)
+    total, main = sum(len(t) for _, t, _ in blocks), None
     for path in host_paths or ():
         got = under(blocks, path)
         if got and sum(map(len, got)) >= least_share * total:
-            return "\n\n".join(got)
-    own = best_containers(blocks, 1)
-    return "\n\n".join(under(blocks, own[0][0]) if own else [t for _, t, _ in blocks])
+            main = path
+            break
+    if main is None:
+        own = best_containers(blocks, 1)
+        main = own[0][0] if own else ""
+    inside = within(blocks, [main])
+    text = sum(running(t, k) for _, t, k in blocks)
+    if text and sum(running(t, k) for (_, t, k), x in zip(blocks, inside) if not x) > most_left * text:
+        beside = within(blocks, minor or ()) if main in (whole or ()) else [False] * len(blocks)
+        inside = [x or (not y and running(t, k) > 0) for (_, t, k), x, y in zip(blocks, inside, beside)]
+    return "\n\n".join(t for (_, t, _), x in zip(blocks, inside) if x)
 
 
 def host_of(url: str | None) -> str:
@@ -242,8 +286,12 @@ def host_of(url: str | None) -> str:
 
 
 def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
-                  paths_per_host: int = 8) -> DataFrame:
-    """(page_id, url, text) of every page."""
+                  paths_per_host: int = 8, whole_share: float = 0.8, minor_share: float = 0.2, minor_paths: int = 64) -> DataFrame:
+    """(page_id, url, text) of every page.
+
+    Over a host's pages (three at least), a path that holds ``whole_share`` of
+    the running text on average is the whole main text, and one that holds less
+    than ``minor_share`` is minor; of these, the ``minor_paths`` most frequent."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
     spark = pages.sparkSession
@@ -254,28 +302,39 @@ def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
 
     def vote(batches):
         for b in batches:
-            hosts, paths, votes = [], [], []
+            cols = [[] for _ in range(4)]
             for h, page in zip(b.column(0).to_pylist(), b.column(1)):
-                for p, s in best_containers(parse(page.as_py() or "")):
-                    hosts.append(h)
-                    paths.append(p)
-                    votes.append(round(s * 1_000_000))  # whole votes sum alike in any order
-            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(paths, pa.string()),
-                                              pa.array(votes, pa.int64())], ["host", "path", "votes"])
-
-    votes = src.select(host.alias("host"), "html").mapInArrow(vote, "host string, path string, votes long") \
-        .groupBy("host", "path").agg(F.sum("votes").alias("votes"))
+                blocks = parse(page.as_py() or "")
+                voted, held = dict(best_containers(blocks)), shares(blocks)
+                for p in voted.keys() | held.keys():
+                    # whole votes and shares sum alike in any order
+                    for c, x in zip(cols, (h, p, round(voted.get(p, 0.0) * 1_000_000), round(held.get(p, 0.0) * 1_000_000))):
+                        c.append(x)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.string(), pa.int64(), pa.int64()))],
+                                             ["host", "path", "votes", "share"])
+
+    votes = src.select(host.alias("host"), "html").mapInArrow(vote, "host string, path string, votes long, share long") \
+        .groupBy("host", "path").agg(F.sum("votes").alias("votes"), F.sum("share").alias("share"), F.count(F.lit(1)).alias("pages"))
+    votes = votes.withColumn("mean", F.when(F.col("pages") >= 3, F.col("share") / F.col("pages") / 1e6))
     order = Window.partitionBy("host").orderBy(F.desc("votes"), F.asc("path"))
-    won = votes.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= paths_per_host) \
-        .groupBy("host").agg(F.transform(F.sort_array(F.collect_list(F.struct("rank", "path"))), lambda x: x["path"]).alias("paths"))
+    often = Window.partitionBy("host").orderBy(F.desc(F.coalesce(F.col("mean") < minor_share, F.lit(False))), F.desc("pages"), F.asc("path"))
+
+    def listed(keep):  # the paths of a host, best first
+        return F.transform(F.sort_array(F.collect_list(F.when(keep, F.struct("rank", "path")))), lambda x: x["path"])
+
+    voted = (F.col("rank") <= paths_per_host) & (F.col("votes") > 0)
+    won = votes.withColumn("rank", F.row_number().over(order)).withColumn("often", F.row_number().over(often)) \
+        .groupBy("host").agg(listed(voted).alias("paths"), listed(voted & (F.col("mean") >= whole_share)).alias("whole"),
+                             listed((F.col("often") <= minor_paths) & (F.col("mean") < minor_share)).alias("minor"))
     won = materialize(spark, won, "html-paths")
     schema = T.StructType([*src.schema.fields[:2], T.StructField("text", T.StringType())])
     arrow = to_arrow_schema(schema)
 
     def again(batches):
         for b in batches:
-            text = [extract(h.as_py(), p) for h, p in zip(b.column(2), b.column(3).to_pylist())]
+            text = [extract(h.as_py(), p, whole=w, minor=m)
+                    for h, p, w, m in zip(b.column(2), *(b.column(k).to_pylist() for k in (3, 4, 5)))]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(text, pa.string())], schema=arrow)
 
-    return src.withColumn("host", host).join(won, "host", "left").select("page_id", "url", "html", "paths") \
+    return src.withColumn("host", host).join(won, "host", "left").select("page_id", "url", "html", "paths", "whole", "minor") \
         .mapInArrow(again, schema)
