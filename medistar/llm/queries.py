@@ -69,7 +69,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The secrets of every document."""
-    return secrets.digest(secrets.scan(read_table(spark, sf_dir, "documents")))
+    return secrets.digest(secrets.scan(read_table(spark, sf_dir, "documents"), reach=None))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -5,7 +5,7 @@ wherever they match.  Weak parts (user names and mail addresses; bare
 high-entropy tokens and loosely named values; hosts, addresses and URLs) are
 only candidates: an interval join inside each scope (the text between blank
 lines) keeps a weak part if a complementary part is at most ``reach`` characters
-away, and one side of the link is a secret.  The join is a sweep over the sorted
+away (None: anywhere in the scope), and one side of the link is a secret.  The join is a sweep over the sorted
 parts of one document, so it is linear in them, and documents never meet: no
 shuffle, and whatever holds a third of all rows is split like any other rows.
 
@@ -116,12 +116,12 @@ def link(text: str, base, weak, reach: int) -> list[tuple[str, int, int]]:
     return kept
 
 
-def scan_text(text: str | None, reach: int = 160, min_entropy: float = 3.6):
+def scan_text(text: str | None, reach: int | None = 160, min_entropy: float = 3.6):
     """(strong spans, all spans) of one text, both by start, then kind."""
     if not text:
         return [], []
     base = base_spans(text)
-    weak = link(text, base, weak_parts(text, min_entropy), reach)
+    weak = link(text, base, weak_parts(text, min_entropy), len(text) if reach is None else reach)
     return base, sorted(base + weak, key=lambda s: (s[1], _ORDER[s[0]], s[2]))
 
 
@@ -129,7 +129,7 @@ _SPAN = T.StructType([T.StructField("kind", T.StringType()), T.StructField("star
                       T.StructField("end", T.LongType())])
 
 
-def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", reach: int = 160,
+def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", reach: int | None = 160,
          min_entropy: float = 3.6) -> DataFrame:
     """(doc_id, spans array<struct(kind, start, end)>) of every document."""
     from pyspark.sql.pandas.types import to_arrow_schema
