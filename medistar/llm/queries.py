@@ -9,7 +9,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, html_extract, line_dedup, mixing, ngram_join, packing, secrets, substring_dedup, topk, toxicity
+from . import (ann, html_extract, line_dedup, merkle, mixing, ngram_join, packing, secrets, substring_dedup,
+               suffix_dedup, topk, toxicity)
 from .common import read_table
 
 
@@ -72,6 +73,21 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan(read_table(spark, sf_dir, "documents"), reach=None))
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The leaf, subroot, root and proof of every document, and the check of a tampered copy."""
+    docs = read_table(spark, sf_dir, "documents")
+    hit = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    d = merkle.manifest(docs, F.when(hit, F.col("n_chars").cast("decimal(20,0)") + 1))
+    return d.select("doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("path")).alias("proof_sha256"),
+                    "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the 200-byte strings that start anywhere else too."""
+    d = suffix_dedup.dedup(read_table(spark, sf_dir, "documents"), length=200)
+    return d.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2(F.col("kept"), 256).alias("kept_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_packing": op1_packing,
@@ -84,6 +100,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_ngram_join": op8_ngram_join,
         "op9_toxicity": op9_toxicity,
         "op10_secrets": op10_secrets,
+        "op11_merkle": op11_merkle,
+        "op12_suffix_dedup": op12_suffix_dedup,
     }
 
 
