@@ -236,9 +236,9 @@ def manifest(docs: DataFrame, other_n_chars: Column | None = None, id_col: str =
     tops = materialize(spark, tops.select("name", "h", (F.col("key") - 1).alias("idx")), "merkle-subroots")
     many = tops.count()
     roots, last = _climb(tops.select(F.lit("").alias("grp"), "idx", F.lit(many).cast("long").alias("m"), "h"), many)
-    root = F.broadcast(roots.select(F.col("h").alias("root"), F.lit(1).alias("one")))  # one row
-    ends = tops.join(last.select("idx", F.col("path").alias("last_path")), "idx").withColumn("one", F.lit(1)).join(root, "one") \
-        .select(F.col("name").alias("grp"), F.col("h").alias("subroot"), "root", "last_path")
+    top = roots.first()  # the one root
+    ends = tops.join(last.select("idx", F.col("path").alias("last_path")), "idx").select(
+        F.col("name").alias("grp"), F.col("h").alias("subroot"), F.lit(top.h if top else None).alias("root"), "last_path")
     ways = paths.join(ends, "grp").select("grp", F.col("idx").alias("block"), F.concat("path", "last_path").alias("path"),
                                           "subroot", "root")
     whole = slots.join(ways, ["grp", "block"]).select("block", "m", "slots", "path", "subroot", "root")

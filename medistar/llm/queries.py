@@ -9,8 +9,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (ann, html_extract, line_dedup, merkle, mixing, ngram_join, packing, secrets, substring_dedup,
-               suffix_dedup, topk, toxicity)
+from . import (ann, conversation, html_extract, line_dedup, merkle, mixing, ngram_join, packing, secrets,
+               substring_dedup, suffix_dedup, topk, toxicity)
 from .common import read_table
 
 
@@ -88,6 +88,11 @@ def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2(F.col("kept"), 256).alias("kept_sha256"))
 
 
+def op13_conversation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation's faults and cheapest repair, after damage."""
+    return conversation.repair(*conversation.damage(read_table(spark, sf_dir, "conversations")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_packing": op1_packing,
@@ -102,6 +107,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_secrets": op10_secrets,
         "op11_merkle": op11_merkle,
         "op12_suffix_dedup": op12_suffix_dedup,
+        "op13_conversation": op13_conversation,
     }
 
 
