@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from . import (ann, conversation, html_extract, line_dedup, merkle, mixing, ngram_join, packing, secrets,
                substring_dedup, suffix_dedup, topk, toxicity)
 from .common import read_table
+from .oracles import SQL
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -112,4 +113,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(SQL)
