@@ -82,6 +82,15 @@ def shared_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([base.rstrip("/"), *parts])
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it, also if
+    it is not installed and the driver was started in another folder."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(x for x in (env.get("PYTHONPATH"), root) if x)
+
+
 # ------------------------------------------------ small file-system helpers
 # (Hadoop FileSystem API, so they work on HDFS / object stores as well as local disk)
 
