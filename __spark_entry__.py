@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from medistar.operators import facts as FACTS
+from medistar.operators import outcomes
 from medistar.operators import uploads as U
 from medistar.operators.upsert import insert_ignore, merge_upsert
 from medistar.params import Params
@@ -26,9 +27,10 @@ from medistar.plans import monitor as M
 from medistar.plans import quality as DQ
 from medistar.plans import queries as Q
 from medistar.plans.star import Star, build_star_to, read_star
-from medistar.plans.warehouse import UPLOAD_INVENTORY_UPDATE, first_load_audit
+from medistar.plans.pipeline import load_upload
+from medistar.plans.warehouse import UPLOAD_INVENTORY_UPDATE, Warehouse, load_all
 from medistar.session import configure, fs_exists, fs_fingerprint, fs_read_text, fs_write_text, shared_path
-from medistar.sources import adapter
+from medistar.sources import adapter, raw
 from medistar.sources.extract import extract_all, extract_summary
 
 try:  # the training-data operators and their pipeline are an optional part
@@ -45,6 +47,11 @@ PARAMS = Params()
 _STARS: dict[tuple, Star] = {}
 _LOCK = threading.RLock()
 _DRIVER: dict[tuple, dict] = {}
+# three batches on three days: the first load, a reload with changes, the day's uploads
+BATCHES = [PARAMS.with_(batch_id=name, once=True, batch_clock=f"2025-06-{day} 06:00:00")
+           for name, day in [("FIRST_LOAD", 28), ("RELOAD", 29), ("UPLOADS", 30)]]
+_HISTORY: dict[tuple, dict] = {}
+_STAGED: dict[tuple, DataFrame] = {}
 UPLOAD_SNAPSHOT_DATE = "2025-06-01"
 ADHOC_TEXT = ("-- status mix of the drug dimension\n"
               "SELECT drug_status, dosage_form, COUNT(*) AS n FROM dim_drug GROUP BY drug_status, dosage_form;")
@@ -94,9 +101,7 @@ def _star(spark: SparkSession, sf_dir: str) -> Star:
 def _star_locked(spark: SparkSession, sf_dir: str, key: tuple) -> Star:
     if key not in _STARS:
         configure(spark)
-        inputs = fs_fingerprint(spark, [f"{sf_dir.rstrip('/')}/{t}.parquet" for t in adapter.DRIVER_TABLES])
-        ident = hashlib.sha1(f"{sf_dir}|{inputs}|{PARAMS!r}|{_code_digest()}".encode()).hexdigest()[:20]
-        base = shared_path(spark, "registry_star", ident)
+        base = shared_path(spark, "registry_star", _ident(spark, sf_dir))
         marker = f"{base}/_PUBLISHED"
         if fs_exists(spark, marker):
             _STARS[key] = read_star(spark, f"{base}/{fs_read_text(spark, marker).strip()}")
@@ -108,29 +113,97 @@ def _star_locked(spark: SparkSession, sf_dir: str, key: tuple) -> Star:
     return _STARS[key]
 
 
+def _ident(spark: SparkSession, sf_dir: str) -> str:
+    inputs = fs_fingerprint(spark, [f"{sf_dir.rstrip('/')}/{t}.parquet" for t in adapter.DRIVER_TABLES])
+    return hashlib.sha1(f"{sf_dir}|{inputs}|{PARAMS!r}|{_code_digest()}".encode()).hexdigest()[:20]
+
+
+def _history(spark: SparkSession, sf_dir: str) -> dict:
+    """A warehouse that has loaded the three batches; batches that it holds already are not loaded again."""
+    key = _key(spark, sf_dir)
+    with _LOCK:
+        if key not in _HISTORY:
+            star = _star(spark, sf_dir)
+            wh = Warehouse(spark, shared_path(spark, "registry_history", _ident(spark, sf_dir)))
+            load_all(wh, star, BATCHES[0])
+            summary = load_all(wh, Star(adapter.changed_star(star.tables)), BATCHES[1])
+            t = _tables(spark, sf_dir)
+            reports = [load_upload(adapter.sales_upload(t, star.tables, PARAMS.shift_years), "sales", wh, BATCHES[2]),
+                       load_upload(adapter.inventory_upload(t, star.tables, UPLOAD_SNAPSHOT_DATE), "inventory", wh, BATCHES[2])]
+            _HISTORY[key] = {"warehouse": wh, "reload": summary, "reports": reports}
+    return _HISTORY[key]
+
+
+def upload_report(spark, sf_dir):
+    """What became of every row of the two uploads."""
+    a, b = (r["outcomes"] for r in _history(spark, sf_dir)["reports"])
+    return a.unionByName(b)
+
+
+def upload_inventory_rejects(spark, sf_dir):
+    """The whole rows of the inventory upload that were kept out, with their reason."""
+    rows = _history(spark, sf_dir)["warehouse"].rejects(BATCHES[2].batch_id).where("upload = 'inventory'")
+    cols = ["drug_name", "snapshot_date", "units_on_hand", "units_ordered", "units_dispatched", "unit_cost"]
+    fields = F.from_json("record", ", ".join(f"{c} string" for c in cols))
+    return rows.withColumn("f", fields).select("outcome", "reason", *[F.col(f"f.{c}").alias(c) for c in cols])
+
+
+def _audit(spark, sf_dir) -> DataFrame:
+    return _history(spark, sf_dir)["warehouse"].audit_log()
+
+
+def _scan(name: str):
+    """A scan of the written source layer."""
+    def run(spark, sf_dir):
+        path = shared_path(spark, "registry_source", _ident(spark, sf_dir))
+        with _LOCK:
+            if not fs_exists(spark, f"{path}/_DONE"):
+                adapter.write_source_layer(spark, _tables(spark, sf_dir), path)
+                fs_write_text(spark, f"{path}/_DONE", "")
+        return raw.scan(spark, name, path=path)
+    return run
+
+
+def scan_categories(spark, sf_dir):
+    """SRC-6: both category scans, with the products of each subcategory."""
+    cat, sub, prod = (_scan(n)(spark, sf_dir) for n in ["dim_product_category", "dim_product_subcategory", "dim_product"])
+    n = prod.groupBy("ProductSubcategoryKey").agg(F.count(F.lit(1)).alias("products"))
+    return sub.join(cat, "ProductCategoryKey").join(n, "ProductSubcategoryKey").select(
+        "ProductCategoryKey", "CategoryName", "ProductSubcategoryKey", "SubcategoryName", "products")
+
+
 def _sales_upload(spark, sf_dir):
     st = _star(spark, sf_dir)
-    up = adapter.sales_upload(_tables(spark, sf_dir), st.tables, PARAMS.shift_years)
-    return st, up, U.transform_sales_upload(up)
+    return st, adapter.sales_upload(_tables(spark, sf_dir), st.tables, PARAMS.shift_years)
+
+
+def upload_sales_clean(spark, sf_dir):
+    return U.transform_sales_upload(_sales_upload(spark, sf_dir)[1]).clean.drop("_row")
+
+
+def _sales_staged(spark, sf_dir) -> tuple[Star, DataFrame]:
+    """The sales upload cleansed and resolved, written once for the queries over it."""
+    key = _key(spark, sf_dir)
+    with _LOCK:
+        if key not in _STAGED:
+            st, up = _sales_upload(spark, sf_dir)
+            _STAGED[key] = outcomes.stage(up, "sales", st.tables)
+    return _star(spark, sf_dir), _STAGED[key]
 
 
-def _upload_sales_resolved(spark, sf_dir):
-    st, up, tr = _sales_upload(spark, sf_dir)
-    return st, tr, U.resolve_sales_upload(tr.clean, st.tables, PARAMS)
+def _sales_facts(spark, sf_dir) -> tuple[Star, DataFrame, DataFrame]:
+    st, staged = _sales_staged(spark, sf_dir)
+    return st, *U.sales_facts(staged.where("outcome is null").drop("outcome", "reason", "record"), st.tables, PARAMS)
 
 
 def upload_sales_rejects(spark, sf_dir):
-    st, _, tr = _sales_upload(spark, sf_dir)
-    skipped, _ = U.split_skipped(tr.clean, st.tables)
-    a = tr.rejects.select(F.col("reject_reason").alias("reason"))
-    b = skipped.select(F.col("skip_reason").alias("reason"))
-    return a.unionByName(b).groupBy("reason").agg(F.count(F.lit(1)).alias("rows"))
+    _, staged = _sales_staged(spark, sf_dir)
+    return staged.where("outcome is not null").groupBy("reason").agg(F.count(F.lit(1)).alias("rows"))
 
 
 def upload_sales_insert(spark, sf_dir):
-    st, tr, (facts, skipped, newc) = _upload_sales_resolved(spark, sf_dir)
-    keys = ["source_order_number", "source_order_line_num", "source_system"]
-    return insert_ignore(st["fact_drug_sales"], facts, keys, [F.col("_row")]).select(*FACTS.FACT_SALES_COLS)
+    st, facts, _ = _sales_facts(spark, sf_dir)
+    return insert_ignore(st["fact_drug_sales"], facts, outcomes.SALES_KEY, [F.col("_row")]).select(*FACTS.FACT_SALES_COLS)
 
 
 def _inventory_upload(spark, sf_dir):
@@ -237,16 +310,30 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "schema_summary": _q(M.schema_summary),
         "adhoc_sql": lambda spark, sf: M.adhoc_sql(spark, _star(spark, sf), ADHOC_TEXT),
         "adhoc_sql_limit": lambda spark, sf: M.adhoc_sql(spark, _star(spark, sf), ADHOC_PAGE_TEXT),
-        "etl_audit_first_load": _q(lambda s: first_load_audit(s, PARAMS)),
-        "recent_etl_runs": _q(lambda s: M.recent_etl_runs(first_load_audit(s, PARAMS), 30)),
-        "etl_timeline": _q(lambda s: M.etl_timeline(first_load_audit(s, PARAMS))),
+        "schema_columns": _q(M.schema_columns),
+        # loads: three batches written to a warehouse, and their ledger
+        "load_summary_reload": lambda spark, sf: _history(spark, sf)["reload"],
+        "etl_audit_first_load": lambda spark, sf: _audit(spark, sf).where(F.col("batch_id") == BATCHES[0].batch_id),
+        "etl_audit_log": _audit,
+        "recent_etl_runs": lambda spark, sf: M.recent_etl_runs(_audit(spark, sf), 30),
+        "etl_timeline": lambda spark, sf: M.etl_timeline(_audit(spark, sf)),
+        # scans of a written source layer
+        "scan_geography": _scan("dim_geography"),
+        "scan_territory": _scan("dim_sales_territory"),
+        "scan_categories": scan_categories,
+        "scan_product": _scan("dim_product"),
+        "scan_customer": _scan("dim_customer"),
+        "scan_internet_sales": _scan("fact_internet_sales"),
+        "scan_product_inventory": _scan("fact_product_inventory"),
         # daily uploads
-        "upload_sales_clean": lambda spark, sf: _sales_upload(spark, sf)[2].clean.drop("_row"),
+        "upload_sales_clean": upload_sales_clean,
         "upload_sales_rejects": upload_sales_rejects,
-        "upload_new_customers": lambda spark, sf: _upload_sales_resolved(spark, sf)[2][2],
+        "upload_new_customers": lambda spark, sf: _sales_facts(spark, sf)[2],
         "upload_sales_insert": upload_sales_insert,
         "upload_inventory_clean": lambda spark, sf: _inventory_upload(spark, sf)[1].clean.drop("_ord"),
         "upload_inventory_merge": upload_inventory_merge,
+        "upload_inventory_rejects": upload_inventory_rejects,
+        "upload_report": upload_report,
         **(LLM.queries() if LLM else {}),
         **({"pipeline": corpus_pipeline.run} if corpus_pipeline else {}),
     }
@@ -255,8 +342,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     from duck_oracle import SQL, star_ctes
 
-    prefix = star_ctes(PARAMS)
-    sql = {k: prefix + v for k, v in SQL.items() if k in queries()}
+    prefix, known = star_ctes(PARAMS), queries()
+    sql = {k: prefix + v for k, v in SQL.items() if k in known}
     if LLM:
         sql.update(LLM.oracle_sql())
     if corpus_pipeline and corpus_pipeline.ORACLE_SQL:

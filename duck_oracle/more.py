@@ -5,6 +5,8 @@ Entries that start with ',' continue the CTE list of ``star_ctes``.
 
 from __future__ import annotations
 
+import re
+
 from medistar.functions import fixed
 from medistar.params import Params
 
@@ -102,25 +104,42 @@ SELECT "table", CAST(expected AS BIGINT) AS expected, CAST(actual AS BIGINT) AS
 
 _LOAD_ORDER = ["dim_date", "dim_geography", "dim_sales_territory", "dim_therapeutic_class", "dim_drug",
                "dim_customer", "fact_drug_sales", "fact_inventory"]
-AUDIT_CTE = (", o_audit0 AS (" + "\nUNION ALL ".join(
-    f"SELECT {i} AS audit_id, '{t}' AS table_name, (SELECT COUNT(*) FROM {t}) AS n"
-    for i, t in enumerate(_LOAD_ORDER, start=1)) + f"""),
-o_audit AS (
-  SELECT CAST(audit_id AS BIGINT) AS audit_id, '{P.batch_id}' AS batch_id, 'load' AS pipeline_step, table_name,
-    CAST(n AS BIGINT) AS rows_read, CAST(n AS BIGINT) AS rows_inserted, CAST(0 AS BIGINT) AS rows_updated,
-    CAST(0 AS BIGINT) AS rows_rejected, 'success' AS status, CAST(NULL AS VARCHAR) AS error_message,
-    TIMESTAMP '{P.batch_ts}' AS started_at, TIMESTAMP '{P.batch_ts}' AS completed_at,
-    CAST(0 AS DECIMAL(10,3)) AS duration_seconds
-  FROM o_audit0
-)
-""")
-AUDIT_FIRST = AUDIT_CTE + "SELECT * FROM o_audit"
-RECENT_RUNS = AUDIT_CTE + """SELECT batch_id, pipeline_step AS step, table_name AS "table", rows_read, rows_inserted,
-  rows_updated, rows_rejected, status, started_at, duration_seconds AS secs
-  FROM o_audit ORDER BY started_at DESC, audit_id DESC LIMIT 30"""
-TIMELINE = AUDIT_CTE + """SELECT CAST(started_at AS DATE) AS day, COUNT(*) AS runs, CAST(SUM(rows_inserted) AS BIGINT) AS inserted,
-  CAST(SUM(rows_rejected) AS BIGINT) AS rejected FROM o_audit WHERE started_at IS NOT NULL
-  GROUP BY 1 ORDER BY day DESC LIMIT 30"""
+_RELOAD_RULES = {  # (updated rows, new rows) of the reload, as the adapter's rules make them
+    "dim_geography": ("geography_key % 5 = 0 AND distribution_zone IS DISTINCT FROM 'International Zone'", "FALSE"),
+    "dim_sales_territory": ("FALSE", "FALSE"), "dim_therapeutic_class": ("FALSE", "FALSE"),
+    "dim_drug": ("drug_key % 7 = 0 AND unit_price IS NOT NULL", "drug_key % 50 = 0"),
+    "dim_customer": ("customer_key % 11 = 0 AND customer_segment IS DISTINCT FROM 'Reviewed'", "customer_key % 40 = 0"),
+    "fact_inventory": ("drug_key % 5 = 0", "drug_key % 20 = 0"),
+}
+
+
+def _reload(t: str) -> str:
+    """rows read, inserted, updated, kept, skipped of one table."""
+    if t not in _RELOAD_RULES:  # insert or ignore
+        new = "COUNT(*) FILTER (WHERE drug_key % 25 = 0)" if t == "fact_drug_sales" else "0"
+        return f"SELECT '{t}' AS t, COUNT(*) + {new} AS r, {new} AS i, 0 AS u, 0 AS k, COUNT(*) AS s FROM {t}"
+    upd, new = (f"COUNT(*) FILTER (WHERE {w})" for w in _RELOAD_RULES[t])
+    return f"SELECT '{t}' AS t, COUNT(*) + {new} AS r, {new} AS i, {upd} AS u, COUNT(*) - {upd} AS k, 0 AS s FROM {t}"
+
+
+RELOAD_CTE = ", o_reload AS (" + "\nUNION ALL ".join(_reload(t) for t in _LOAD_ORDER) + ")"
+RELOAD_SUMMARY = RELOAD_CTE + """SELECT t AS "table", CAST(r AS BIGINT) AS rows_read, CAST(i AS BIGINT) AS inserted,
+  CAST(u AS BIGINT) AS updated, CAST(k AS BIGINT) AS kept, CAST(s AS BIGINT) AS skipped FROM o_reload"""
+
+
+def _first_load(names) -> str:
+    return ("o_audit0 AS (" + "\nUNION ALL ".join(
+        f"SELECT {i} AS audit_id, '{t}' AS table_name, (SELECT COUNT(*) FROM {t}) AS n" for i, t in enumerate(names, start=1)) + ")")
+
+
+def _audit(cte: str) -> str:
+    return cte + """, o_audit AS (
+  SELECT CAST(audit_id AS BIGINT) AS audit_id, batch AS batch_id, 'load' AS pipeline_step, table_name, CAST(r AS BIGINT) AS rows_read,
+    CAST(i AS BIGINT) AS rows_inserted, CAST(u AS BIGINT) AS rows_updated, CAST(s AS BIGINT) AS rows_rejected,
+    'success' AS status, CAST(NULL AS VARCHAR) AS error_message, CAST(ts AS TIMESTAMP) AS started_at,
+    CAST(ts AS TIMESTAMP) AS completed_at, CAST(0 AS DECIMAL(10,3)) AS duration_seconds
+  FROM o_runs)
+"""
 
 _NULL = [
     ("null", "fact_drug_sales - null drug_key", "fact_drug_sales", "drug_key IS NULL"),
@@ -478,6 +497,124 @@ SELECT COALESCE(t.snapshot_date_key, n.snapshot_date_key) AS snapshot_date_key,
 FROM fact_inventory t FULL OUTER JOIN o_inv_new1 n
   ON t.snapshot_date_key = n.snapshot_date_key AND t.drug_key = n.drug_key"""
 
+# what became of the rows of the two uploads (the target's keys are those of the star: the reload adds none of theirs)
+OUTCOME_CTES = UPLOAD_CTES + INV_CTES + """
+, o_first AS (SELECT *, row_number() OVER (PARTITION BY source_order_number ORDER BY _row) AS nth FROM upload_sales_facts),
+o_known AS (SELECT f.*, EXISTS (SELECT 1 FROM fact_drug_sales x WHERE x.source_order_number = f.source_order_number
+  AND x.source_order_line_num = f.source_order_line_num AND x.source_system = f.source_system) AS there FROM o_first f),
+o_iu3 AS (
+  SELECT i.*, COALESCE(e.k, -1) AS dk, CASE WHEN sd IS NULL THEN 'bad_dates' WHEN COALESCE(drug_name, '') = '' THEN 'null_critical' END AS bad,
+    dd.date_key AS day_ok, CAST(strftime(sd, '%Y%m%d') AS INTEGER) AS day
+  FROM o_iu1 i LEFT JOIN o_exact e ON e.ln = lower(i.drug_name)
+    LEFT JOIN dim_date dd ON dd.date_key = CAST(strftime(sd, '%Y%m%d') AS INTEGER)),
+o_iu4 AS (SELECT *, CASE WHEN bad IS NULL THEN row_number() OVER (PARTITION BY bad IS NULL, drug_name, day ORDER BY rowno DESC) END AS nth
+  FROM o_iu3),
+o_iu5 AS (
+  SELECT *, CASE WHEN bad IS NOT NULL THEN 'removed' WHEN nth > 1 THEN 'duplicate' WHEN dk < 0 OR day_ok IS NULL THEN 'skipped'
+      WHEN EXISTS (SELECT 1 FROM fact_inventory t WHERE t.drug_key = dk AND t.snapshot_date_key = day) THEN 'updated'
+      ELSE 'inserted' END AS outcome,
+    CASE WHEN bad IS NOT NULL THEN bad WHEN nth > 1 THEN 'repeated drug and date' WHEN dk < 0 THEN 'Drug not found'
+      WHEN day_ok IS NULL THEN 'Date not in dim_date' END AS reason FROM o_iu4),
+o_outcomes AS (
+  SELECT 'sales' AS upload, 'removed' AS outcome, reject_reason AS reason FROM o_up2 WHERE reject_reason IS NOT NULL
+  UNION ALL SELECT 'sales', 'skipped', CASE WHEN drug_key IS NULL THEN 'Drug not found' ELSE 'Date not in dim_date' END
+    FROM o_res2 WHERE drug_key IS NULL OR dk_ok IS NULL
+  UNION ALL SELECT 'sales', CASE WHEN nth > 1 THEN 'duplicate' WHEN there THEN 'known' ELSE 'inserted' END,
+    CASE WHEN nth > 1 THEN 'repeated order line' WHEN there THEN 'already loaded' END FROM o_known
+  UNION ALL SELECT 'inventory', outcome, reason FROM o_iu5)
+"""
+UPLOAD_REPORT = OUTCOME_CTES + """SELECT upload, outcome, reason, CAST(COUNT(*) AS BIGINT) AS rows FROM o_outcomes GROUP BY ALL
+UNION ALL SELECT upload, 'read', NULL, CAST(COUNT(*) AS BIGINT) FROM o_outcomes GROUP BY upload"""
+INVENTORY_REJECTS = OUTCOME_CTES + """SELECT o.outcome, o.reason, i.drug_name, i.snapshot_date, i.units_on_hand, i.units_ordered,
+  i.units_dispatched, i.unit_cost FROM o_iu5 o JOIN o_iu i ON i.rowno = o.rowno WHERE o.outcome IN ('removed', 'duplicate', 'skipped')"""
+
+AUDIT_CTE = _audit(OUTCOME_CTES + RELOAD_CTE + ", " + _first_load(_LOAD_ORDER) + """,
+o_runs AS (
+  SELECT audit_id, 'FIRST_LOAD' AS batch, table_name, n AS r, n AS i, 0 AS u, 0 AS s, '2025-06-28 06:00:00' AS ts FROM o_audit0
+  UNION ALL SELECT a.audit_id + 8, 'RELOAD', t, r, i, u, s, '2025-06-29 06:00:00' FROM o_reload JOIN o_audit0 a ON a.table_name = t
+  UNION ALL SELECT CASE upload WHEN 'sales' THEN 17 ELSE 18 END, 'UPLOADS', CASE upload WHEN 'sales' THEN 'fact_drug_sales'
+      ELSE 'fact_inventory' END, COUNT(*), COUNT(*) FILTER (WHERE outcome = 'inserted'), COUNT(*) FILTER (WHERE outcome = 'updated'),
+    COUNT(*) FILTER (WHERE outcome NOT IN ('inserted', 'updated')), '2025-06-30 06:00:00' FROM o_outcomes GROUP BY upload)""")
+AUDIT_LOG = AUDIT_CTE + "SELECT * FROM o_audit"
+AUDIT_FIRST = AUDIT_CTE + "SELECT * FROM o_audit WHERE batch_id = 'FIRST_LOAD'"
+RECENT_RUNS = AUDIT_CTE + """SELECT batch_id, pipeline_step AS step, table_name AS "table", rows_read, rows_inserted,
+  rows_updated, rows_rejected, status, started_at, duration_seconds AS secs
+  FROM o_audit ORDER BY started_at DESC, audit_id DESC LIMIT 30"""
+TIMELINE = AUDIT_CTE + """SELECT CAST(started_at AS DATE) AS day, COUNT(*) AS runs, CAST(SUM(rows_inserted) AS BIGINT) AS inserted,
+  CAST(SUM(rows_rejected) AS BIGINT) AS rejected FROM o_audit WHERE started_at IS NOT NULL
+  GROUP BY 1 ORDER BY day DESC LIMIT 30"""
+
+_COLUMNS = {
+    "dim_date": """date_key int, full_date date, calendar_year int, calendar_quarter int, calendar_month int,
+        month_name string, month_abbr string, month_num int, day_of_month int, day_of_week int, day_name
+        string, week_of_year int, quarter_num int, quarter_label string, is_weekend boolean, fiscal_year
+        int, fiscal_quarter int""",
+    "dim_geography": """geography_key bigint, source_geo_key bigint, city string, state_province string, country_region
+        string, postal_code string, region_type string, distribution_zone string""",
+    "dim_sales_territory": """territory_key bigint, source_territory_key bigint, territory_name string, territory_country string,
+        territory_group string""",
+    "dim_therapeutic_class": """therapeutic_class_key bigint, source_category_key bigint, source_subcategory_key bigint, class_code
+        string, therapeutic_class string, therapeutic_subclass string, regulatory_category string, atc_code
+        string""",
+    "dim_drug": """drug_key bigint, source_product_key bigint, drug_code string, drug_name string, dosage_form string,
+        dosage_strength string, therapeutic_class_key bigint, source_subcat_key bigint, unit_price
+        decimal(18,4), unit_cost decimal(18,4), standard_cost decimal(18,4), manufacturer string,
+        drug_status string""",
+    "dim_customer": """customer_key bigint, source_customer_key bigint, customer_code string, customer_name string,
+        customer_type string, email string, phone string, payment_terms string, customer_segment string,
+        customer_status string, geography_key bigint""",
+    "fact_drug_sales": """order_date_key int, ship_date_key int, due_date_key int, drug_key bigint, customer_key bigint,
+        geography_key bigint, territory_key bigint, source_order_number string, source_order_line_num
+        bigint, source_system string, units_sold bigint, unit_price decimal(18,4), unit_price_discount_pct
+        decimal(8,4), gross_revenue decimal(18,4), discount_amount decimal(18,4), net_revenue decimal(18,4),
+        cost_of_goods decimal(18,4), gross_profit decimal(18,4), gross_margin_pct decimal(8,4), tax_amount
+        decimal(18,4), freight_cost decimal(18,4), etl_batch_id string, order_year int""",
+    "fact_inventory": """snapshot_date_key int, drug_key bigint, units_on_hand bigint, units_ordered bigint, units_dispatched
+        bigint, safety_stock_level int, reorder_point int, stock_value decimal(18,4), days_of_supply
+        decimal(10,2), stock_status string, etl_batch_id string, snapshot_year int""",
+}
+
+
+def _columns(t: str) -> str:
+    cols = [c.split() for c in re.split(r",\s+", _COLUMNS[t])]
+    return "\nUNION ALL ".join(f"SELECT '{t}' AS \"table\", {i} AS position, '{c}' AS \"column\", '{k}' AS type, COUNT({c}) AS filled FROM {t}"
+                               for i, (c, k) in enumerate(cols, start=1))
+
+
+SCHEMA_COLUMNS = "\nUNION ALL ".join(_columns(t) for t in _LOAD_ORDER)
+
+# scans of the source layer
+SCANS = {
+    "scan_geography": """SELECT CAST(gk AS BIGINT) AS "GeographyKey", city AS "City", state AS "StateProvinceName",
+  country AS "CountryRegion", postal AS "PostalCode", CAST(n_regionkey + 1 AS BIGINT) AS "SalesTerritoryKey"
+  FROM o_geo JOIN nation ON n_nationkey + 1 = gk""",
+    "scan_territory": """SELECT CAST(r_regionkey + 1 AS BIGINT) AS "SalesTerritoryKey", r_name AS "TerritoryName",
+  r_name AS "TerritoryCountry", 'Group ' || (r_regionkey % 2) AS "TerritoryGroup" FROM region""",
+    "scan_categories": """SELECT ck AS "ProductCategoryKey", cname AS "CategoryName", sk AS "ProductSubcategoryKey",
+  sname AS "SubcategoryName", COUNT(*) AS products FROM o_subcat JOIN o_cat USING (ck) JOIN o_prod ON sub_key = sk
+  WHERE pk % 103 <> 0 GROUP BY ck, cname, sk, sname""",
+    "scan_product": """SELECT CAST(pk AS BIGINT) AS "ProductKey", 'PRD-' || p_partkey AS "ProductAlternateKey", pname AS "ProductName",
+  color AS "Color", size AS "Size", price AS "ListPrice", cost AS "StandardCost", dealer AS "DealerPrice",
+  sub_key AS "ProductSubcategoryKey", status AS "Status", TRUE AS "FinishedGoodsFlag", p_type AS "ProductLine"
+  FROM o_prod JOIN part ON p_partkey + 1 = pk WHERE pk % 103 <> 0""",
+    "scan_customer": """SELECT CAST(c_custkey * 17 + 1 AS BIGINT) AS "CustomerKey",
+  CASE WHEN c_custkey % 101 <> 0 THEN upper(c_mktsegment[1]) || lower(c_mktsegment[2:]) END AS "FirstName",
+  CASE WHEN c_custkey % 101 <> 0 THEN c_name END AS "LastName",
+  CASE WHEN c_custkey % 101 <> 0 THEN upper(c_mktsegment[1]) || lower(c_mktsegment[2:]) || ' ' || c_name ELSE '' END AS "FullName",
+  CASE WHEN c_custkey % 19 = 0 THEN NULL WHEN c_custkey % 17 = 0 THEN lower(c_name) || 'example.com'
+       ELSE lower(c_name) || '@example.com' END AS "EmailAddress",
+  CASE WHEN c_custkey % 5 <> 0 THEN '555-' || (c_custkey * 17 + 1) END AS "Phone",
+  CAST(c_nationkey + 1 AS BIGINT) AS "GeographyKey" FROM customer""",
+    "scan_internet_sales": f"""SELECT order_num AS "SalesOrderNumber", CAST(line AS INTEGER) AS "SalesOrderLineNumber",
+  CAST(pk AS BIGINT) AS "ProductKey", CAST(ck AS BIGINT) AS "CustomerKey", CAST(tk AS BIGINT) AS "SalesTerritoryKey",
+  dk - {P.shift_years * 10000} AS "OrderDateKey", sdk - {P.shift_years * 10000} AS "ShipDateKey",
+  ddk - {P.shift_years * 10000} AS "DueDateKey", qty AS "OrderQuantity", price AS "UnitPrice", disc AS "UnitPriceDiscountPct",
+  ext AS "ExtendedAmount", cost0 AS "TotalProductCost", net AS "SalesAmount",
+  CAST(net * CAST(l_tax AS DECIMAL(18,4)) AS DECIMAL(18,4)) AS "TaxAmt", CAST(net * 0.025 AS DECIMAL(18,4)) AS "Freight" FROM o_sales""",
+    "scan_product_inventory": f"""SELECT CAST(pk AS BIGINT) AS "ProductKey", dk - {P.shift_years * 10000} AS "DateKey",
+  units AS "UnitsBalance", cost AS "UnitCost", mv - INTERVAL {P.shift_years} YEAR AS "MovementDate" FROM o_inv""",
+}
+
 SQL = {
     **TABLE_SQL,
     "removal_report": REMOVAL_REPORT,
@@ -496,7 +633,13 @@ SQL = {
     "schema_summary": SCHEMA_SUMMARY,
     "adhoc_sql": ADHOC,
     "adhoc_sql_limit": ADHOC_PAGE,
+    **SCANS,
+    "schema_columns": SCHEMA_COLUMNS,
+    "load_summary_reload": RELOAD_SUMMARY,
+    "etl_audit_log": AUDIT_LOG,
     "etl_audit_first_load": AUDIT_FIRST,
+    "upload_report": UPLOAD_REPORT,
+    "upload_inventory_rejects": INVENTORY_REJECTS,
     "recent_etl_runs": RECENT_RUNS,
     "etl_timeline": TIMELINE,
     "upload_sales_clean": UPLOAD_CTES + "SELECT * EXCLUDE (_row) FROM upload_sales_clean",

@@ -8,10 +8,11 @@ import uuid
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from medistar.functions import exprs as X
+from medistar.session import fs_drop, shared_path
 
 REPORT_SCHEMA = "table string, kind string, reason string, rows long"
 
@@ -58,6 +59,12 @@ def union_all(dfs: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), dfs)
 
 
+def with_total(counts: list[DataFrame]) -> DataFrame:
+    """(table, rows) of several counts and a TOTAL row by rollup, so that each count is taken once."""
+    return union_all(counts).rollup("table").agg(F.sum("rows").cast("long").alias("rows")) \
+        .select(F.coalesce("table", F.lit("TOTAL")).alias("table"), F.coalesce("rows", F.lit(0)).alias("rows"))
+
+
 # ------------------------------------------------------- one-pass reporting
 
 def flag(df: DataFrame, rules: list[tuple[Column, str]], col: str = "_reason") -> tuple[DataFrame, list[str]]:
@@ -68,33 +75,41 @@ def flag(df: DataFrame, rules: list[tuple[Column, str]], col: str = "_reason") -
 @dataclass
 class _Tracked:
     table: str
-    obs: Observation
+    path: str
+    flagged: DataFrame
     reasons: list[str]
-    fixes: list[str]
+    fixes: dict[str, Column]
+    reason_col: str
 
 
 @dataclass
 class Tracker:
-    """Collects ``observe`` metrics of every waterfall built while it is active, so
-    the removed / fixed counts arrive with the write of each table, without a
-    second pass over the data."""
+    """The flagged tables of every waterfall built while it is active.
+
+    A flagged table is written once to the shared folder and read by the steps
+    after it; the removed / fixed counts are grouped aggregates over what is
+    written, so a task that runs again never counts a row twice."""
     items: list[_Tracked] = field(default_factory=list)
 
     def report(self, spark: SparkSession, written: dict[str, int]) -> DataFrame:
         rows = []
         for t in self.items:
-            m = t.obs.get
-            for r in t.reasons:
-                if m[f"removed__{r}"]:
-                    rows.append((t.table, "removed", r, int(m[f"removed__{r}"])))
-            for f in t.fixes:
-                if m[f"fixed__{f}"]:
-                    rows.append((t.table, "fixed", f, int(m[f"fixed__{f}"])))
+            r = F.col(t.reason_col)
+            m = t.flagged.agg(
+                F.count_if(r.isNull()).alias("_kept"), *[F.count_if(r == x).alias(f"removed__{x}") for x in t.reasons],
+                *[F.count_if(r.isNull() & c).alias(f"fixed__{n}") for n, c in t.fixes.items()]).first()
+            rows += [(t.table, "removed", x, int(m[f"removed__{x}"])) for x in t.reasons if m[f"removed__{x}"]]
+            rows += [(t.table, "fixed", n, int(m[f"fixed__{n}"])) for n in t.fixes if m[f"fixed__{n}"]]
             dups = int(m["_kept"]) - written.get(t.table, int(m["_kept"]))
             if dups > 0:
                 rows.append((t.table, "removed", DUP_REASON.get(t.table, "duplicates"), dups))
         return spark.createDataFrame(rows, REPORT_SCHEMA)
 
+    def drop(self, spark: SparkSession) -> None:
+        """Delete the flagged tables; the tables conformed from them must be written by then."""
+        for t in self.items:
+            fs_drop(spark, t.path)
+
 
 DUP_REASON = {"fact_drug_sales": "duplicate_order_lines", "fact_inventory": "duplicate_snapshots"}
 _ACTIVE: list[Tracker] = []
@@ -112,14 +127,12 @@ def tracking():
 
 def track(flagged: DataFrame, table: str, reasons: list[str], fixes: dict[str, Column] | None = None,
           reason_col: str = "_reason") -> DataFrame:
-    """Attach the waterfall's metrics to ``flagged`` when a tracker is active."""
+    """``flagged``, written once and counted when a tracker is active."""
     if not _ACTIVE:
         return flagged
-    fixes = fixes or {}
-    r = F.col(reason_col)
-    aggs = [F.count_if(r == x).alias(f"removed__{x}") for x in reasons]
-    aggs += [F.count_if(r.isNull() & c).alias(f"fixed__{n}") for n, c in fixes.items()]
-    aggs.append(F.count_if(r.isNull()).alias("_kept"))
-    obs = Observation(f"conform_{table}_{uuid.uuid4().hex}")
-    _ACTIVE[-1].items.append(_Tracked(table, obs, list(reasons), list(fixes)))
-    return flagged.observe(obs, *aggs)
+    spark = flagged.sparkSession
+    path = shared_path(spark, "conform", f"{table}-{uuid.uuid4().hex}")
+    flagged.write.parquet(path)
+    out = spark.read.schema(flagged.schema).parquet(path)
+    _ACTIVE[-1].items.append(_Tracked(table, path, out, list(reasons), dict(fixes or {}), reason_col))
+    return out

@@ -63,8 +63,8 @@ def upload_zone(c) -> F.Column:
                         {k.lower(): v for k, v in fixed.COUNTRY_TO_ZONE.items()}, fixed.DEFAULT_ZONE)
 
 
-def transform_sales_upload(df: DataFrame) -> UploadResult:
-    """UPL-1/UPL-3."""
+def flag_sales_upload(df: DataFrame) -> DataFrame:
+    """UPL-1/UPL-3: every row cleansed, with its reject reason (null: good)."""
     d = parse_date("order_date")
     units, price = num("units_sold"), num("unit_price")
     blank = lambda c: F.coalesce(F.trim(F.col(c)), F.lit("")) == ""
@@ -98,37 +98,37 @@ def transform_sales_upload(df: DataFrame) -> UploadResult:
         F.trim("city").alias("city"),
         upload_zone(F.trim("country_region")).alias("distribution_zone"),
         X.date_key(d).alias("date_key"),
-        *([F.col("_row")] if "_row" in df.columns else []),
+        *[F.col(c) for c in ("_row", "record") if c in df.columns],
         "reject_reason",
     )
-    return _split(out)
+    return out
+
+
+def transform_sales_upload(df: DataFrame) -> UploadResult:
+    """UPL-1/UPL-3, split."""
+    return _split(flag_sales_upload(df))
 
 
 # ----------------------------------------------------------------- UPL-4
 
-def transform_inventory_upload(df: DataFrame, order_col: str = "_row") -> UploadResult:
-    """UPL-4: days of supply uses the mean dispatched per raw drug name over the
-    whole file, before dedupe; dedupe keeps the last row per (drug, date)."""
-    d = parse_date("snapshot_date")
-    base = df.withColumn("_d", d).withColumn("reject_reason", X.reject_reason([
+def flag_inventory_upload(df: DataFrame, order_col: str = "_row") -> DataFrame:
+    """UPL-4: every row cleansed, with its reject reason (null: good).  Days of supply uses the
+    mean dispatched per raw drug name over the file's good rows, repeats included."""
+    base = df.withColumn("_d", parse_date("snapshot_date")).withColumn("reject_reason", X.reject_reason([
         (F.col("_d").isNull(), "bad_dates"),
         (F.coalesce(F.trim(F.col("drug_name")), F.lit("")) == "", "null_critical"),
     ]))
-    ok = base.where(F.col("reject_reason").isNull())
-    on_hand = F.greatest(num("units_on_hand"), F.lit(0).cast(X.MONEY))
-    ordered = F.greatest(num("units_ordered"), F.lit(0).cast(X.MONEY))
-    dispatched = F.greatest(num("units_dispatched"), F.lit(0).cast(X.MONEY))
-    cost = num("unit_cost")
-    m = ok.select(F.col("drug_name").alias("_raw_name"), F.trim("drug_name").alias("drug_name"),
-                  F.col("_d").alias("snapshot_date"), on_hand.alias("units_on_hand"), ordered.alias("units_ordered"),
-                  dispatched.alias("units_dispatched"), cost.alias("unit_cost"), F.col(order_col).alias("_ord"))
+    at_least_0 = lambda c: F.greatest(num(c), F.lit(0).cast(X.MONEY)).alias(c)
+    m = base.select(F.when(F.col("reject_reason").isNull(), F.col("drug_name")).alias("_raw_name"),
+                    F.trim("drug_name").alias("drug_name"), F.col("_d").alias("snapshot_date"), at_least_0("units_on_hand"),
+                    at_least_0("units_ordered"), at_least_0("units_dispatched"), num("unit_cost").alias("unit_cost"),
+                    F.col(order_col).alias("_ord"), *[F.col(c) for c in ("record",) if c in df.columns], "reject_reason")
     # group mean (combined map-side) joined back, instead of a window over a possibly hot drug;
     # on_hand / mean = on_hand * count / sum, kept exact in DECIMAL until the final rounding
-    means = m.groupBy("_raw_name").agg(F.sum("units_dispatched").alias("_sum_d"),
-                                       F.count("units_dispatched").alias("_cnt_d"))
+    means = m.where("_raw_name is not null").groupBy("_raw_name").agg(
+        F.sum("units_dispatched").alias("_sum_d"), F.count("units_dispatched").alias("_cnt_d"))
     m = m.join(means, "_raw_name", "left")
-    units_i = F.col("units_on_hand").cast("long")
-    m = m.select(
+    return m.select(
         "drug_name", "snapshot_date",
         F.col("units_on_hand").cast("long").alias("units_on_hand"),
         F.col("units_ordered").cast("long").alias("units_ordered"),
@@ -136,17 +136,17 @@ def transform_inventory_upload(df: DataFrame, order_col: str = "_row") -> Upload
         F.round(F.col("units_on_hand") * F.col("unit_cost"), 4).cast(X.MONEY).alias("stock_value"),
         F.when(F.col("_sum_d") > 0, F.round(F.col("units_on_hand") * F.col("_cnt_d") / F.col("_sum_d"), 2))
          .cast(X.DAYS).alias("days_of_supply"),
-        X.stock_status(units_i).alias("stock_status"),
+        X.stock_status(F.col("units_on_hand").cast("long")).alias("stock_status"),
         X.date_key("snapshot_date").alias("date_key"),
-        "_ord",
+        "_ord", *[F.col(c) for c in ("record",) if c in df.columns], "reject_reason",
     )
-    deduped = X.dedupe(m, ["drug_name", "date_key"], [F.col("_ord")], "last", count_col="_dups")
-    rejects = base.where(F.col("reject_reason").isNotNull())
-    dup_rows = (deduped.where(F.col("_dups") > 0)
-                .select("drug_name", "date_key", F.col("_dups").alias("rows"), F.lit("duplicates").alias("reject_reason")))
-    res = UploadResult(deduped.drop("_dups"), rejects)
-    res.duplicates = dup_rows  # type: ignore[attr-defined]
-    return res
+
+
+def transform_inventory_upload(df: DataFrame, order_col: str = "_row") -> UploadResult:
+    """UPL-4, split: the last good row per (drug, date), and the rejected rows.  The repeats
+    are reported by ``outcomes.judge_inventory``."""
+    res = _split(flag_inventory_upload(df, order_col))
+    return UploadResult(X.dedupe(res.clean, ["drug_name", "date_key"], [F.col("_ord")], "last"), res.rejects)
 
 
 # ----------------------------------------------------------------- UPL-5..7
@@ -232,17 +232,21 @@ def upload_order_number(date_key, drug_key, customer_key, units, price, net) ->
     return F.concat(F.lit("UP-"), F.upper(F.substring(F.sha1(src), 1, 20)))
 
 
-def split_skipped(clean: DataFrame, star_tables: dict) -> tuple[DataFrame, DataFrame]:
-    """Drug and date resolution of cleansed rows -> (skipped rows with reason, the others
-    with their drug_key)."""
+def mark_skipped(clean: DataFrame, star_tables: dict) -> DataFrame:
+    """Drug and date resolution of cleansed rows: ``drug_key`` and, where one is missing, ``skip_reason``."""
     r = resolve_drug(clean, star_tables["dim_drug"])
     # no broadcast hint: the stored calendar's size is measured at run time
     dates = star_tables["dim_date"].select(F.col("date_key").alias("_dk")).distinct()
     r = r.join(dates, F.col("date_key") == F.col("_dk"), "left")
-    r = r.withColumn("skip_reason", X.reject_reason([
+    return r.withColumn("skip_reason", X.reject_reason([
         (F.col("drug_key").isNull(), "Drug not found"),
         (F.col("_dk").isNull(), "Date not in dim_date"),
     ])).drop("_dk")
+
+
+def split_skipped(clean: DataFrame, star_tables: dict) -> tuple[DataFrame, DataFrame]:
+    """(skipped rows with reason, the others with their drug_key)."""
+    r = mark_skipped(clean, star_tables)
     return r.where(F.col("skip_reason").isNotNull()), r.where(F.col("skip_reason").isNull()).drop("skip_reason")
 
 
@@ -253,6 +257,12 @@ def resolve_sales_upload(clean: DataFrame, star_tables: dict, params: Params) ->
     new customer dimension rows).
     """
     skipped, ok = split_skipped(clean, star_tables)
+    facts, new_customers = sales_facts(ok, star_tables, params)
+    return facts, skipped, new_customers
+
+
+def sales_facts(ok: DataFrame, star_tables: dict, params: Params) -> tuple[DataFrame, DataFrame]:
+    """Rows with their drug -> (fact rows, new customer dimension rows)."""
     ok, new_customers = resolve_customers(ok, star_tables["dim_customer"], params)
     ok = resolve_by_lower_name(ok, star_tables["dim_geography"], "country_region", "country_region",
                                "geography_key", "geography_key")
@@ -275,17 +285,21 @@ def resolve_sales_upload(clean: DataFrame, star_tables: dict, params: Params) ->
         FACTS.year_of("date_key").alias("order_year"),
         *([F.col("_row")] if "_row" in ok.columns else []),
     )
-    return facts, skipped, new_customers
+    return facts, new_customers
 
 
 def resolve_inventory_upload(clean: DataFrame, star_tables: dict, params: Params) -> tuple[DataFrame, DataFrame]:
     """Drug and date resolution of cleansed inventory-upload rows -> (fact rows, skipped rows)."""
     skipped, ok = split_skipped(clean, star_tables)
-    facts = ok.select(
+    # two upload names resolving to one drug: the later file row wins
+    facts = X.dedupe(inventory_facts(ok, params), ["snapshot_date_key", "drug_key"], [F.col("_ord")], "last").drop("_ord")
+    return facts, skipped
+
+
+def inventory_facts(ok: DataFrame, params: Params) -> DataFrame:
+    """Rows with their drug -> fact rows, with their place in the file (``_ord``)."""
+    return ok.select(
         F.col("date_key").alias("snapshot_date_key"), "drug_key", "units_on_hand", "units_ordered",
         "units_dispatched", F.lit(0).alias("safety_stock_level"), F.lit(0).alias("reorder_point"),
         "stock_value", "days_of_supply", "stock_status", F.lit(params.batch_id).alias("etl_batch_id"),
         FACTS.year_of("date_key").alias("snapshot_year"), "_ord")
-    # two upload names resolving to one drug: the later file row wins
-    facts = X.dedupe(facts, ["snapshot_date_key", "drug_key"], [F.col("_ord")], "last").drop("_ord")
-    return facts, skipped

@@ -22,6 +22,11 @@ class Params:
     # batch identifiers written into facts and the audit log
     batch_id: str = "AW_FULL_LOAD_DATE_SHIFTED"
     batch_ts: str = "2025-06-30 12:00:00"
+    # the batch id names one batch of rows: loading it again (a replay) changes nothing.  False: an id may
+    # be used for many loads, and each is loaded and recorded by itself
+    once: bool = False
+    # started / completed time of the batch's ledger rows; None = the wall clock of the load
+    batch_clock: str | None = None
     # constant manufacturer written into dim_drug
     manufacturer: str = "Generic Pharma Ltd"
     # source_system tag of the batch sales fact

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from medistar.functions import fixed
-from medistar.operators.conform import union_all
+from medistar.operators.conform import union_all, with_total
 from medistar.plans.star import Star
 
 
@@ -17,8 +17,7 @@ def row_counts(star: Star, audit: DataFrame | None = None) -> DataFrame:
     tables = dict(star.tables)
     if audit is not None:
         tables["etl_audit_log"] = audit
-    u = union_all([df.agg(F.lit(t).alias("table"), F.count(F.lit(1)).alias("rows")) for t, df in tables.items()])
-    return u.unionByName(u.agg(F.lit("TOTAL").alias("table"), F.sum("rows").cast("long").alias("rows")))
+    return with_total([df.agg(F.lit(t).alias("table"), F.count(F.lit(1)).alias("rows")) for t, df in tables.items()])
 
 
 def recent_etl_runs(audit: DataFrame, n: int = 30) -> DataFrame:
@@ -54,11 +53,16 @@ def schema_summary(star: Star) -> DataFrame:
     return union_all(parts).orderBy("table")
 
 
-def schema_columns(spark: SparkSession, star: Star) -> DataFrame:
-    """MON-5 column listing: (table, position, column, type) from the schemas (metadata only)."""
-    rows = [(t, i + 1, f.name, f.dataType.simpleString())
-            for t, df in star.tables.items() for i, f in enumerate(df.schema.fields)]
-    return spark.createDataFrame(rows, "table string, position int, column string, type string")
+def schema_columns(star: Star) -> DataFrame:
+    """MON-5 column listing: (table, position, column, type, filled) with the rows in which each
+    column is not null; one aggregate per table, unpivoted."""
+    parts = []
+    for t, df in star.tables.items():
+        row = df.agg(*[F.count(F.col(f"`{f.name}`")).alias(f"c{i}") for i, f in enumerate(df.schema.fields)])
+        stack = ", ".join(f"{i + 1}, '{f.name}', '{f.dataType.simpleString()}', c{i}" for i, f in enumerate(df.schema.fields))
+        parts.append(row.select(F.lit(t).alias("table"),
+                                F.expr(f"stack({len(df.columns)}, {stack}) AS (position, column, type, filled)")))
+    return union_all(parts)
 
 
 def financial_metrics(star: Star) -> DataFrame:

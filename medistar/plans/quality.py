@@ -153,70 +153,66 @@ def dq_score(checks: DataFrame) -> DataFrame:
                     F.when(pct == 100, "PERFECT").when(pct >= 90, "EXCELLENT").otherwise("NEEDS REVIEW").alias("grade"))
 
 
+def _unpivot(row: DataFrame, columns: str, rows: list[tuple]) -> DataFrame:
+    """One aggregated row as one row per entry of ``rows`` (SQL expressions over it)."""
+    return row.select(F.expr(f"stack({len(rows)}, {', '.join(x for r in rows for x in r)}) AS ({columns})"))
+
+
+def _sales_with_date(star: Star) -> DataFrame:
+    """Sales rows with their ``full_date`` (null: outside the calendar)."""
+    d = star["dim_date"].select(F.col("date_key").alias("order_date_key"), "full_date")
+    return star["fact_drug_sales"].join(d, "order_date_key", "left")
+
+
 def monitor_checks(star: Star) -> DataFrame:
-    """DQ-5: the monitor page's nine checks; two are informational."""
-    f, fi = star["fact_drug_sales"], star["fact_inventory"]
-    sales_row = f.agg(F.count_if(F.col("drug_key").isNull()).alias("a"),
-                      F.count_if(F.col("net_revenue") < 0).alias("b"),
-                      F.count_if(F.col("units_sold") <= 0).alias("c"))
-    inv_row = fi.agg(F.count_if(F.col("drug_key").isNull()).alias("a"),
-                     F.countDistinct(F.when(F.col("stock_status") == fixed.STOCK_OUT, F.col("drug_key"))).alias("b"))
-    drug_row = star["dim_drug"].agg(F.count_if(F.col("unit_price").isNull() | (F.col("unit_price") == 0)).alias("a"))
-    cust_row = star["dim_customer"].agg(F.count_if(F.col("geography_key").isNull()).alias("a"))
-    dups = dup_groups(f, DUP_RULES[0][2]).agg(F.count(F.lit(1)).alias("a"))
-    outside = (f.select("order_date_key")
-               .join(star["dim_date"].select(F.col("date_key").alias("order_date_key")), "order_date_key", "left_anti")
-               .agg(F.count(F.lit(1)).alias("a")))
-
-    def one(df, c, name, alert=True):
-        return df.select(F.lit(name).alias("check"), F.col(c).cast("long").alias("count"),
-                         F.lit(alert).alias("_alert"))
+    """DQ-5: the nine checks of the monitor, two of them informational.  One aggregate per
+    table; only the repeated order lines need a grouping, and so a second scan, of their own."""
+    f = _sales_with_date(star).agg(F.count_if(F.col("drug_key").isNull()).alias("a"),
+                                   F.count_if(F.col("net_revenue") < 0).alias("b"),
+                                   F.count_if(F.col("units_sold") <= 0).alias("c"),
+                                   F.count_if(F.col("full_date").isNull() & F.col("order_date_key").isNotNull()).alias("d"))
+    fi = star["fact_inventory"].agg(
+        F.count_if(F.col("drug_key").isNull()).alias("a"),
+        F.countDistinct(F.when(F.col("stock_status") == fixed.STOCK_OUT, F.col("drug_key"))).alias("b"))
+    drug = star["dim_drug"].agg(F.count_if(F.col("unit_price").isNull() | (F.col("unit_price") == 0)).alias("a"))
+    cust = star["dim_customer"].agg(F.count_if(F.col("geography_key").isNull()).alias("a"))
+    dups = dup_groups(star["fact_drug_sales"], DUP_RULES[0][2]).agg(F.count(F.lit(1)).alias("a"))
+    cols = "check, count, _alert"
     u = union_all([
-        one(sales_row, "a", "Null drug_key in sales"),
-        one(sales_row, "b", "Negative net_revenue"),
-        one(sales_row, "c", "Zero units_sold"),
-        one(inv_row, "a", "Null drug_key in inventory"),
-        one(dups, "a", "Duplicate sales order lines"),
-        one(drug_row, "a", "Drugs with null price"),
-        one(inv_row, "b", "Out of stock items", alert=False),
-        one(cust_row, "a", "Customers without geography", alert=False),
-        one(outside, "a", "Orders outside dim_date range"),
+        _unpivot(f, cols, [("'Null drug_key in sales'", "a", "true"), ("'Negative net_revenue'", "b", "true"),
+                           ("'Zero units_sold'", "c", "true"), ("'Orders outside dim_date range'", "d", "true")]),
+        _unpivot(fi, cols, [("'Null drug_key in inventory'", "a", "true"), ("'Out of stock items'", "b", "false")]),
+        _unpivot(dups, cols, [("'Duplicate sales order lines'", "a", "true")]),
+        _unpivot(drug, cols, [("'Drugs with null price'", "a", "true")]),
+        _unpivot(cust, cols, [("'Customers without geography'", "a", "false")]),
     ])
     status = (F.when((F.col("count") == 0) & F.col("_alert"), "PASS")
               .when(F.col("count") > 0, "WARN").otherwise("INFO"))
-    return u.select("check", "count", status.alias("status"))
+    return u.select("check", F.col("count").cast("long").alias("count"), status.alias("status"))
 
 
 def post_load_checks(star: Star) -> DataFrame:
-    """DQ-6: counts, must-be-zero checks and headline facts after a load."""
-    parts = []
-    for t in ["dim_date", "dim_drug", "dim_customer", "dim_geography", "dim_therapeutic_class",
-              "dim_sales_territory", "fact_drug_sales", "fact_inventory"]:
-        parts.append(star[t].agg(F.lit(f"{t} rows").alias("check"),
-                                 F.count(F.lit(1)).cast("double").alias("value"),
-                                 F.lit(None).cast("string").alias("detail"),
-                                 F.lit("INFO").alias("status")))
-    f, fi = star["fact_drug_sales"], star["fact_inventory"]
-    zero = [("Sales null drug_key", f, F.col("drug_key").isNull()),
-            ("Sales negative revenue", f, F.col("net_revenue") < 0),
-            ("Null FK in inventory", fi, F.col("drug_key").isNull())]
-    for name, df, cond in zero:
-        parts.append(df.agg(F.lit(name).alias("check"), F.count_if(cond).cast("double").alias("value"),
-                            F.lit(None).cast("string").alias("detail"),
-                            F.when(F.count_if(cond) == 0, "PASS").otherwise("FAIL").alias("status")))
-    d = star["dim_date"].select(F.col("date_key").alias("order_date_key"), "full_date")
-    rng = f.select("order_date_key").join(d, "order_date_key", "inner").agg(
-        F.concat(F.min("full_date").cast("string"), F.lit(" to "), F.max("full_date").cast("string")).alias("detail"))
-    parts.append(rng.select(F.lit("Date range (sales)").alias("check"), F.lit(None).cast("double").alias("value"),
-                            "detail", F.lit("INFO").alias("status")))
-    parts.append(f.agg(F.lit("Total revenue").alias("check"), F.sum("net_revenue").cast("double").alias("value"),
-                       F.lit(None).cast("string").alias("detail"), F.lit("INFO").alias("status")))
-    parts.append(f.agg(F.lit("Avg gross margin").alias("check"),
-                       F.round(F.sum("gross_margin_pct") / F.count("gross_margin_pct"), 2).cast("double").alias("value"),
-                       F.lit(None).cast("string").alias("detail"), F.lit("INFO").alias("status")))
-    parts.append(fi.agg(F.lit("Out of stock count").alias("check"),
-                        F.count_if(F.col("stock_status") == fixed.STOCK_OUT).cast("double").alias("value"),
-                        F.lit(None).cast("string").alias("detail"), F.lit("INFO").alias("status")))
+    """DQ-6: counts, must-be-zero checks and headline facts after a load; one aggregate per table."""
+    n = F.count(F.lit(1)).alias("n")
+    info, none = "'INFO'", "CAST(NULL AS STRING)"
+    zero = lambda name, c: (f"'{name}'", f"CAST({c} AS DOUBLE)", none, f"IF({c} = 0, 'PASS', 'FAIL')")
+    rows = lambda t: (f"'{t} rows'", "CAST(n AS DOUBLE)", none, info)
+    f = _sales_with_date(star).agg(
+        n, F.count_if(F.col("drug_key").isNull()).alias("a"), F.count_if(F.col("net_revenue") < 0).alias("b"),
+        F.min("full_date").alias("lo"), F.max("full_date").alias("hi"),
+        F.sum("net_revenue").cast("double").alias("revenue"),
+        F.round(F.sum("gross_margin_pct") / F.count("gross_margin_pct"), 2).cast("double").alias("margin"))
+    fi = star["fact_inventory"].agg(n, F.count_if(F.col("drug_key").isNull()).alias("a"),
+                                    F.count_if(F.col("stock_status") == fixed.STOCK_OUT).alias("b"))
+    cols = "check, value, detail, status"
+    parts = [_unpivot(star[t].agg(n), cols, [rows(t)]) for t in [
+        "dim_date", "dim_drug", "dim_customer", "dim_geography", "dim_therapeutic_class", "dim_sales_territory"]]
+    parts.append(_unpivot(f, cols, [
+        rows("fact_drug_sales"), zero("Sales null drug_key", "a"), zero("Sales negative revenue", "b"),
+        ("'Date range (sales)'", "CAST(NULL AS DOUBLE)", "CONCAT(CAST(lo AS STRING), ' to ', CAST(hi AS STRING))", info),
+        ("'Total revenue'", "revenue", none, info), ("'Avg gross margin'", "margin", none, info)]))
+    parts.append(_unpivot(fi, cols, [rows("fact_inventory"), zero("Null FK in inventory", "a"),
+                                     ("'Out of stock count'", "CAST(b AS DOUBLE)", none, info)]))
     return union_all(parts)
 
 

@@ -10,10 +10,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-import uuid
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from medistar.operators import conform, dims, facts
@@ -100,24 +99,21 @@ def write_table(df: DataFrame, name: str, path: str, mode: str = "overwrite",
     task, so every file's row groups carry tight min/max statistics.  No extra
     shuffle: the rows keep the partitioning of the job that produced them (the
     dedupe), each task writing one file per year it holds.  With ``counts`` the
-    written row count is recorded while writing.
+    row count of the written files is recorded.
     """
     out = df
     part = None
     if name in facts.PARTITION_COLS:
         part, key = facts.PARTITION_COLS[name]
         out = df.sortWithinPartitions(part, key)
-    obs = None
-    if counts is not None:
-        obs = Observation(f"written_{name}_{uuid.uuid4().hex}")
-        out = out.observe(obs, F.count(F.lit(1)).alias("n"))
     w = out.write.mode(mode)
     if part:
         w = w.partitionBy(part)
     w.parquet(f"{path}/{name}")
-    if obs is not None:
-        counts[name] = int(obs.get["n"])
-    return df.sparkSession.read.parquet(f"{path}/{name}").select(*df.columns)
+    written = df.sparkSession.read.parquet(f"{path}/{name}").select(*df.columns)
+    if counts is not None:
+        counts[name] = written.count()
+    return written
 
 
 def materialize_star(star: Star, path: str, mode: str = "overwrite") -> Star:
@@ -148,10 +144,10 @@ def build_star_to(spark: SparkSession, raw: dict[str, DataFrame], path: str, par
     with conform.tracking() as fact_tracker:
         f = conform_facts(ex, written, params)
     written.update(_write_all(f.tables, path, mode, counts))
-    # removed / fixed counts were observed while writing: no second pass
     tracker.items.extend(fact_tracker.items)
     report = tracker.report(spark, counts)
     report.write.mode(mode).parquet(f"{path}/_report")
+    tracker.drop(spark)
     return Star(written, spark.read.parquet(f"{path}/_report"))
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -129,6 +130,29 @@ def fs_read_text(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
+def fs_create_text(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small file whole or not at all; False if the path is taken already."""
+    p, fs = _fs(spark, path)
+    part, _ = _fs(spark, f"{path.rsplit('/', 1)[0]}/.{uuid.uuid4().hex}")
+    fs_write_text(spark, part.toString(), text)
+    if not fs.exists(p) and fs.rename(part, p):
+        return True
+    fs.delete(part, False)
+    return False
+
+
+def fs_names(spark: SparkSession, path: str) -> list[str]:
+    """Sorted names in a folder, none if it does not exist."""
+    p, fs = _fs(spark, path)
+    return sorted(st.getPath().getName() for st in fs.listStatus(p)) if fs.exists(p) else []
+
+
+def fs_drop(spark: SparkSession, path: str) -> None:
+    """Delete a folder of intermediate rows that this library wrote."""
+    p, fs = _fs(spark, path)
+    fs.delete(p, True)
+
+
 def fs_fingerprint(spark: SparkSession, paths: list[str]) -> str:
     """Sizes and modification times of files / folders (recursive), as a string."""
     parts = []

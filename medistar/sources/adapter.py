@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from medistar.functions import exprs as X
+from medistar.sources.raw import SOURCE_SCANS
 
 DRIVER_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
 
@@ -74,9 +75,18 @@ def category(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(CATEGORIES, "ProductCategoryKey int, CategoryName string")
 
 
-def subcategory(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
+def subcategory(spark: SparkSession, t: dict[str, DataFrame] | None = None) -> DataFrame:
+    """The subcategories that parts belong to (without tables: all), with their fixed names."""
+    named = spark.createDataFrame(
         SUBCATEGORIES, "ProductSubcategoryKey int, ProductCategoryKey int, SubcategoryName string")
+    if t is None:
+        return named
+    used = t["part"].select(_subcategory_key().alias("ProductSubcategoryKey")).distinct()
+    return used.join(F.broadcast(named), "ProductSubcategoryKey")  # 25 names
+
+
+def _subcategory_key():
+    return F.regexp_extract(F.col("p_brand"), r"(\d+)", 1).cast("int")
 
 
 def product(t) -> DataFrame:
@@ -95,7 +105,7 @@ def product(t) -> DataFrame:
         F.when(k % 97 == 0, F.lit(0).cast(X.MONEY)).otherwise(price).alias("ListPrice"),
         _dec(F.when(k % 89 == 0, price * F.lit(Decimal("3.6"))).otherwise(price * F.lit(Decimal("0.6")))).alias("StandardCost"),
         _dec(F.when(k % 83 == 0, F.lit(0)).otherwise(price * F.lit(Decimal("0.8")))).alias("DealerPrice"),
-        F.regexp_extract(F.col("p_brand"), r"(\d+)", 1).cast("int").alias("ProductSubcategoryKey"),
+        _subcategory_key().alias("ProductSubcategoryKey"),
         F.when(k % 10 == 0, "0").otherwise("Current").alias("Status"),
         F.lit(True).alias("FinishedGoodsFlag"),
         F.col("p_type").alias("ProductLine"))
@@ -203,7 +213,7 @@ def driver_raw(spark: SparkSession, t: dict[str, DataFrame]) -> dict[str, DataFr
         "dim_geography": geography(t),
         "dim_sales_territory": territory(t),
         "dim_product_category": category(spark),
-        "dim_product_subcategory": subcategory(spark),
+        "dim_product_subcategory": subcategory(spark, t),
         "dim_product": product(t),
         "dim_customer": customer(t),
         "fact_internet_sales": internet_sales(t),
@@ -211,6 +221,40 @@ def driver_raw(spark: SparkSession, t: dict[str, DataFrame]) -> dict[str, DataFr
     }
 
 
+def write_source_layer(spark: SparkSession, t: dict[str, DataFrame], path: str) -> None:
+    """The raw tables as the retail warehouse stores them, one Parquet folder per source table
+    under its own column names; products with key mod 103 = 0 have no list price."""
+    for name, df in driver_raw(spark, t).items():
+        table, cols, _ = SOURCE_SCANS[name]
+        if name == "dim_product":
+            df = df.withColumn("ListPrice", F.when(F.col("ProductKey") % 103 != 0, F.col("ListPrice")))
+        df.select(*[F.col(c) if isinstance(c, str) else F.col(c[1]).alias(c[0]) for c in cols]) \
+            .write.mode("overwrite").parquet(f"{path}/{table}")
+
+
+def changed_star(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """A later state of the star's tables, by fixed modulo rules: changed prices, segments, zones and
+    stock, new drugs, customers, order lines and snapshots; the rest as it was."""
+    out = dict(tables)
+    far = 10_000_000
+
+    def more(df, when, **new):
+        return df.unionByName(df.where(when).withColumns({c: F.expr(e) for c, e in new.items()}))
+
+    drug = tables["dim_drug"].withColumn("unit_price", F.expr("IF(drug_key % 7 = 0, CAST(unit_price + 1 AS DECIMAL(18,4)), unit_price)"))
+    out["dim_drug"] = more(drug, "drug_key % 50 = 0", drug_key=f"drug_key + {far}", source_product_key=f"source_product_key + {far}",
+                           drug_name="concat(drug_name, ' II')")
+    cust = tables["dim_customer"].withColumn("customer_segment", F.expr("IF(customer_key % 11 = 0, 'Reviewed', customer_segment)"))
+    out["dim_customer"] = more(cust, "customer_key % 40 = 0", customer_key=f"customer_key + {far}",
+                               source_customer_key=f"source_customer_key + {far}", customer_name="concat(customer_name, ' II')")
+    out["dim_geography"] = tables["dim_geography"].withColumn(
+        "distribution_zone", F.expr("IF(geography_key % 5 = 0, 'International Zone', distribution_zone)"))
+    out["fact_drug_sales"] = more(tables["fact_drug_sales"], "drug_key % 25 = 0", source_order_line_num="source_order_line_num + 1000")
+    inv = tables["fact_inventory"].withColumn("units_on_hand", F.expr("IF(drug_key % 5 = 0, units_on_hand + 1, units_on_hand)"))
+    out["fact_inventory"] = more(inv, "drug_key % 20 = 0", snapshot_date_key="snapshot_date_key + 14")
+    return out
+
+
 def load_driver_raw(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return driver_raw(spark, read_driver_tables(spark, sf_dir))
 

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from medistar.functions import exprs as X
-from medistar.operators.conform import union_all
+from medistar.operators.conform import with_total
 from medistar.params import Params
 from medistar.sources.calendar import generate_calendar
 
@@ -35,8 +35,4 @@ def extract_all(spark: SparkSession, raw: dict[str, DataFrame], params: Params)
 
 def extract_summary(raw: dict[str, DataFrame]) -> DataFrame:
     """SRC-14: rows per extracted table plus a total row."""
-    parts = [df.select(F.lit(name).alias("table"), F.count(F.lit(1)).alias("rows")).groupBy("table")
-             .agg(F.sum("rows").alias("rows")) for name, df in raw.items()]
-    u = union_all(parts)
-    total = u.agg(F.lit("TOTAL").alias("table"), F.sum("rows").alias("rows"))
-    return u.unionByName(total)
+    return with_total([df.agg(F.lit(name).alias("table"), F.count(F.lit(1)).alias("rows")) for name, df in raw.items()])

@@ -6,13 +6,16 @@ header, in any order, and a file that lacks a column fails) and runs the same
 cleanse / resolve / load as a single upload.  ``maxFilesPerTrigger=1`` gives one
 micro-batch per file; ``Trigger.AvailableNow`` processes what is there and
 stops.  Loads are idempotent (insert-or-ignore on a deterministic order number,
-exact customer names first, upsert on (date, drug)), so a micro-batch replayed
-after an executor or driver failure writes nothing twice.  Progress lives in the
+exact customer names first, upsert on (date, drug)), and each file of an epoch is
+a batch that the warehouse loads and records once, so a micro-batch replayed
+after an executor or driver failure writes no row and no ledger entry twice.  Progress lives in the
 checkpoint folder under the shared ``spark.checkpoint.dir``.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 
 from medistar.params import Params
@@ -35,6 +38,8 @@ def start_upload_stream(spark: SparkSession, folder: str, kind: str, wh: Warehou
     params = params or Params()
     ckpt = checkpoint or shared_path(spark, "streams", f"uploads_{kind}")
 
+    # epochs are numbered per checkpoint, so the checkpoint is part of a batch's name
+    stream = hashlib.sha1(ckpt.encode()).hexdigest()[:8]
     staging = shared_path(spark, "streams", f"uploads_{kind}_staging")
 
     def run_batch(df: DataFrame, epoch_id: int) -> None:
@@ -47,7 +52,8 @@ def start_upload_stream(spark: SparkSession, folder: str, kind: str, wh: Warehou
             path = f"{staging}/epoch={epoch_id}/file={i}"
             up.df.write.mode("overwrite").parquet(path)
             batch = spark.read.parquet(path)
-            rep = load_upload(batch, kind, wh, params.with_(batch_id=f"{params.batch_id}_STREAM_{epoch_id}"))
+            one = params.with_(batch_id=f"{params.batch_id}_STREAM_{stream}_{epoch_id}_{i}", once=True)
+            rep = load_upload(batch, kind, wh, one)
             if reports is not None:
                 reports.append({"epoch": epoch_id, **rep})
 
