@@ -140,7 +140,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw) -
     """The mixed corpus itself: each row as often as its copies say, and a part
     copy as the first words of its text (with a smaller n_chars where that column exists)."""
     d = plan(docs, id_col=id_col, text_col=text_col, **kw).select(
-        F.col("doc_id").alias("_mx_id"), "_mx_hash", "_mx_ord", "copies", "part_words")
+        F.col("doc_id").alias("_mx_id"), "_mx_hash", "_mx_ord", F.col("copies").alias("_mx_copies"),
+        F.col("part_words").alias("_mx_part"))
     src = docs.withColumn("_mx_h", row_hash(docs))
     src = src.withColumn("_mx_o", F.row_number().over(
         Window.partitionBy(f"`{id_col}`", "_mx_h").orderBy("_mx_h")))
@@ -148,8 +149,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw) -
                     & (F.col("_mx_o") == F.col("_mx_ord")))
     # a row leaves once per copy; array_repeat of no copies drops the row
     both = both.withColumn("_mx_cut", F.explode(F.concat(
-        F.array_repeat(F.lit(0).cast("long"), F.col("copies").cast("int")),
-        F.array_repeat(F.col("part_words"), F.when(F.col("part_words") > 0, 1).otherwise(0)))))
+        F.array_repeat(F.lit(0).cast("long"), F.col("_mx_copies").cast("int")),
+        F.array_repeat(F.col("_mx_part"), F.when(F.col("_mx_part") > 0, 1).otherwise(0)))))
     words = F.filter(F.split(F.col(f"`{text_col}`"), r"[\x20\x09-\x0D]+"), lambda w: w != "")
     cut = F.array_join(F.slice(words, 1, F.col("_mx_cut").cast("int")), " ")
     both = both.withColumn("_mx_text", F.when(F.col("_mx_cut") > 0, cut).otherwise(F.col(f"`{text_col}`")))

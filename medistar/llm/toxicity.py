@@ -1,17 +1,22 @@
 """Toxicity by a weighted finite-state pattern grammar over clauses.
 
-A lexicon transducer maps a word to a class (insult, threat, target, negation,
-report, clause end, other) with a weight; small transducers for negation scope,
+A lexicon transducer maps words to a class (insult, threat, target, negation,
+report, clause end, other) with a weight; a threat may be a sequence of words
+(``beat you``), read as one match whose further words keep their own classes;
+small transducers for negation scope,
 reported speech and targets read the class sequence; their composition walks a
 clause once and emits each insult or threat under the context it is in.  A
 document's score is a logistic function of the weights matched per context, so
 it is clauses that count, not isolated words.
 
-The insult lexicon (word stems) and the context weights are learned from
-labelled rows: at most ``max_per_class`` rows of each label (those of smallest
+The insult lexicon (word stems of up to ``max_stem`` letters), the threats'
+weights and the context weights are learned from labelled rows: at most ``max_per_class`` rows of each label (those of smallest
 row hash: a bounded sample, the same in every run) give stem counts, aggregated
 in Spark over different contexts (copies of one text count once); stems
-over-represented in toxic rows by a likelihood-ratio test become insults.  Without labels the fixed seeds and prior weights alone are used.
+over-represented in toxic rows by a likelihood-ratio test become insults, and
+each listed threat's weight is its smoothed log odds in the sample.  Without
+labels the fixed seeds and prior weights alone are used.  The driver holds the
+model: stems seen in ``min_contexts`` contexts of the sampled toxic rows.
 Scores read the text and nothing else.
 
 Results by case: null and empty texts are scored as empty (the bias alone, not
@@ -40,7 +45,9 @@ TARGETS = frozenset("you your youre he she they them him her his these those peo
 NEGATIONS = frozenset("not no never nobody hardly isnt arent wasnt dont nicht kein keine nie ne pas jamais aucun nunca ni".split())
 REPORTS = frozenset("said says say told called calls wrote writes claimed reported quoted according sagte schrieb laut "
                     "dit disait écrit selon dijo dice escribió según".split())
+# a threat is a sequence of words: the first one with any ending, the others whole
 THREATS = ("kill", "murder", "strangle", "stab", "beat you", "hurt you", "töten", "umbringen", "tuer", "matar")
+THREAT_PRIOR = 2.0  # weight of a threat that the labelled rows say nothing about
 CONTEXTS = ("plain", "targeted", "negated", "reported")
 NEGATION_SPAN = 3  # words a negation reaches
 
@@ -85,18 +92,34 @@ GRAMMAR = compose(_negation, _report, _target)
 
 @dataclass
 class Lexicon:
-    """stems: prefix -> weight of an insult; threats: prefix -> weight."""
+    """stems: prefix -> weight of an insult; threats: words -> weight."""
     stems: dict[str, float] = field(default_factory=dict)
-    threats: dict[str, float] = field(default_factory=lambda: {t: 2.0 for t in THREATS})
-
-    def classify(self, word: str) -> tuple[str, float]:
-        for n in range(min(len(word), 24), 2, -1):
+    threats: dict[str, float] = field(default_factory=lambda: dict.fromkeys(THREATS, THREAT_PRIOR))
+
+    def __post_init__(self):
+        self.longest = max(map(len, [*self.stems, *(t.split()[0] for t in self.threats)]), default=0)
+        self.sequences: dict[str, list] = {}  # first word -> (further words, weight), the longest first
+        for t in sorted(self.threats, key=lambda t: -len(t.split())):
+            first, *rest = t.split()
+            self.sequences.setdefault(first, []).append((rest, self.threats[t]))
+
+    def threat(self, words: list[str], at: int) -> float | None:
+        """Weight of the longest threat whose words stand at ``at``."""
+        for n in range(min(len(words[at]), self.longest), 2, -1):
+            for rest, w in self.sequences.get(words[at][:n], ()):
+                if words[at + 1:at + 1 + len(rest)] == rest:
+                    return w
+        return None
+
+    def classify(self, words: list[str], at: int) -> tuple[str, float]:
+        word = words[at]
+        for n in range(min(len(word), self.longest), 2, -1):
             w = self.stems.get(word[:n])
             if w is not None:
                 return "insult", w
-            w = self.threats.get(word[:n])
-            if w is not None:
-                return "threat", w
+        w = self.threat(words, at)
+        if w is not None:
+            return "threat", w
         if word in NEGATIONS:
             return "negation", 0.0
         if word in REPORTS:
@@ -110,8 +133,8 @@ def clause_features(words: list[str], lex: Lexicon) -> np.ndarray:
     """Weights matched in one clause: insults, then threats, per context."""
     out = np.zeros(2 * len(CONTEXTS))
     state, hits = (0, 0, 0), []
-    for w in words:
-        cls, weight = lex.classify(w)
+    for at in range(len(words)):
+        cls, weight = lex.classify(words, at)
         if weight:
             hits.append((cls, weight, state))
         state = GRAMMAR[state, cls]
@@ -129,7 +152,7 @@ class Scanner:
         import ahocorasick
 
         self.lex, self.auto = lex, None
-        terms = {**lex.stems, **lex.threats}
+        terms = {*lex.stems, *lex.sequences}
         if terms:
             self.auto = ahocorasick.Automaton()
             for t in terms:
@@ -189,7 +212,7 @@ def held_out(id_col) -> F.Column:
     return F.pmod(F.crc32(F.coalesce(id_col.cast("string"), F.lit("")).cast("binary")), F.lit(5)) == 0
 
 
-def learn(docs: DataFrame, labels: DataFrame, max_per_class: int = 4000, max_terms: int = 2000,
+def learn(docs: DataFrame, labels: DataFrame, max_per_class: int = 4000, max_stem: int = 32,
           min_contexts: int = 5, min_precision: float = 0.9) -> Model:
     """A model of the labelled rows that are not held out."""
     spark = docs.sparkSession
@@ -218,7 +241,7 @@ def learn(docs: DataFrame, labels: DataFrame, max_per_class: int = 4000, max_ter
     pos, neg = seen["p"] or 0, seen["q"] or 0
     if not pos or not neg:
         return Model(Lexicon())
-    stems = per.select(F.explode(F.transform(F.sequence(F.lit(3), F.least(F.length("w"), F.lit(12))),
+    stems = per.select(F.explode(F.transform(F.sequence(F.lit(3), F.least(F.length("w"), F.lit(max_stem))),
                                              lambda n: F.substring(F.col("w"), F.lit(1), n))).alias("stem"), "p", "q") \
         .groupBy("stem").agg(F.sum("p").alias("p"), F.sum("q").alias("q")) \
         .where((F.col("p") >= min_contexts) & (F.col("q") <= F.col("p") * (1 - min_precision)))
@@ -228,23 +251,37 @@ def learn(docs: DataFrame, labels: DataFrame, max_per_class: int = 4000, max_ter
     tested = stems.withColumn("g2", 2 * (part(F.col("p"), share) + part(F.col("q"), 1 - share))) \
         .withColumn("odds", F.log((F.col("p") + 0.5) / (pos + 1)) - F.log((F.col("q") + 0.5) / (neg + 1)))
     best = tested.where((F.col("odds") > math.log(12)) & (F.col("g2") > 24)) \
-        .orderBy(F.desc("g2"), F.desc(F.length("stem")), "stem").limit(max_terms * 8).collect()
+        .orderBy(F.desc("g2"), F.desc(F.length("stem")), "stem").collect()
     lex = Lexicon()
     covered: set[str] = set()
     for r in best:  # the best of nested stems stands for the others
         s = r["stem"]
-        if len(lex.stems) >= max_terms:
-            break
         if s in covered or any(s[:n] in lex.stems for n in range(3, len(s))):
             continue
         lex.stems[s] = min(float(r["odds"]), 8.0)
         covered.update(s[:n] for n in range(3, len(s)))
+    lex = Lexicon(lex.stems, _threat_weights(rows, size))
     found = rows.mapInArrow(_features(lex), "y int, f array<double>").collect()
     x = np.array([r["f"] for r in found])
     y = np.array([r["y"] for r in found], dtype=float)
     return Model(lex, fit_weights(x, y))
 
 
+def _threat_weights(rows: DataFrame, size: dict) -> dict[str, float]:
+    """The listed threats' weights: log odds of the sampled rows that hold them, drawn to the prior."""
+    text = F.concat(F.lit(" "), F.array_join(F.split(F.lower(F.coalesce("text", F.lit(""))), r"[^\p{L}]+"), " "), F.lit(" "))
+    held = [F.count_if(text.rlike(rf" {t.replace(' ', '[a-z]* ', 1)} " if " " in t else f" {t}")).alias(f"t{i}")
+            for i, t in enumerate(THREATS)]
+    n = {r["y"]: r for r in rows.groupBy("y").agg(*held).collect()}
+    out = {}
+    for i, t in enumerate(THREATS):
+        p, q = ((n[y][f"t{i}"] if y in n else 0) for y in (1, 0))
+        seen = math.log((p + 0.5) / (size[1] + 1)) - math.log((q + 0.5) / (size[0] + 1))
+        few = 5.0 / (5.0 + p + q)
+        out[t] = min(max(few * THREAT_PRIOR + (1 - few) * seen, 0.0), 8.0)
+    return out
+
+
 def _features(lex: Lexicon):
     def run(batches):
         scanner = Scanner(lex)
@@ -254,14 +291,16 @@ def _features(lex: Lexicon):
     return run
 
 
-def apply(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text",
-          threshold: float = 0.5) -> DataFrame:
-    """docs' columns with score (double) and predicted (int)."""
+def apply(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = 0.5,
+          score_col: str = "score", predicted_col: str = "predicted") -> DataFrame:
+    """docs' columns with a score (double) and a prediction (int), under names that docs does not have."""
+    if clash := {score_col, predicted_col} & set(docs.columns):
+        raise ValueError(f"columns {sorted(clash)} are there already: name others by score_col and predicted_col")
     from pyspark.sql.pandas.types import to_arrow_schema
 
     importable(docs.sparkSession)
-    schema = T.StructType([*docs.schema.fields, T.StructField("score", T.DoubleType()),
-                           T.StructField("predicted", T.IntegerType())])
+    schema = T.StructType([*docs.schema.fields, T.StructField(score_col, T.DoubleType()),
+                           T.StructField(predicted_col, T.IntegerType())])
     arrow, at = to_arrow_schema(schema), docs.columns.index(text_col)
 
     def run(batches):

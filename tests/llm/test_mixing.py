@@ -79,3 +79,9 @@ def test_empty(spark):
     assert mixing.mix(empty(spark)).count() == 0
     only_empty = frame(spark, [(1, None, None, None, 0), (2, "", None, "a", 0)])
     assert [r.taken for r in mixing.plan(only_empty).collect()] == [0, 0]
+
+
+def test_clashing_columns(spark):
+    docs = frame(spark, corpus(40)).selectExpr("*", "1 AS copies", "2 AS part_words", "3 AS target")
+    got = mixing.mix(docs)
+    assert got.columns == docs.columns and got.where("copies = 1 and part_words = 2").count() == got.count() > 0

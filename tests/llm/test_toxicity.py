@@ -84,6 +84,34 @@ def test_threats_and_word_borders():
     assert s.features("zwirk zwirk!\nzwirk")[0] == 6.0
 
 
+def test_every_listed_threat():
+    s = X.Scanner(X.Lexicon())
+    for t in X.THREATS:
+        f = s.features(f"they will {t} now")
+        assert f[4:].sum() == X.THREAT_PRIOR, t
+    assert s.features("i will beat you")[4 + 1] == s.features("they hurts you")[4 + 1] == 2.0
+    assert s.features("i beat the drum, it hurt a bit")[4:].sum() == 0
+    assert s.features("he said i will beat you")[4 + 3] == 2.0
+
+
+def test_threat_weights_are_learned(spark):
+    docs, labels = [], []
+    for i in range(400):
+        toxic = i % 4 == 0
+        t = f"plain words {i} here " + ("they will strangle him " if toxic else "stab of the pin " if i % 5 == 0 else "")
+        docs.append((i, t + ("zwirk " if toxic else ""), "en", "s", 1))
+        labels.append((i, 1, int(toxic)))
+    w = X.learn(frame(spark, docs), spark.createDataFrame(labels, LABELS)).lexicon.threats
+    assert w["strangle"] > 3 and w["stab"] < 0.5 and w["hurt you"] == X.THREAT_PRIOR
+
+
+def test_clashing_columns(spark):
+    d = frame(spark, sample(20)[0]).selectExpr("*", "1 AS score", "2 AS predicted")
+    with pytest.raises(ValueError):
+        X.apply(d, X.Model(X.Lexicon()))
+    assert X.apply(d, X.Model(X.Lexicon()), score_col="s", predicted_col="p").columns == [*d.columns, "s", "p"]
+
+
 def test_grammar_is_a_closed_automaton():
     states = {s for s, _ in X.GRAMMAR}
     assert all(n in states for n in X.GRAMMAR.values()) and (0, 0, 0) in states
