@@ -33,8 +33,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import vectors
 from .common import importable, materialize
-from .vectors import PACK, blocks, clean, is_query, matrix
+from .vectors import PACK, blocks, clean, matrix
 
 
 def rotation(d: int, seed: int = 17) -> np.ndarray:
@@ -52,10 +53,23 @@ def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.einsum("ij,ij->i", a, a)[:, None] + np.einsum("ij,ij->i", b, b)[None, :] - 2.0 * (a @ b.T)
 
 
+CHUNK_CELLS = 1 << 22  # entries of a (rows x centroids) matrix held at once: 32 MB
+
+
+def ranked(x: np.ndarray, c: np.ndarray, most: int | None = None) -> np.ndarray:
+    """Of each row of x, the ``most`` nearest rows of c (none: all), nearest first, some rows at a time."""
+    step = max(1, CHUNK_CELLS // len(c))
+    parts = []
+    for at in range(0, len(x), step):
+        d = distances(x[at:at + step], c)
+        parts.append(d.argmin(1)[:, None] if most == 1 else np.argsort(d, axis=1, kind="stable")[:, :most].astype(np.int32))
+    return np.concatenate(parts) if parts else np.zeros((0, most or len(c)), np.int32)
+
+
 def k_means(x: np.ndarray, k: int, rounds: int = 10) -> np.ndarray:
     c = x[np.linspace(0, len(x) - 1, k).astype(int)].copy()
     for _ in range(rounds):
-        near = distances(x, c).argmin(1)
+        near = ranked(x, c, 1)[:, 0]
         n = np.bincount(near, minlength=k)
         s = np.zeros_like(c)
         np.add.at(s, near, x)
@@ -117,11 +131,15 @@ def search(table: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding",
     importable(spark)
     rows = materialize(spark, clean(table, id_col, vec_col, nonzero=True), "ann-rows")
     norm = F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)
-    n, longest = rows.agg(F.count(F.lit(1)), F.max(norm)).first()
+    n = rows.count()
     out = "query_id long, rank int, vec_id long, score double"
     if not n:
         return spark.createDataFrame([], out)
-    dims = len(rows.first()["v"])
+    # vectors of the most common length are indexed; those of another one are few lists of their own, scanned whole
+    dims = rows.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").first()["d"]
+    others = rows.where(F.size("v") != dims).withColumn("grp", -F.size("v").cast("long"))
+    everything, rows = rows, rows.where(F.size("v") == dims)
+    n, longest = rows.agg(F.count(F.lit(1)), F.max(norm)).first()
     rot = rotation(dims + 1)
     seeds = np.array([r["v"] for r in rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).select("v").collect()])
     lists = max(1, min(round(math.sqrt(n) / 4), len(seeds)))
@@ -130,11 +148,11 @@ def search(table: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding",
     def assign(batches):
         for b in batches:
             v = b.column(1).flatten().to_numpy().reshape(b.num_rows, -1)
-            near = distances(turned(v, longest, rot), centroids).argmin(1)
+            near = ranked(turned(v, longest, rot), centroids, 1)[:, 0]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(near.astype(np.int64))], ["vec_id", "v", "grp"])
 
     index = materialize(spark, rows.mapInArrow(assign, "vec_id long, v array<double>, grp long"), "ann-index")
-    base = materialize(spark, blocks(index.withColumn("extra", F.lit(0.0)), size), "ann-blocks") \
+    base = materialize(spark, blocks(index.unionByName(others).withColumn("extra", F.lit(0.0)), size), "ann-blocks") \
         .select("grp", F.col("ids"), F.col("mat"))
     counts = np.zeros(lists, dtype=np.int64)
     for r in index.groupBy("grp").count().collect():
@@ -143,16 +161,20 @@ def search(table: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding",
 
     def route(batches):
         for b in batches:
-            v = b.column(1).flatten().to_numpy().reshape(b.num_rows, -1)
-            order = np.argsort(distances(turned(v, longest, rot, True), centroids), axis=1, kind="stable")
-            # more lists where the probed ones hold too few vectors
-            enough = (np.cumsum(counts[order], axis=1) <= 4 * k).sum(1) + 1
-            take = np.minimum(np.maximum(probes, enough), lists)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(
-                [o[:t].tolist() for o, t in zip(order, take)], pa.list_(pa.int64()))], ["vec_id", "v", "lists"])
-
-    asked = materialize(spark, rows.where(is_query(F.col("vec_id"), every))
-                        .mapInArrow(route, "vec_id long, v array<double>, lists array<long>"), "ann-queries")
+            step = max(1, CHUNK_CELLS // lists)
+            for b in (b.slice(at, step) for at in range(0, b.num_rows, step)):
+                v = b.column(1).flatten().to_numpy().reshape(b.num_rows, -1)
+                order = ranked(turned(v, longest, rot, True), centroids)
+                # more lists where the probed ones hold too few vectors
+                enough = (np.cumsum(counts[order], axis=1) <= 4 * k).sum(1) + 1
+                take = np.minimum(np.maximum(probes, enough), lists)
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(
+                    [o[:t].tolist() for o, t in zip(order, take)], pa.list_(pa.int64()))], ["vec_id", "v", "lists"])
+
+    queries = vectors.asked(everything, every)
+    asked = materialize(spark, queries.where(F.size("v") == dims).mapInArrow(route, "vec_id long, v array<double>, lists array<long>")
+                        .unionByName(queries.where(F.size("v") != dims).withColumn("lists", F.array(-F.size("v").cast("long")))),
+                        "ann-queries")
 
     def visit(batches):
         for b in batches:
@@ -179,7 +201,7 @@ def search(table: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding",
 
 def _probes(index, rows, centroids, longest, rot, k, every, recall, probe_queries) -> int:
     """Lists to probe so that the sampled queries' true neighbours are reached."""
-    asked = rows.where(is_query(F.col("vec_id"), every)).orderBy(F.xxhash64("vec_id"), "vec_id").limit(probe_queries).collect()
+    asked = vectors.asked(rows, every).orderBy(F.xxhash64("vec_id"), "vec_id").limit(probe_queries).collect()
     if not asked:
         return len(centroids)
     ids, q = np.array([r["vec_id"] for r in asked]), np.array([r["v"] for r in asked])

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import importable, materialize
-from .vectors import PACK, blocks, clean, is_query, matrix
+from .vectors import PACK, asked, blocks, clean, matrix
 
 _FAN = 64
 
@@ -96,17 +96,20 @@ def search(table: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding",
     spark = table.sparkSession
     importable(spark)
     rows = clean(table, id_col, vec_col, nonzero=False)
-    rows = rows.select("vec_id", F.transform("v", lambda x: F.floor(x * F.lit(scale)).cast("double")).alias("v"))
+    too_large = F.raise_error(F.lit("a component times the scale is beyond 64-bit integers")).cast("double")
+    whole = lambda x: F.when(F.abs(x) < 2.0 ** 62, F.floor(x).cast("double")).otherwise(too_large)
+    rows = rows.select("vec_id", F.transform("v", lambda x: whole(x * F.lit(scale))).alias("v")).distinct()
     rows = materialize(spark, rows, "topk-rows")
-    base = materialize(spark, blocks(rows.withColumn("grp", F.lit(0).cast("long")).withColumn("extra", F.lit(0.0)), size),
-                       "topk-blocks").select("block", "ids", "mat")
+    length = F.size("v").cast("long").alias("grp")  # vectors meet those of their own length
+    base = materialize(spark, blocks(rows.select("vec_id", "v", length, F.lit(0.0).alias("extra")), size),
+                       "topk-blocks").select("grp", "block", "ids", "mat")
     n_blocks = base.agg(F.max("block")).first()[0]
-    asked = rows.where(is_query(F.col("vec_id"), every)).withColumn("grp", F.lit(0).cast("long"))
+    queries = asked(rows, every).select("vec_id", "v", length)
 
-    def meet(queries):
-        packs = blocks(queries, pack).select(F.col("ids").alias("q_ids"), F.col("mat").alias("q_mat"), F.col("extra").alias("q_extra"))
+    def meet(packed):
+        packs = blocks(packed, pack).select("grp", F.col("ids").alias("q_ids"), F.col("mat").alias("q_mat"), F.col("extra").alias("q_extra"))
         at = packs.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_blocks or 0).cast("long"))))
-        return at.repartition(F.col("block")).join(base, "block")
+        return at.repartition("grp", "block").join(base, ["grp", "block"])
 
     def phase1(batches):
         for qi, q, _, vi, v, block in _rows(batches):
@@ -119,7 +122,7 @@ def search(table: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding",
             a, b, s = resolve(qi, q, cut, vi, v, k, lists)
             yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(s)], ["query_id", "vec_id", "score"])
 
-    local = meet(asked.withColumn("extra", F.lit(0.0))).mapInArrow(phase1, "query_id long, g long, best array<long>")
+    local = meet(queries.withColumn("extra", F.lit(0.0))).mapInArrow(phase1, "query_id long, g long, best array<long>")
     groups = n_blocks or 0
     while True:
         groups //= _FAN
@@ -129,7 +132,7 @@ def search(table: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding",
             break
     cutoff = local.select(F.col("query_id").alias("vec_id"), F.when(F.size("best") >= k, F.element_at("best", -1).cast("double"))
                           .otherwise(F.lit(float("-inf"))).alias("extra"))
-    found = meet(asked.join(cutoff, "vec_id")).mapInArrow(phase2, "query_id long, vec_id long, score long")
+    found = meet(queries.join(cutoff, "vec_id")).mapInArrow(phase2, "query_id long, vec_id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("vec_id"))
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k) \
         .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

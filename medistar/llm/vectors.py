@@ -12,19 +12,20 @@ PACK = 2048  # most vectors in a block, about
 
 def clean(table: DataFrame, id_col: str, vec_col: str, nonzero: bool) -> DataFrame:
     """(vec_id, v array<double>) of the vectors that take part: id and vector not
-    null, every component finite, of the table's most common length (ties: the
-    smaller), optionally not all zero.  Of rows that share an id the least
-    vector (in array order) stays."""
+    null, not empty, every component finite, optionally not all zero.  Equal rows
+    are one; rows that share an id but not the vector all stay."""
     v = F.col(f"`{vec_col}`").cast("array<double>")
     rows = table.select(F.col(f"`{id_col}`").cast("long").alias("vec_id"), v.alias("v")) \
-        .where(F.col("vec_id").isNotNull() & F.col("v").isNotNull())
+        .where(F.col("vec_id").isNotNull() & (F.size("v") > 0))
     rows = rows.where(F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))))
     if nonzero:
         rows = rows.where(F.exists("v", lambda x: x != 0))
-    rows = rows.groupBy("vec_id").agg(F.min("v").alias("v"))
-    best = rows.groupBy(F.size("v").alias("d")).agg(F.count(F.lit(1)).alias("n")) \
-        .agg(F.max_by("d", F.struct(F.col("n"), -F.col("d"))).alias("d")).first()["d"]
-    return rows.where(F.size("v") == F.lit(best if best is not None else 0))
+    return rows.distinct()
+
+
+def asked(rows: DataFrame, every: int) -> DataFrame:
+    """The queries among cleaned rows: an id with several vectors asks with the least (in array order)."""
+    return rows.where(is_query(F.col("vec_id"), every)).groupBy("vec_id").agg(F.min("v").alias("v"))
 
 
 def is_query(vec_id: Column, every: int = 20) -> Column:
