@@ -463,5 +463,10 @@ def keep_one(docs: DataFrame, **kw) -> DataFrame:
     found = join_components(docs, **kw).where("doc_id = component_id").select(
         F.col("doc_id").alias("_keep")).distinct()
     kept = docs.join(found, F.col("doc_id").cast("long") == F.col("_keep"), "left_semi")
-    one = kept.withColumn("_rank", F.row_number().over(Window.partitionBy("doc_id").orderBy(row_hash(kept))))
-    return one.where("_rank = 1").drop("_rank").unionByName(docs.where("doc_id is null"))
+    return keep_first(kept).unionByName(docs.where("doc_id is null"))
+
+
+def keep_first(rows: DataFrame) -> DataFrame:
+    """Of rows that share an id, the one with the smallest row hash."""
+    one = rows.withColumn("_rank", F.row_number().over(Window.partitionBy("doc_id").orderBy(row_hash(rows))))
+    return one.where("_rank = 1").drop("_rank")
