@@ -5,11 +5,14 @@ from __future__ import annotations
 import os
 import uuid
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medistar.session import shared_path
+from medistar.session import fs_drop, shared_path
+
+_scratch: ContextVar[list[str] | None] = ContextVar("scratch", default=None)  # tables that the open scratch deletes
 
 # a word: a run of anything but space, tab, line feed, vertical tab, form feed, carriage return
 WORD = r"[^\x20\x09-\x0D]+"
@@ -28,14 +31,32 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def materialize(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+def materialize(spark: SparkSession, df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: a lineage cut that
-    outlives lost executors and is computed once for all its readers."""
+    outlives lost executors and is computed once for all its readers.  Inside a
+    ``scratch`` the table goes when that ends, unless it is to ``keep``."""
     path = shared_path(spark, "llm", f"{name}-{uuid.uuid4().hex}")
+    if not keep and (within := _scratch.get()) is not None:
+        within.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch(spark: SparkSession):
+    """Tables materialised inside are deleted at the end, also after an error: what
+    is read later must have been written by then, with ``keep`` (or inside an outer
+    scratch, which then has it)."""
+    paths: list[str] = []
+    before = _scratch.set(paths)
+    try:
+        yield
+    finally:
+        _scratch.reset(before)
+        for path in paths:
+            fs_drop(spark, path)
+
+
 @contextmanager
 def filtered_scans(spark: SparkSession):
     """Inside, Spark may test a large scan against a Bloom filter (of bounded size)

@@ -75,3 +75,26 @@ def test_registered():
     names = [n for n in E.queries() if n.startswith("op") and n[2:3].isdigit()]
     assert sorted({int(n[2:].split("_")[0]) for n in names}) == list(range(1, 14)) and len(names) == 13
     assert "pipeline" in E.queries()
+
+
+def test_scratch_deletes_what_is_not_kept(spark):
+    from medistar.llm.common import materialize, scratch
+    from medistar.session import fs_exists
+    rows = spark.range(3)
+    with scratch(spark):
+        gone = materialize(spark, rows, "scratch-gone")
+        kept = materialize(spark, gone, "scratch-kept", keep=True)
+        gone_at = inner_path(gone)
+        with scratch(spark):
+            inner = materialize(spark, rows, "scratch-inner")
+            at = inner_path(inner)
+            assert fs_exists(spark, at)
+        assert not fs_exists(spark, at) and gone.count() == 3
+    assert not fs_exists(spark, gone_at)
+    assert kept.count() == 3
+    after = materialize(spark, rows, "scratch-after")
+    assert fs_exists(spark, inner_path(after))
+
+
+def inner_path(table):
+    return table.inputFiles()[0].rsplit("/", 1)[0]
