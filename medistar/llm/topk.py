@@ -2,17 +2,20 @@
 
 The components are cut into ``lists`` column lists; the score of a query and a
 vector is the sum of its partial scores, one per list.  Vectors are stored in
-blocks, queries in packs; each pack is scored against each block (a stated query
-set against all rows, in blocks).
-
-1. Every block gathers each query's ``k`` best entries of every list, resolves
-   their full scores, and hands over the k best of them.  The k-th best over all
-   blocks (merged in a tree of bounded fan-in) is a safe cutoff: k vectors reach it.
-2. The cutoff goes to all blocks with the queries.  A vector that reaches it has
-   a partial score of at least cutoff / lists in some list, so those entries are
-   sufficient.
-3. Their remaining partial scores are resolved and the exact score kept if it
-   reaches the cutoff.  Of ties, each block keeps its k smallest ids.
+blocks, queries in packs; each pack is met with each block (a stated query set
+against all rows, in blocks).
+
+1. Every block gathers each query's ``k`` best entries of the first ``lead``
+   lists, resolves the full scores of these alone, and hands over the k best of
+   them.  The k-th best over all blocks (merged in a tree of bounded fan-in) is a
+   safe cutoff: k vectors reach it.
+2. The cutoff goes to all blocks with the queries.  Lists are added up in turn; an
+   entry is collected as long as its sum so far and the most that the lists to come
+   can add (the product of the remaining norms) reach the cutoff.  The others
+   cannot reach it.
+3. Once few entries are left, only their remaining partial scores are resolved,
+   and the exact score is kept if it reaches the cutoff.  Of ties, each block keeps
+   its k smallest ids.
 
 Components are floor(scale * x), integers; scores are exact (they must fit a
 long).  Results by case: see ``vectors.clean`` for nulls, non-finite components,
@@ -32,6 +35,8 @@ from .common import importable, materialize
 from .vectors import PACK, asked, blocks, clean, matrix
 
 _FAN = 64
+_FEW = 0.125  # share of open entries from which their remaining scores are resolved one by one
+_CELLS = 1 << 20  # most numbers gathered at once for that
 
 
 def _exact(q: np.ndarray, v: np.ndarray):
@@ -40,10 +45,24 @@ def _exact(q: np.ndarray, v: np.ndarray):
     return (q, v) if bound < 2 ** 53 else (q.astype(np.int64), v.astype(np.int64))
 
 
-def _partials(q, v, lists):
-    """Partial scores [list][query, vector]."""
-    cuts = np.linspace(0, q.shape[1], lists + 1).astype(int)
-    return [q[:, a:b] @ v[:, a:b].T for a, b in zip(cuts, cuts[1:])]
+def _cuts(n, lists):
+    """Column ranges of the lists."""
+    at = np.linspace(0, n, lists + 1).astype(int)
+    return list(zip(at, at[1:]))
+
+
+def _sums(q, v, i, j, a, b):
+    """Partial scores of the entries (i, j) over columns a to b, in bounded memory."""
+    step = max(1, _CELLS // max(1, b - a))
+    out = np.empty(len(i), dtype=q.dtype)
+    for s in range(0, len(i), step):
+        out[s:s + step] = np.einsum("ij,ij->i", q[i[s:s + step], a:b], v[j[s:s + step], a:b])
+    return out
+
+
+def _norms(m, at):
+    """Length of each row from column ``at`` on."""
+    return np.sqrt((m[:, at:].astype(np.float64) ** 2).sum(axis=1))
 
 
 def _rows(batches):
@@ -54,33 +73,56 @@ def _rows(batches):
                    matrix(r["mat"], len(vi)), r["block"])
 
 
-def gather(q_ids, q, v_ids, v, k, lists):
-    """Phase 1 in one block: each query's k best full scores among the best entries of each list."""
+def gather(q_ids, q, v_ids, v, k, lists, lead=2):
+    """Phase 1 in one block: each query's k best full scores among the best entries
+    of each of the first ``lead`` lists; no other full score is computed."""
     q, v = _exact(q, v)
-    parts = _partials(q, v, lists)
-    total = sum(parts)
     own = q_ids[:, None] == v_ids[None, :]
-    least = -np.inf if total.dtype.kind == "f" else np.iinfo(np.int64).min
-    seen = np.zeros(total.shape, dtype=bool)
-    n = total.shape[1]
-    for p in parts:
-        p = np.where(own, least, p)
-        best = np.argpartition(p, n - k, axis=1)[:, n - k:] if n > k else np.broadcast_to(np.arange(n), total.shape)
+    least = -np.inf if q.dtype.kind == "f" else np.iinfo(np.int64).min
+    seen = np.zeros(own.shape, dtype=bool)
+    n = len(v_ids)
+    for a, b in _cuts(q.shape[1], lists)[:lead]:
+        p = q[:, a:b] @ v[:, a:b].T
+        p[own] = least
+        best = np.argpartition(p, n - k, axis=1)[:, n - k:] if n > k else np.broadcast_to(np.arange(n), own.shape)
         np.put_along_axis(seen, best, True, axis=1)
-    seen &= ~own
-    return [np.sort(total[i, seen[i]])[::-1][:k].astype(np.int64) for i in range(len(q_ids))]
+    i, j = np.nonzero(seen & ~own)
+    score = _sums(q, v, i, j, 0, q.shape[1]).astype(np.int64)
+    score = score[np.lexsort((-score, i))]
+    at = np.searchsorted(i, np.arange(len(q_ids) + 1))
+    return [score[a:b][:k] for a, b in zip(at, at[1:])]
+
+
+def collect(q_ids, q, cutoff, v_ids, v, lists):
+    """Phase 2 in one block: (i, j, sums so far, column they go to) of the entries
+    that may reach the cutoffs."""
+    total = np.zeros((len(q_ids), len(v_ids)), dtype=q.dtype)
+    most = _norms(q, 0).max(initial=0) * _norms(v, 0).max(initial=0)
+    slack = 1e-9 * most + 1  # more than the bounds' rounding
+    mine = q_ids[:, None] != v_ids[None, :]
+    cuts = _cuts(q.shape[1], lists)
+    for l, (a, b) in enumerate(cuts):
+        total += q[:, a:b] @ v[:, a:b].T
+        # the first half of the lists excludes next to nothing; sums beyond 2^62 bound nothing
+        if 2 * l + 2 < lists or l + 1 == lists or most >= 2.0 ** 62:
+            continue
+        reach = _norms(q, b)[:, None] * _norms(v, b)[None, :]
+        reach += total
+        open_ = reach >= (cutoff - slack)[:, None]
+        open_ &= mine
+        if np.count_nonzero(open_) <= _FEW * open_.size:
+            i, j = np.nonzero(open_)
+            return i, j, total[i, j], l + 1
+    i, j = np.nonzero((total >= cutoff[:, None]) & mine)
+    return i, j, total[i, j], lists
 
 
 def resolve(q_ids, q, cutoff, v_ids, v, k, lists):
     """Phases 2 and 3 in one block: (query, vector, score) of what reaches the cutoffs."""
     q, v = _exact(q, v)
-    parts = _partials(q, v, lists)
-    enough = np.zeros((len(q_ids), len(v_ids)), dtype=bool)
-    for p in parts:
-        enough |= p * lists >= cutoff[:, None]
-    enough &= q_ids[:, None] != v_ids[None, :]
-    i, j = np.nonzero(enough)
-    score = sum(p[i, j] for p in parts)
+    i, j, score, done = collect(q_ids, q, cutoff, v_ids, v, lists)
+    for a, b in _cuts(q.shape[1], lists)[done:]:
+        score = score + _sums(q, v, i, j, a, b)
     keep = score >= cutoff[i]
     i, j, score = i[keep], j[keep], score[keep].astype(np.int64)
     order = np.lexsort((v_ids[j], -score, i))
@@ -91,7 +133,7 @@ def resolve(q_ids, q, cutoff, v_ids, v, k, lists):
 
 
 def search(table: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", k: int = 20, scale: float = 64.0,
-           every: int = 20, lists: int = 4, pack: int = 512, size: int = PACK) -> DataFrame:
+           every: int = 20, lists: int = 8, lead: int = 2, pack: int = 512, size: int = PACK) -> DataFrame:
     """(query_id, rank, vec_id, score) of each query's k best."""
     spark = table.sparkSession
     importable(spark)
@@ -113,7 +155,7 @@ def search(table: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding",
 
     def phase1(batches):
         for qi, q, _, vi, v, block in _rows(batches):
-            best = gather(qi, q, vi, v, k, lists)
+            best = gather(qi, q, vi, v, k, lists, lead)
             yield pa.RecordBatch.from_arrays([pa.array(qi), pa.array([block] * len(qi), pa.int64()),
                                               pa.array([x.tolist() for x in best], pa.list_(pa.int64()))], ["query_id", "g", "best"])
 
