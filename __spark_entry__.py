@@ -242,6 +242,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         # dashboard / analytics
         "kpi_summary": _q(lambda s: Q.kpi_summary(s)),
         "kpi_summary_last_year": _q(lambda s: Q.kpi_summary(s, *_last_year())),
+        "kpi_by_preset": _q(lambda s: Q.kpi_by_preset(s, PARAMS.as_of_date)),
+        "calendar_activity": _q(Q.calendar_activity),
+        "class_activity": _q(Q.class_activity),
         "kpi_insights": _q(lambda s: Q.kpi_insights(s)),
         "stock_risk_counts": _q(Q.stock_risk_counts),
         "monthly_trend": _q(lambda s: Q.monthly_trend(s)),

@@ -39,7 +39,35 @@ def kpi_summary(start=None, end=None):
 STOCK_RISK = """SELECT COUNT(*) FILTER (WHERE stock_status = 'Out of Stock') AS out_of_stock,
   COUNT(*) FILTER (WHERE stock_status IN ('Low Stock', 'Critical')) AS low_or_critical FROM fact_inventory"""
 
+# FIL-1 as of 2025-06-30
+RANGES = {
+    "All Time": ("2005-01-01", "2025-06-30"), "Today": ("2025-06-30", "2025-06-30"),
+    "Yesterday": ("2025-06-29", "2025-06-29"), "Last 7 Days": ("2025-06-23", "2025-06-30"),
+    "Last 30 Days": ("2025-05-31", "2025-06-30"), "Last 90 Days": ("2025-04-01", "2025-06-30"),
+    "Last 6 Months": ("2025-01-01", "2025-06-30"), "This Year": ("2025-01-01", "2025-06-30"),
+    "Last Year": ("2024-01-01", "2024-12-31"),
+}
+
+
+def _kpis_within(name, start, end):
+    return f"""SELECT '{name}' AS preset, {_dsum('f.net_revenue')} AS revenue, {_dsum('f.gross_profit')} AS profit,
+      {WM} AS margin_pct, COUNT(*) AS orders, {_lsum('f.units_sold')} AS units,
+      COUNT(DISTINCT f.customer_key) AS customers, COUNT(DISTINCT f.drug_key) AS drugs
+      FROM {FD} {_date_where(start, end)}"""
+
+
 SQL = {
+    "kpi_by_preset": " UNION ALL ".join(_kpis_within(p, a, b) for p, (a, b) in RANGES.items()),
+    "calendar_activity": f"""SELECT d.date_key, d.full_date, d.calendar_year, d.month_num,
+      (SELECT COUNT(*) FROM fact_drug_sales f WHERE f.order_date_key = d.date_key) AS sales_lines,
+      (SELECT {_dsum('f.net_revenue')} FROM fact_drug_sales f WHERE f.order_date_key = d.date_key) AS revenue,
+      (SELECT COUNT(*) FROM fact_inventory i WHERE i.snapshot_date_key = d.date_key) AS stock_rows FROM dim_date d""",
+    "class_activity": f"""SELECT t.therapeutic_class_key, t.therapeutic_class,
+      (SELECT COUNT(*) FROM dim_drug dr WHERE dr.therapeutic_class_key = t.therapeutic_class_key) AS drugs,
+      COUNT(f.drug_key) AS sales_lines, {_dsum('f.net_revenue')} AS revenue
+      FROM dim_therapeutic_class t LEFT JOIN (SELECT dr.therapeutic_class_key, f.drug_key, f.net_revenue
+        FROM fact_drug_sales f JOIN dim_drug dr ON f.drug_key = dr.drug_key) f
+      ON f.therapeutic_class_key = t.therapeutic_class_key GROUP BY t.therapeutic_class_key, t.therapeutic_class""",
     "kpi_summary": kpi_summary(),
     "kpi_summary_last_year": kpi_summary("2024-01-01", "2024-12-31"),
     "kpi_insights": f"""SELECT CASE WHEN k.orders = 0 THEN 0.0 ELSE COALESCE(k.rev, 0.0) / k.orders END AS avg_order_value,

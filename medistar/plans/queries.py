@@ -46,6 +46,10 @@ def long_sum(c) -> Column:
     return F.sum(X.col(c)).cast("long")
 
 
+PRESETS = ("All Time", "Today", "Yesterday", "Last 7 Days", "Last 30 Days", "Last 90 Days",
+           "Last 6 Months", "This Year", "Last Year")
+
+
 def preset_range(name: str, as_of: dt.date) -> tuple[str | None, str | None]:
     """FIL-1 presets resolved on the driver against a fixed ``as_of`` date."""
     d = as_of
@@ -129,6 +133,51 @@ def kpi_summary(star: Star, start=None, end=None) -> DataFrame:
         F.countDistinct("drug_key").alias("drugs"))
 
 
+def kpi_by_preset(star: Star, as_of: dt.date) -> DataFrame:
+    """FIL-1 with Q-1: the KPIs of every preset range from one scan of the fact; a
+    range without sales has no sums and zero counts."""
+    ranges = {p: preset_range(p, as_of) for p in PRESETS}
+    day = F.col("full_date")
+    inside = F.array_compact(F.array(*[
+        F.when((day >= F.lit(a).cast("date")) & (day <= F.lit(b).cast("date")), F.lit(p)) for p, (a, b) in ranges.items()]))
+    dates = star["dim_date"].select("date_key", F.explode(inside).alias("preset"))
+    fact = _key_range(star["fact_drug_sales"], "order_date_key",
+                      min(a for a, _ in ranges.values()), max(b for _, b in ranges.values()))
+    found = fact.join(dates, F.col("order_date_key") == F.col("date_key")).groupBy("preset").agg(
+        dbl_sum("net_revenue").alias("revenue"),
+        dbl_sum("gross_profit").alias("profit"),
+        weighted_margin().alias("margin_pct"),
+        F.count(F.lit(1)).alias("orders"),
+        long_sum("units_sold").alias("units"),
+        F.countDistinct("customer_key").alias("customers"),
+        F.countDistinct("drug_key").alias("drugs"))
+    names = star["dim_date"].select(F.explode(F.array(*[F.lit(p) for p in PRESETS])).alias("preset")).distinct()
+    return names.join(found, "preset", "left").fillna(0, ["orders", "customers", "drugs"])
+
+
+def calendar_activity(star: Star) -> DataFrame:
+    """Every day of the calendar with its sales lines, revenue and stock snapshots;
+    the facts are reduced to one row per day before they meet the calendar."""
+    sold = star["fact_drug_sales"].groupBy(F.col("order_date_key").alias("date_key")).agg(
+        F.count(F.lit(1)).alias("sales_lines"), dbl_sum("net_revenue").alias("revenue"))
+    held = star["fact_inventory"].groupBy(F.col("snapshot_date_key").alias("date_key")).agg(
+        F.count(F.lit(1)).alias("stock_rows"))
+    return star["dim_date"].select("date_key", "full_date", "calendar_year", "month_num") \
+        .join(sold, "date_key", "left").join(held, "date_key", "left").fillna(0, ["sales_lines", "stock_rows"])
+
+
+def class_activity(star: Star) -> DataFrame:
+    """Every therapeutic class with its drugs and sales; classes without either stay."""
+    drugs = star["dim_drug"].select("drug_key", "therapeutic_class_key")
+    held = drugs.groupBy("therapeutic_class_key").agg(F.count(F.lit(1)).alias("drugs"))
+    sold = star["fact_drug_sales"].groupBy("drug_key").agg(
+        F.count(F.lit(1)).alias("lines"), F.sum("net_revenue").alias("net")).join(drugs, "drug_key") \
+        .groupBy("therapeutic_class_key").agg(long_sum("lines").alias("sales_lines"), dbl_sum("net").alias("revenue"))
+    return star["dim_therapeutic_class"].select("therapeutic_class_key", "therapeutic_class") \
+        .join(held, "therapeutic_class_key", "left").join(sold, "therapeutic_class_key", "left") \
+        .fillna(0, ["drugs", "sales_lines"])
+
+
 def stock_risk_counts(star: Star) -> DataFrame:
     """Q-3: one pass over inventory."""
     s = F.col("stock_status")
