@@ -124,3 +124,22 @@ def test_blocks_split_a_hot_group(spark):
     assert sum(r.n for r in got) == 5000 and max(r.n for r in got) < 700
     assert sorted(x for r in got for x in np.frombuffer(r.ids, np.int64)) == list(range(5000))
     random.seed(0)
+
+
+def test_topk_cutoff_spares_scores():
+    rnd = np.random.default_rng(7)
+    v = rnd.normal(size=(900, 64))
+    v[:60] = v[0] + 0.2 * rnd.normal(size=(60, 64))  # near one another: a high cutoff, which few rows come near
+    v = np.floor(64 * v / np.linalg.norm(v, axis=1)[:, None])
+    vi = np.arange(900) * 3
+    q, qi = v[:40], vi[:40]
+    full = q @ v.T
+    full[np.arange(40), np.arange(40)] = -np.inf
+    low = np.sort(full, axis=1)[:, -5]  # the sharpest safe cutoff
+    assert all(x[-1] <= y for x, y in zip(topk.gather(qi, q, vi, v, 5, 8), low))
+    i, j, _, done = topk.collect(qi, q, low, vi, v, 8)
+    assert done < 8 and len(i) < 0.125 * 40 * 900
+    a, b, s = topk.resolve(qi, q, low, vi, v, 5, 8)
+    for r in range(40):
+        full = sorted((-float(q[r] @ v[c]), int(vi[c])) for c in range(900) if vi[c] != qi[r])[:5]
+        assert sorted((-float(x), int(y)) for x, y in zip(s[a == qi[r]], b[a == qi[r]])) == full
