@@ -20,8 +20,10 @@ its first set, and only what that one rules out with the others; each key leaves
 a spanning forest.  The forests' components are loose groups (a superset of all
 links).  Inside a loose group the shingles' inverted lists are scanned and
 overlaps counted exactly.  A key with more sets than ``bucket``, and a group with
-more shingles than ``block``, are dealt over pairs of blocks, so no task holds
-an unbounded group.  Each task returns a spanning forest of its links, and the
+more shingles than ``block``, are cut into chunks that meet in pairs, so no task
+holds an unbounded group: the first chunk meets all, then the sets outside the
+largest component so far do, which leaves no unconnected pair untested and, in a
+group of near copies, far fewer pairs of chunks than all.  Each task returns a spanning forest of its links, and the
 components of all forests are the result: no link is lost, copies and near
 copies are never expanded into all pairs.
 
@@ -35,13 +37,14 @@ Texts are read whole, A-Z lower-cased.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from itertools import combinations
 from math import comb
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import components, filtered_scans, importable, materialize, row_hash
@@ -406,6 +409,59 @@ def _forest(k, num, den):
     return run
 
 
+# ------------------------------------------------------------ large groups
+
+def _chunk(spread: list[str], of) -> Column:
+    return F.pmod(F.xxhash64(F.lit("chunk"), *spread), F.col(of)).cast("int")
+
+
+def deal(members: DataFrame) -> DataFrame:
+    """Members with the pairs of chunks, ``at`` (a, b), in which they meet others: chunks below ``open`` meet all
+    ``chunks`` of their group, the others those below ``open`` only."""
+    last = F.when(F.col("chunk") < F.col("open"), F.col("chunks")).otherwise(F.col("open")) - 1
+    return members.withColumn("at", F.explode(F.transform(F.sequence(F.lit(0), last), lambda c: F.struct(
+        F.least(c, F.col("chunk")).alias("a"), F.greatest(c, F.col("chunk")).alias("b")))))
+
+
+def first_chunks(members: DataFrame, spread: list[str], per_chunk: int) -> DataFrame:
+    """Members, of groups of a ``size``, in chunks of which the first is open."""
+    chunks = F.ceil(F.col("size") / F.lit(float(per_chunk))).cast("int")
+    return members.withColumn("chunks", chunks).withColumn("open", F.lit(1)).withColumn("chunk", _chunk(spread, "chunks"))
+
+
+def rest_chunks(members: DataFrame, group: str, node: str, spread: list[str], weight: Column, per_chunk: int,
+                found: DataFrame) -> DataFrame:
+    """Members of groups that the components ``found`` (id, component) leave apart: a group's largest component is
+    connected already, the chunks of all its other members are open."""
+    own = members.join(found.select(F.col("id").alias(node), F.col("component").alias("_own")), node, "left") \
+        .withColumn("_own", F.coalesce("_own", node)).withColumn("_w", weight)
+    part = own.groupBy(group, "_own").agg(F.sum("_w").alias("w"))
+    home = part.groupBy(group).agg(F.max(F.struct("w", "_own")).alias("home"), F.sum("w").alias("all")) \
+        .where(F.col("all") > F.col("home.w"))
+    count = lambda w: F.ceil(w / F.lit(float(per_chunk))).cast("int")
+    home = home.select(group, F.col("home._own").alias("_home"), count(F.col("all") - F.col("home.w")).alias("open"),
+                       count(F.col("home.w")).alias("_rest"))
+    chunk = F.when(F.col("_own") == F.col("_home"), F.col("open") + _chunk(spread, "_rest")).otherwise(_chunk(spread, "open"))
+    return own.join(home, group).withColumn("chunk", chunk).withColumn("chunks", F.col("open") + F.col("_rest")) \
+        .drop("_own", "_home", "_rest", "_w")
+
+
+def _linked_in_rounds(spark: SparkSession, members: DataFrame, group: str, node: str, spread: list[str], weight: Column,
+                      per_chunk: int, large: DataFrame, name: str, link: Callable[[DataFrame, bool], DataFrame]) -> DataFrame:
+    """Components of the links that ``link`` finds among members dealt to pairs of chunks (first round or not).
+
+    A ``large`` group is not held against itself whole: its first chunk meets all of it, which connects most of a
+    group of near copies.  Two members that are still apart are not both in the largest component, so what is left is
+    to hold the members outside that component against all: every pair that is not connected by then is tested, and
+    the work grows with the group, not with its square, as long as few members stay outside."""
+    comp = components(spark, link(deal(first_chunks(members, spread, per_chunk)), True), name)
+    if not large.head(1):
+        return comp
+    left = rest_chunks(members.join(large.select(group), group, "left_semi"), group, node, spread, weight, per_chunk, comp)
+    more = link(deal(left), False)
+    return components(spark, more.unionByName(comp.select(F.col("id").alias("src"), F.col("component").alias("dst"))), name)
+
+
 # ------------------------------------------------------------ the operator
 
 def join_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id",
@@ -422,34 +478,39 @@ def join_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100,
     keys = src.where("doc_id is not null").select("text").mapInArrow(_postings(k, small, num, den), "key long, node long")
     shared = materialize(spark, keys.repartition(F.col("key")).sortWithinPartitions("key", "node")
                          .mapInArrow(_shared, "key long, node long"), "join-shared")
-    hot = shared.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / F.lit(float(bucket))).cast("int").alias("chunks")).where("chunks > 1")
-    chunk = F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")
-    pairs = F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), lambda c: F.xxhash64(
-        F.col("key"), F.least(c, F.col("chunk")), F.greatest(c, F.col("chunk"))))
-    dealt = shared.join(hot, "key", "left").withColumn("chunk", chunk) \
-        .select("node", F.explode(F.when(F.col("chunks").isNull(), F.array("key")).otherwise(pairs)).alias("key"))
     reps = materialize(spark, full.groupBy("s1", "s2", "n_shingles").agg(
         F.min("doc_id").alias("rep"), F.min("sketch").alias("sketch")), "join-reps")
-    tested = dealt.join(reps.select(F.col("s1").alias("node"), F.col("n_shingles").alias("n"), "sketch"), "node") \
-        .select("key", "node", "n", "sketch").repartition(F.col("key")).sortWithinPartitions("key") \
-        .mapInArrow(_compatible(num, den), "src long, dst long")
-    loose = components(spark, tested, "join-loose").select(F.col("id").alias("s1"), F.col("component").alias("loose"))
+    sketches = reps.select(F.col("s1").alias("node"), F.col("n_shingles").alias("n"), "sketch")
+
+    one = F.lit(1)
+    hot = materialize(spark, shared.groupBy("key").agg(F.count(one).alias("size")).where(F.col("size") > bucket), "join-hot")
+    few = shared.join(hot, "key", "left_anti").select("node", "key")
+
+    def tested(dealt: DataFrame, first: bool) -> DataFrame:
+        dealt = dealt.select("node", F.xxhash64("key", "at.a", "at.b").alias("key"))
+        dealt = dealt.unionByName(few) if first else dealt
+        return dealt.join(sketches, "node").select("key", "node", "n", "sketch") \
+            .repartition(F.col("key")).sortWithinPartitions("key").mapInArrow(_compatible(num, den), "src long, dst long")
+
+    loose = _linked_in_rounds(spark, shared.join(hot, "key"), "key", "node", ["node"], one, bucket, hot, "join-loose", tested) \
+        .select(F.col("id").alias("s1"), F.col("component").alias("loose"))
 
     reps = reps.drop("sketch")
     member = materialize(spark, reps.join(loose, "s1"), "join-members")
-    total = member.groupBy("loose").agg(F.ceil(F.sum("n_shingles") / F.lit(float(block))).cast("int").alias("chunks"))
-    member = member.join(total, "loose").withColumn("chunk", F.pmod(F.xxhash64("rep", "s1"), "chunks").cast("int"))
-    dealt = F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), lambda c: F.struct(
-        F.least(c, F.col("chunk")).alias("a"), F.greatest(c, F.col("chunk")).alias("b")))
-    dealt = member.select("rep", "s1", "s2", "loose", "chunk", F.explode(dealt).alias("at"))
     # only the texts of loose groups are needed: their scan is filtered before it is shuffled
     wanted = materialize(spark, member.select("rep", F.lit(1).alias("wanted")).distinct(), "join-wanted").where("wanted > 0")
     with filtered_scans(spark):
         texts = materialize(spark, src.join(wanted, src["doc_id"] == wanted["rep"]).select("rep", "text"), "join-texts")
-    links = texts.join(dealt, "rep").select("loose", "at", "rep", "s1", "s2", "chunk", "text") \
-        .groupBy("loose", "at").applyInPandas(_forest(k, num, den), "src long, dst long")
+
+    def linked(dealt: DataFrame, first: bool) -> DataFrame:
+        return texts.join(dealt, "rep").select("loose", "at", "rep", "s1", "s2", "chunk", "text") \
+            .groupBy("loose", "at").applyInPandas(_forest(k, num, den), "src long, dst long")
+
+    sizes = member.groupBy("loose").agg(F.sum("n_shingles").alias("size"))
+    large = materialize(spark, sizes.where(F.col("size") > block), "join-large")
     # rows that share an id are one document: their sets meet in its node
-    comp = components(spark, links, "join-links").select(F.col("id").alias("rep"), F.col("component"))
+    comp = _linked_in_rounds(spark, member.join(sizes, "loose"), "loose", "rep", ["rep", "s1"], F.col("n_shingles"), block,
+                             large, "join-links", linked).select(F.col("id").alias("rep"), F.col("component"))
     classes = reps.join(comp, "rep", "left").select("s1", "s2", "n_shingles", F.coalesce("component", "rep").alias("c"))
     found = full.drop("sketch").join(classes, ["s1", "s2", "n_shingles"]).select("doc_id", "n_shingles", F.col("c").alias("component_id"))
     alone = sig.where("n_shingles = 0 or doc_id is null").select(

@@ -3,6 +3,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from medistar.llm import ngram_join as J
 
@@ -65,6 +66,41 @@ def test_blocks_and_hot_keys_lose_nothing(spark):
     assert sorted(tuple(r) for r in got) == brute(rows, 4, 85, 100)
 
 
+def chain(n, size, step):
+    """Texts of which each links with the next ones only."""
+    return [" ".join(f"c{j}" for j in range(i * step, i * step + size)) for i in range(n)]
+
+
+def test_large_groups_of_near_copies_chains_and_ids_with_several_texts(spark):
+    rows = near(4, [120], [1, 2]) + near(5, [90] * 3, [0, 1, 2])
+    texts = [r[1] for r in rows] + chain(40, 100, 3)
+    rnd = random.Random(6)
+    base = [f"b{j}" for j in range(80)]
+    texts += [" ".join(base[:i] + [f"x{i}"] + base[i + 1:]) for i in range(80)]
+    texts += [" ".join([f"p{j}" for j in range(50)] + [f"q{rnd.randrange(10 ** 6)}" for _ in range(9)]) for _ in range(20)]
+    rnd.shuffle(texts)
+    rows = [(i, t, None, None, 0) for i, t in enumerate(texts)]
+    want = brute(rows, 4, 85, 100)
+    for block, bucket in ((300, 3), (1 << 18, 5)):
+        got = J.join_components(frame(spark, rows), 4, 85, 100, block=block, bucket=bucket).collect()
+        assert sorted(tuple(r) for r in got) == want, (block, bucket)
+
+
+def test_what_large_groups_deal_grows_with_their_size(spark):
+    """Of a group whose members the first chunk connects, but for a few, hardly more rows are dealt than it has."""
+    def dealt(n):
+        members = spark.range(n).selectExpr("1L as g", "id", f"{n}L as size")
+        first = J.deal(J.first_chunks(members, ["id"], 50))
+        comp = spark.range(n - 5).selectExpr("id", "0L as component")
+        rest = J.deal(J.rest_chunks(members, "g", "id", ["id"], F.lit(1), 50, comp))
+        pairs = rest.groupBy("at").agg(F.collect_set("id").alias("ids")).collect()
+        apart = {frozenset((x, y)) for p in pairs for x in p.ids for y in p.ids if x != y}
+        assert all(frozenset((x, y)) in apart for x in range(n - 5, n) for y in range(n) if x != y)
+        return first.count() + rest.count()
+
+    assert dealt(4000) < 2.5 * dealt(2000) < 2.5 * 6 * 2000
+
+
 def test_null_id_empty_and_wordless(spark):
     rows = [(None, "a b c d e f", None, None, 0), (1, None, None, None, 0), (2, "", None, None, 0), (3, " \n", None, None, 0),
             (4, "Only Two", None, None, 0), (5, "only two", None, None, 0), (6, "a b c d e f", None, None, 0)]
