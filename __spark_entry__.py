@@ -153,13 +153,13 @@ def _audit(spark, sf_dir) -> DataFrame:
 
 
 def _scan(name: str):
-    """A scan of the written source layer."""
+    """A scan of a written source table; a table is written when it is scanned first."""
     def run(spark, sf_dir):
         path = shared_path(spark, "registry_source", _ident(spark, sf_dir))
         with _LOCK:
-            if not fs_exists(spark, f"{path}/_DONE"):
-                adapter.write_source_layer(spark, _tables(spark, sf_dir), path)
-                fs_write_text(spark, f"{path}/_DONE", "")
+            if not fs_exists(spark, f"{path}/_DONE_{name}"):
+                adapter.write_source_layer(spark, _tables(spark, sf_dir), path, [name])
+                fs_write_text(spark, f"{path}/_DONE_{name}", "")
         return raw.scan(spark, name, path=path)
     return run
 

@@ -221,10 +221,11 @@ def driver_raw(spark: SparkSession, t: dict[str, DataFrame]) -> dict[str, DataFr
     }
 
 
-def write_source_layer(spark: SparkSession, t: dict[str, DataFrame], path: str) -> None:
-    """The raw tables as the retail warehouse stores them, one Parquet folder per source table
-    under its own column names; products with key mod 103 = 0 have no list price."""
-    for name, df in driver_raw(spark, t).items():
+def write_source_layer(spark: SparkSession, t: dict[str, DataFrame], path: str, names: list[str] | None = None) -> None:
+    """The raw tables (or those of ``names``) as the retail warehouse stores them, one Parquet folder per
+    source table under its own column names; products with key mod 103 = 0 have no list price."""
+    raw = driver_raw(spark, t)
+    for name, df in ((n, raw[n]) for n in names or raw):
         table, cols, _ = SOURCE_SCANS[name]
         if name == "dim_product":
             df = df.withColumn("ListPrice", F.when(F.col("ProductKey") % 103 != 0, F.col("ListPrice")))

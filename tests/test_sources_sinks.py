@@ -10,6 +10,7 @@ from medistar.plans.warehouse import AUDIT_SCHEMA, Warehouse
 from medistar.sources import raw
 from medistar.sources.extract import extract_all, extract_summary
 from medistar.params import Params
+from tests.conftest import SF_SMALL
 
 
 def test_raw_scans_rename_and_filter(spark, scratch):
@@ -84,3 +85,15 @@ def test_date_filter_reaches_the_fact_scan(spark, small_star):
         df.explain()
     assert "order_date_key" in buf.getvalue() and "20240101" in buf.getvalue()
     assert df.collect()[0].orders >= 0
+
+
+def test_scan_writes_only_its_own_table(spark, scratch, monkeypatch):
+    import __spark_entry__ as E
+    from medistar.session import fs_names
+    monkeypatch.setattr(E, "shared_path", lambda spark, *parts: "/".join([scratch, *parts]))
+    got = E._scan("dim_customer")(spark, SF_SMALL).collect()
+    root = f"{scratch}/registry_source/{E._ident(spark, SF_SMALL)}"
+    assert [n for n in fs_names(spark, root) if n[0] != "_"] == ["DimCustomer"]
+    assert len(got) == spark.read.parquet(f"{SF_SMALL}/customer.parquet").count()
+    E.scan_categories(spark, SF_SMALL)
+    assert len([n for n in fs_names(spark, root) if n[0] != "_"]) == 4
