@@ -84,3 +84,32 @@ def test_inventory_template_golden(spark, scratch):
     # Ramipril appears twice (30 dispatched each): 500 / 30
     assert rows["Ramipril"].days_of_supply == D("16.67")
     assert rows["Losartan"].days_of_supply == D("16.67") and rows["Ramipril"].stock_value == D("1085645.0000")
+
+
+def test_date_shapes_spare_failing_parses(spark):
+    """A text that cannot be of a format is not parsed by it; each format still reads what it reads alone."""
+    from medistar.operators.uploads import DATE_FORMATS, _shape, parse_date
+    texts = ["2025-1-2", "2025/01/02", "2025-01-02 3:04", "2025-01-02 03:04:05", "2025-01-02T03:04:05.123Z", "2025-01-02T03:04",
+             "2025-01-02T03:04:05+05:00", "2025/1/2 3:04:05", "1-2-2025", "13-2-2025", "13/2/2025", "1/2/2025 10:00", "13/2/2025 10:00",
+             "2 Jan 2025", "2 January 2025", "2-Jan-2025", "Jan 2, 2025", "january 2, 2025", "20250102", "+12025-1-2", "n/a", "", " ",
+             "2025-13-45", "2025-02-30", "0001-01-01", "99-1-2", "2025-1-2x", None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    s = F.trim("t")
+    plain = F.coalesce(*[F.to_date(F.try_to_timestamp(s, F.lit(f))) for f in DATE_FORMATS])
+    got = df.select("t", parse_date("t").cast("string").alias("a"), plain.cast("string").alias("b")).collect()
+    assert [(r.t, r.a) for r in got] == [(r.t, r.b) for r in got]
+    assert sum(r.a is not None for r in got) >= 19
+    tried = df.where("t = 'n/a'").select(*[s.rlike(_shape(f)).alias(f"c{i}") for i, f in enumerate(DATE_FORMATS)]).first()
+    assert not any(tried)
+
+
+def test_upload_leaves_no_staged_rows(spark, scratch):
+    """What an upload stages is deleted once it is loaded; rejects keep their whole rows."""
+    from medistar.operators import outcomes as O
+    from medistar.session import fs_names, shared_path
+    folder = shared_path(spark, "uploads")
+    before = fs_names(spark, folder)
+    with O.dropped(spark):
+        made = O._written(spark, spark.range(3).toDF("id"), "sales")
+        assert made.count() == 3 and len(fs_names(spark, folder)) == len(before) + 1
+    assert fs_names(spark, folder) == before
