@@ -20,7 +20,22 @@ def test_names_are_looked_up_once_each(spark):
     names = ["aspirin 5MG tablet", "Ibu x", "none here", None, " ", "Gel"] * 3
     rows = spark.createDataFrame([(i, n) for i, n in enumerate(names)], "i int, drug_name string")
     want = {n: k for n, k in zip(names, [1, 7, None, None, None, 7])}
-    for other in (None, rows.select("drug_name").unionByName(spark.createDataFrame([("more",)], "drug_name string"))):
-        got = U.resolve_drug(rows, drugs, names=other)
-        assert {(r.i, r.drug_key) for r in got.collect()} == {(i, want[n]) for i, n in enumerate(names)}
+    got = U.resolve_drug(rows, drugs)
+    assert {(r.i, r.drug_key) for r in got.collect()} == {(i, want[n]) for i, n in enumerate(names)}
     assert got.columns == ["i", "drug_name", "drug_key"]
+
+
+def test_names_are_met_before_rows_are_cleansed(spark, scratch, monkeypatch):
+    met = []
+    resolve = U.resolve_drug
+    monkeypatch.setattr(U, "resolve_drug", lambda rows, *a: (met.append(rows.columns), resolve(rows, *a))[1])
+    monkeypatch.setattr(O, "shared_path", lambda s, *parts: "/".join([scratch, *parts]))
+    tables = {"dim_drug": spark.createDataFrame([(2, "Aspirin")], "drug_key long, drug_name string"),
+              "dim_date": spark.createDataFrame([(20240105,)], "date_key int")}
+    cols = ["drug_name", "snapshot_date", "units_on_hand", "units_ordered", "units_dispatched", "unit_cost"]
+    rows = [(" aspirin ", "2024-01-05"), ("Aspirin", "never"), ("none", "2024-01-05"), ("Aspirin", "2024-01-06"), (None, "2024-01-05")]
+    up = spark.createDataFrame([(n, d, "1", "2", "3", "4") for n, d in rows], ", ".join(f"{c} string" for c in cols))
+    got = {(r.drug_name, r.drug_key, r.outcome, r.reason) for r in O.stage(up, "inventory", tables).collect()}
+    assert got == {("aspirin", 2, None, None), ("Aspirin", None, "removed", "bad_dates"), ("none", None, "skipped", "Drug not found"),
+                   ("Aspirin", 2, "skipped", "Date not in dim_date"), (None, None, "removed", "null_critical")}
+    assert met == [[*cols, "_row", "_name"]]
