@@ -82,17 +82,45 @@ class _Tracked:
     reason_col: str
 
 
+@dataclass
+class Counted:
+    """A conformed table with its counts: the kept rows, and one row per reason and
+    task at most for the removed ones (null keys), each with ``_reason``, the further rows it
+    stands for (``_dups``) and how many of its rows were fixed (``_fixed_<name>``)."""
+    rows: DataFrame
+    reasons: list[str]
+    fixes: list[str]
+
+
 @dataclass
 class Tracker:
     """The flagged tables of every waterfall built while it is active.
 
     A flagged table is written once to the shared folder and read by the steps
     after it; the removed / fixed counts are grouped aggregates over what is
-    written, so a task that runs again never counts a row twice."""
+    written, so a task that runs again never counts a row twice.
+
+    With ``count_facts`` the facts, the largest tables, are not written a second time: their
+    counts go through the dedupe and are written with the rows (``counted``)."""
     items: list[_Tracked] = field(default_factory=list)
+    count_facts: bool = False
+    counted: dict[str, Counted] = field(default_factory=dict)
+    rows: list[tuple] = field(default_factory=list)
+
+    def count(self, table: str, written: DataFrame) -> None:
+        """Take the counts of a ``counted`` table from what was written."""
+        c = self.counted[table]
+        sums = written.groupBy("_reason").agg(F.count(F.lit(1)).alias("n"), F.sum("_dups").alias("dups"),
+                                              *[F.sum(f"_fixed_{x}").alias(x) for x in c.fixes])
+        by = {r["_reason"]: r for r in sums.collect()}
+        self.rows += [(table, "removed", x, by[x]["n"] + by[x]["dups"]) for x in c.reasons if x in by]
+        if None in by:
+            self.rows += [(table, "fixed", x, by[None][x]) for x in c.fixes if by[None][x]]
+            if by[None]["dups"]:
+                self.rows.append((table, "removed", DUP_REASON.get(table, "duplicates"), by[None]["dups"]))
 
     def report(self, spark: SparkSession, written: dict[str, int]) -> DataFrame:
-        rows = []
+        rows = list(self.rows)
         for t in self.items:
             r = F.col(t.reason_col)
             m = t.flagged.agg(
@@ -116,8 +144,8 @@ _ACTIVE: list[Tracker] = []
 
 
 @contextlib.contextmanager
-def tracking():
-    t = Tracker()
+def tracking(count_facts: bool = False):
+    t = Tracker(count_facts=count_facts)
     _ACTIVE.append(t)
     try:
         yield t
@@ -125,10 +153,15 @@ def tracking():
         _ACTIVE.remove(t)
 
 
+def fact_tracker() -> Tracker | None:
+    """The active tracker, if the counts of a fact go through its dedupe."""
+    return _ACTIVE[-1] if _ACTIVE and _ACTIVE[-1].count_facts else None
+
+
 def track(flagged: DataFrame, table: str, reasons: list[str], fixes: dict[str, Column] | None = None,
           reason_col: str = "_reason") -> DataFrame:
-    """``flagged``, written once and counted when a tracker is active."""
-    if not _ACTIVE:
+    """``flagged``, written once and counted when a tracker is active (that does not count facts)."""
+    if not _ACTIVE or _ACTIVE[-1].count_facts:
         return flagged
     spark = flagged.sparkSession
     path = shared_path(spark, "conform", f"{table}-{uuid.uuid4().hex}")

@@ -18,11 +18,13 @@ from pyspark.sql import functions as F
 from medistar.operators import conform, dims, facts
 from medistar.operators.conform import union_all
 from medistar.params import Params
+from medistar.session import fs_drop
 from medistar.sources import adapter
 from medistar.sources.extract import extract_all
 
 STAR_TABLES = ["dim_date", "dim_geography", "dim_sales_territory", "dim_therapeutic_class",
                "dim_drug", "dim_customer", "fact_drug_sales", "fact_inventory"]
+FACT_COLS = {"fact_drug_sales": facts.FACT_SALES_COLS, "fact_inventory": facts.FACT_INVENTORY_COLS}
 
 
 @dataclass
@@ -116,17 +118,31 @@ def write_table(df: DataFrame, name: str, path: str, mode: str = "overwrite",
     return written
 
 
+def write_counted(tracker: conform.Tracker, name: str, path: str, mode: str = "overwrite") -> DataFrame:
+    """Write a fact with its counts (``conform.Counted``), take the counts from what was written and
+    drop the removed rows' partition; return the fact read back."""
+    rows = tracker.counted[name].rows
+    write_table(rows, name, path, mode)
+    read = rows.sparkSession.read.schema(rows.schema)
+    tracker.count(name, read.parquet(f"{path}/{name}"))
+    part, _ = facts.PARTITION_COLS[name]
+    fs_drop(rows.sparkSession, f"{path}/{name}/{part}=__HIVE_DEFAULT_PARTITION__")
+    return read.parquet(f"{path}/{name}").select(*FACT_COLS[name])
+
+
 def materialize_star(star: Star, path: str, mode: str = "overwrite") -> Star:
     """Write every star table under ``path`` and return the star read back."""
     out = {name: write_table(df, name, path, mode) for name, df in star.tables.items()}
     return Star(out, star.report, star.audit, dict(star.extra))
 
 
-def _write_all(tables: dict[str, DataFrame], path: str, mode: str, counts: dict) -> dict[str, DataFrame]:
+def _write_all(tables: dict[str, DataFrame], path: str, mode: str, counts: dict,
+               tracker: conform.Tracker) -> dict[str, DataFrame]:
     """Write independent tables as concurrent Spark jobs (their stages share the
     cluster instead of running back to back)."""
     with ThreadPoolExecutor(max_workers=max(1, len(tables))) as pool:
-        futures = {name: pool.submit(write_table, df, name, path, mode, counts) for name, df in tables.items()}
+        futures = {name: pool.submit(write_counted, tracker, name, path, mode) if name in tracker.counted
+                   else pool.submit(write_table, df, name, path, mode, counts) for name, df in tables.items()}
         return {name: fut.result() for name, fut in futures.items()}
 
 
@@ -140,11 +156,11 @@ def build_star_to(spark: SparkSession, raw: dict[str, DataFrame], path: str, par
     counts: dict[str, int] = {}
     with conform.tracking() as tracker:
         d = conform_dimensions(spark, ex, params)
-    written = _write_all(d.tables, path, mode, counts)
-    with conform.tracking() as fact_tracker:
+    written = _write_all(d.tables, path, mode, counts, tracker)
+    with conform.tracking(count_facts=True) as fact_tracker:
         f = conform_facts(ex, written, params)
-    written.update(_write_all(f.tables, path, mode, counts))
-    tracker.items.extend(fact_tracker.items)
+    written.update(_write_all(f.tables, path, mode, counts, fact_tracker))
+    tracker.rows.extend(fact_tracker.rows)
     report = tracker.report(spark, counts)
     report.write.mode(mode).parquet(f"{path}/_report")
     tracker.drop(spark)
@@ -155,6 +171,5 @@ def read_star(spark: SparkSession, path: str) -> Star:
     """A star written by ``build_star_to`` (tables, plus its removal report)."""
     tables = {n: spark.read.parquet(f"{path}/{n}") for n in STAR_TABLES}
     for name in facts.PARTITION_COLS:
-        cols = facts.FACT_SALES_COLS if name == "fact_drug_sales" else facts.FACT_INVENTORY_COLS
-        tables[name] = tables[name].select(*cols)
+        tables[name] = tables[name].select(*FACT_COLS[name])
     return Star(tables, spark.read.parquet(f"{path}/_report"))

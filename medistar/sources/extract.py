@@ -24,10 +24,10 @@ def extract_all(spark: SparkSession, raw: dict[str, DataFrame], params: Params)
     out["dim_date"] = generate_calendar(spark, params.calendar_start, params.calendar_end)
     fis = raw["fact_internet_sales"]
     for c in SALES_DATE_KEYS:
-        fis = fis.withColumn(c, X.shift_key(X.safe_date_key(c), params.shift_years))
+        fis = fis.withColumn(c, X.shift_key(X.safe_date_key(c, schema=fis.schema), params.shift_years))
     out["fact_internet_sales"] = fis
     inv = raw["fact_product_inventory"]
-    inv = inv.withColumn("DateKey", X.shift_key(X.safe_date_key("DateKey"), params.shift_years))
+    inv = inv.withColumn("DateKey", X.shift_key(X.safe_date_key("DateKey", schema=inv.schema), params.shift_years))
     inv = inv.withColumn("MovementDate", shift_timestamp(F.col("MovementDate").cast("timestamp"), params.shift_years))
     out["fact_product_inventory"] = inv
     return out
