@@ -26,7 +26,7 @@ from medistar.params import Params
 from medistar.plans import monitor as M
 from medistar.plans import quality as DQ
 from medistar.plans import queries as Q
-from medistar.plans.star import Star, build_star_to, read_star
+from medistar.plans.star import Star, build_dimensions_to, build_star_to, read_star
 from medistar.plans.pipeline import load_upload
 from medistar.plans.warehouse import UPLOAD_INVENTORY_UPDATE, Warehouse, load_all
 from medistar.session import configure, fs_exists, fs_fingerprint, fs_read_text, fs_write_text, shared_path
@@ -45,6 +45,7 @@ SMOKE_DIR = "/root/testdata/sf0.001"
 PARAMS = Params()
 
 _STARS: dict[tuple, Star] = {}
+_DIMENSIONS: dict[tuple, dict] = {}
 _LOCK = threading.RLock()
 _DRIVER: dict[tuple, dict] = {}
 # three batches on three days: the first load, a reload with changes, the day's uploads
@@ -113,6 +114,19 @@ def _star_locked(spark: SparkSession, sf_dir: str, key: tuple) -> Star:
     return _STARS[key]
 
 
+def _dimensions(spark: SparkSession, sf_dir: str) -> dict:
+    """The dimensions for a query that reads no fact: the star's if it is there, else written without the facts."""
+    key = _key(spark, sf_dir)
+    with _LOCK:
+        base = shared_path(spark, "registry_star", _ident(spark, sf_dir))
+        if key in _STARS or fs_exists(spark, f"{base}/_PUBLISHED"):
+            return _star(spark, sf_dir).tables
+        if key not in _DIMENSIONS:
+            raw_tables = adapter.driver_raw(spark, _tables(spark, sf_dir))
+            _DIMENSIONS[key] = build_dimensions_to(spark, raw_tables, f"{base}/dimensions-{uuid.uuid4().hex}", PARAMS)
+        return _DIMENSIONS[key]
+
+
 def _ident(spark: SparkSession, sf_dir: str) -> str:
     inputs = fs_fingerprint(spark, [f"{sf_dir.rstrip('/')}/{t}.parquet" for t in adapter.DRIVER_TABLES])
     return hashlib.sha1(f"{sf_dir}|{inputs}|{PARAMS!r}|{_code_digest()}".encode()).hexdigest()[:20]
@@ -178,7 +192,8 @@ def _sales_upload(spark, sf_dir):
 
 
 def upload_sales_clean(spark, sf_dir):
-    return U.transform_sales_upload(_sales_upload(spark, sf_dir)[1]).clean.drop("_row")
+    up = adapter.sales_upload(_tables(spark, sf_dir), _dimensions(spark, sf_dir), PARAMS.shift_years)
+    return U.transform_sales_upload(up).clean.drop("_row")
 
 
 def _sales_staged(spark, sf_dir) -> tuple[Star, DataFrame]:

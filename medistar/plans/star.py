@@ -146,6 +146,22 @@ def _write_all(tables: dict[str, DataFrame], path: str, mode: str, counts: dict,
         return {name: fut.result() for name, fut in futures.items()}
 
 
+def _write_dimensions(spark: SparkSession, ex: dict[str, DataFrame], path: str, params: Params, mode: str,
+                      counts: dict) -> tuple[dict[str, DataFrame], conform.Tracker]:
+    with conform.tracking() as tracker:
+        d = conform_dimensions(spark, ex, params)
+    return _write_all(d.tables, path, mode, counts, tracker), tracker
+
+
+def build_dimensions_to(spark: SparkSession, raw: dict[str, DataFrame], path: str, params: Params | None = None,
+                        mode: str = "overwrite") -> dict[str, DataFrame]:
+    """The star's dimensions, written as ``build_star_to`` writes them: no dimension depends on a fact."""
+    params = params or Params()
+    written, tracker = _write_dimensions(spark, extract_all(spark, raw, params), path, params, mode, {})
+    tracker.drop(spark)
+    return written
+
+
 def build_star_to(spark: SparkSession, raw: dict[str, DataFrame], path: str, params: Params | None = None,
                   mode: str = "overwrite") -> Star:
     """Extract, conform and write the star in load order: the dimensions are
@@ -154,9 +170,7 @@ def build_star_to(spark: SparkSession, raw: dict[str, DataFrame], path: str, par
     params = params or Params()
     ex = extract_all(spark, raw, params)
     counts: dict[str, int] = {}
-    with conform.tracking() as tracker:
-        d = conform_dimensions(spark, ex, params)
-    written = _write_all(d.tables, path, mode, counts, tracker)
+    written, tracker = _write_dimensions(spark, ex, path, params, mode, counts)
     with conform.tracking(count_facts=True) as fact_tracker:
         f = conform_facts(ex, written, params)
     written.update(_write_all(f.tables, path, mode, counts, fact_tracker))

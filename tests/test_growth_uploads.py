@@ -39,3 +39,21 @@ def test_names_are_met_before_rows_are_cleansed(spark, scratch, monkeypatch):
     assert got == {("aspirin", 2, None, None), ("Aspirin", None, "removed", "bad_dates"), ("none", None, "skipped", "Drug not found"),
                    ("Aspirin", 2, "skipped", "Date not in dim_date"), (None, None, "removed", "null_critical")}
     assert met == [[*cols, "_row", "_name"]]
+
+
+def test_cleansing_the_sales_upload_builds_no_fact(spark, small_star, monkeypatch):
+    """The upload is made of the driver tables and the star's dimensions."""
+    import __spark_entry__ as E
+    from medistar.operators import facts
+    from medistar.sources import adapter
+
+    sf = "/root/testdata/sf0.001"
+    up = adapter.sales_upload(adapter.read_driver_tables(spark, sf), small_star.tables, E.PARAMS.shift_years)
+    want = U.transform_sales_upload(up).clean.drop("_row")
+    monkeypatch.setattr(E, "_STARS", {})
+    monkeypatch.setattr(E, "_DIMENSIONS", {})
+    monkeypatch.setattr(E, "_code_digest", lambda: "no-fact")  # as if no star were published for this code
+    monkeypatch.setattr(facts, "transform_fact_sales", None)
+    got = E.upload_sales_clean(spark, sf)
+    assert got.columns == want.columns and sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    assert got.count() > 0 and E._STARS == {}
