@@ -174,9 +174,10 @@ def signature(h: np.ndarray) -> tuple[int, int]:
 
 
 def sketch(h: np.ndarray) -> bytes:
-    """Parity sketch: one bit per hash range, flipped by each shingle in it; half as
-    many bits as shingles still tell unrelated sets apart, a power of two folds."""
-    bits = max(64, 1 << (len(h) // 2 - 1).bit_length()) if len(h) > 2 else 64
+    """Parity sketch: one bit per hash range, flipped by each shingle in it; as many bits as
+    shingles, or more, tell sets with much in common from linking ones, so that loose groups
+    do not chain up with the corpus; a power of two folds."""
+    bits = max(64, 1 << (len(h) - 1).bit_length()) if len(h) > 1 else 64
     return np.packbits(np.bincount((mix(h, 31) & _U(bits - 1)).astype(np.int64), minlength=bits).astype(np.uint8) & 1).tobytes()
 
 

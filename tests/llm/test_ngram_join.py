@@ -135,6 +135,16 @@ def test_linking_sets_share_a_key():
                 assert J.may_link(a, b, 85, 100)
 
 
+def test_sketch_tells_half_alike_sets_apart():
+    """Sets with seven tenths in common would chain loose groups together if their sketches left a link open."""
+    rng, left = np.random.default_rng(4), 0
+    for _ in range(200):
+        h = rng.integers(0, 1 << 63, 151, dtype=np.uint64)
+        a, b = ((128, 8 * len(J.sketch(x)), int.from_bytes(J.sketch(x), "little")) for x in (np.sort(h[:128]), np.sort(h[23:])))
+        left += J.may_link(a, b, 80, 100)
+    assert left < 100
+
+
 def test_bucket_forest_connects_what_may_link():
     rnd = random.Random(2)
     for n in (2, 10, 60):

@@ -1,3 +1,4 @@
+import contextlib
 import random
 
 import corpus_pipeline as P
@@ -62,6 +63,20 @@ def test_near_copies_are_gone_after_line_dedup(spark, tmp_path):
     assert P.drop_near_copies(spark, other, str(tmp_path)).count() == 42
 
 
+def test_texts_of_the_second_join_are_shuffled_once(spark, tmp_path, monkeypatch):
+    """The second join reads written texts, each by its id and hash: rows that lost lines as documents has them,
+    unchanged ones, and those of other origin their own."""
+    frame(spark, [(1, "a b\nc d", "en", "s", 7), (2, "x y", "en", "s", 3), (4, "p q", "en", "s", 3)]).write.parquet(f"{tmp_path}/documents.parquet")
+    docs = frame(spark, [(1, "a b", "en", "s", 3), (2, "x y", "en", "s", 3), (3, "new", "en", "s", 3), (4, "other", "en", "s", 5), (None, "none", "en", "s", 4)])
+    seen, join = [], P.ngram_join.join_components
+    monkeypatch.setattr(P.ngram_join, "join_components", lambda t, **kw: (seen.append(t), join(t, **kw))[1])
+    with P.scratch(spark):
+        monkeypatch.setattr(P, "scratch", lambda s: contextlib.nullcontext())  # keep the texts for the test
+        assert P.drop_near_copies(spark, docs, str(tmp_path)).count() == 5
+        assert {tuple(r) for r in seen[1].collect() if r.doc_id is not None} == {(1, "a b\nc d"), (2, "x y"), (3, "new"), (4, "other")}
+        assert "Join" not in seen[1]._jdf.queryExecution().executedPlan().toString()
+
+
 def test_empty_documents(spark):
     docs = read_table(spark, SF, "documents").limit(0)
     for _, stage in P.STAGES:
