@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from medistar.operators import conform, dims, facts
 from medistar.operators.conform import union_all
 from medistar.params import Params
-from medistar.session import fs_drop
+from medistar.session import fs_drop, in_slice, release_shuffles, slices_of
 from medistar.sources import adapter
 from medistar.sources.extract import extract_all
 
@@ -65,11 +65,14 @@ def conform_dimensions(spark: SparkSession, raw: dict[str, DataFrame], params: P
     return Star(tables, report)
 
 
+def _conform_sales(sales: DataFrame, dim_tables: dict[str, DataFrame], params: Params) -> conform.Conformed:
+    return facts.transform_fact_sales(sales, dim_tables["dim_drug"], dim_tables["dim_customer"], dim_tables["dim_date"],
+                                      dim_tables["dim_sales_territory"], params)
+
+
 def conform_facts(raw: dict[str, DataFrame], dim_tables: dict[str, DataFrame], params: Params) -> Star:
     """FACT-1..FACT-5 against (conformed or already written) dimensions."""
-    f_sales = facts.transform_fact_sales(raw["fact_internet_sales"], dim_tables["dim_drug"],
-                                         dim_tables["dim_customer"], dim_tables["dim_date"],
-                                         dim_tables["dim_sales_territory"], params)
+    f_sales = _conform_sales(raw["fact_internet_sales"], dim_tables, params)
     f_inv = facts.transform_fact_inventory(raw["fact_product_inventory"], dim_tables["dim_drug"],
                                            dim_tables["dim_date"], params)
     return Star({"fact_drug_sales": f_sales.clean, "fact_inventory": f_inv.clean},
@@ -108,7 +111,7 @@ def write_table(df: DataFrame, name: str, path: str, mode: str = "overwrite",
     if name in facts.PARTITION_COLS:
         part, key = facts.PARTITION_COLS[name]
         out = df.sortWithinPartitions(part, key)
-    w = out.write.mode(mode)
+    w = out.write.mode(mode).option("compression", "zstd")
     if part:
         w = w.partitionBy(part)
     w.parquet(f"{path}/{name}")
@@ -119,10 +122,15 @@ def write_table(df: DataFrame, name: str, path: str, mode: str = "overwrite",
 
 
 def write_counted(tracker: conform.Tracker, name: str, path: str, mode: str = "overwrite") -> DataFrame:
-    """Write a fact with its counts (``conform.Counted``), take the counts from what was written and
-    drop the removed rows' partition; return the fact read back."""
+    """Write a fact with its counts (``conform.Counted``) and take the counts from what was written."""
     rows = tracker.counted[name].rows
     write_table(rows, name, path, mode)
+    return _take_counts(tracker, name, path)
+
+
+def _take_counts(tracker: conform.Tracker, name: str, path: str) -> DataFrame:
+    """Count a written fact (all its slices) and drop the removed rows' partition; return the fact read back."""
+    rows = tracker.counted[name].rows
     read = rows.sparkSession.read.schema(rows.schema)
     tracker.count(name, read.parquet(f"{path}/{name}"))
     part, _ = facts.PARTITION_COLS[name]
@@ -162,18 +170,38 @@ def build_dimensions_to(spark: SparkSession, raw: dict[str, DataFrame], path: st
     return written
 
 
+def _write_sliced(spark: SparkSession, ex: dict[str, DataFrame], dim_tables: dict[str, DataFrame], path: str, params: Params,
+                  mode: str, slices: int, tracker: conform.Tracker) -> dict[str, DataFrame]:
+    """The facts one after the other, the sales in slices of their order numbers: an order line and its repeats are
+    in one slice, and what a slice shuffles is deleted before the next."""
+    out = {"fact_inventory": write_counted(tracker, "fact_inventory", path, mode)}
+    for i in range(slices):
+        release_shuffles(spark)
+        one = ex["fact_internet_sales"].where(in_slice(i, slices, F.trim(F.col("SalesOrderNumber").cast("string"))))
+        with conform.tracking(count_facts=True) as part:
+            _conform_sales(one, dim_tables, params)
+        write_table(part.counted["fact_drug_sales"].rows, "fact_drug_sales", path, "append" if i else mode)
+    out["fact_drug_sales"] = _take_counts(tracker, "fact_drug_sales", path)
+    return out
+
+
 def build_star_to(spark: SparkSession, raw: dict[str, DataFrame], path: str, params: Params | None = None,
-                  mode: str = "overwrite") -> Star:
+                  mode: str = "overwrite", slices: int | None = None) -> Star:
     """Extract, conform and write the star in load order: the dimensions are
     written first and the facts are conformed against the written dimensions,
-    so no dimension plan is recomputed inside the fact jobs."""
+    so no dimension plan is recomputed inside the fact jobs.  Large sales are
+    conformed in ``slices`` (default: by the size of the input files)."""
     params = params or Params()
     ex = extract_all(spark, raw, params)
     counts: dict[str, int] = {}
     written, tracker = _write_dimensions(spark, ex, path, params, mode, counts)
     with conform.tracking(count_facts=True) as fact_tracker:
         f = conform_facts(ex, written, params)
-    written.update(_write_all(f.tables, path, mode, counts, fact_tracker))
+    release_shuffles(spark)
+    slices = slices or slices_of(ex["fact_internet_sales"])
+    written.update(_write_all(f.tables, path, mode, counts, fact_tracker) if slices == 1 else
+                   _write_sliced(spark, ex, written, path, params, mode, slices, fact_tracker))
+    release_shuffles(spark)
     tracker.rows.extend(fact_tracker.rows)
     report = tracker.report(spark, counts)
     report.write.mode(mode).parquet(f"{path}/_report")

@@ -33,7 +33,7 @@ from medistar.operators.facts import FACT_INVENTORY_COLS, FACT_SALES_COLS, PARTI
 from medistar.operators.upsert import dedupe_batch, merge_upsert
 from medistar.params import Params
 from medistar.plans.star import STAR_TABLES, Star
-from medistar.session import fs_create_text, fs_drop, fs_names, fs_read_text, shared_path
+from medistar.session import fs_create_text, fs_drop, fs_names, fs_read_text, release_shuffles, shared_path
 
 AUDIT_SCHEMA = T.StructType([
     T.StructField("audit_id", T.LongType()),
@@ -146,10 +146,10 @@ class Warehouse:
         name = self._new_folder(table)
         path = f"{self.root}/{table}/{name}"
         if table not in PARTITION_COLS:
-            df.write.parquet(path)
+            df.write.option("compression", "zstd").parquet(path)
             return [name]
         part, key = PARTITION_COLS[table]
-        df.sortWithinPartitions(part, key).write.partitionBy(part).parquet(path)
+        df.sortWithinPartitions(part, key).write.option("compression", "zstd").partitionBy(part).parquet(path)
         return [f"{name}/{n}" for n in fs_names(self.spark, path) if n.startswith(f"{part}=")]
 
     def _commit(self, table: str, dirs: list[str], schema: T.StructType, record: LoadResult | None = None,
@@ -164,6 +164,7 @@ class Warehouse:
                 "record": record and asdict(record)}
         if not fs_create_text(self.spark, f"{self.root}/{table}/_current/{version:08d}.json", json.dumps(body)):
             raise ConcurrentLoad(f"{table}: version {version} was written by another load")
+        release_shuffles(self.spark)
 
     def loaded(self, table: str, batch: str) -> LoadResult | None:
         """What loading ``batch`` did, if it is in the table."""

@@ -7,11 +7,13 @@ defaults only where there is none, which is what tests and the bench need.
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _LOCAL_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
@@ -97,6 +99,32 @@ def importable(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join(x for x in (env.get("PYTHONPATH"), root) if x)
 
 
+# input files (bytes) that one slice of a large table stands for: what is shuffled at once is bounded by it
+SLICE_BYTES = 1 << 30
+
+
+def slices_of(df: DataFrame) -> int:
+    """In how many slices the rows of ``df`` are worked on, by the size of the files that it reads."""
+    jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
+    size = 0
+    for f in df.inputFiles():
+        p = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(f))
+        size += p.getFileSystem(conf).getFileStatus(p).getLen()
+    return max(1, -(-size // SLICE_BYTES))
+
+
+def in_slice(i: int, n: int, *cols: Column) -> Column:
+    """Whether a row is in slice ``i`` of ``n``: rows with equal ``cols`` are in the same one."""
+    return F.pmod(F.xxhash64(*cols), F.lit(n)) == i
+
+
+def release_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished plans: it does so when their objects are collected,
+    which a roomy driver heap puts off while the disks fill up."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 # ------------------------------------------------ small file-system helpers
 # (Hadoop FileSystem API, so they work on HDFS / object stores as well as local disk)
 
