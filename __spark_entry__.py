@@ -26,7 +26,7 @@ from medistar.params import Params
 from medistar.plans import monitor as M
 from medistar.plans import quality as DQ
 from medistar.plans import queries as Q
-from medistar.plans.star import Star, build_dimensions_to, build_star_to, read_star
+from medistar.plans.star import STAR_TABLES, Star, build_dimensions_to, build_star_to, read_star
 from medistar.plans.pipeline import load_upload
 from medistar.plans.warehouse import UPLOAD_INVENTORY_UPDATE, Warehouse, load_all
 from medistar.session import configure, fs_exists, fs_fingerprint, fs_read_text, fs_write_text, shared_path
@@ -202,7 +202,7 @@ def _sales_staged(spark, sf_dir) -> tuple[Star, DataFrame]:
     with _LOCK:
         if key not in _STAGED:
             st, up = _sales_upload(spark, sf_dir)
-            _STAGED[key] = outcomes.stage(up, "sales", st.tables)
+            _STAGED[key] = outcomes.stage(up, "sales", st.tables, PARAMS)
     return _star(spark, sf_dir), _STAGED[key]
 
 
@@ -243,6 +243,12 @@ def _q(fn: Callable[[Star], DataFrame]) -> Callable[[SparkSession, str], DataFra
     return lambda spark, sf_dir: fn(_star(spark, sf_dir))
 
 
+def _adhoc(spark, sf_dir, text: str) -> DataFrame:
+    """A text that reads dimensions only runs on them, any other on the star."""
+    some = M.tables_used(spark, M.guard_sql(text)) & {t for t in STAR_TABLES if not t.startswith("dim_")}
+    return M.adhoc_sql(spark, _star(spark, sf_dir) if some else Star(_dimensions(spark, sf_dir)), text)
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: top drugs by revenue over the star built from sf0.001."""
     return Q.top_drugs(_star(spark, SMOKE_DIR), n=5)
@@ -306,9 +312,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "sales_mart": _q(Q.sales_mart),
         "inventory_mart": _q(Q.inventory_mart),
         # conformed star tables (calendar, dimension and fact operators)
-        **{t: _q(lambda s, t=t: s[t]) for t in ["dim_date", "dim_geography", "dim_sales_territory",
-                                               "dim_therapeutic_class", "dim_drug", "dim_customer",
-                                               "fact_drug_sales", "fact_inventory"]},
+        **{t: lambda spark, sf, t=t: _dimensions(spark, sf)[t] for t in STAR_TABLES if t.startswith("dim_")},
+        **{t: _q(lambda s, t=t: s[t]) for t in ["fact_drug_sales", "fact_inventory"]},
         "removal_report": _q(lambda s: s.report),
         "extract_summary": lambda spark, sf: extract_summary(_extracted(spark, sf)),
         # data quality
@@ -326,8 +331,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "critical_drugs": _q(lambda s: M.critical_drugs(s, 10)),
         "row_counts": _q(lambda s: M.row_counts(s)),
         "schema_summary": _q(M.schema_summary),
-        "adhoc_sql": lambda spark, sf: M.adhoc_sql(spark, _star(spark, sf), ADHOC_TEXT),
-        "adhoc_sql_limit": lambda spark, sf: M.adhoc_sql(spark, _star(spark, sf), ADHOC_PAGE_TEXT),
+        "adhoc_sql": lambda spark, sf: _adhoc(spark, sf, ADHOC_TEXT),
+        "adhoc_sql_limit": lambda spark, sf: _adhoc(spark, sf, ADHOC_PAGE_TEXT),
         "schema_columns": _q(M.schema_columns),
         # loads: three batches written to a warehouse, and their ledger
         "load_summary_reload": lambda spark, sf: _history(spark, sf)["reload"],
